@@ -2,16 +2,27 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from avmatch.llm import ngram_jaccard
+from avmatch.llm import hmm, langid, ngram_jaccard
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid.fit(docs.where(~langid.held_out()))
+    out = langid.predict(docs.select("doc_id", langid.held_out().alias("held_out"), "text"), model)
+    return out.select("doc_id", "held_out", "lang_pred", "score", "accepted")
+
+
+def op6_hmm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hmm.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard.join_classes(table(spark, sf_dir, "documents"), n=4, percent=85)
 
 
-QUERIES = {f.__name__: f for f in (op10_ngram_jaccard,)}
+QUERIES = {f.__name__: f for f in (op2_language_id, op6_hmm_score, op10_ngram_jaccard)}
 ORACLE_SQL: dict[str, str] = {}
