@@ -112,8 +112,7 @@ def ship_shingles(batches, n: int, buckets: int) -> Iterator[pa.RecordBatch]:
 
 
 def count_shared(table: pa.Table) -> pa.Table:
-    """For one hash range: how many of each run's and class's shingles another class has too."""
-    groups = table.column("grp").to_numpy()
+    """For one hash range and each run: how many shingles of each class in it another class has too."""
     hs = [np.frombuffer(x, np.uint32) for x in table.column("hs").to_pylist()]
     where = np.repeat(np.arange(len(hs), dtype=np.uint64), [len(x) for x in hs])
     h = np.concatenate(hs)
@@ -124,14 +123,19 @@ def count_shared(table: pa.Table) -> pa.Table:
     low, high = np.minimum.reduceat(t, new), np.maximum.reduceat(t, new)
     shared = np.repeat((low == 0) | (low != high), np.diff(np.append(new, len(h)))) & (t > 0)
     keys, counts = np.unique((where[shared] << np.uint64(32)) | t[shared], return_counts=True)
-    grp, tag, cnt = [groups[(keys >> np.uint64(32)).astype(np.int64)]], [(keys & np.uint64(0xFFFFFFFF)).astype(np.int64)], [counts.astype(np.int64)]
-    for g, own, c in zip(groups, table.column("own_tags").to_pylist(), table.column("own_counts").to_pylist(), strict=True):
-        if own:
-            own, c = np.frombuffer(own, np.uint32), np.frombuffer(c, np.uint32)
-            grp.append(np.full(len(own), g))
-            tag.append(own.astype(np.int64))
-            cnt.append(c.astype(np.int64))
-    return pa.table({"grp": np.concatenate(grp), "tag": np.concatenate(tag), "cnt": np.concatenate(cnt)})
+    cut = np.searchsorted(keys >> np.uint64(32), np.arange(len(hs) + 1, dtype=np.uint64))
+    own = [pa.array([x[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:], strict=True)], pa.binary()) for x in (keys.astype(np.uint32), counts.astype(np.uint32))]
+    grp = table.column("grp").combine_chunks()
+    out = pa.Table.from_arrays([grp, *own], ["grp", "tags", "counts"])
+    inside = pa.Table.from_arrays([grp, *(table.column(c).combine_chunks() for c in ("own_tags", "own_counts"))], ["grp", "tags", "counts"])
+    return pa.concat_tables([out, inside.filter(inside.column("tags").is_valid())])
+
+
+def sum_shared(table: pa.Table) -> pa.Table:
+    """For one run: the number of shared shingles of each class in it."""
+    tag, cnt = (np.concatenate([np.frombuffer(x, np.uint32) for x in table.column(c).to_pylist()]) for c in ("tags", "counts"))
+    tag, at = np.unique(tag, return_inverse=True)
+    return pa.table({"tag": tag.astype(np.int64), "cnt": np.bincount(at, cnt, len(tag)).astype(np.int64)})
 
 
 def sets_of(batches, n: int) -> Iterator[pa.RecordBatch]:
@@ -238,8 +242,8 @@ def join_classes(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
 
     buckets = 2 * shuffle_partitions(spark)
     shipped = docs.select("text").mapInArrow(lambda b: ship_shingles(b, n, buckets), SHIPPED)
-    shared = shipped.groupBy("bucket").applyInArrow(count_shared, "grp long, tag long, cnt long")
-    shared = shared.groupBy("grp", "tag").agg(F.sum("cnt").alias("cnt")).groupBy("tag").agg(F.max("cnt").alias("cnt"))
+    shared = shipped.groupBy("bucket").applyInArrow(count_shared, "grp long, tags binary, counts binary")
+    shared = shared.groupBy("grp").applyInArrow(sum_shared, "tag long, cnt long").groupBy("tag").agg(F.max("cnt").alias("cnt"))
     alive = classes.join(shared, "tag").where(F.col("cnt") * 100 >= F.col("n_shingles") * percent)
     alive = stash(alive.select(F.col("rep").alias("doc_id"), "copies"), "alive")
 
