@@ -1,8 +1,10 @@
 """One thin query per operator over its whole table, and the equivalent DuckDB SQL where SQL can express it."""
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from avmatch.llm import hmm, langid, ngram_jaccard
+from avmatch.llm import bpe, hmm, langid, ngram_jaccard, token_files
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,13 +18,23 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "held_out", "lang_pred", "score", "accepted")
 
 
+def op4_wavelet_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end=0)
+
+
 def op6_hmm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hmm.score_documents(table(spark, sf_dir, "documents"))
 
 
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), public_tokenizers.path("word_bpe_49k.json"))
+    ids = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return docs.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard.join_classes(table(spark, sf_dir, "documents"), n=4, percent=85)
 
 
-QUERIES = {f.__name__: f for f in (op2_language_id, op6_hmm_score, op10_ngram_jaccard)}
+QUERIES = {f.__name__: f for f in (op2_language_id, op4_wavelet_files, op6_hmm_score, op9_bpe, op10_ngram_jaccard)}
 ORACLE_SQL: dict[str, str] = {}
