@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from avmatch.llm import bpe, chat, hmm, langid, mixing, ngram_jaccard, secret_scan, token_files
+from avmatch.llm import bpe, chat, hmm, kmeans_tree, langid, mixing, ngram_jaccard, secret_scan, segment_topk, token_files
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,10 +35,18 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "held_out", "lang_pred", "score", "accepted")
 
 
+def op3_segment_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return segment_topk.search(table(spark, sf_dir, "embeddings"), k=5, every=50)
+
+
 def op4_wavelet_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end=0)
 
 
+def op5_kmeans_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kmeans_tree.search(table(spark, sf_dir, "embeddings"), k=10, every=100)
+
+
 def op6_hmm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hmm.score_documents(table(spark, sf_dir, "documents"))
 
@@ -64,5 +72,5 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard.join_classes(table(spark, sf_dir, "documents"), n=4, percent=85)
 
 
-QUERIES = {f.__name__: f for f in (op1_chat_format, op2_language_id, op4_wavelet_files, op6_hmm_score, op7_mix_sources, op8_secret_scan, op9_bpe, op10_ngram_jaccard)}
+QUERIES = {f.__name__: f for f in (op1_chat_format, op2_language_id, op3_segment_topk, op4_wavelet_files, op5_kmeans_tree, op6_hmm_score, op7_mix_sources, op8_secret_scan, op9_bpe, op10_ngram_jaccard)}
 ORACLE_SQL: dict[str, str] = {}
