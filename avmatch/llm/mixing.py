@@ -101,15 +101,13 @@ def mix(docs: DataFrame, block: int = BLOCK, seed: int = SEED) -> DataFrame:
     rows = rows.join(quotas, F.col("source").eqNullSafe(F.col("_source")) & (F.col("shard") == F.col("_shard")))
     width = F.col("length") / F.col("blocks")
     rest = F.col("quota") % F.col("blocks")
-    shift = F.pmod(F.xxhash64("source", "shard", F.lit(seed)), F.lit(1 << 30))
+    start = F.pmod(F.xxhash64("source", "shard", F.lit(seed)), F.col("blocks"))
 
-    def part(k: Column) -> Column:
-        picked = (k * 2147483647 + shift) % F.col("blocks") < rest  # a permutation: the factor is prime
-        inside = F.least(F.floor((k + 1) * width), F.col("at") + F.col("size")) - F.greatest(F.floor(k * width), F.col("at"))
-        return F.when(picked, F.greatest(inside, F.lit(0))).otherwise(F.lit(0)).cast("long")
+    def covered(first: Column, last: Column) -> Column:
+        """Words of the document in blocks first to last (exclusive)."""
+        inside = F.least(F.floor(last * width), F.col("at") + F.col("size")) - F.greatest(F.floor(first * width), F.col("at"))
+        return F.greatest(inside, F.lit(0))
 
-    first = F.greatest(F.floor(F.col("at") / width) - 1, F.lit(0))
-    last = F.least(F.floor((F.col("at") + F.col("size")) / width) + 1, F.col("blocks") - 1)
-    some = F.aggregate(F.sequence(first, last), F.lit(0).cast("long"), lambda s, k: s + part(k))
+    some = covered(start, F.least(start + rest, F.col("blocks"))) + covered(F.lit(0), F.greatest(start + rest - F.col("blocks"), F.lit(0)))
     taken = F.when(F.col("size") > 0, F.floor(F.col("quota") / F.col("blocks")) * F.col("size") + some).otherwise(0).cast("long")
     return rows.select("doc_id", "size", "source_size", "target", taken.alias("taken"))
