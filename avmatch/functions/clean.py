@@ -192,7 +192,7 @@ def filled_list(*columns: Column) -> Column:
 def list_from_json(x: Column) -> Column:
     """A JSON list, or else the text itself, as trimmed strings without blanks."""
     got = F.coalesce(F.from_json(x, "array<string>"), F.array(x))
-    return F.filter(F.transform(got, F.trim), lambda v: v.isNotNull() & (v != ""))
+    return F.filter(F.transform(got, lambda v: F.trim(v)), lambda v: v.isNotNull() & (v != ""))
 
 
 def overhaul_hours(x: Column) -> Column:
@@ -246,7 +246,7 @@ def feature_labels(avionics: Column, equipment: Column, props: Column) -> Column
 
 def comma_list(x: Column) -> Column:
     """A comma list as trimmed non-blank values, null if there is none."""
-    found = F.filter(F.transform(F.split(x, ","), F.trim), lambda v: v != "")
+    found = F.filter(F.transform(F.split(x, ","), lambda v: F.trim(v)), lambda v: v != "")
     return F.when(F.size(found) > 0, found)
 
 
