@@ -6,28 +6,27 @@ every ``BLOCK`` bits. A shard row of the written table is one such file with its
 """
 
 import os
-import re
 import sys
+import unicodedata
 import zlib
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from avmatch.llm import words as W
 from avmatch.llm.store import new_path, shuffle_partitions
 
 BLOCK = 512
-#: Ids in a shard, but for a longer single document.
+#: Ids in a shard, but for longer single runs of text.
 SHARD = 2_000_000
 MAGIC = b"WVM1"
-#: Words and chunks a worker keeps the ids of; a full table starts afresh.
-WORDS, CHUNKS = 500_000, 350_000
-#: Fixed value: the split rule of byte-level BPE vocabularies, with Unicode white space spelt out.
-SPACE = r"\u0009-\u000d\u0020\u0085\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-SPLIT = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACE}\p{{L}}\p{{N}}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
+#: Distinct words a worker keeps the ids of.
+WORDS = 1_000_000
+#: Fixed value: Unicode white space.
+SPACES = [*range(9, 14), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 
 
 def build(ids: np.ndarray, bits: int) -> bytes:
@@ -123,100 +122,177 @@ class Wavelet:
         return now
 
 
-class Chunks:
+def kinds() -> np.ndarray:
+    """The split rule's class of each code point: 0 other, 1 letter, 2 number, 3 white space."""
+    table = np.zeros(0x110000, np.uint8)
+    for c in range(0x110000):
+        major = unicodedata.category(chr(c))[0]
+        if major == "L" or major == "N":
+            table[c] = 1 if major == "L" else 2
+    table[SPACES] = 3
+    return table
+
+
+def word_starts(cp: np.ndarray, kind: np.ndarray, edges: np.ndarray) -> np.ndarray:
+    """Where the byte-level split rule starts a word, in texts that lie end to end and begin at edges.
+
+    A run of letters, of numbers or of others is a word, with one blank before it if there is one. Of a white space
+    run before text the last character stands alone, unless it is such a blank. An apostrophe that starts a run of
+    others, with no blank before it, takes one of the endings s, t, re, ve, m, ll, d from the letters that follow.
+    """
+    n = len(cp)
+    first = np.zeros(n + 1, bool)
+    first[edges] = True
+    first[n] = True
+    run = first.copy()
+    run[1:n] |= kind[1:] != kind[:-1]
+    start = run[:n].copy()
+    space = kind == 3
+    last = np.zeros(n, bool)  # the last of a white space run that text follows
+    last[:-1] = space[:-1] & ~space[1:] & ~first[1:n]
+    start |= last
+    blank = last & (cp == 32)
+    start[1:] &= ~blank[:-1] | first[1:n]
+    lone = np.flatnonzero((cp == 39) & run[:n])
+    lone = lone[(lone == 0) | first[lone] | ~blank[lone - 1]]
+    if len(lone):
+        ahead = np.concatenate([cp, np.zeros(2, cp.dtype)])
+        inside = np.concatenate([~first[:n], [False, False]])
+        one, two = ahead[lone + 1], ahead[lone + 2]
+        single = inside[lone + 1] & np.isin(one, [ord(c) for c in "stmd"])
+        double = inside[lone + 1] & inside[lone + 2] & (((one == 114) | (one == 118)) & (two == 101) | (one == 108) & (two == 108))
+        for at, size in ((lone[single], 2), (lone[double & ~single], 3)):
+            start[at + 1] = False
+            after = at + size
+            start[after[after < n]] = True
+    return np.flatnonzero(start)
+
+
+class Words:
     """Ids of texts by the tokenizers library, each distinct word encoded once.
 
-    A chunk is what stands between single blanks, with the blank before it; the byte-level split never looks across
-    such a border. A new chunk is cut into its words by the library's own split rule, and new words go to the
-    library many at a time. Texts with a blank between other white space, or with an added token in them, go to the
-    library whole.
+    Texts are cut by the library's own split rule in numpy, words are hashed (64 bits) where they lie, and only words
+    that a worker hasn't met go to the library, many at a time. Its table is bounded and starts afresh when full.
+    Texts with an added token in them go to the library whole.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are the parallelism here
-        import regex
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
         self.library.no_padding()
         self.library.no_truncation()
-        self.added = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.odd = re.compile(r"\s (?:\s|\Z)").search
-        self.find = regex.compile(SPLIT).findall
-        self.chunks: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
-
-    def whole(self, text: str) -> bytes:
-        return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def learn(self, words: list[str]) -> None:
-        """Encode new words: those with a blank before them side by side, each then is one word of the library's."""
-        if len(self.words) + len(words) >= WORDS:
-            self.words.clear()
-        spaced = [w for w in words if w[0] == " " and not w.isspace()]
-        for lo in range(0, len(spaced), 2048):
-            part = spaced[lo : lo + 2048]
-            found = self.library.encode("".join(part), add_special_tokens=False)
-            ids, of = np.array(found.ids, "<u4"), np.array(found.word_ids)
-            cuts = np.searchsorted(of, np.arange(len(part) + 1))
-            for w, a, b in zip(part, cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-                self.words[w] = ids[a:b].tobytes()
-        for w in words:
-            if w not in self.words:
-                self.words[w] = self.whole(w)
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        plain = [not self.odd(t) and not any(s in t for s in self.added) for t in texts]
-        parts = [t.split(" ") if p else [] for t, p in zip(texts, plain, strict=True)]
-        new = [" " + x for x in set(chain.from_iterable(p[1:] for p in parts)) if x not in self.chunks]
-        cut = [[x] if x[1:].isalpha() else self.find(x) for x in new]
-        heads = [self.find(p[0]) if p else [] for p in parts]
-        needed = set(chain.from_iterable(cut))
-        needed.update(chain.from_iterable(heads))
-        fresh = [w for w in needed if w not in self.words]
-        if len(self.words) + len(fresh) >= WORDS:
-            fresh = list(needed)
-        self.learn(fresh)
-        word = self.words.__getitem__
-        if len(self.chunks) + len(new) >= CHUNKS:
-            self.chunks.clear()
-            new = [" " + x for x in set(chain.from_iterable(p[1:] for p in parts))]
-            cut = [[x] if x[1:].isalpha() else self.find(x) for x in new]
-            self.learn([w for w in set(chain.from_iterable(cut)) if w not in self.words])
-        for x, ws in zip(new, cut, strict=True):
-            self.chunks[x[1:]] = b"".join(map(word, ws))
-        get = self.chunks.__getitem__
-        return [b"".join(map(word, h)) + b"".join(map(get, p[1:])) if p else self.whole(t) for t, p, h in zip(texts, parts, heads, strict=True)]
+        self.added = [t.content.encode() for t in self.library.get_added_tokens_decoder().values()]
+        self.kinds = kinds()
+        self.clear()
+
+    def clear(self) -> None:
+        self.hashes, self.first, self.ids = np.zeros(0, np.uint64), np.zeros(1, np.int64), np.zeros(0, np.uint32)
+
+    def whole(self, text: str) -> np.ndarray:
+        return np.array(self.library.encode(text, add_special_tokens=False).ids, np.uint32)
+
+    def learn(self, hashes: np.ndarray, words: list[str]) -> None:
+        """Words side by side in one text stay words of their own behind their blank, or else behind a line end."""
+        found: list[np.ndarray | None] = [None] * len(words)
+        plain = [k for k, w in enumerate(words) if not w.isspace()]
+        spaced = [k for k in plain if words[k][0] == " "]
+        tight = [k for k in plain if words[k][0] != " "]
+        for group, glue in ((spaced, ""), (tight, "\n")):
+            for lo in range(0, len(group), 2048):
+                part = group[lo : lo + 2048]
+                code = self.library.encode(glue + glue.join(words[k] for k in part), add_special_tokens=False)
+                ids, of = np.array(code.ids, np.uint32), np.array(code.word_ids)
+                if of[-1] + 1 == len(part) * (2 if glue else 1):
+                    at = np.arange(len(part)) * (2 if glue else 1) + (1 if glue else 0)
+                    for k, a, b in zip(part, np.searchsorted(of, at).tolist(), np.searchsorted(of, at, "right").tolist(), strict=True):
+                        found[k] = ids[a:b]
+        found = [self.whole(w) if f is None else f for w, f in zip(words, found, strict=True)]
+        if len(self.hashes) + len(words) > WORDS:
+            self.clear()
+        size = np.concatenate([np.diff(self.first), [len(f) for f in found]])
+        hashes, ids = np.concatenate([self.hashes, hashes]), np.concatenate([self.ids, *found])
+        order = np.argsort(hashes)
+        first = np.concatenate([[0], np.cumsum(size)])
+        self.ids = gather(ids, first[order], size[order])
+        self.hashes, self.first = hashes[order], np.concatenate([[0], np.cumsum(size[order])])
+
+    def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts end to end, number of ids of each). data: the texts' UTF-8 bytes, text k at offsets[k]."""
+        n = len(offsets) - 1
+        text = data.tobytes()
+        odd = [k for k in range(n) if any(s in text[offsets[k] : offsets[k + 1]] for s in self.added)] if any(s in text for s in self.added) else []
+        cp = np.frombuffer(text.decode().encode("utf-32-le"), np.uint32)
+        at = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])[offsets]
+        starts = word_starts(cp, self.kinds[cp], at[:-1][np.diff(at) > 0]) if len(cp) else np.zeros(0, np.int64)
+        ends = np.append(starts[1:], len(cp)) if len(starts) else starts
+        h = hash_spans(cp, starts, ends)
+        distinct, where, inverse = np.unique(h, return_index=True, return_inverse=True)
+        if len(self.hashes):
+            place = np.minimum(np.searchsorted(self.hashes, distinct), len(self.hashes) - 1)
+            new = self.hashes[place] != distinct
+        else:
+            new = np.ones(len(distinct), bool)
+        if new.any():
+            if len(self.hashes) + int(new.sum()) > WORDS:
+                new[:] = True
+            some = np.flatnonzero(new)
+            self.learn(distinct[some], [cp[a:b].tobytes().decode("utf-32-le") for a, b in zip(starts[where[some]].tolist(), ends[where[some]].tolist(), strict=True)])
+        place = np.searchsorted(self.hashes, distinct)[inverse] if len(distinct) else np.zeros(0, np.int64)
+        size = self.first[place + 1] - self.first[place] if len(place) else np.zeros(0, np.int64)
+        ids = gather(self.ids, self.first[place], size) if len(place) else np.zeros(0, np.uint32)
+        cuts = np.concatenate([[0], np.cumsum(size)])[np.searchsorted(starts, at)]
+        if odd:
+            parts = [self.whole(text[offsets[k] : offsets[k + 1]].decode()) if k in set(odd) else ids[cuts[k] : cuts[k + 1]] for k in range(n)]
+            return np.concatenate(parts), np.array([len(p) for p in parts], np.int64)
+        return ids, np.diff(cuts)
+
+
+def gather(flat: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The runs flat[first : first + size], end to end."""
+    total = np.cumsum(size)
+    return flat[np.arange(total[-1] if len(total) else 0) + np.repeat(first - (total - size), size)]
+
+
+def hash_spans(cp: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each span of code points."""
+    up, down = W.powers(W.BASE, len(cp)), W.powers(W.INVERSE, len(cp))
+    sums = np.zeros(len(cp) + 1, np.uint64)
+    np.cumsum((cp.astype(np.uint64) + np.uint64(1)) * up, out=sums[1:])
+    return W.mix((sums[ends] - sums[starts]) * down[starts]) if len(starts) else np.zeros(0, np.uint64)
 
 
 def encode_shards(batches, path: str, bits: int, end: int) -> Iterator[pa.RecordBatch]:
     """Documents in order to shard rows; shard numbers ascend with doc_id."""
     from pyspark import TaskContext
 
-    held = sys.__dict__.setdefault("_held_chunks", {})  # outlives a task
+    held = sys.__dict__.setdefault("_held_words", {})  # outlives a task
     if path not in held:
-        held[path] = Chunks(path)
+        held[path] = Words(path)
     code, shard = held[path], TaskContext.get().partitionId() << 32
-    tail = np.array([end], "<u4").tobytes()
-    docs: list[int | None] = []
-    ids: list[bytes] = []
+    docs: list[pa.Array] = []
+    ids: list[np.ndarray] = []
+    lengths: list[np.ndarray] = []
     size = 0
 
     def flush() -> pa.RecordBatch:
-        file = build(np.frombuffer(b"".join(ids), "<u4"), bits)
-        row = [[shard], [docs], [[len(x) // 4 for x in ids]], [size], [file]]
-        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(row, (pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.int64(), pa.binary()), strict=True)], ["shard", "doc_ids", "lengths", "n_tokens", "file"])
+        keys, n = pa.concat_arrays(docs), np.concatenate(lengths)
+        one = pa.array([0, len(n)], pa.int32())
+        row = [pa.array([shard]), pa.ListArray.from_arrays(one, keys), pa.ListArray.from_arrays(one, pa.array(n)), pa.array([size]), pa.array([build(np.concatenate(ids), bits)], pa.binary())]
+        return pa.RecordBatch.from_arrays(row, ["shard", "doc_ids", "lengths", "n_tokens", "file"])
 
     for batch in batches:
-        keys = batch.column("doc_id").to_pylist()
-        for lo in range(0, len(batch), 512):
-            for key, x in zip(keys[lo : lo + 512], code.encode([t or "" for t in batch.column("text").slice(lo, 512).to_pylist()]), strict=True):
-                if size and size + len(x) // 4 + 1 > SHARD:
-                    yield flush()
-                    docs, ids, size, shard = [], [], 0, shard + 1
-                docs.append(key)
-                ids.append(x + tail)
-                size += len(x) // 4 + 1
+        data, offsets = W.column_bytes(batch.column("text"))
+        for lo, hi in W.row_chunks(offsets, W.CHUNK):
+            flat, n = code.encode(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
+            if size and size + len(flat) + len(n) > SHARD:
+                yield flush()
+                docs, ids, lengths, size, shard = [], [], [], 0, shard + 1
+            docs.append(batch.column("doc_id").slice(lo, hi - lo))
+            lengths.append(n + 1)
+            ids.append(np.insert(flat, np.cumsum(n), end))
+            size += len(flat) + len(n)
     if size:
         yield flush()
 
