@@ -63,7 +63,7 @@ class Model:
         """One row of logits for each text in data (texts end to end)."""
         rows = len(offsets) - 1
         total, count = np.zeros((rows, len(self.langs))), np.zeros(rows)
-        step = max(1 << 16, (1 << 23) // max(1, len(self.langs)))
+        step = max(1 << 16, (1 << 22) // max(1, len(self.langs)))
         for lo in range(0, len(data), step):
             part = data[lo : lo + step + 3]
             for code, n in subwords(part):
@@ -181,20 +181,21 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
         ascii_letter[65:91] = ascii_letter[97:123] = True
         for batch in batches:
             data, offsets = W.column_bytes(batch.column("text"))
-            texts = batch.column("text")
-            if model.langs:
-                best, score = model.predict(data, offsets)
-            else:
-                best, score = np.zeros(len(texts), int), np.zeros(len(texts))
-            seen = np.concatenate([[0], np.cumsum(ascii_letter[data])])
-            has = seen[offsets[1:]] > seen[offsets[:-1]]
-            for k in np.flatnonzero(~has & (np.diff(offsets) > 0)).tolist():
-                has[k] = any(map(str.isalpha, texts[k].as_py() or ""))
-            has &= bool(model.langs)
-            lang = [model.langs[b] if h else "und" for b, h in zip(best.tolist(), has.tolist(), strict=True)]
-            score = np.where(has, score, 0.0)
-            rest = [batch.column(c) for c in batch.schema.names]
-            yield pa.RecordBatch.from_arrays([*rest, pa.array(lang, pa.string()), pa.array(score), pa.array(has & (score >= model.reject))], [*batch.schema.names, "lang_pred", "score", "accepted"])
+            for lo, hi in W.row_chunks(offsets, W.CHUNK):
+                part, at = data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
+                rows = batch.slice(lo, hi - lo)
+                if model.langs:
+                    best, score = model.predict(part, at)
+                else:
+                    best, score = np.zeros(hi - lo, int), np.zeros(hi - lo)
+                seen = np.concatenate([[0], np.cumsum(ascii_letter[part])])
+                has = seen[at[1:]] > seen[at[:-1]]
+                for k in np.flatnonzero(~has & (np.diff(at) > 0)).tolist():
+                    has[k] = any(map(str.isalpha, part[at[k] : at[k + 1]].tobytes().decode()))
+                has &= bool(model.langs)
+                lang = [model.langs[b] if h else "und" for b, h in zip(best.tolist(), has.tolist(), strict=True)]
+                score = np.where(has, score, 0.0)
+                yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(lang, pa.string()), pa.array(score), pa.array(has & (score >= model.reject))], [*rows.schema.names, "lang_pred", "score", "accepted"])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     return docs.mapInArrow(run, f"{fields}, lang_pred string, score double, accepted boolean")
