@@ -223,7 +223,7 @@ def fleet_tables(pages: DataFrame) -> DataFrame:
     at = Window.partitionBy("page_id", "tr").orderBy("cell")
     cells = cells.withColumn("column", F.row_number().over(at) - 1).withColumn("label", F.first("text").over(at))
     by_row = Window.partitionBy("page_id").orderBy("tr", "cell").rowsBetween(Window.unboundedPreceding, 0)
-    cells = cells.withColumn("section", F.last(F.when("is_section", F.col("text")), ignorenulls=True).over(by_row))
+    cells = cells.withColumn("section", F.last(F.when(F.col("is_section"), F.col("text")), ignorenulls=True).over(by_row))
     value = F.when(F.col("mark") & F.col("text").contains("✔"), "true").otherwise(F.nullif("text", F.lit("")))
     return cells.where("column > 0 and not is_section").select("page_id", "column", "section", "label", value.alias("value"), "href")
 

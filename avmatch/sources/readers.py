@@ -60,7 +60,7 @@ def header_key(name: str) -> str:
 
 def csv_rows(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """A CSV's cells as text, with seq: ascending in file order. Short rows are padded, surplus cells dropped."""
-    rows = spark.read.csv(paths, header=True, escape='"', multiLine=True, mode="PERMISSIVE", enforceSchema=False)
+    rows = spark.read.csv(paths, header=True, escape='"', multiLine=True, mode="PERMISSIVE")
     return rows.withColumn("seq", F.monotonically_increasing_id())
 
 
