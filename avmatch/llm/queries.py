@@ -5,6 +5,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from avmatch.llm import bpe, chat, hmm, kmeans_tree, langid, mixing, ngram_jaccard, secret_scan, segment_topk, token_files
+from avmatch.llm.oracles import ORACLE_SQL
+
+__all__ = ["ORACLE_SQL", "QUERIES"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -73,4 +76,3 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_chat_format, op2_language_id, op3_segment_topk, op4_wavelet_files, op5_kmeans_tree, op6_hmm_score, op7_mix_sources, op8_secret_scan, op9_bpe, op10_ngram_jaccard)}
-ORACLE_SQL: dict[str, str] = {}
