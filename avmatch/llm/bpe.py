@@ -1,8 +1,8 @@
 """BPE encoding and decoding: a priority queue of merge ranks over a doubly linked symbol list.
 
 Reads a ``tokenizers`` JSON file of the word-end kind: NFC, white space runs as one blank, lower case, a split into
-letters, single digits and runs of the rest, byte symbols, and ``</w>`` on a word's last symbol. Pieces between
-blanks are independent, so each distinct piece is merged once per worker and kept in a bounded table. Added tokens
+letters, single digits and runs of the rest, byte symbols, and ``</w>`` on a word's last symbol. Words are cut and
+hashed (64 bits) in numpy, and each distinct one is merged once per worker and kept in a bounded table. Added tokens
 found in a text are ids of their own, matched before any normalising. Decoding joins the vocabulary strings with
 blanks, as the library does for a file without a decoder. Null texts are empty: no ids, an empty text.
 """
@@ -12,19 +12,20 @@ import sys
 import unicodedata
 from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
-from struct import pack
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-#: Merged words, and pieces of them, that a worker keeps; a full table starts afresh.
-WORDS, PIECES = 500_000, 150_000
-#: Unicode white space, as inside a character class.
-SPACE = r"\u0009-\u000d\u0020\u0085\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-#: Text bytes whose results are held at once.
-RUN = 4 << 20
+from avmatch.llm import words as W
+from avmatch.llm.spans import ending_after, gather, hash_spans, kinds
+
+#: Merged words that a worker keeps; a full table starts afresh.
+WORDS = 700_000
+#: Text bytes handled at once.
+RUN = 1 << 20
 
 
 def byte_symbols() -> list[str]:
@@ -48,13 +49,15 @@ class Encoder:
         self.inner = [ids[c] for c in byte_symbols()]
         self.last = [ids[c + end] for c in byte_symbols()]
         self.added = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.strings = {i: s for s, i in ids.items()} | {i: s for s, i in self.added.items()}
+        strings = {i: s for s, i in ids.items()} | {i: s for s, i in self.added.items()}
+        shown = [f"{strings.get(i, '')} ".encode() for i in range(max(strings) + 1)]
+        self.string_bytes, self.string_first = np.frombuffer(b"".join(shown), np.uint8), np.concatenate([[0], np.cumsum([len(x) for x in shown])])
         self.split_added = regex.compile("(" + "|".join(regex.escape(s) for s in sorted(self.added, key=len, reverse=True)) + ")").split if self.added else None
-        pattern = next(p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
-        self.find = regex.compile(pattern.replace("\\s", SPACE)).findall
-        self.blank = regex.compile(f"[{SPACE}]+").sub
-        self.pieces: dict[str, tuple[bytes, str]] = {}
-        self.words: dict[str, tuple[bytes, str]] = {}
+        self.kinds = kinds()
+        self.clear()
+
+    def clear(self) -> None:
+        self.hashes, self.first, self.ids = np.zeros(0, np.uint64), np.zeros(1, np.int64), np.zeros(0, np.int32)
 
     def merge(self, word: str) -> list[int]:
         """Ids of one pre-token. Queue entries hold a rank and the place of the pair's left symbol."""
@@ -82,47 +85,78 @@ class Encoder:
                 heappush(queue, rank << 32 | p)
         return [s for s in sym if s >= 0]
 
-    def word(self, text: str) -> tuple[bytes, str]:
-        ids = self.merge(text)
-        out = pack(f"<{len(ids)}i", *ids), self.decode(ids)
-        if len(self.words) >= WORDS:
-            self.words.clear()
-        self.words[text] = out
-        return out
-
-    def piece(self, text: str) -> tuple[bytes, str]:
-        """Ids (little-endian, 32 bits each) and decoded text of a normalised piece without blanks."""
-        words = self.words
-        found = [words.get(w) or self.word(w) for w in self.find(text)]
-        out = found[0] if len(found) == 1 else (b"".join([f[0] for f in found]), " ".join([f[1] for f in found]))
-        if len(self.pieces) >= PIECES:
-            self.pieces.clear()
-        self.pieces[text] = out
-        return out
-
-    def encode(self, text: str) -> tuple[bytes, str]:
-        """Ids and decoded text of a whole text."""
-        parts = self.split_added(text) if any(s in text for s in self.added) else (text,)
-        found: list[tuple[bytes, str]] = []
-        for k, part in enumerate(parts):
-            if k % 2:
-                found.append((pack("<i", self.added[part]), part))
-                continue
-            if part.isascii():
-                part = part.lower().translate(ASCII_BLANK).split(" ")
-            else:
-                part = unicodedata.normalize("NFC", part).replace("\u03a3", "\u03c3")  # no final-sigma rule
-                part = self.blank(" ", part).lower().split(" ")
-            pieces = self.pieces
-            found += [pieces.get(x) or self.piece(x) for x in part if x]
-        return b"".join([f[0] for f in found]), " ".join([f[1] for f in found if f[1]])
-
-    def decode(self, ids) -> str:
-        return " ".join([self.strings[i] for i in ids])
-
-
-#: ASCII white space; other control characters are symbols.
-ASCII_BLANK = {c: " " for c in range(9, 14)}
+    def learn(self, hashes: np.ndarray, words: list[str]) -> None:
+        found = [self.merge(w) for w in words]
+        if len(self.hashes) + len(words) > WORDS:
+            self.clear()
+        size = np.concatenate([np.diff(self.first), [len(f) for f in found]])
+        ids = np.concatenate([self.ids, np.array(list(chain.from_iterable(found)), np.int32)])
+        hashes = np.concatenate([self.hashes, hashes])
+        order = np.argsort(hashes)
+        first = np.concatenate([[0], np.cumsum(size)])
+        self.ids = gather(ids, first[order], size[order])
+        self.hashes, self.first = hashes[order], np.concatenate([[0], np.cumsum(size[order])])
+
+    def encode_plain(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts end to end, number of ids of each), for texts without added tokens."""
+        texts = [t.lower() if t.isascii() else unicodedata.normalize("NFC", t).replace("\u03a3", "\u03c3").lower() for t in texts]  # no final-sigma rule
+        cp = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)
+        at = np.concatenate([[0], np.cumsum([len(t) for t in texts], dtype=np.int64)])
+        kind = self.kinds[cp]
+        starts, ends = word_spans(cp, kind, at[:-1][np.diff(at) > 0])
+        distinct, where, inverse = np.unique(hash_spans(cp, starts, ends), return_index=True, return_inverse=True)
+        new = np.ones(len(distinct), bool)
+        if len(self.hashes):
+            new = self.hashes[np.minimum(np.searchsorted(self.hashes, distinct), len(self.hashes) - 1)] != distinct
+        if len(self.hashes) + int(new.sum()) > WORDS:
+            new[:] = True
+        if new.any():
+            some = np.flatnonzero(new)
+            self.learn(distinct[some], [cp[a:b].tobytes().decode("utf-32-le") for a, b in zip(starts[where[some]].tolist(), ends[where[some]].tolist(), strict=True)])
+        place = np.searchsorted(self.hashes, distinct)[inverse]
+        size = self.first[place + 1] - self.first[place] if len(place) else np.zeros(0, np.int64)
+        ids = gather(self.ids, self.first[place], size) if len(place) else np.zeros(0, np.int32)
+        return ids, np.diff(np.concatenate([[0], np.cumsum(size)])[np.searchsorted(starts, at)])
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """As encode_plain, for any texts: added tokens in a text are ids of their own."""
+        odd = [k for k, t in enumerate(texts) if any(s in t for s in self.added)]
+        if not odd:
+            return self.encode_plain(texts)
+        cut = [self.split_added(t) if k in set(odd) else [t] for k, t in enumerate(texts)]
+        flat, n = self.encode_plain([part for parts in cut for part in parts[::2]])
+        pieces = iter(np.split(flat, np.cumsum(n)[:-1]))
+        out = [np.concatenate([np.array([self.added[x]], np.int32) if k % 2 else next(pieces) for k, x in enumerate(parts)]) for parts in cut]
+        return np.concatenate(out), np.array([len(x) for x in out], np.int64)
+
+    def decode(self, ids: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(UTF-8 bytes of the decoded texts end to end, their offsets) for runs of n ids each."""
+        size = self.string_first[ids + 1] - self.string_first[ids]
+        shown = gather(self.string_bytes, self.string_first[ids], size)
+        ends = np.concatenate([[0], np.cumsum(size)])[np.cumsum(n)]
+        shown = np.delete(shown, ends[n > 0] - 1)  # a text's last blank
+        return shown, np.concatenate([[0], ends - np.cumsum(n > 0)])
+
+
+def word_spans(cp: np.ndarray, kind: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of words in texts that lie end to end and begin at edges: runs of letters, single numbers, runs
+    of others; an apostrophe that starts a run of others takes one of the endings s, t, re, ve, m, ll, d."""
+    n = len(cp)
+    start = np.zeros(n, bool)
+    start[edges] = True
+    first = np.append(start, True)
+    start[1:] |= (kind[1:] != kind[:-1]) | (kind[1:] == 2)
+    lone = np.flatnonzero((cp == 39) & start)
+    if len(lone):
+        size = ending_after(cp, first, lone)
+        lone, size = lone[size > 0], size[size > 0]
+        start[lone + 1] = False
+        after = lone + size + 1
+        start[after[after < n]] = True
+    at = np.flatnonzero(start)
+    ends = np.append(at[1:], n) if len(at) else at
+    solid = kind[at] != 3
+    return at[solid], ends[solid]
 
 
 def encoder(path: str) -> Encoder:
@@ -136,21 +170,15 @@ def encoder(path: str) -> Encoder:
 def encode_rows(batches, path: str) -> Iterator[pa.RecordBatch]:
     code = encoder(path)
     for batch in batches:
-        texts, names = batch.column("text"), [c for c in batch.schema.names if c != "text"]
-        lo = 0
-        while lo < len(batch):
-            ids, decoded, size, hi = [], [], 0, lo
-            while hi < len(batch) and size < RUN:
-                a, b = code.encode(texts[hi].as_py() or "")
-                ids.append(a)
-                decoded.append(b)
-                size += len(b)
-                hi += 1
-            offsets = np.concatenate([[0], np.cumsum([len(x) // 4 for x in ids])]).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(ids), "<i4")))
+        names = [c for c in batch.schema.names if c != "text"]
+        _, offsets = W.column_bytes(batch.column("text"))
+        for lo, hi in W.row_chunks(offsets, RUN):
+            ids, n = code.encode([t or "" for t in batch.column("text").slice(lo, hi - lo).to_pylist()])
+            shown, cuts = code.decode(ids, n)
+            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32)), pa.array(ids.astype(np.int32)))
+            decoded = pa.StringArray.from_buffers(hi - lo, pa.py_buffer(cuts.astype(np.int32).tobytes()), pa.py_buffer(shown.tobytes()))
             rest = [batch.column(c).slice(lo, hi - lo) for c in names]
-            yield pa.RecordBatch.from_arrays([*rest, lists, pa.array(decoded, pa.string())], [*names, "ids", "decoded"])
-            lo = hi
+            yield pa.RecordBatch.from_arrays([*rest, lists, decoded], [*names, "ids", "decoded"])
 
 
 def encode(docs: DataFrame, path: str) -> DataFrame:

@@ -7,7 +7,6 @@ every ``BLOCK`` bits. A shard row of the written table is one such file with its
 
 import os
 import sys
-import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -17,6 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from avmatch.llm import words as W
+from avmatch.llm.spans import ending_after, gather, hash_spans, kinds
 from avmatch.llm.store import new_path, shuffle_partitions
 
 BLOCK = 512
@@ -25,8 +25,6 @@ SHARD = 2_000_000
 MAGIC = b"WVM1"
 #: Distinct words a worker keeps the ids of.
 WORDS = 1_000_000
-#: Fixed value: Unicode white space.
-SPACES = [*range(9, 14), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 
 
 def build(ids: np.ndarray, bits: int) -> bytes:
@@ -122,17 +120,6 @@ class Wavelet:
         return now
 
 
-def kinds() -> np.ndarray:
-    """The split rule's class of each code point: 0 other, 1 letter, 2 number, 3 white space."""
-    table = np.zeros(0x110000, np.uint8)
-    for c in range(0x110000):
-        major = unicodedata.category(chr(c))[0]
-        if major == "L" or major == "N":
-            table[c] = 1 if major == "L" else 2
-    table[SPACES] = 3
-    return table
-
-
 def word_starts(cp: np.ndarray, kind: np.ndarray, edges: np.ndarray) -> np.ndarray:
     """Where the byte-level split rule starts a word, in texts that lie end to end and begin at edges.
 
@@ -156,15 +143,11 @@ def word_starts(cp: np.ndarray, kind: np.ndarray, edges: np.ndarray) -> np.ndarr
     lone = np.flatnonzero((cp == 39) & run[:n])
     lone = lone[(lone == 0) | first[lone] | ~blank[lone - 1]]
     if len(lone):
-        ahead = np.concatenate([cp, np.zeros(2, cp.dtype)])
-        inside = np.concatenate([~first[:n], [False, False]])
-        one, two = ahead[lone + 1], ahead[lone + 2]
-        single = inside[lone + 1] & np.isin(one, [ord(c) for c in "stmd"])
-        double = inside[lone + 1] & inside[lone + 2] & (((one == 114) | (one == 118)) & (two == 101) | (one == 108) & (two == 108))
-        for at, size in ((lone[single], 2), (lone[double & ~single], 3)):
-            start[at + 1] = False
-            after = at + size
-            start[after[after < n]] = True
+        size = ending_after(cp, first, lone)
+        lone, size = lone[size > 0], size[size > 0]
+        start[lone + 1] = False
+        after = lone + size + 1
+        start[after[after < n]] = True
     return np.flatnonzero(start)
 
 
@@ -249,20 +232,6 @@ class Words:
         return ids, np.diff(cuts)
 
 
-def gather(flat: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """The runs flat[first : first + size], end to end."""
-    total = np.cumsum(size)
-    return flat[np.arange(total[-1] if len(total) else 0) + np.repeat(first - (total - size), size)]
-
-
-def hash_spans(cp: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each span of code points."""
-    up, down = W.powers(W.BASE, len(cp)), W.powers(W.INVERSE, len(cp))
-    sums = np.zeros(len(cp) + 1, np.uint64)
-    np.cumsum((cp.astype(np.uint64) + np.uint64(1)) * up, out=sums[1:])
-    return W.mix((sums[ends] - sums[starts]) * down[starts]) if len(starts) else np.zeros(0, np.uint64)
-
-
 def encode_shards(batches, path: str, bits: int, end: int) -> Iterator[pa.RecordBatch]:
     """Documents in order to shard rows; shard numbers ascend with doc_id."""
     from pyspark import TaskContext
