@@ -38,7 +38,9 @@ def tail_repairs(stored: DataFrame, master: DataFrame, alias: bool = True, same_
     taken = stored.select(F.col("date").alias("_date"), clean.squeezed_n(F.col("n_number")).alias("_n")).where("_n <> ''").distinct().withColumn("_taken", F.lit(True))
     rows = bad.join(best, "seq").withColumn("_want", clean.squeezed_n(F.col("new_n")))
     rows = rows.join(taken, (F.col("_want") == F.col("_n")) & (F.col("date") == F.col("_date")), "left")
-    claim = F.row_number().over(Window.partitionBy("date", "_want").orderBy("seq"))
+    # Rows that want no tail claim nothing: each is a group of its own, so they don't meet in one task.
+    lone = F.when(F.col("_want").isNull(), F.col("seq"))
+    claim = F.row_number().over(Window.partitionBy("date", "_want", lone).orderBy("seq"))
     right = clean.squeezed_n(F.col("n_number")) == F.col("_want")
     outcome = F.when(F.col("new_n").isNull(), "no_match").when(right, "already_right").when(F.col("_taken").isNotNull() | (claim > 1), "conflict").otherwise("fixed")
     return rows.select("seq", "n_number", "serial", "new_n", outcome.alias("outcome"))
@@ -59,7 +61,8 @@ def backfill(stored: DataFrame, master: DataFrame, entities: DataFrame) -> DataF
     """
     new = insert_absent(stored, master, ["serial", "code", "registrant"], ["seq"])
     key = clean.squeezed_n(F.col("n_number"))
-    claim = F.row_number().over(Window.partitionBy(key).orderBy("seq"))
+    lone = F.when(F.coalesce(key, F.lit("")) == "", F.col("seq"))  # rows without a tail claim nothing
+    claim = F.row_number().over(Window.partitionBy(key, lone).orderBy("seq"))
     held = stored.select(key.alias("_n")).where("_n <> ''").distinct().withColumn("_held", F.lit(True))
     rows = new.withColumn("_claim", claim).withColumn("_key", key).join(held, F.col("_key") == F.col("_n"), "left")
     known = entities.where(F.trim("serial") != "").groupBy(F.col("serial").alias("_serial")).agg(F.min("entity_id").alias("entity_id"))

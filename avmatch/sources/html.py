@@ -15,11 +15,12 @@ from avmatch.functions import clean
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 #: Attributes that rules read.
 ATTRIBUTES = ("class", "id", "href", "src", "srcset", "name", "value", "content", "property", "rel")
-NODES = "page_id {0}, node int, scope int, scope_class string, depth int, tag string, attrs map<string, string>, text string"
+NODES = "page_id {0}, node int, scope int, scope_class string, section string, depth int, tag string, attrs map<string, string>, text string"
 
 
 class _Elements(HTMLParser):
-    """Elements in document order with their subtree's text. scope: the nearest ancestor with a scope class."""
+    """Elements in document order with their subtree's text. scope: the nearest element around it with a scope class;
+    section: the nearest id around it."""
 
     def __init__(self, scopes: Sequence[str]):
         super().__init__(convert_charrefs=True)
@@ -28,13 +29,14 @@ class _Elements(HTMLParser):
     def handle_starttag(self, tag, attrs):
         kept = {k: v or "" for k, v in attrs if k in ATTRIBUTES}
         scope, scope_class = (self.open[-1][1], self.open[-1][2]) if self.open else (-1, None)
+        section = kept.get("id") or (self.open[-1][4] if self.open else None)
         mine = next((s for s in self.scopes if f" {s} " in f" {kept.get('class', '')} "), None)
-        row = {"node": len(self.rows), "scope": scope, "scope_class": scope_class, "depth": len(self.open), "tag": tag, "attrs": list(kept.items()), "text": []}
+        row = {"node": len(self.rows), "scope": scope, "scope_class": scope_class, "section": section, "depth": len(self.open), "tag": tag, "attrs": list(kept.items()), "text": []}
         if mine:
             row["scope"], row["scope_class"] = row["node"], mine
         self.rows.append(row)
         if tag not in VOID:
-            self.open.append((tag, row["scope"], row["scope_class"], row))
+            self.open.append((tag, row["scope"], row["scope_class"], row, section))
 
     def handle_endtag(self, tag):
         for k in range(len(self.open) - 1, -1, -1):
@@ -43,7 +45,7 @@ class _Elements(HTMLParser):
                 return
 
     def handle_data(self, data):
-        for _, _, _, row in self.open:
+        for _, _, _, row, _ in self.open:
             row["text"].append(data)
 
 
@@ -65,10 +67,10 @@ def nodes(pages: DataFrame, scopes: Sequence[str] = (), tags: Sequence[str] | No
                 at += [k] * len(some)
                 rows += some
             cols = [batch.column("page_id").take(pa.array(at, pa.int64()))]
-            for name, kind in (("node", pa.int32()), ("scope", pa.int32()), ("scope_class", pa.string()), ("depth", pa.int32()), ("tag", pa.string()), ("attrs", pa.map_(pa.string(), pa.string()))):
+            for name, kind in (("node", pa.int32()), ("scope", pa.int32()), ("scope_class", pa.string()), ("section", pa.string()), ("depth", pa.int32()), ("tag", pa.string()), ("attrs", pa.map_(pa.string(), pa.string()))):
                 cols.append(pa.array([r[name] for r in rows], kind))
             cols.append(pa.array([" ".join("".join(r["text"]).split()) for r in rows], pa.string()))
-            yield pa.RecordBatch.from_arrays(cols, ["page_id", "node", "scope", "scope_class", "depth", "tag", "attrs", "text"])
+            yield pa.RecordBatch.from_arrays(cols, ["page_id", "node", "scope", "scope_class", "section", "depth", "tag", "attrs", "text"])
 
     return pages.select("page_id", "html").mapInArrow(run, NODES.format(dict(pages.dtypes)["page_id"]))
 

@@ -153,3 +153,29 @@ def test_page_files(spark, tmp_path):
     assert rows(readers.inventory(spark, str(tmp_path)), "kind", "files") == [("listing", 1), ("page", 1)]
     assert rows(readers.line_counts(spark, str(tmp_path / "2024-02-01")), "lines") == [(1,), (2,), (3,)]
     assert merge.duplicate_keys(pages, ["file_name"]).count() == 0
+
+
+DETAIL_A = """<h1>2001 CESSNA X</h1><div class="detail__price">USD $1,250,000</div><div class="detail__specs-wrapper"><div class="detail__specs-label">Year</div><div class="detail__specs-value">2001</div>
+<div class="detail__specs-label">Total Time</div><div class="detail__specs-value">1,234 SNEW</div><div class="detail__specs-label">Year</div><div class="detail__specs-value">1999</div></div>
+<div class="dealer-contact__name">Ann</div><a href="tel:55">c</a><script>{"DetailViewComponent":{"Props":{"serialNumber":"S9","condition":"Used"}}}</script>"""
+DETAIL_B = """<title>t</title><p class="mt-2">Price: $5</p><div class="datum"><span class="label">Total Hours</span><div class="value">1,500</div></div><ul class="list-reset"><li><span class="font-bold uppercase tracking-wide">Serial Number</span> A7</li></ul>
+<div class="broker">Offered by Jet Co Salt Lake, UT <a href="tel:1">111</a><a href="#">Contact Bob Ray</a></div><div id="other">Stuff</div><div class="mt-4 leading-normal">Nice  jet</div>"""
+MAKERS = """<div class="w-full my-4"><p><a href="https://x.example/aircraft-by-manufacturer/75/acj">ACJ</a></p></div><a href="/aircraft-for-sale/75/acj/297/acj320">ACJ320</a><a href="/aircraft-for-sale/75/acj/297/acj320">2</a>
+<div class="w-full sm:w-1/2 lg:w-1/4 mb-4"><a href="/details/7/x">2004 ACJ</a> Offered by: Jet Co <a href="/details/7/x">View Details</a></div>"""
+
+
+def test_listing_pages(spark):
+    from avmatch.sources import listing_pages
+
+    pages = spark.createDataFrame([(1, DETAIL_A), (2, DETAIL_B), (3, MAKERS), (4, None)], "page_id int, html string")
+    a = listing_pages.details_a(pages)
+    assert rows(a.where("page_id = 1"), "year", "total_time", "serial_number", "condition", "title", "asking_price", "seller", "phone") == [("2001", "1234", "S9", "Used", "2001 CESSNA X", "$1,250,000", "Ann", "55")]
+    b = listing_pages.details_b(pages)
+    assert a.count() == b.count() == 4
+    assert rows(b.where("page_id = 2"), "total_time", "serial_number", "asking_price", "location", "phone", "seller", "equipment", "description") == [("1500", "A7", "$5", "Jet Co Salt Lake, UT", "111", "Bob Ray", "Stuff", "Nice jet")]
+    assert rows(listing_pages.manufacturers(pages), "name", "manufacturer_id") == [("ACJ", 75)]
+    assert rows(listing_pages.model_links(pages), "model_name", "model_id") == [("ACJ320", 297)]
+    assert rows(listing_pages.model_listings(pages), "url", "title", "year", "dealer") == [("/details/7/x", "2004 ACJ", 2004, "Jet Co")]
+    index = spark.createDataFrame([("u", "2001 X", "2001", "D")], "listing_url string, aircraft_model string, year string, dealer_name string")
+    details = spark.createDataFrame([("u", None), ("w", "1990")], "listing_url string, year string")
+    assert rows(listing_pages.with_index_fields(details, index), "listing_url", "year", "dealer_name") == [("u", "2001", "D"), ("w", "1990", None)]
