@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BLOCK, SHARD_DOCS, TIMES, SEED = 16, 20_000, 3, 17
+BLOCK, SHARD_DOCS, TIMES, SEED = 16, 2000, 3, 17
 
 
 def words(text: Column) -> Column:
