@@ -45,3 +45,9 @@ def page_classes(spark: SparkSession, sf: str) -> DataFrame:
 @query("SELECT DISTINCT url FROM pages WHERE contains(url, '/fr/') OR contains(url, '/en/')")
 def url_seeds(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "pages").select("url").where(F.col("url").contains("/fr/") | F.col("url").contains("/en/")).distinct().orderBy("url")
+
+
+@query(f"""WITH {LINKS}, k AS (SELECT DISTINCT replace(href, '&amp;', '&') AS url FROM l) SELECT url, starts_with(url, 'http') AND NOT contains(lower(url), 'facebook.com') AS photo FROM k""")
+def photo_filter(spark: SparkSession, sf: str) -> DataFrame:
+    found = html.links(table(spark, sf, "pages")).select(F.col("href").alias("url")).distinct()
+    return found.select("url", html.is_photo(F.col("url")).alias("photo"))

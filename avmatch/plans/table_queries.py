@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from avmatch.functions import clean
 from avmatch.operators import audit, history, match, merge, repair, resolve
 from avmatch.plans.registry import query
-from avmatch.plans.scalar_queries import CANON, NORM, SKEY, TAIL
+from avmatch.plans.scalar_queries import CANON, SKEY, TAIL
 from avmatch.plans.views import FLEET, REF, REG, SNAP, fleet, reference, registry, snapshots, table
 
 #: Snapshots up to this date are the stored table, later ones the batch.
@@ -305,9 +305,6 @@ def capped_report(spark: SparkSession, sf: str) -> DataFrame:
     return audit.capped(_reconciled(spark, sf).select("side", "serial"), "side", ["serial"], 20)
 
 
-RKEYN = "nullif(replace(upper(n_number), '-', ''), '')"
-
-
 @query(f"""WITH {REG}, st AS (SELECT * FROM reg WHERE seq % 3 = 0), ms AS (SELECT n_number AS t, CASE WHEN seq % 4 = 2 THEN '' ELSE 'S' || (seq % 50) END AS ns FROM reg WHERE seq % 3 <> 0 QUALIFY row_number() OVER (PARTITION BY n_number ORDER BY seq DESC) = 1),
   j AS (SELECT st.*, nullif(ns, '') AS new_serial, t FROM st LEFT JOIN ms ON st.n_number = ms.t)
 SELECT seq, new_serial, CASE WHEN t IS NULL THEN 'no_match' WHEN new_serial IS NULL THEN 'no_serial' WHEN trim(serial) IS NOT DISTINCT FROM new_serial THEN 'already_right' WHEN {TAIL} THEN 'fixed' ELSE 'skipped' END AS outcome FROM j""")
@@ -386,3 +383,51 @@ def topk_latest(spark: SparkSession, sf: str) -> DataFrame:
 def document_hash_dedupe(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", F.sha2("text", 256).alias("hash"), F.length("text").cast("long").alias("chars"))
     return docs.groupBy("hash").agg(F.min("doc_id").alias("doc_id"), F.min("chars").alias("chars"), F.count("*").alias("copies"))
+
+
+@query(f"WITH {REG} SELECT seq, serial, n_number, date FROM reg WHERE serial IN ('FL 1', 'N2', '3', '4') AND date >= '1996-01-01'")
+def membership_lookup(spark: SparkSession, sf: str) -> DataFrame:
+    rows = registry(spark, sf).where(F.col("serial").isin("FL 1", "N2", "3", "4") & (F.col("date") >= "1996-01-01"))
+    return rows.select("seq", "serial", "n_number", "date").orderBy(F.desc("date"), "seq")
+
+
+@query("SELECT event_id, event_type FROM events WHERE json_extract_string(props, '$.source') IS NULL AND CAST(json_extract_string(props, '$.k') AS INTEGER) >= 90 ORDER BY ts DESC, event_id LIMIT 10")
+def json_predicate(spark: SparkSession, sf: str) -> DataFrame:
+    found = F.get_json_object("props", "$.source").isNull() & (F.get_json_object("props", "$.k").cast("int") >= 90)
+    return table(spark, sf, "events").where(found).orderBy(F.desc("ts"), "event_id").limit(10).select("event_id", "event_type")
+
+
+@query(f"WITH {REG}, {FLEET}, e AS (SELECT serial, min(id) AS id FROM fleet WHERE serial <> '' GROUP BY serial), l AS (SELECT * FROM reg QUALIFY row_number() OVER (PARTITION BY n_number ORDER BY date DESC, seq DESC) = 1) SELECT l.n_number, l.registrant, l.date, e.id AS entity_id, f.model FROM l LEFT JOIN e ON l.serial = e.serial LEFT JOIN fleet f ON f.id = e.id")
+def registration_report(spark: SparkSession, sf: str) -> DataFrame:
+    latest = merge.pick_per_key(registry(spark, sf), ["n_number"], ["date", "seq"])
+    first = merge.pick_per_key(fleet(spark, sf).where("serial <> ''"), ["serial"], ["id"], last=False)
+    return latest.join(first.select("serial", F.col("id").alias("entity_id"), "model"), "serial", "left").select("n_number", "registrant", "date", "entity_id", "model")
+
+
+@query(f"WITH {CHANGES} SELECT change_date, field, old_value, new_value FROM ch WHERE url = 'https://m.example/listing/for-sale/42/x'")
+def one_listing_history(spark: SparkSession, sf: str) -> DataFrame:
+    out = _changes(spark, sf).where("url = 'https://m.example/listing/for-sale/42/x'")
+    return out.select("change_date", "field", "old_value", "new_value").orderBy(F.desc("change_date"), "field")
+
+
+@query(f"""WITH {REG}, a AS (SELECT DISTINCT serial FROM reg WHERE seq % 3 = 0), b AS (SELECT DISTINCT serial FROM reg WHERE seq % 3 = 1)
+SELECT 'missing' AS kind, serial FROM (SELECT * FROM a EXCEPT SELECT * FROM b) UNION ALL SELECT 'extra', serial FROM (SELECT * FROM b EXCEPT SELECT * FROM a) UNION ALL SELECT 'common', serial FROM (SELECT * FROM a INTERSECT SELECT * FROM b)""")
+def serial_sets(spark: SparkSession, sf: str) -> DataFrame:
+    rows = registry(spark, sf)
+    a, b = rows.where("seq % 3 = 0").select("serial").distinct(), rows.where("seq % 3 = 1").select("serial").distinct()
+    named = lambda df, kind: df.select(F.lit(kind).alias("kind"), "serial")
+    return named(a.join(b, "serial", "left_anti"), "missing").unionByName(named(b.join(a, "serial", "left_anti"), "extra")).unionByName(named(a.join(b, "serial", "left_semi"), "common"))
+
+
+@query("""WITH c AS (SELECT event_id, CASE event_id % 4 WHEN 0 THEN '{"text":"' || event_type || '","href":"/e/' || event_id || '"}' WHEN 1 THEN 'true' WHEN 2 THEN 'false' ELSE ' ' || event_type END AS cell FROM events)
+SELECT event_id, CASE WHEN cell = 'true' THEN 'Yes' WHEN cell = 'false' THEN 'No' WHEN cell LIKE '{%' THEN json_extract_string(cell, '$.text') || ' (' || json_extract_string(cell, '$.href') || ')' ELSE trim(cell) END AS shown FROM c""")
+def cell_display(spark: SparkSession, sf: str) -> DataFrame:
+    k = F.col("event_id")
+    linked = F.concat(F.lit('{"text":"'), "event_type", F.lit('","href":"/e/'), k, F.lit('"}'))
+    cell = F.when(k % 4 == 0, linked).when(k % 4 == 1, "true").when(k % 4 == 2, "false").otherwise(F.concat(F.lit(" "), "event_type"))
+    return table(spark, sf, "events").select("event_id", clean.cell_shown(cell).alias("shown"))
+
+
+@query(f"""WITH {SNAP} SELECT url, string_agg(DISTINCT status, '; ' ORDER BY status) AS statuses, count(*) AS n FROM snap GROUP BY url""")
+def collected_set(spark: SparkSession, sf: str) -> DataFrame:
+    return snapshots(spark, sf).groupBy("url").agg(F.array_join(F.array_sort(F.collect_set("status")), "; ").alias("statuses"), F.count("*").alias("n"))
