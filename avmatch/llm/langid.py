@@ -6,8 +6,11 @@ tasks carry one table of embedding times weights, and whole texts stream through
 
 Training reads a bounded sample: about ``PER_LANG`` documents of each language, drawn by a hash of doc_id against
 that language's share, and of each at most ``WINDOWS`` windows of ``WINDOW`` bytes spread over it. A quarter of the
-sample calibrates: a temperature for the probabilities, and a rejection threshold below the least score of any
-calibration document that was told right, so texts like the training ones are kept.
+sample is held back and calibrates: a temperature for the probabilities, and what share of a text's n-grams may be
+new to the language it is told to be. Of each language, and of texts of about as many n-grams, the limit keeps ``KEEP``
+of the held-back rows, and short cuts of them, that were told right; a longer text's limit also holds for shorter ones,
+and none is below ``SLACK``. An n-gram that repeats the one before it is not counted, and a text with fewer than
+``FEW`` shows too little to be rejected. The held-back rows' n-grams are then known too.
 
 Null texts and texts without a letter get ``und`` and score 0. With no labelled rows every text does.
 """
@@ -24,6 +27,13 @@ from avmatch.llm import words as W
 BITS, DIM = 16, 16
 PER_LANG, WINDOWS, WINDOW = 400, 4, 1024
 EPOCHS, RATE = 12, 0.5
+#: Bits of an n-gram's place in the table of known ones; the share of rightly told rows that rejection keeps.
+FINE, KEEP, FEW, BANDS = 20, 0.995, 8, 20
+#: A share of new n-grams that is never held against a text: an odd word is no other language.
+SLACK = 0.1
+#: Rows that a limit needs: with fewer of its own length, those of shorter texts, which vary more, join in.
+LEAST = round(1 / (1 - KEEP))
+CUTS = (24, 80, 240)
 
 
 def plain_table() -> np.ndarray:
@@ -36,7 +46,7 @@ def plain_table() -> np.ndarray:
 PLAIN = plain_table()
 
 
-def subwords(data: np.ndarray) -> Iterator[tuple[np.ndarray, int]]:
+def subwords(data: np.ndarray, bits: int = BITS) -> Iterator[tuple[np.ndarray, int]]:
     """(bucket of each n-gram by its first byte, n). An n-gram of blanks has bucket 0."""
     b = PLAIN[data].astype(np.uint32)
     for n, odd in ((3, 0x9E3779B1), (4, 0x85EBCA77)):
@@ -49,43 +59,75 @@ def subwords(data: np.ndarray) -> Iterator[tuple[np.ndarray, int]]:
         code *= np.uint32(odd)
         code ^= code >> np.uint32(15)
         code *= np.uint32(0x2C1B3C6D)
-        code >>= np.uint32(32 - BITS)
+        code >>= np.uint32(32 - bits)
         np.maximum(code, np.uint32(1), out=code)
         code[blank] = 0
         yield code, n
 
 
+def grams(data: np.ndarray, offsets: np.ndarray, bits: int, step: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(bucket of each n-gram of a run of bytes, first n-gram of each text there, these texts). Texts lie end to end."""
+    for lo in range(0, len(data), step):
+        part = data[lo : lo + step + 3]
+        for code, n in subwords(part, bits):
+            code = code[: min(step, len(data) - lo)]
+            at = lo + np.arange(len(code))
+            of = np.searchsorted(offsets, at[[0, -1]], "right") - 1
+            cuts = np.maximum(offsets[of[0] : of[1] + 1], lo) - lo
+            used = np.flatnonzero(np.diff(np.append(cuts, len(code))) > 0)
+            ends = offsets[of[0] + 1 : of[1] + 2]
+            for k in ends - lo:  # n-grams that reach into the next text
+                code[max(0, k - n + 1) : max(0, k)] = 0
+            yield code, cuts[used], of[0] + used
+
+
 class Model:
-    def __init__(self, langs: list[str], table: np.ndarray, bias: np.ndarray, temperature: float = 1.0, reject: float = 0.0):
-        self.langs, self.table, self.bias, self.temperature, self.reject = langs, table, bias, temperature, reject
+    def __init__(self, langs: list[str], table: np.ndarray, bias: np.ndarray):
+        self.langs, self.table, self.bias, self.temperature = langs, table, bias, 1.0
+        self.known = np.zeros((1 << FINE, (len(langs) + 7) // 8), np.uint8)
+        self.limits = np.ones((len(langs), BANDS))
 
     def logits(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """One row of logits for each text in data (texts end to end)."""
         rows = len(offsets) - 1
         total, count = np.zeros((rows, len(self.langs))), np.zeros(rows)
-        step = max(1 << 16, (1 << 22) // max(1, len(self.langs)))
-        for lo in range(0, len(data), step):
-            part = data[lo : lo + step + 3]
-            for code, n in subwords(part):
-                code = code[: min(step, len(data) - lo)]
-                at = lo + np.arange(len(code))
-                of = np.searchsorted(offsets, at[[0, -1]], "right") - 1
-                cuts = np.maximum(offsets[of[0] : of[1] + 1], lo) - lo
-                used = np.flatnonzero(np.diff(np.append(cuts, len(code))) > 0)
-                ends = offsets[of[0] + 1 : of[1] + 2]
-                for k in ends - lo:  # n-grams that reach into the next text
-                    code[max(0, k - n + 1) : max(0, k)] = 0
-                ok = (code > 0).astype(np.float64)
-                total[of[0] + used] += np.add.reduceat(self.table[code], cuts[used], axis=0)
-                count[of[0] + used] += np.add.reduceat(ok, cuts[used])
+        for code, cuts, of in grams(data, offsets, BITS, max(1 << 16, (1 << 22) // max(1, len(self.langs)))):
+            total[of] += np.add.reduceat(self.table[code], cuts, axis=0)
+            count[of] += np.add.reduceat((code > 0).astype(np.float64), cuts)
         return total / np.maximum(count, 1)[:, None] + self.bias
 
+    def learn(self, data: np.ndarray, lang: int) -> None:
+        """The n-grams of a text are known in a language."""
+        for code, _ in subwords(data, FINE):
+            self.known[code, lang >> 3] |= np.uint8(1 << (lang & 7))
+
+    def strange(self, data: np.ndarray, offsets: np.ndarray, lang: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Share of each text's n-grams that are new to its language, and how many it has."""
+        new, count = np.zeros(len(lang)), np.zeros(len(lang))
+        for code, cuts, of in grams(data, offsets, FINE, 1 << 20):
+            counts = code > 0
+            counts[1:] &= code[1:] != code[:-1]
+            own = np.repeat(lang[of].astype(np.uint16), np.diff(np.append(cuts, len(code))))
+            known = (self.known[code, own >> 3] >> (own & 7).astype(np.uint8)) & 1
+            new[of] += np.add.reduceat((counts & (known == 0)).astype(np.int64), cuts)
+            count[of] += np.add.reduceat(counts.astype(np.int64), cuts)
+        return new / np.maximum(count, 1), count
+
+    def accepts(self, data: np.ndarray, offsets: np.ndarray, lang: np.ndarray) -> np.ndarray:
+        share, count = self.strange(data, offsets, lang)
+        return (count < FEW) | (share <= self.limits[lang, bands(count)])
+
     def predict(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         p = softmax(self.logits(data, offsets) / self.temperature)
         best = p.argmax(1)
         return best, p[np.arange(len(p)), best]
 
 
+def bands(count: np.ndarray) -> np.ndarray:
+    """Texts of 2**k to 2**(k + 1) - 1 n-grams have band k."""
+    return np.minimum(np.log2(np.maximum(count, 1)).astype(int), BANDS - 1)
+
+
 def softmax(z: np.ndarray) -> np.ndarray:
     e = np.exp(z - z.max(1, keepdims=True))
     return e / e.sum(1, keepdims=True)
@@ -142,12 +184,42 @@ def train(rows: list[tuple[int, str, bytes]], seed: int = 11) -> Model:
         return float(-np.log(softmax(z / t)[np.arange(len(y)), y] + 1e-12).mean())
 
     model.temperature = min((0.5, 0.7, 1.0, 1.4, 2.0, 2.8, 4.0), key=loss)
-    p = softmax(z / model.temperature)
-    right = p.argmax(1) == y
-    model.reject = min(0.9, 0.5 * float(p[right].max(1).min())) if right.any() else 0.0
+    if not any(held) or all(held):
+        return model  # nothing is held back: no limit can be told
+    for t, (_, lang, _), h in zip(texts, rows, held, strict=True):
+        if not h or len(rows) <= 8:
+            model.learn(t, number[lang])
+    pieces, of = [texts[k] for k in checks], [number[rows[k][1]] for k in checks]
+    for k in checks:
+        for size in CUTS:
+            at = int(rng.integers(0, max(1, len(texts[k]) - size)))
+            pieces.append(texts[k][at : at + size])
+            of.append(number[rows[k][1]])
+    model.limits = limits(model, pieces, np.array(of))
+    for k in checks:
+        model.learn(texts[k], number[rows[k][1]])
     return model
 
 
+def limits(model: Model, texts: list[np.ndarray], lang: np.ndarray) -> np.ndarray:
+    """Largest share of new n-grams by language and band. A language that no text shows has the loosest of the others."""
+    data, offsets = np.concatenate(texts), np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    best, _ = model.predict(data, offsets)
+    share, count = model.strange(data, offsets, best)
+    use = (best == lang) & (count >= FEW)
+    found = np.full((len(model.langs), BANDS), np.nan)
+    for k, row in enumerate(found):
+        mine, band = share[use & (lang == k)], bands(count[use & (lang == k)])
+        for b in range(BANDS):
+            low = next((a for a in range(b, 0, -1) if ((band >= a) & (band <= b)).sum() >= LEAST), 0)
+            if len(near := mine[(band >= low) & (band <= b)]):
+                row[b] = max(SLACK, np.quantile(near, KEEP, method="higher"))
+        row[:] = np.fmax.accumulate(row[::-1])[::-1]
+    told = ~np.isnan(found[:, 0])
+    found[~told] = found[told].max(0) if told.any() else 1.0
+    return found
+
+
 def windows(batches) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         data, offsets = W.column_bytes(batch.column("text"))
@@ -186,8 +258,9 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
                 rows = batch.slice(lo, hi - lo)
                 if model.langs:
                     best, score = model.predict(part, at)
+                    like = model.accepts(part, at, best)
                 else:
-                    best, score = np.zeros(hi - lo, int), np.zeros(hi - lo)
+                    best, score, like = np.zeros(hi - lo, int), np.zeros(hi - lo), np.zeros(hi - lo, bool)
                 seen = np.concatenate([[0], np.cumsum(ascii_letter[part])])
                 has = seen[at[1:]] > seen[at[:-1]]
                 for k in np.flatnonzero(~has & (np.diff(at) > 0)).tolist():
@@ -195,7 +268,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
                 has &= bool(model.langs)
                 lang = [model.langs[b] if h else "und" for b, h in zip(best.tolist(), has.tolist(), strict=True)]
                 score = np.where(has, score, 0.0)
-                yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(lang, pa.string()), pa.array(score), pa.array(has & (score >= model.reject))], [*rows.schema.names, "lang_pred", "score", "accepted"])
+                yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(lang, pa.string()), pa.array(score), pa.array(has & like)], [*rows.schema.names, "lang_pred", "score", "accepted"])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     return docs.mapInArrow(run, f"{fields}, lang_pred string, score double, accepted boolean")

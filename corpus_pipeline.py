@@ -18,7 +18,7 @@ MASK = "<secret>"
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the language model rejects go: no letter, or less sure than any text it was calibrated on."""
+    """Documents that the language model rejects go: no letter, or too many n-grams that are new to the language told."""
     model = langid.fit(docs)
     return langid.predict(docs.select(*COLUMNS), model).where("accepted").select(*COLUMNS)
 

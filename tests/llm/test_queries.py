@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -13,7 +14,7 @@ from edge_cases import conversations, documents, embeddings
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from avmatch.llm import mixing
+from avmatch.llm import langid, mixing
 from avmatch.llm.queries import QUERIES
 
 
@@ -68,6 +69,40 @@ def test_op2(spark, edge):
     assert np.mean(right) > 0.95
 
 
+def told(model, texts):
+    """(language of each text, whether it is accepted)."""
+    data, offsets = np.frombuffer("".join(texts).encode(), np.uint8), np.cumsum([0] + [len(t.encode()) for t in texts])
+    best, _ = model.predict(data, offsets)
+    return [model.langs[b] for b in best], model.accepts(data, offsets, best)
+
+
+@pytest.mark.parametrize("learnt", [("en",), ("en", "fr"), ("en", "fr", "de", "es")])
+def test_language_rejection(learnt):
+    rng = random.Random(3)
+    parts = {"en": "the of and er ing th sh ou wh ed", "fr": "le la é eau que ment ré oi ç ai", "de": "der ung ß sch ä keit zu ü lich pf", "es": "ción ñ los ueb ado asg ezc rr ll ía", "xx": "kyv xu zbo gwy jiq vuk hrz myx bwq fja"}
+    text = lambda lang, n: " ".join("".join(rng.choices(parts[lang].split(), k=rng.randint(1, 3))) for _ in range(n))
+    rows = [(k, lang, text(lang, rng.randint(5, 80)).encode()) for k, lang in enumerate(learnt * 120)]
+    rows.append((4 * len(rows), "en", b"I"))  # no n-gram
+    model = langid.train(rows)
+    for lang in learnt:
+        got, kept = told(model, [text(lang, rng.randint(5, 80)) for _ in range(200)])
+        assert np.mean(kept) >= 0.97 and np.mean(np.array(got) == lang) > 0.95
+    assert told(model, [t.decode() for _, _, t in rows])[1].mean() > 0.99
+    random_letters = [" ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(2, 9))) for _ in range(60)) for _ in range(50)]
+    assert not told(model, random_letters)[1].any()
+    assert not told(model, [text("xx", 60) for _ in range(50)])[1].any()
+    assert not told(model, ["".join(rng.choices("語言識別模型訓練資料", k=60)) for _ in range(20)])[1].any()
+
+
+def test_language_rejection_of_odd_texts():
+    model = langid.train([(k, "en", b"the other and the rest of them " * 3) for k in range(40)])
+    texts = ["", "the rest of them and the other", "qzx jkw vbq xzk qqj wvz kxj", "the", "", "a" * 300]
+    assert told(model, texts)[1].tolist() == [True, True, False, True, True, True]
+    long = np.frombuffer(("the other rest " * 90_000).encode(), np.uint8)  # more than one run of bytes
+    share, count = model.strange(long, np.array([0, len(long)]), np.array([0]))
+    assert share[0] < 0.2 and count[0] > 1_000_000
+
+
 def usable(zero):
     found = {}
     for v, e, *_ in embeddings():
