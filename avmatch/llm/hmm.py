@@ -1,7 +1,8 @@
 """LM scoring with a hidden Markov model over word classes.
 
-Vocabulary: the ``TOP`` most frequent training tokens are classes of their own; every other word, known or not,
-belongs to one of ``TAILS`` classes by its last three bytes, and has in it the share (c + 0.5) / (N_k + 0.5 * (V_k + 1)).
+Vocabulary: the end token and the ``TOP`` - 1 most frequent other training tokens are classes of their own; every
+other word, known or not, belongs to one of ``TAILS`` classes by its last three bytes, and has in it the share
+(c + 0.5) / (N_k + 0.5 * (V_k + 1)).
 Latent states emit classes. So the tables that tasks need have a fixed size, while the counts of all words stay
 distributed: they are summed by hash range, and each document's rarer words meet them there.
 
@@ -87,23 +88,29 @@ def cells(table: pa.Table, name: str, dtype) -> np.ndarray:
     return np.concatenate([np.zeros(0, dtype), *(np.frombuffer(x, dtype) for x in table.column(name).to_pylist() if x)])
 
 
+def most_frequent(h: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """Places of the TOP most frequent tokens, and of the end token, however rare it is."""
+    order = np.lexsort((h, -c, h != END))
+    return order[: TOP + (END in h)]
+
+
 def sum_counts(table: pa.Table) -> pa.Table:
-    """One hash range: its sorted token hashes, counts and tail classes; its most frequent tokens apart."""
+    """One hash range: its sorted token hashes, counts and tail classes; its most frequent tokens and the end apart."""
     h, c, k = cells(table, "hs", np.uint64), cells(table, "cs", np.uint32).astype(np.int64), cells(table, "ks", np.uint16)
     order = np.argsort(h, kind="stable")
     h, c, k = h[order], c[order], k[order]
     new = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
     h, c, k = h[new], np.add.reduceat(c, new), k[new]
-    top = np.lexsort((h, -c))[:TOP]
+    top = most_frequent(h, c)
     n, v = np.bincount(k, c, TAILS).astype(np.int64), np.bincount(k, minlength=TAILS).astype(np.int64)
     row = [h.tobytes(), c.tobytes(), h[top].tobytes(), c[top].tobytes(), k[top].tobytes(), n.tobytes(), v.tobytes()]
     return pa.Table.from_arrays([table.column("bucket").slice(0, 1).combine_chunks(), *(pa.array([x], pa.binary()) for x in row)], COUNTED_NAMES)
 
 
 def merge_summaries(table: pa.Table) -> pa.Table:
-    """The most frequent tokens of several hash ranges together, and the sums of their tail class sizes."""
+    """The most frequent tokens of several hash ranges together, with the end, and the sums of their tail class sizes."""
     h, c, k = cells(table, "top_h", np.uint64), cells(table, "top_c", np.int64), cells(table, "top_k", np.uint16)
-    top = np.lexsort((h, -c))[:TOP]
+    top = most_frequent(h, c)
     n, v = (cells(table, x, np.int64).reshape(-1, TAILS).sum(0) for x in ("n", "v"))
     return pa.Table.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in (h[top], c[top], k[top], n, v)], ["top_h", "top_c", "top_k", "n", "v"])
 
@@ -119,12 +126,12 @@ class Model:
     def __init__(self, top: list[tuple[int, int, int]], n: np.ndarray, v: np.ndarray):
         self.tokens, self.types = int(n.sum()), int(v.sum())
         n, v = n.copy(), v.copy()
-        for _, c, k in top:
+        ends = [x for x in top if x[0] == int(END)]
+        frequent = [*ends, *[x for x in top if x[0] != int(END)][: TOP - 1]]
+        for _, c, k in frequent:
             n[k] -= c
             v[k] -= 1
-        ends = [c for h, c, _ in top if h == int(END)]
-        frequent = [(h, c) for h, c, _ in top if h != int(END)]
-        frequent = sorted([(int(END), ends[0] if ends else 0), *frequent[: TOP - 1]])
+        frequent = sorted([(h, c) for h, c, _ in frequent] + ([] if ends else [(int(END), 0)]))
         self.hashes = np.array([h for h, _ in frequent], np.uint64)
         self.counts = np.array([c for _, c in frequent], np.int64)
         self.size = n + 0.5 * (v + 1)

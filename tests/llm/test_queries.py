@@ -9,12 +9,15 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from edge_cases import conversations, documents, embeddings
+from pyspark import cloudpickle
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from avmatch.llm import langid, mixing
+from avmatch.llm import hmm, langid, mixing
 from avmatch.llm.queries import QUERIES
 
 
@@ -170,6 +173,37 @@ def test_op6(spark, edge):
     assert all(math.isfinite(r["score"]) and r["score"] < 0 for r in out)
 
 
+def test_op6_rare_end(spark, monkeypatch):
+    """Few long texts: the end token is rarer than the TOP most frequent words."""
+    monkeypatch.setattr(hmm, "TOP", 4)
+    monkeypatch.setattr(hmm, "CLASSES", 4 + hmm.TAILS)
+    rng = random.Random(8)
+    docs = [(d, " ".join(f"w{min(rng.randint(0, 30), rng.randint(0, 30))}" for _ in range(400))) for d in range(12)]
+    sample, shipped = [], [b.column(c) for b in hmm.ship_counts([pa.RecordBatch.from_arrays([pa.array([t for _, t in docs])], ["text"])], 1) for c in range(4)]
+    counted = hmm.sum_counts(pa.Table.from_arrays(shipped, ["bucket", "hs", "cs", "ks"]))
+    last = hmm.merge_summaries(pa.concat_tables([counted, counted.slice(0, 0)]))
+    tops = list(zip(*(np.frombuffer(last[c][0].as_py(), kind).tolist() for c, kind in (("top_h", np.uint64), ("top_c", np.int64), ("top_k", np.uint16))), strict=True))
+    n, v = (np.frombuffer(last[c][0].as_py(), np.int64) for c in "nv")
+    model = hmm.Model(tops, n, v)
+    types = len({w for _, t in docs for w in words(t)}) + 1
+    assert len(model.counts) == 4 and model.counts[model.hashes == hmm.END].tolist() == [12]
+    # Every token is in one class: its own or its tail's.
+    assert model.counts.sum() + model.size.sum() == 12 * 401 + 0.5 * (types - 4 + hmm.TAILS)
+    monkeypatch.setattr(hmm, "begin", lambda model, found, rounds=4: sample.extend(found))
+    cloudpickle.register_pickle_by_value(hmm)  # workers get the small TOP too
+    try:
+        never = F.lit(False)
+        out = hmm.score_documents(spark.createDataFrame(docs, "doc_id long, text string"), never).collect()
+    finally:
+        cloudpickle.unregister_pickle_by_value(hmm)
+    count = Counter(w for _, t in docs for w in [*words(t), None])
+    assert len(sample) == len(docs) == len(out)
+    for r in out:
+        toks = [*words(dict(docs)[r["doc_id"]]), None]
+        want = sum(math.log10((count[w] + 0.5) / (12 * 401 + 0.5 * (types + 1))) for w in toks)
+        assert (r["n_known"], r["base_score"]) == (len(toks), pytest.approx(want, abs=1e-5))
+
+
 def test_op7(spark, edge):
     out = QUERIES["op7_mix_sources"](spark, edge)
     size = defaultdict(int)
