@@ -87,20 +87,33 @@ def details_b(pages: DataFrame) -> DataFrame:
     rows = nodes(pages, scopes=["datum", "broker"])
     text, node = F.col("text"), F.col("node")
     pick = lambda value, cond: F.min_by(F.when(cond, value), F.when(cond, node))
-    datum = rows.where("scope_class = 'datum'").groupBy("page_id", "scope").agg(pick(text, has_class("label")).alias("label"), pick(text, has_class("value")).alias("value"), F.first("section").alias("section"))
+    datum = rows.where("scope_class = 'datum'").groupBy("page_id", "scope").agg(pick(text, has_class("label")).alias("label"), pick(text, has_class("value")).alias("value"), F.min_by("section", "node").alias("section"), F.min_by("depth", "node").alias("depth"))
+    in_engines = F.coalesce(F.col("section").startswith("engine"), F.lit(False))
+    engines = rows.where((F.col("tag") == "div") & has_class("engine") & in_engines).groupBy("page_id").agg(F.array_sort(F.collect_list(F.struct("node", "depth"))).alias("engines"))
+    second, third = F.get("engines", F.lit(1)), F.get("engines", F.lit(2))
+    inside = in_engines & (F.col("scope") > second["node"]) & (F.col("depth") > second["depth"]) & F.coalesce(F.col("scope") < third["node"], F.lit(True))
+    datum = datum.join(engines, "page_id", "left").withColumn("engine2", F.coalesce(F.col("section") == "engine-2", F.lit(False)) | F.coalesce(inside, F.lit(False)))
     by_label = lambda part, where=F.lit(True): F.min_by(F.when(F.lower("label").contains(part) & where, F.col("value")), F.when(F.lower("label").contains(part) & where, F.col("scope")))
-    engine2 = F.coalesce(F.col("section") == "engine-2", F.lit(False))
+    engine2 = F.col("engine2")
+    # Of the second engine the last value of a label stands.
+    second_label = lambda part: F.max_by(F.when(F.lower("label").contains(part) & engine2, F.col("value")), F.when(F.lower("label").contains(part) & engine2, F.col("scope")))
+    plain = lambda value: F.trim(F.regexp_replace(value, ",", ""))
     data = datum.where("value <> ''").groupBy("page_id").agg(
         by_label("total hours").alias("total_time"),
         by_label("total cycles").alias("total_cycles"),
-        by_label("serial number", F.coalesce(F.col("section") != "engines-section", F.lit(True))).alias("serial_number"),
+        by_label("serial number", F.coalesce(F.col("section") != "engines-section", F.lit(True)) & ~engine2).alias("serial_number"),
         by_label("tail number").alias("registration_number"),
         by_label("hours since new", ~engine2).alias("engine1_hours_since_new"),
         by_label("hours since overhaul", ~engine2).alias("engine1_hours_since_overhaul"),
         by_label("hours since hot section", ~engine2).alias("engine1_hours_since_hot_section"),
         F.min_by(F.when(F.col("label").isNull() & (F.col("section") == "engines-section"), F.col("value")), F.when(F.col("label").isNull() & (F.col("section") == "engines-section"), F.col("scope"))).alias("engine1_make_model"),
+        F.trim(second_label("serial number")).alias("engine2_serial_number"),
+        plain(second_label("hours since new")).alias("engine2_hours_since_new"),
+        plain(second_label("hours since overhaul")).alias("engine2_hours_since_overhaul"),
+        plain(second_label("hours since hot section")).alias("engine2_hours_since_hot_section"),
     )
-    section = lambda name, n: F.substring(pick(text, attr("id") == name), 1, n)
+    whole = lambda name: pick(text, attr("id") == name)
+    section = lambda name, n: F.substring(whole(name), 1, n)
     broker = F.col("scope_class") == "broker"
     rest = rows.groupBy("page_id").agg(
         pick(F.regexp_extract(text, r"Price:\s*(.+)$", 1), text.contains("Price:") & (F.col("tag") == "p")).alias("asking_price"),
@@ -108,7 +121,7 @@ def details_b(pages: DataFrame) -> DataFrame:
         pick(text, broker & F.coalesce(attr("href").startswith("tel:"), F.lit(False))).alias("phone"),
         pick(F.regexp_extract(text, r"(?i)Contact\s+(.+)", 1), broker & (F.col("tag") == "a") & text.rlike(r"(?i)^Contact\s")).alias("seller"),
         F.substring(pick(text, F.coalesce(attr("class").contains("mt-4 leading-normal"), F.lit(False))), 1, 2000).alias("description"),
-        section("avionics-section", 4000).alias("avionics"),
+        F.coalesce(pick(text, has_class("value") & (F.col("section") == "avionics-section")), whole("avionics-section")).alias("avionics"),
         section("other", 1000).alias("equipment"),
         section("inspections-section", 500).alias("inspection_status"),
         *(

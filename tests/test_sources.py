@@ -2,6 +2,7 @@
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from avmatch import schemas
@@ -179,3 +180,19 @@ def test_listing_pages(spark):
     index = spark.createDataFrame([("u", "2001 X", "2001", "D")], "listing_url string, aircraft_model string, year string, dealer_name string")
     details = spark.createDataFrame([("u", None), ("w", "1990")], "listing_url string, year string")
     assert rows(listing_pages.with_index_fields(details, index), "listing_url", "year", "dealer_name") == [("u", "2001", "D"), ("w", "1990", None)]
+
+
+@pytest.mark.parametrize("mark", ["", ' id="engine-2"'])
+def test_dealer_page_engines_and_avionics(spark, mark):
+    from avmatch.sources import listing_pages
+
+    datum = lambda label, value: f'<div class="datum"><span class="label">{label}</span><div class="value">{value}</div></div>'
+    engine = lambda k, at: f'<div class="engine"{at}>{datum("Serial Number", f"E{k}")}{datum("Hours Since New", f"{k},100")}{datum("Hours Since Overhaul", f"{k},200")}{datum("Hours Since Hot Section", f"{k},300")}</div>'
+    radios = " ".join(f"radio{k}" for k in range(2000))
+    html = f'''<div id="engines-section">{engine(1, "")}{engine(2, mark)}{engine(3, "")}</div><div id="avionics-section"><h3>Avionics</h3><div class="datum"><div class="value">{radios}</div></div></div>'''
+    pages = spark.createDataFrame([(1, html), (2, DETAIL_B)], "page_id int, html string")
+    kinds = ("serial_number", "hours_since_new", "hours_since_overhaul", "hours_since_hot_section")
+    out = listing_pages.details_b(pages)
+    assert rows(out, "page_id", *(f"engine2_{k}" for k in kinds)) == [(1, "E2", "2100", "2200", "2300"), (2, None, None, None, None)]
+    assert rows(out, "page_id", "engine1_hours_since_new", "avionics") == [(1, "1,100", radios), (2, None, None)]
+    assert rows(out, "page_id", "serial_number") == [(1, None), (2, "A7")]
