@@ -1,5 +1,6 @@
 """Shared-folder helpers: cut lineage with written tables, never with executor-local copies."""
 
+import re
 import tempfile
 import uuid
 
@@ -7,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's spark.checkpoint.dir; a temporary folder only where it is unset, as in local tests."""
+    """The cluster's spark.checkpoint.dir; a temporary folder only where it is unset and all runs in one JVM, as in tests."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir is unset: it must name a folder that driver and executors share")
         found = "file://" + tempfile.mkdtemp(prefix="avmatch-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found

@@ -13,7 +13,7 @@ import pyarrow.compute as pc
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
 #: Bytes handled at once; bounds the working set, since each byte needs a few 8-byte cells.
-CHUNK = 1 << 21
+CHUNK = 1 << 20
 
 
 def lower_table() -> np.ndarray:
@@ -93,7 +93,7 @@ def hash_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
     return mix(out)
 
 
-def row_chunks(offsets: np.ndarray, limit: int = 4 * CHUNK) -> Iterator[tuple[int, int]]:
+def row_chunks(offsets: np.ndarray, limit: int = 2 * CHUNK) -> Iterator[tuple[int, int]]:
     """Row ranges of at most `limit` bytes each, or one longer row."""
     lo, n = 0, len(offsets) - 1
     while lo < n:
@@ -102,7 +102,7 @@ def row_chunks(offsets: np.ndarray, limit: int = 4 * CHUNK) -> Iterator[tuple[in
         lo = hi
 
 
-def hashed_rows(batch: pa.RecordBatch, text: str, limit: int = 4 * CHUNK) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
+def hashed_rows(batch: pa.RecordBatch, text: str, limit: int = 2 * CHUNK) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
     """(rows, word hashes, first word of each row and the end) over bounded runs of rows."""
     data, offsets = column_bytes(batch.column(text))
     for lo, hi in row_chunks(offsets, limit):
