@@ -13,7 +13,9 @@ An exact join of documents whose distinct n-word shingles have Jaccard similarit
    column group, and pairs below the size-derived bound are dropped inside the task. A tile returns one row per
    document: its root in the tile and its number of links. No list of pairs is ever emitted.
 
-Null, empty or blank texts have an empty set and link with nothing. Extra columns are ignored.
+Null, empty or blank texts have an empty set and link with nothing. A text of any length is one row of the incidence
+matrix, read whole. Rows that repeat a doc_id are joined one by one; a null doc_id is never the smallest, and a group
+of only such rows has none. Extra columns are ignored; an empty table gives an empty table.
 """
 
 from collections.abc import Iterator
@@ -26,21 +28,22 @@ from pyspark.sql import functions as F
 from avmatch.llm import words as W
 from avmatch.llm.components import components
 from avmatch.llm.store import shuffle_partitions, stash
+from avmatch.llm.worker import bounded, small_batches
 
 #: Postings a map task gathers before it ships them.
-RUN = 3_000_000
+RUN = 1_000_000
 #: Cells of a tile's row block: a block of the sparse product holds at most about this many postings.
 TILE = 1_000_000
+#: What tells shingle sets apart: their size and two digests of 64 bits.
+KEY = ["n_shingles", "d1", "d2"]
 
 
 def class_table(batches, n: int) -> Iterator[pa.RecordBatch]:
-    """(doc_id, n_shingles, two halves of a set digest, tag) for each row."""
+    """(doc_id, n_shingles, two halves of a set digest) for each row."""
     for batch in batches:
         for rows, hashes, first in W.hashed_rows(batch, "text"):
-            sets = W.shingle_sets(hashes, first, n)
-            size, a, b = digests(sets)
             ids = batch.column("doc_id").slice(rows.start, rows.stop - rows.start)
-            yield pa.RecordBatch.from_arrays([ids, pa.array(size), pa.array(a), pa.array(b), pa.array(tags(size, a, b).astype(np.int64))], ["doc_id", "n_shingles", "d1", "d2", "tag"])
+            yield pa.RecordBatch.from_arrays([ids, *map(pa.array, digests(W.shingle_sets(hashes, first, n)))], ["doc_id", *KEY])
 
 
 def digests(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -54,16 +57,23 @@ def digests(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
 
 
 def tags(size: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """32-bit class tags from 1 up; 0 stands for several classes at once."""
-    tag = (W.mix(a.view(np.uint64) ^ W.mix(b.view(np.uint64) + size.astype(np.uint64))) >> np.uint64(32)).astype(np.uint32)
-    return np.maximum(tag, np.uint32(1))
+    """64-bit class tags from 1 up; 0 stands for several classes at once."""
+    return np.maximum(W.mix(a.view(np.uint64) ^ W.mix(b.view(np.uint64) + size.astype(np.uint64))), np.uint64(1))
 
 
 SHIPPED = "bucket int, grp long, hs binary, tags binary, own_tags binary, own_counts binary"
 
 
+def run_starts(x: np.ndarray) -> np.ndarray:
+    """Where runs of equal values begin in a sorted array."""
+    return np.flatnonzero(np.concatenate([[True], x[1:] != x[:-1]])) if len(x) else np.zeros(0, np.int64)
+
+
 def ship_shingles(batches, n: int, buckets: int) -> Iterator[pa.RecordBatch]:
-    """Distinct shingles of runs of documents, cut by hash range. A shingle of one class carries its tag, others 0."""
+    """Distinct shingles of runs of documents, cut by hash range. A shingle of one class carries its tag, others 0.
+
+    Within a run classes are told apart by their whole key; a tag only tells those of two runs apart.
+    """
     from pyspark import TaskContext
 
     part, seq = TaskContext.get().partitionId(), 0
@@ -71,22 +81,23 @@ def ship_shingles(batches, n: int, buckets: int) -> Iterator[pa.RecordBatch]:
     held = 0
 
     def flush() -> pa.RecordBatch:
-        tag = tags(*digests(sets))
-        _, one = np.unique(tag, return_index=True)  # copies within the run count once
-        h = np.concatenate([sets[k] for k in one])
-        t = np.repeat(tag[one], [len(sets[k]) for k in one])
+        key = digests(sets)
+        _, one = np.unique(np.stack(key, 1), axis=0, return_index=True)  # copies within the run count once
+        some = [sets[k] for k in one.tolist()]
+        h = np.concatenate(some)
         order = np.argsort(h)
-        h, t = h[order], t[order]
-        new = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])) if len(h) else np.zeros(0, np.int64)
-        many = np.diff(np.append(new, len(h))) > 1
-        inside = np.repeat(many, np.diff(np.append(new, len(h))))
-        own, counts = np.unique(t[inside], return_counts=True)
-        h, t = h[new], np.where(many, np.uint32(0), t[new])
+        h, of = h[order], np.repeat(np.arange(len(some), dtype=np.int32), [len(s) for s in some])[order]
+        tag = tags(*(x[one] for x in key))
+        new = run_starts(h)
+        size = np.diff(np.append(new, len(h)))
+        counts = np.bincount(of[np.repeat(size > 1, size)], minlength=len(some))
+        own, counts = tag[counts > 0], counts[counts > 0]
+        h, t = h[new], np.where(size > 1, np.uint64(0), tag[of[new]])
         bucket = ((h >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
         cut = np.searchsorted(bucket, np.arange(buckets + 1))
         h = h.astype(np.uint32)
         rows = [k for k in range(buckets) if cut[k + 1] > cut[k]] or [0]
-        carry = rows[seq % len(rows)]
+        carry = rows[(part + seq) % len(rows)]
         return pa.RecordBatch.from_arrays(
             [
                 pa.array(rows, pa.int32()),
@@ -111,20 +122,28 @@ def ship_shingles(batches, n: int, buckets: int) -> Iterator[pa.RecordBatch]:
         yield flush()
 
 
+def joined(cells: list[bytes], kind) -> np.ndarray:
+    return np.frombuffer(b"".join(cells), kind)
+
+
 def count_shared(table: pa.Table) -> pa.Table:
     """For one hash range and each run: how many shingles of each class in it another class has too."""
-    hs = [np.frombuffer(x, np.uint32) for x in table.column("hs").to_pylist()]
-    where = np.repeat(np.arange(len(hs), dtype=np.uint64), [len(x) for x in hs])
-    h = np.concatenate(hs)
-    t = np.concatenate([np.frombuffer(x, np.uint32) for x in table.column("tags").to_pylist()])
+    cells = table.column("hs").to_pylist()
+    sizes = np.array([len(x) // 4 for x in cells])
+    h, t = joined(cells, np.uint32), joined(table.column("tags").to_pylist(), np.uint64)
     order = np.argsort(h)
-    h, t, where = h[order], t[order], where[order]
-    new = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
+    h, t = h[order], t[order]
+    where = np.repeat(np.arange(len(cells), dtype=np.int32), sizes)[order]
+    new = run_starts(h)
     low, high = np.minimum.reduceat(t, new), np.maximum.reduceat(t, new)
     shared = np.repeat((low == 0) | (low != high), np.diff(np.append(new, len(h)))) & (t > 0)
-    keys, counts = np.unique((where[shared] << np.uint64(32)) | t[shared], return_counts=True)
-    cut = np.searchsorted(keys >> np.uint64(32), np.arange(len(hs) + 1, dtype=np.uint64))
-    own = [pa.array([x[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:], strict=True)], pa.binary()) for x in (keys.astype(np.uint32), counts.astype(np.uint32))]
+    t, where = t[shared], where[shared]
+    order = np.lexsort((t, where))
+    t, where = t[order], where[order]
+    new = np.flatnonzero(np.concatenate([[True], (t[1:] != t[:-1]) | (where[1:] != where[:-1])])) if len(t) else np.zeros(0, np.int64)
+    counts = np.diff(np.append(new, len(t))).astype(np.uint32)
+    cut = np.searchsorted(where[new], np.arange(len(cells) + 1))
+    own = [pa.array([x[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:], strict=True)], pa.binary()) for x in (t[new], counts)]
     grp = table.column("grp").combine_chunks()
     out = pa.Table.from_arrays([grp, *own], ["grp", "tags", "counts"])
     inside = pa.Table.from_arrays([grp, *(table.column(c).combine_chunks() for c in ("own_tags", "own_counts"))], ["grp", "tags", "counts"])
@@ -133,20 +152,20 @@ def count_shared(table: pa.Table) -> pa.Table:
 
 def sum_shared(table: pa.Table) -> pa.Table:
     """For one run: the number of shared shingles of each class in it."""
-    tag, cnt = (np.concatenate([np.frombuffer(x, np.uint32) for x in table.column(c).to_pylist()]) for c in ("tags", "counts"))
+    tag, cnt = joined(table.column("tags").to_pylist(), np.uint64), joined(table.column("counts").to_pylist(), np.uint32)
     tag, at = np.unique(tag, return_inverse=True)
-    return pa.table({"tag": tag.astype(np.int64), "cnt": np.bincount(at, cnt, len(tag)).astype(np.int64)})
+    return pa.table({"tag": tag.view(np.int64), "cnt": np.bincount(at, cnt, len(tag)).astype(np.int64)})
 
 
 def sets_of(batches, n: int) -> Iterator[pa.RecordBatch]:
+    """The key of each text's class and its shingles."""
     for batch in batches:
-        for rows, hashes, first in W.hashed_rows(batch, "text"):
+        for _, hashes, first in W.hashed_rows(batch, "text"):
             sets = W.shingle_sets(hashes, first, n)
-            size = np.array([len(s) for s in sets], np.int64)
+            size, a, b = digests(sets)
             flat = np.concatenate(sets).view(np.int64) if sets else np.zeros(0, np.int64)
             lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size)]).astype(np.int32)), pa.array(flat))
-            part = batch.slice(rows.start, rows.stop - rows.start)
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("copies"), pa.array(size), lists], ["doc_id", "copies", "n", "hs"])
+            yield pa.RecordBatch.from_arrays([*map(pa.array, (size, a, b)), lists], [*KEY, "hs"])
 
 
 def overlaps(rows: np.ndarray, cols: np.ndarray, ok: np.ndarray, n_cols: int, heights: tuple[int, int]) -> np.ndarray:
@@ -187,8 +206,8 @@ def overlaps(rows: np.ndarray, cols: np.ndarray, ok: np.ndarray, n_cols: int, he
 
 
 def multiply(table: pa.Table, percent: int) -> pa.Table:
-    """One tile: links between its two row blocks (or inside its only one), as each document's root and degree."""
-    ids, n, copies, block = (table.column(c).to_numpy() for c in ("doc_id", "n", "copies", "block"))
+    """One tile: links between its two row blocks (or inside its only one), as each class's root and degree."""
+    ids, n, copies, block = (table.column(c).to_numpy() for c in ("id", "n", "copies", "block"))
     low, high = table.column("lo")[0].as_py(), table.column("hi")[0].as_py()
     hs = table.column("hs").combine_chunks()
     cols, size = hs.flatten().to_numpy(), np.diff(hs.offsets.to_numpy())
@@ -225,7 +244,7 @@ def multiply(table: pa.Table, percent: int) -> pa.Table:
                     a, b = (a, b) if ids[a] < ids[b] else (b, a)
                     root[b] = a
     top = np.array([find(x) for x in range(len(ids))], np.int64)
-    return pa.table({"doc_id": ids, "root": ids[top] if len(ids) else ids, "degree": degree})
+    return pa.table({"id": ids, "root": ids[top] if len(ids) else ids, "degree": degree})
 
 
 def join_classes(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
@@ -235,48 +254,63 @@ def join_classes(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     links, n_links the number of documents linked directly, copies included. Rows that repeat a doc_id stay.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     docs = docs.select("doc_id", "text")
-    table = stash(docs.mapInArrow(lambda b: class_table(b, n), "doc_id long, n_shingles long, d1 long, d2 long, tag long"), "classes")
-    key = ["n_shingles", "d1", "d2", "tag"]
-    classes = stash(table.where("n_shingles > 0").groupBy(*key).agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")), "reps")
+    run = lambda f, *more: lambda batches: bounded(f(batches, *more))
+    table = stash(docs.mapInArrow(run(class_table, n), "doc_id long, n_shingles long, d1 long, d2 long"), "classes")
+    classes = table.where("n_shingles > 0").groupBy(*KEY).agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
 
     buckets = 2 * shuffle_partitions(spark)
-    shipped = docs.select("text").mapInArrow(lambda b: ship_shingles(b, n, buckets), SHIPPED)
+    shipped = docs.select("text").mapInArrow(run(ship_shingles, n, buckets), SHIPPED)
     shared = shipped.groupBy("bucket").applyInArrow(count_shared, "grp long, tags binary, counts binary")
     shared = shared.groupBy("grp").applyInArrow(sum_shared, "tag long, cnt long").groupBy("tag").agg(F.max("cnt").alias("cnt"))
-    alive = classes.join(shared, "tag").where(F.col("cnt") * 100 >= F.col("n_shingles") * percent)
-    alive = stash(alive.select(F.col("rep").alias("doc_id"), "copies"), "alive")
-
-    sets = docs.join(alive, "doc_id").select("doc_id", "copies", "text").mapInArrow(lambda b: sets_of(b, n), "doc_id long, copies long, n long, hs array<long>")
-    sets = stash(sets.groupBy("doc_id").agg(*(F.first(c).alias(c) for c in ("copies", "n", "hs"))), "sets")
-    postings = sets.select("doc_id", "n", F.explode("hs").alias("h"))
-    frequency = postings.groupBy("h").agg(F.count("*").alias("df")).where("df > 1")
-    rows = postings.join(frequency, "h").groupBy("doc_id", "n").agg(F.sort_array(F.collect_list(F.struct("df", "h"))).alias("cols"))
+    tagged = classes.mapInArrow(with_tags, "n_shingles long, d1 long, d2 long, rep long, copies long, tag long")
+    alive = tagged.join(shared, "tag").where(F.col("cnt") * 100 >= F.col("n_shingles") * percent)
+    alive = stash(alive.select(F.monotonically_increasing_id().alias("id"), *KEY, "rep", "copies"), "alive")
+
+    # One text of each class that is left: those of its smallest doc_id, of which its key tells the right one.
+    reps = alive.select(F.col("rep").alias("_rep")).distinct()
+    sets = docs.join(reps, F.col("doc_id").eqNullSafe(F.col("_rep")), "left_semi").select("text")
+    sets = sets.mapInArrow(run(sets_of, n), "n_shingles long, d1 long, d2 long, hs array<long>").groupBy(*KEY).agg(F.first("hs").alias("hs"))
+    sets = stash(sets.join(alive, KEY).select("id", F.col("n_shingles").alias("n"), "hs"), "sets")
+    postings = sets.select("id", "n", F.explode("hs").alias("h"))
+    # Written apart, so that the join's sides are plain exchanges, which Spark can split where a shingle is very common.
+    frequency = stash(postings.groupBy("h").agg(F.count("*").alias("df")).where("df > 1"), "frequency")
+    rows = postings.join(frequency, "h").groupBy("id", "n").agg(F.sort_array(F.collect_list(F.struct("df", "h"))).alias("cols"))
     rows = rows.where(F.size("cols") * 100 >= F.col("n") * percent)
-    rows = stash(rows.select("doc_id", "n", F.col("cols.h").alias("hs")), "rows")
+    rows = stash(rows.select("id", "n", F.col("cols.h").alias("hs")), "rows")
     # A linked pair shares one of the first n - ceil(percent * n / 100) + 1 columns of each; unshared ones come first.
     head = (F.col("n") - F.ceil(F.col("n") * percent / 100) + 1 - (F.col("n") - F.size("hs"))).cast("int")
-    heads = rows.where(head > 0).select("doc_id", F.explode(F.slice("hs", 1, head)).alias("h"))
-    leader = heads.groupBy("h").agg(F.min("doc_id").alias("v"), F.count("*").alias("df")).where("df > 1")
-    star = heads.join(leader, "h").select(F.col("doc_id").alias("u"), "v")
-    blocks = components(star).withColumnRenamed("node", "doc_id")
+    heads = rows.where(head > 0).select("id", F.explode(F.slice("hs", 1, head)).alias("h"))
+    leader = stash(heads.groupBy("h").agg(F.min("id").alias("v"), F.count("*").alias("df")).where("df > 1"), "leaders")
+    star = heads.join(leader, "h").select(F.col("id").alias("u"), "v")
+    blocks = components(star).withColumnRenamed("node", "id")
 
-    rows = rows.join(blocks, "doc_id").join(sets.select("doc_id", "copies"), "doc_id")
+    rows = rows.join(blocks, "id").join(alive.select("id", "copies"), "id")
     weight = rows.groupBy("component").agg(F.ceil(F.sum(F.size("hs")) / TILE).cast("int").alias("m"), F.count("*").alias("docs"))
     weight = weight.select("component", F.greatest("m", F.ceil(F.col("docs") / 2048).cast("int")).alias("m"))
-    rows = rows.join(weight, "component").withColumn("block", F.pmod(F.xxhash64("doc_id"), "m").cast("int"))
+    rows = rows.join(weight, "component").withColumn("block", F.pmod(F.xxhash64("id"), "m").cast("int"))
     tiles = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("m") - 1)))
-    tiles = tiles.select("component", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "doc_id", "n", "copies", "block", "hs")
-    out = tiles.groupBy("component", "lo", "hi").applyInArrow(lambda t: multiply(t, percent), "doc_id long, root long, degree long")
+    tiles = tiles.select("component", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "id", "n", "copies", "block", "hs")
+    out = tiles.groupBy("component", "lo", "hi").applyInArrow(lambda t: multiply(t, percent), "id long, root long, degree long")
     out = stash(out, "tiles")
-    found = components(out.where("doc_id <> root").select(F.col("doc_id").alias("u"), F.col("root").alias("v")))
-    degree = out.groupBy("doc_id").agg(F.sum("degree").alias("degree"))
-
-    named = classes.join(found.withColumnRenamed("node", "rep"), "rep", "left").join(degree.withColumnRenamed("doc_id", "rep"), "rep", "left")
-    named = named.select(*key, "copies", F.coalesce("component", "rep").alias("component_id"), F.coalesce("degree", F.lit(0)).alias("degree"))
-    return table.join(named, key, "left").select(
+    found = components(out.where("id <> root").select(F.col("id").alias("u"), F.col("root").alias("v")))
+    degree = out.groupBy("id").agg(F.sum("degree").alias("degree"))
+
+    found = alive.select("id", "rep").join(found.withColumnRenamed("node", "id"), "id")
+    least = found.groupBy("component").agg(F.min("rep").alias("component_id"))
+    named = found.join(least, "component").select("id", "component_id").join(degree, "id", "full")
+    named = alive.join(named, "id").select(*KEY, F.coalesce("component_id", "rep").alias("component_id"), F.coalesce("degree", F.lit(0)).alias("degree"))
+    named = classes.join(named, KEY, "left").select(*KEY, "copies", F.coalesce("component_id", "rep").alias("component_id"), F.coalesce("degree", F.lit(0)).alias("degree"))
+    return table.join(named, KEY, "left").select(
         "doc_id",
         "n_shingles",
         F.coalesce("component_id", "doc_id").alias("component_id"),
         F.coalesce(F.col("degree") + F.col("copies") - 1, F.lit(0)).alias("n_links"),
     )
+
+
+def with_tags(batches) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        tag = tags(*(batch.column(c).to_numpy() for c in KEY))
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(tag.view(np.int64))], [*batch.schema.names, "tag"])
