@@ -4,18 +4,24 @@ Subwords are the byte 3- and 4-grams of the text with A-Z lowered and every othe
 vector is the mean of its subwords' embeddings; a linear softmax on it gives the language. Since both are linear,
 tasks carry one table of embedding times weights, and whole texts stream through it.
 
-Training reads a bounded sample: about ``PER_LANG`` documents of each language, drawn by a hash of doc_id against
-that language's share, and of each at most ``WINDOWS`` windows of ``WINDOW`` bytes spread over it. A quarter of the
-sample is held back and calibrates: a temperature for the probabilities, and what share of a text's n-grams may be
+Training reads a bounded sample of rows: about ``PER_LANG`` documents of each of the ``LANGS`` commonest languages,
+drawn by a hash of doc_id against that language's share. Each is read whole, and comes to the driver as the counts of
+its distinct n-grams (at most 2**``FINE``), with a few short cuts of it, since short texts must be told too. A quarter
+of the sample is held back and calibrates: a temperature for the probabilities, and what share of a text's n-grams may be
 new to the language it is told to be. Of each language, and of texts of about as many n-grams, the limit keeps ``KEEP``
 of the held-back rows, and short cuts of them, that were told right; a longer text's limit also holds for shorter ones,
 and none is below ``SLACK``. An n-gram that repeats the one before it is not counted, and a text with fewer than
 ``FEW`` shows too little to be rejected. The held-back rows' n-grams are then known too.
 
-Null texts and texts without a letter get ``und`` and score 0. With no labelled rows every text does.
+Null texts and texts without a letter get ``und`` and score 0. With no labelled rows every text does. Rows that repeat
+are told one by one; rows of one doc_id are in the sample together or not at all. A text of any length is read whole.
+An empty table gives an empty table.
 """
 
+from __future__ import annotations
+
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -23,9 +29,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from avmatch.llm import words as W
+from avmatch.llm.worker import bounded, small_batches
 
 BITS, DIM = 16, 16
-PER_LANG, WINDOWS, WINDOW = 400, 4, 1024
+PER_LANG, LANGS = 400, 1024
 EPOCHS, RATE = 12, 0.5
 #: Bits of an n-gram's place in the table of known ones; the share of rightly told rows that rejection keeps.
 FINE, KEEP, FEW, BANDS = 20, 0.995, 8, 20
@@ -81,6 +88,34 @@ def grams(data: np.ndarray, offsets: np.ndarray, bits: int, step: int) -> Iterat
             yield code, cuts[used], of[0] + used
 
 
+class Grams(NamedTuple):
+    """A text's distinct n-grams: their fine codes, how often each occurs, and how often not right behind itself."""
+
+    code: np.ndarray
+    count: np.ndarray
+    fresh: np.ndarray
+
+    @classmethod
+    def of(cls, data: np.ndarray) -> Grams:
+        codes, fresh = [np.zeros(0, np.uint32)], [np.zeros(0, bool)]
+        for lo in range(0, len(data), 1 << 20):  # n-grams that start in this run of bytes
+            for code, _ in subwords(data[lo : lo + (1 << 20) + 3], FINE):
+                code = code[: 1 << 20]
+                before = np.concatenate([np.zeros(1, code.dtype), code[:-1]])
+                codes.append(code)
+                fresh.append(code != before)
+        code, new = np.concatenate(codes), np.concatenate(fresh)
+        code, new = code[code > 0], new[code > 0]
+        distinct, inverse, count = np.unique(code, return_inverse=True, return_counts=True)
+        return cls(distinct, count, np.bincount(inverse, new, len(distinct)).astype(np.int64))
+
+    def shares(self) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct buckets of the embedding table and their shares of the text."""
+        at, inverse = np.unique(np.maximum(self.code >> np.uint32(FINE - BITS), 1), return_inverse=True)
+        n = np.bincount(inverse, self.count, len(at))
+        return at, (n / max(1, n.sum())).astype(np.float32)
+
+
 class Model:
     def __init__(self, langs: list[str], table: np.ndarray, bias: np.ndarray):
         self.langs, self.table, self.bias, self.temperature = langs, table, bias, 1.0
@@ -96,10 +131,14 @@ class Model:
             count[of] += np.add.reduceat((code > 0).astype(np.float64), cuts)
         return total / np.maximum(count, 1)[:, None] + self.bias
 
-    def learn(self, data: np.ndarray, lang: int) -> None:
+    def told(self, found: Grams) -> np.ndarray:
+        """Logits of one text."""
+        at, share = found.shares()
+        return share.astype(np.float64) @ self.table[at] + self.bias
+
+    def learn(self, found: Grams, lang: int) -> None:
         """The n-grams of a text are known in a language."""
-        for code, _ in subwords(data, FINE):
-            self.known[code, lang >> 3] |= np.uint8(1 << (lang & 7))
+        self.known[found.code, lang >> 3] |= np.uint8(1 << (lang & 7))
 
     def strange(self, data: np.ndarray, offsets: np.ndarray, lang: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Share of each text's n-grams that are new to its language, and how many it has."""
@@ -133,34 +172,26 @@ def softmax(z: np.ndarray) -> np.ndarray:
     return e / e.sum(1, keepdims=True)
 
 
-def features(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct buckets of one text and their shares."""
-    codes = np.concatenate([np.zeros(0, np.uint32), *(c for c, _ in subwords(data))])
-    at, n = np.unique(codes[codes > 0], return_counts=True)
-    return at, (n / max(1, n.sum())).astype(np.float32)
+def example(doc: int, lang: str, text: bytes) -> tuple[int, str, list[Grams]]:
+    """A row of the sample: the n-grams of the whole text, then of short cuts of it."""
+    data = np.frombuffer(text, np.uint8)
+    at = [int(W.mix(np.array([doc & (2**64 - 1)], np.uint64) + np.uint64(size))[0] % np.uint64(max(1, len(data) - size))) for size in CUTS]
+    return doc, lang, [Grams.of(data), *(Grams.of(data[a : a + size]) for a, size in zip(at, CUTS, strict=True))]
 
 
-def train(rows: list[tuple[int, str, bytes]], seed: int = 11) -> Model:
-    """rows: (doc_id, language, window of its text). Plain SGD, one text at a time, with a falling rate."""
+def train(rows: list[tuple[int, str, list[Grams]]], seed: int = 11) -> Model:
+    """rows: examples. Plain SGD, one text at a time, with a falling rate."""
     langs = sorted({lang for _, lang, _ in rows})
     if not langs:
         return Model([], np.zeros((1 << BITS, 0), np.float32), np.zeros(0))
     number = {lang: k for k, lang in enumerate(langs)}
     rng = np.random.default_rng(seed)
     held = [W.mix(np.array([doc & (2**64 - 1)], np.uint64))[0] % np.uint64(4) == 0 for doc, _, _ in rows]
-    texts = [np.frombuffer(t, np.uint8) for _, _, t in rows]
-    cases = []
-    for t, (_, lang, _), h in zip(texts, rows, held, strict=True):
-        if h and len(rows) > 8:
-            continue
-        cases.append((*features(t), number[lang]))
-        for size in (24, 80, 240):  # short texts count too
-            at = int(rng.integers(0, max(1, len(t) - size)))
-            cases.append((*features(t[at : at + size]), number[lang]))
+    few = len(rows) <= 8
+    cases = [(*t.shares(), number[lang]) for (_, lang, texts), h in zip(rows, held, strict=True) if few or not h for t in texts if len(t.code)]
     embed = rng.normal(0, 0.1, (1 << BITS, DIM)).astype(np.float32)
     embed[0] = 0
     weight, bias = rng.normal(0, 0.1, (DIM, len(langs))).astype(np.float32), np.zeros(len(langs), np.float32)
-    cases = [c for c in cases if len(c[0])]
     for epoch in range(EPOCHS):
         rate = RATE * (1 - epoch / EPOCHS)
         for k in rng.permutation(len(cases)):
@@ -175,10 +206,8 @@ def train(rows: list[tuple[int, str, bytes]], seed: int = 11) -> Model:
             bias -= rate * 0.1 * p
             embed[at] -= rate * 4 * share[:, None] * back
     model = Model(langs, (embed @ weight).astype(np.float32), bias.astype(np.float64))
-    checks = [k for k, h in enumerate(held) if h] or list(range(len(rows)))
-    data = np.concatenate([texts[k] for k in checks])
-    offsets = np.concatenate([[0], np.cumsum([len(texts[k]) for k in checks])])
-    z, y = model.logits(data, offsets), np.array([number[rows[k][1]] for k in checks])
+    checks = [row for row, h in zip(rows, held, strict=True) if h] or rows
+    z, y = np.stack([model.told(texts[0]) for _, _, texts in checks]), np.array([number[lang] for _, lang, _ in checks])
 
     def loss(t: float) -> float:
         return float(-np.log(softmax(z / t)[np.arange(len(y)), y] + 1e-12).mean())
@@ -186,26 +215,21 @@ def train(rows: list[tuple[int, str, bytes]], seed: int = 11) -> Model:
     model.temperature = min((0.5, 0.7, 1.0, 1.4, 2.0, 2.8, 4.0), key=loss)
     if not any(held) or all(held):
         return model  # nothing is held back: no limit can be told
-    for t, (_, lang, _), h in zip(texts, rows, held, strict=True):
-        if not h or len(rows) <= 8:
-            model.learn(t, number[lang])
-    pieces, of = [texts[k] for k in checks], [number[rows[k][1]] for k in checks]
-    for k in checks:
-        for size in CUTS:
-            at = int(rng.integers(0, max(1, len(texts[k]) - size)))
-            pieces.append(texts[k][at : at + size])
-            of.append(number[rows[k][1]])
-    model.limits = limits(model, pieces, np.array(of))
-    for k in checks:
-        model.learn(texts[k], number[rows[k][1]])
+    for (_, lang, texts), h in zip(rows, held, strict=True):
+        if few or not h:
+            model.learn(texts[0], number[lang])
+    model.limits = limits(model, [t for _, _, texts in checks for t in texts], np.repeat(y, 1 + len(CUTS)))
+    for _, lang, texts in checks:
+        model.learn(texts[0], number[lang])
     return model
 
 
-def limits(model: Model, texts: list[np.ndarray], lang: np.ndarray) -> np.ndarray:
+def limits(model: Model, texts: list[Grams], lang: np.ndarray) -> np.ndarray:
     """Largest share of new n-grams by language and band. A language that no text shows has the loosest of the others."""
-    data, offsets = np.concatenate(texts), np.concatenate([[0], np.cumsum([len(t) for t in texts])])
-    best, _ = model.predict(data, offsets)
-    share, count = model.strange(data, offsets, best)
+    best = np.array([model.told(t).argmax() for t in texts])
+    new = np.array([t.fresh[(model.known[t.code, k >> 3] >> (k & 7)) & 1 == 0].sum() for t, k in zip(texts, best.tolist(), strict=True)])
+    count = np.array([t.fresh.sum() for t in texts])
+    share = new / np.maximum(count, 1)
     use = (best == lang) & (count >= FEW)
     found = np.full((len(model.langs), BANDS), np.nan)
     for k, row in enumerate(found):
@@ -220,33 +244,35 @@ def limits(model: Model, texts: list[np.ndarray], lang: np.ndarray) -> np.ndarra
     return found
 
 
-def windows(batches) -> Iterator[pa.RecordBatch]:
+def histograms(batches) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         data, offsets = W.column_bytes(batch.column("text"))
-        at, parts = [], []
-        for k, (a, b) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)):
-            for w in range(WINDOWS if b - a > WINDOWS * WINDOW else 1):
-                lo = a + w * (b - a) // WINDOWS
-                at.append(k)
-                parts.append(data[lo : min(b, lo + (WINDOW if b - a > WINDOWS * WINDOW else b - a))].tobytes())
-        part = batch.take(pa.array(at, pa.int64()))
-        yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("lang"), pa.array(parts, pa.binary())], ["doc_id", "lang", "part"])
+        docs, langs = batch.column("doc_id").to_pylist(), batch.column("lang").to_pylist()
+        for k, (doc, lang) in enumerate(zip(docs, langs, strict=True)):
+            _, _, texts = example(doc, lang, data[offsets[k] : offsets[k + 1]].tobytes())
+            cells = [pa.array([[getattr(t, name).astype(np.uint32).tobytes() for t in texts]], pa.list_(pa.binary())) for name in Grams._fields]
+            yield pa.RecordBatch.from_arrays([pa.array([doc], pa.int64()), pa.array([lang], pa.string()), *cells], ["doc_id", "lang", *Grams._fields])
 
 
 def fit(docs: DataFrame) -> Model:
     """A model from labelled rows of docs (doc_id, text, lang)."""
+    small_batches(docs.sparkSession)
     docs = docs.select("doc_id", "text", "lang").where("lang is not null and text is not null and doc_id is not null")
-    shares = {r["lang"]: min(1.0, PER_LANG / r["n"]) for r in docs.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    counts = docs.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGS).collect()
+    shares = {r["lang"]: min(1.0, PER_LANG / r["n"]) for r in counts}
     if not shares:
         return train([])
     share = F.create_map(*(F.lit(x) for lang, s in shares.items() for x in (lang, int(s * (1 << 30)))))
     few = docs.where(F.pmod(F.xxhash64("doc_id", F.lit("language")), F.lit(1 << 30)) < share[F.col("lang")])
-    rows = few.mapInArrow(windows, "doc_id long, lang string, part binary").collect()
-    return train(sorted((r["doc_id"], r["lang"], bytes(r["part"])) for r in rows))
+    names = ", ".join(f"{x} array<binary>" for x in Grams._fields)
+    rows = few.mapInArrow(lambda b: bounded(histograms(b)), f"doc_id long, lang string, {names}").collect()
+    read = lambda r: [Grams(*(np.frombuffer(bytes(x), np.uint32) for x in cells)) for cells in zip(*(r[name] for name in Grams._fields), strict=True)]
+    return train([(r["doc_id"], r["lang"], read(r)) for r in sorted(rows, key=lambda r: (r["doc_id"], r["lang"], [bytes(x) for x in r["code"]]))])
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:
     """docs (with a column text) and lang_pred, score, accepted; docs must not have these names."""
+    small_batches(docs.sparkSession)
 
     def run(batches):
         ascii_letter = np.zeros(256, bool)
@@ -271,7 +297,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(lang, pa.string()), pa.array(score), pa.array(has & like)], [*rows.schema.names, "lang_pred", "score", "accepted"])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.mapInArrow(run, f"{fields}, lang_pred string, score double, accepted boolean")
+    return docs.mapInArrow(lambda batches: bounded(run(batches)), f"{fields}, lang_pred string, score double, accepted boolean")
 
 
 def held_out():
