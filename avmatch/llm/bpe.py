@@ -4,13 +4,17 @@ Reads a ``tokenizers`` JSON file of the word-end kind: NFC, white space runs as
 letters, single digits and runs of the rest, byte symbols, and ``</w>`` on a word's last symbol. Words are cut and
 hashed (64 bits) in numpy, and each distinct one is merged once per worker and kept in a bounded table. Added tokens
 found in a text are ids of their own, matched before any normalising. Decoding joins the vocabulary strings with
-blanks, as the library does for a file without a decoder. Null texts are empty: no ids, an empty text.
+blanks, as the library does for a file without a decoder. A text with code points newer than Python's tables is
+normalised and cut by the library, and merged here.
+
+Null texts are empty: no ids, an empty text. Rows that repeat are encoded one by one; a text of any length is encoded
+whole; an empty table gives an empty table.
 """
 
 import json
-import sys
 import unicodedata
 from collections.abc import Iterator
+from functools import cached_property
 from heapq import heapify, heappop, heappush
 from itertools import chain
 
@@ -20,10 +24,11 @@ import regex
 from pyspark.sql import DataFrame
 
 from avmatch.llm import words as W
-from avmatch.llm.spans import ending_after, gather, hash_spans, kinds
+from avmatch.llm.spans import NEWER, ending_after, gather, hash_spans, kinds
+from avmatch.llm.worker import bounded, kept, small_batches
 
 #: Merged words that a worker keeps; a full table starts afresh.
-WORDS = 700_000
+WORDS = 400_000
 #: Text bytes handled at once.
 RUN = 1 << 20
 
@@ -54,14 +59,25 @@ class Encoder:
         self.string_bytes, self.string_first = np.frombuffer(b"".join(shown), np.uint8), np.concatenate([[0], np.cumsum([len(x) for x in shown])])
         self.split_added = regex.compile("(" + "|".join(regex.escape(s) for s in sorted(self.added, key=len, reverse=True)) + ")").split if self.added else None
         self.kinds = kinds()
+        self.path, self.bytes = path, {c: b for b, c in enumerate(byte_symbols())}
         self.clear()
 
     def clear(self) -> None:
         self.hashes, self.first, self.ids = np.zeros(0, np.uint64), np.zeros(1, np.int64), np.zeros(0, np.int32)
 
-    def merge(self, word: str) -> list[int]:
+    @cached_property
+    def library(self):
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.path)
+
+    def newer(self, text: str) -> np.ndarray:
+        """Ids of a text with code points newer than Python's tables."""
+        pieces = self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(text))
+        return np.array([i for piece, _ in pieces for i in self.merge(bytes(self.bytes[c] for c in piece))], np.int32)
+
+    def merge(self, data: bytes) -> list[int]:
         """Ids of one pre-token. Queue entries hold a rank and the place of the pair's left symbol."""
-        data = word.encode()
         sym = [self.inner[b] for b in data]
         sym[-1] = self.last[data[-1]]
         n, rank_of, made = len(sym), self.ranks.get, self.made
@@ -86,7 +102,7 @@ class Encoder:
         return [s for s in sym if s >= 0]
 
     def learn(self, hashes: np.ndarray, words: list[str]) -> None:
-        found = [self.merge(w) for w in words]
+        found = [self.merge(w.encode()) for w in words]
         if len(self.hashes) + len(words) > WORDS:
             self.clear()
         size = np.concatenate([np.diff(self.first), [len(f) for f in found]])
@@ -98,7 +114,7 @@ class Encoder:
         self.hashes, self.first = hashes[order], np.concatenate([[0], np.cumsum(size[order])])
 
     def encode_plain(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all texts end to end, number of ids of each), for texts without added tokens."""
+        """(ids of all texts end to end, number of ids of each), for texts without added tokens or newer code points."""
         texts = [t.lower() if t.isascii() else unicodedata.normalize("NFC", t).replace("\u03a3", "\u03c3").lower() for t in texts]  # no final-sigma rule
         cp = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)
         at = np.concatenate([[0], np.cumsum([len(t) for t in texts], dtype=np.int64)])
@@ -118,15 +134,22 @@ class Encoder:
         ids = gather(self.ids, self.first[place], size) if len(place) else np.zeros(0, np.int32)
         return ids, np.diff(np.concatenate([[0], np.cumsum(size)])[np.searchsorted(starts, at)])
 
+    def is_newer(self, text: str) -> bool:
+        return not text.isascii() and bool((self.kinds[np.frombuffer(text.encode("utf-32-le"), np.uint32)] == NEWER).any())
+
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """As encode_plain, for any texts: added tokens in a text are ids of their own."""
-        odd = [k for k, t in enumerate(texts) if any(s in t for s in self.added)]
-        if not odd:
+        odd = [any(s in t for s in self.added) for t in texts]
+        newer = [self.is_newer(t) for t in texts]
+        if not any(odd) and not any(newer):
             return self.encode_plain(texts)
-        cut = [self.split_added(t) if k in set(odd) else [t] for k, t in enumerate(texts)]
-        flat, n = self.encode_plain([part for parts in cut for part in parts[::2]])
+        cut = [self.split_added(t) if k else [t] for k, t in zip(odd, texts, strict=True)]
+        flat, n = self.encode_plain(["" if k else part for parts, k in zip(cut, newer, strict=True) for part in parts[::2]])
         pieces = iter(np.split(flat, np.cumsum(n)[:-1]))
-        out = [np.concatenate([np.array([self.added[x]], np.int32) if k % 2 else next(pieces) for k, x in enumerate(parts)]) for parts in cut]
+        out = []
+        for parts, k in zip(cut, newer, strict=True):
+            ids = [np.array([self.added[x]], np.int32) if at % 2 else next(pieces) if not k else (next(pieces), self.newer(x))[1] for at, x in enumerate(parts)]
+            out.append(np.concatenate(ids))
         return np.concatenate(out), np.array([len(x) for x in out], np.int64)
 
     def decode(self, ids: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -161,10 +184,7 @@ def word_spans(cp: np.ndarray, kind: np.ndarray, edges: np.ndarray) -> tuple[np.
 
 def encoder(path: str) -> Encoder:
     """The worker's encoder of a file, with its table of merged pieces; it outlives a task."""
-    held = sys.__dict__.setdefault("_held_encoders", {})
-    if path not in held:
-        held[path] = Encoder(path)
-    return held[path]
+    return kept(("encoder", path), lambda: Encoder(path))
 
 
 def encode_rows(batches, path: str) -> Iterator[pa.RecordBatch]:
@@ -184,4 +204,5 @@ def encode_rows(batches, path: str) -> Iterator[pa.RecordBatch]:
 def encode(docs: DataFrame, path: str) -> DataFrame:
     """docs with its column text replaced by ids (array of int) and decoded (the text that the ids stand for)."""
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != "text")
-    return docs.mapInArrow(lambda b: encode_rows(b, path), f"{fields}, ids array<int>, decoded string")
+    small_batches(docs.sparkSession)
+    return docs.mapInArrow(lambda b: bounded(encode_rows(b, path), keep=True), f"{fields}, ids array<int>, decoded string")

@@ -10,13 +10,21 @@ from avmatch.llm import words as W
 SPACES = [*range(9, 14), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 
 
+NEWER = 4
+
+
 def kinds() -> np.ndarray:
-    """The split rule's class of each code point: 0 other, 1 letter, 2 number, 3 white space."""
+    """The split rule's class of each code point: 0 other, 1 letter, 2 number, 3 white space, ``NEWER`` unassigned here.
+
+    The tokenizers library may know a newer Unicode than Python does, so texts with unassigned code points are its own.
+    """
     table = np.zeros(0x110000, np.uint8)
     for c in range(0x110000):
-        major = unicodedata.category(chr(c))[0]
-        if major == "L" or major == "N":
-            table[c] = 1 if major == "L" else 2
+        kind = unicodedata.category(chr(c))
+        if kind[0] == "L" or kind[0] == "N":
+            table[c] = 1 if kind[0] == "L" else 2
+        elif kind == "Cn":
+            table[c] = NEWER
     table[SPACES] = 3
     return table
 

@@ -6,7 +6,6 @@ every ``BLOCK`` bits. A shard row of the written table is one such file with its
 """
 
 import os
-import sys
 import zlib
 from collections.abc import Iterator
 
@@ -16,19 +15,22 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from avmatch.llm import words as W
-from avmatch.llm.spans import ending_after, gather, hash_spans, kinds
+from avmatch.llm.spans import NEWER, ending_after, gather, hash_spans, kinds
 from avmatch.llm.store import new_path, shuffle_partitions
+from avmatch.llm.worker import bounded, kept, small_batches
 
 BLOCK = 512
 #: Ids in a shard, but for longer single runs of text.
 SHARD = 2_000_000
 MAGIC = b"WVM1"
 #: Distinct words a worker keeps the ids of.
-WORDS = 1_000_000
+WORDS = 500_000
 
 
 def build(ids: np.ndarray, bits: int) -> bytes:
-    """The file of one shard."""
+    """The file of one shard. Raises where an id needs more bits."""
+    if len(ids) and int(ids.max()) >> bits:
+        raise ValueError(f"token id {int(ids.max())} needs more than {bits} bits")
     now = ids.astype(np.uint16 if bits <= 16 else np.uint32)
     parts = [MAGIC, np.array([len(now), bits], "<u8").tobytes()]
     for level in range(bits - 1, -1, -1):
@@ -156,7 +158,7 @@ class Words:
 
     Texts are cut by the library's own split rule in numpy, words are hashed (64 bits) where they lie, and only words
     that a worker hasn't met go to the library, many at a time. Its table is bounded and starts afresh when full.
-    Texts with an added token in them go to the library whole.
+    Texts with an added token in them, or with code points newer than Python's tables, go to the library whole.
     """
 
     def __init__(self, path: str):
@@ -205,10 +207,12 @@ class Words:
         """(ids of all texts end to end, number of ids of each). data: the texts' UTF-8 bytes, text k at offsets[k]."""
         n = len(offsets) - 1
         text = data.tobytes()
-        odd = [k for k in range(n) if any(s in text[offsets[k] : offsets[k + 1]] for s in self.added)] if any(s in text for s in self.added) else []
+        odd = {k for k in range(n) if any(s in text[offsets[k] : offsets[k + 1]] for s in self.added)} if any(s in text for s in self.added) else set()
         cp = np.frombuffer(text.decode().encode("utf-32-le"), np.uint32)
         at = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])[offsets]
-        starts = word_starts(cp, self.kinds[cp], at[:-1][np.diff(at) > 0]) if len(cp) else np.zeros(0, np.int64)
+        kind = self.kinds[cp]
+        odd.update((np.searchsorted(at, np.flatnonzero(kind == NEWER), "right") - 1).tolist())
+        starts = word_starts(cp, kind, at[:-1][np.diff(at) > 0]) if len(cp) else np.zeros(0, np.int64)
         ends = np.append(starts[1:], len(cp)) if len(starts) else starts
         h = hash_spans(cp, starts, ends)
         distinct, where, inverse = np.unique(h, return_index=True, return_inverse=True)
@@ -227,7 +231,7 @@ class Words:
         ids = gather(self.ids, self.first[place], size) if len(place) else np.zeros(0, np.uint32)
         cuts = np.concatenate([[0], np.cumsum(size)])[np.searchsorted(starts, at)]
         if odd:
-            parts = [self.whole(text[offsets[k] : offsets[k + 1]].decode()) if k in set(odd) else ids[cuts[k] : cuts[k + 1]] for k in range(n)]
+            parts = [self.whole(text[offsets[k] : offsets[k + 1]].decode()) if k in odd else ids[cuts[k] : cuts[k + 1]] for k in range(n)]
             return np.concatenate(parts), np.array([len(p) for p in parts], np.int64)
         return ids, np.diff(cuts)
 
@@ -236,10 +240,7 @@ def encode_shards(batches, path: str, bits: int, end: int) -> Iterator[pa.Record
     """Documents in order to shard rows; shard numbers ascend with doc_id."""
     from pyspark import TaskContext
 
-    held = sys.__dict__.setdefault("_held_words", {})  # outlives a task
-    if path not in held:
-        held[path] = Words(path)
-    code, shard = held[path], TaskContext.get().partitionId() << 32
+    code, shard = kept(("words", path), lambda: Words(path)), TaskContext.get().partitionId() << 32
     docs: list[pa.Array] = []
     ids: list[np.ndarray] = []
     lengths: list[np.ndarray] = []
@@ -266,20 +267,34 @@ def encode_shards(batches, path: str, bits: int, end: int) -> Iterator[pa.Record
         yield flush()
 
 
-def write_shards(docs: DataFrame, tokenizer: str, path: str, bits: int = 16, end: int = 0) -> None:
+def bits_of(tokenizer: str, end: int) -> int:
+    """Bits that any id of a tokenizer's file, or the end id, needs."""
+    from tokenizers import Tokenizer
+
+    ids = Tokenizer.from_file(tokenizer).get_vocab(with_added_tokens=True).values()
+    return max(1, int(max(end, *ids)).bit_length())
+
+
+def write_shards(docs: DataFrame, tokenizer: str, path: str, bits: int | None = None, end: int = 0) -> None:
     """Encode docs (doc_id, text) in ascending doc_id order, ids ended by `end`, into wavelet shards at path.
 
-    bits: planes; ids must be below 2**bits. Null texts are empty; a null doc_id comes first. Rows that repeat a
-    doc_id stand next to each other.
+    bits: planes; by default as many as the tokenizer's ids need, and a larger id is an error. Null texts are empty; a
+    null doc_id comes first. Rows that repeat a doc_id stand next to each other, in no set order if their texts differ.
+    A text of any length is encoded whole, and a shard holds one at least. An empty table gives no shards.
     """
+    small_batches(docs.sparkSession)
+    bits = bits_of(tokenizer, end) if bits is None else bits
     parts = shuffle_partitions(docs.sparkSession)
     ordered = docs.select("doc_id", "text").repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id")
     schema = "shard long, doc_ids array<long>, lengths array<long>, n_tokens long, file binary"
-    ordered.mapInArrow(lambda b: encode_shards(b, tokenizer, bits, end), schema).write.parquet(path)
+    ordered.mapInArrow(lambda b: bounded(encode_shards(b, tokenizer, bits, end), keep=True), schema).write.parquet(path)
 
 
 def read_shards(spark, path: str) -> DataFrame:
-    """(doc_id, start, n_tokens, ids_crc32) of every document, decoded from the shards' files."""
+    """(doc_id, start, n_tokens, ids_crc32) of every document, decoded from the shards' files.
+
+    One task adds up the shards' lengths: a row of two numbers for each shard of some ``SHARD`` ids.
+    """
     shards = spark.read.parquet(path)
     # One small row for each shard, never the ids: their running total is the shard's place in the whole.
     before = F.sum("n_tokens").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1))
@@ -296,7 +311,7 @@ def read_shards(spark, path: str) -> DataFrame:
                 shard = batch.column("shard").take(pa.array([row] * len(n)))
                 yield pa.RecordBatch.from_arrays([shard, batch.column("doc_ids")[row].values, pa.array(cuts[:-1]), pa.array(n), pa.array(crc, pa.int64())], ["shard", "doc_id", "at", "n", "ids_crc32"])
 
-    read = shards.mapInArrow(run, "shard long, doc_id long, at long, n long, ids_crc32 long").join(starts, "shard")
+    read = shards.mapInArrow(lambda batches: bounded(run(batches)), "shard long, doc_id long, at long, n long, ids_crc32 long").join(starts, "shard")
     return read.select("doc_id", (F.col("shard_start") + F.col("at")).alias("start"), F.col("n").alias("n_tokens"), "ids_crc32")
 
 
