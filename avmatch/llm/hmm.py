@@ -6,13 +6,14 @@ other word, known or not, belongs to one of ``TAILS`` classes by its last three
 Latent states emit classes. So the tables that tasks need have a fixed size, while the counts of all words stay
 distributed: they are summed by hash range, and each document's rarer words meet them there.
 
-Training: word counts over every training document; states start from a k-means of a bounded sample of
-``SAMPLE_DOCS`` class histograms and a few local Baum-Welch rounds on it; then full Baum-Welch rounds over all
+Training: word counts over every training document; the states' starting points are a k-means of the class histograms
+of about ``SAMPLE_DOCS`` whole documents, drawn by a hash of doc_id alone; then ``ROUNDS`` Baum-Welch rounds over all
 training documents, whose expected counts are summed across partitions. Training cuts a document into segments of
 ``SEGMENT`` tokens; scoring runs the scaled forward recursion over the whole token sequence.
 
 Null texts are empty: they hold only the end token. A null doc_id counts as a training document. Repeated rows are
-scored one by one. Without training documents every token is unknown and the classes are equally likely.
+scored one by one, and those of one doc_id are in the sample together or not at all. A text of any length is one
+sequence. Without training documents every token is unknown and the classes are equally likely.
 """
 
 from collections.abc import Iterator
@@ -24,12 +25,13 @@ from pyspark.sql import functions as F
 
 from avmatch.llm import words as W
 from avmatch.llm.store import shuffle_partitions, stash
+from avmatch.llm.worker import bounded, small_batches
 
 STATES, TOP, TAILS = 8, 4096, 4096
 CLASSES = TOP + TAILS
-SAMPLE_DOCS, SAMPLE_TOKENS, SEGMENT = 1500, 1_000_000, 1024
+SAMPLE_DOCS, ROUNDS, SEGMENT = 1500, 3, 1024
 #: Tokens a map task gathers before it ships or multiplies them.
-RUN = 1_200_000
+RUN = 600_000
 #: The hash of the end token.
 END = np.uint64(0xE4D0F7E47)
 
@@ -226,7 +228,7 @@ def expect_rows(batches, model: Model) -> Iterator[pa.RecordBatch]:
         for _, tokens, tails, first in token_rows(batch):
             held += segments(model.classes(tokens, tails), first)
             size += len(tokens)
-            if size >= RUN // 4:
+            if size >= RUN // 3:
                 add()
                 held, size = [], 0
     if size:
@@ -244,7 +246,7 @@ def add_rows(table: pa.Table) -> pa.Table:
 def baum_welch(model: Model, train: DataFrame) -> None:
     """One round over all training documents: partitions' counts are summed in two levels, then maximised."""
     schema = "state int, salt int, counts binary"
-    counts = train.select("text").mapInArrow(lambda b: expect_rows(b, model), schema).groupBy("state", "salt").applyInArrow(add_rows, schema)
+    counts = train.select("text").mapInArrow(lambda b: bounded(expect_rows(b, model)), schema).groupBy("state", "salt").applyInArrow(add_rows, schema)
     counts = counts.groupBy("state").applyInArrow(lambda t: add_rows(t), schema)
     found = np.zeros((STATES, 1 + STATES + CLASSES))
     for row in counts.collect():
@@ -252,27 +254,29 @@ def baum_welch(model: Model, train: DataFrame) -> None:
     model.maximise(found[:, 0], found[:, 1 : 1 + STATES], found[:, 1 + STATES :])
 
 
-def begin(model: Model, sample: list[np.ndarray], rounds: int = 4) -> None:
-    """States from a k-means of the sample's class histograms, then local Baum-Welch rounds."""
+def begin(model: Model, sample: list[tuple[np.ndarray, np.ndarray]]) -> None:
+    """Starting points of the states: a k-means of documents' class histograms (classes, counts)."""
     if not sample:
         return
     rng = np.random.default_rng(7)
-    hist = np.stack([np.sqrt(np.bincount(c, minlength=CLASSES) / max(1, len(c))) for c in sample])
-    centres = hist[[int(rng.integers(len(hist)))]]
-    while len(centres) < min(STATES, len(hist)):
-        far = 2 - 2 * (hist @ centres.T).max(1)
-        centres = np.vstack([centres, hist[int(rng.choice(len(hist), p=np.maximum(far, 1e-9) / np.maximum(far, 1e-9).sum()))]])
+    share = [np.sqrt(n / n.sum()) for _, n in sample]
+    dense = lambda k: np.bincount(sample[k][0], share[k], CLASSES)
+    like = lambda centres: np.stack([centres[:, c] @ x for (c, _), x in zip(sample, share, strict=True)])
+    centres = dense(int(rng.integers(len(sample))))[None]
+    while len(centres) < min(STATES, len(sample)):
+        far = np.maximum(2 - 2 * like(centres).max(1), 1e-9)
+        centres = np.vstack([centres, dense(int(rng.choice(len(sample), p=far / far.sum())))])
     for _ in range(8):
-        of = (hist @ centres.T).argmax(1)
-        centres = np.stack([hist[of == k].sum(0) if (of == k).any() else centres[k] for k in range(len(centres))])
+        of = like(centres).argmax(1)
+        sums = np.zeros_like(centres)
+        for k, (c, _) in enumerate(sample):
+            sums[of[k], c] += share[k]
+        centres = np.where((np.bincount(of, minlength=len(centres)) > 0)[:, None], sums, centres)
         centres /= np.maximum(np.linalg.norm(centres, axis=1, keepdims=True), 1e-12)
     emit = np.zeros((STATES, CLASSES))
-    for c, k in zip(sample, of, strict=True):
-        emit[k] += np.bincount(c, minlength=CLASSES)
+    for k, (c, n) in enumerate(sample):
+        emit[of[k], c] += n
     model.maximise(np.bincount(of, minlength=STATES).astype(float), model.move * emit.sum(1, keepdims=True), emit)
-    pieces = [c[k : k + SEGMENT] for c in sample for k in range(0, len(c), SEGMENT)]
-    for _ in range(rounds):
-        model.maximise(*expect(model, pieces))
 
 
 def score_rows(batches, model: Model, buckets: int) -> Iterator[pa.RecordBatch]:
@@ -304,8 +308,10 @@ def score_rows(batches, model: Model, buckets: int) -> Iterator[pa.RecordBatch]:
             filled = [k for k in range(buckets) if cut[k + 1] > cut[k]] or [seq % buckets]
             ids = batch.column("doc_id").slice(rows.start, len(n))
             held = batch.column("held_out").slice(rows.start, len(n))
+            # The documents' own values ride on one hash range of the run, another one each time.
+            carry = (part + seq) % len(filled)
             info = pa.StructArray.from_arrays([ids, held, *map(pa.array, (n, known.astype(np.int64), own - n * base, score))], ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"])
-            info = pa.ListArray.from_arrays(pa.array([0, len(n)] + [len(n)] * (len(filled) - 1), pa.int32()), info)
+            info = pa.ListArray.from_arrays(pa.array([0] * (carry + 1) + [len(n)] * (len(filled) - carry), pa.int32()), info)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(filled, pa.int32()),
@@ -357,10 +363,11 @@ def combine(table: pa.Table) -> pa.Table:
     )
 
 
-def fit(train: DataFrame, rounds: int = 1) -> tuple[Model, DataFrame]:
+def fit(train: DataFrame, rounds: int = ROUNDS) -> tuple[Model, DataFrame]:
     """The model, and the counts of all training tokens by hash range. train: texts."""
+    small_batches(train.sparkSession)
     buckets = shuffle_partitions(train.sparkSession)
-    counts = train.select("text").mapInArrow(lambda b: ship_counts(b, buckets), "bucket int, hs binary, cs binary, ks binary")
+    counts = train.select("text").mapInArrow(lambda b: bounded(ship_counts(b, buckets)), "bucket int, hs binary, cs binary, ks binary")
     counts = stash(counts.groupBy("bucket").applyInArrow(sum_counts, COUNTED), "counts")
     # Fixed-size summaries, merged in two levels; only the last comes to the driver.
     parts = counts.drop("hs", "cs").withColumn("part", F.col("bucket") % max(1, round(buckets**0.5)))
@@ -372,25 +379,21 @@ def fit(train: DataFrame, rounds: int = 1) -> tuple[Model, DataFrame]:
     total = sum(c for h, c, _ in tops if h == int(END))
     few = train.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int((1 << 20) * min(1, SAMPLE_DOCS / max(1, total))))
 
-    def encode(batches):
+    def histograms(batches):
         for batch in batches:
             for _, tokens, tails, first in token_rows(batch):
-                cls = model.classes(tokens, tails).astype(np.uint16)
-                yield pa.RecordBatch.from_arrays([pa.array([cls[a:b].tobytes() for a, b in zip(first[:-1], first[1:], strict=True)], pa.binary())], ["c"])
-
-    sample, size = [], 0
-    for row in few.select("text").mapInArrow(encode, "c binary").toLocalIterator():
-        sample.append(np.frombuffer(row["c"], np.uint16)[:SAMPLE_TOKENS].astype(np.int64))
-        size += len(sample[-1])
-        if size >= SAMPLE_TOKENS or len(sample) >= 2 * SAMPLE_DOCS:
-            break
-    begin(model, sample)
+                cls = model.classes(tokens, tails)
+                found = [np.unique(cls[a:b], return_counts=True) for a, b in zip(first[:-1], first[1:], strict=True)]
+                yield pa.RecordBatch.from_arrays([pa.array([x[k].astype(np.int64).tobytes() for x in found], pa.binary()) for k in (0, 1)], ["c", "n"])
+
+    rows = few.select("text").mapInArrow(lambda batches: bounded(histograms(batches)), "c binary, n binary").collect()
+    begin(model, [(np.frombuffer(c, np.int64), np.frombuffer(n, np.int64)) for c, n in sorted((bytes(r["c"]), bytes(r["n"])) for r in rows)])
     for _ in range(rounds):
         baum_welch(model, train)
     return model, counts
 
 
-def score_documents(docs: DataFrame, held_out=None, rounds: int = 1) -> DataFrame:
+def score_documents(docs: DataFrame, held_out=None, rounds: int = ROUNDS) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for each row of docs (doc_id, text).
 
     held_out: boolean column of rows that are scored but not learnt from; by default crc32(doc_id) mod 5 = 1.
@@ -400,7 +403,7 @@ def score_documents(docs: DataFrame, held_out=None, rounds: int = 1) -> DataFram
     held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 1 if held_out is None else held_out
     docs = docs.select("doc_id", "text", F.coalesce(held_out, F.lit(False)).alias("held_out"))
     model, counts = fit(docs.where(~F.col("held_out")), rounds)
-    shipped = docs.mapInArrow(lambda b: score_rows(b, model, buckets), f"bucket int, grp long, hs binary, owners binary, times binary, info {INFO}")
+    shipped = docs.mapInArrow(lambda b: bounded(score_rows(b, model, buckets)), f"bucket int, grp long, hs binary, owners binary, times binary, info {INFO}")
     met = shipped.groupBy("bucket").cogroup(counts.select("bucket", "hs", "cs").groupBy("bucket"))
     met = met.applyInArrow(meet, f"grp long, owners binary, sums binary, known binary, info {INFO}")
     out = met.groupBy("grp").applyInArrow(combine, "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")

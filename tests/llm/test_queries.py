@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from avmatch.llm import hmm, langid, mixing
+from avmatch.llm import bpe, hmm, langid, mixing, ngram_jaccard, token_files
 from avmatch.llm.queries import QUERIES
 
 
@@ -86,7 +86,7 @@ def test_language_rejection(learnt):
     text = lambda lang, n: " ".join("".join(rng.choices(parts[lang].split(), k=rng.randint(1, 3))) for _ in range(n))
     rows = [(k, lang, text(lang, rng.randint(5, 80)).encode()) for k, lang in enumerate(learnt * 120)]
     rows.append((4 * len(rows), "en", b"I"))  # no n-gram
-    model = langid.train(rows)
+    model = langid.train([langid.example(*r) for r in rows])
     for lang in learnt:
         got, kept = told(model, [text(lang, rng.randint(5, 80)) for _ in range(200)])
         assert np.mean(kept) >= 0.97 and np.mean(np.array(got) == lang) > 0.95
@@ -98,12 +98,36 @@ def test_language_rejection(learnt):
 
 
 def test_language_rejection_of_odd_texts():
-    model = langid.train([(k, "en", b"the other and the rest of them " * 3) for k in range(40)])
+    model = langid.train([langid.example(k, "en", b"the other and the rest of them " * 3) for k in range(40)])
     texts = ["", "the rest of them and the other", "qzx jkw vbq xzk qqj wvz kxj", "the", "", "a" * 300]
     assert told(model, texts)[1].tolist() == [True, True, False, True, True, True]
     long = np.frombuffer(("the other rest " * 90_000).encode(), np.uint8)  # more than one run of bytes
     share, count = model.strange(long, np.array([0, len(long)]), np.array([0]))
     assert share[0] < 0.2 and count[0] > 1_000_000
+    whole = langid.Grams.of(long)
+    assert whole.fresh.sum() == pytest.approx(count[0], abs=4)
+
+
+def test_op2_scores(spark, edge):
+    """Predictions are the plain softmax of the mean embedding on the same weights."""
+    model = langid.fit(spark.read.parquet(f"{edge}/documents.parquet").where(~langid.held_out()))
+    out = {r["doc_id"]: r for r in QUERIES["op2_language_id"](spark, edge).collect()}
+    for d, text, *_ in DOCS:
+        if d is None or d == 7 or out[d]["lang_pred"] == "und":
+            continue
+        data, total, n = [c if c > 127 else c | 32 if chr(c).isalpha() else 32 for c in text.encode()], np.zeros(len(model.langs)), 0
+        for size, odd in ((3, 0x9E3779B1), (4, 0x85EBCA77)):
+            for k in range(len(data) - size + 1):
+                part = data[k : k + size]
+                if part == [32] * size:
+                    continue
+                h = int.from_bytes(bytes(part), "little") * odd & 0xFFFFFFFF
+                h = (h ^ h >> 15) * 0x2C1B3C6D & 0xFFFFFFFF
+                total += model.table[max(1, h >> 32 - langid.BITS)]
+                n += 1
+        z = (total / max(1, n) + model.bias) / model.temperature
+        p = np.exp(z - z.max()) / np.exp(z - z.max()).sum()
+        assert out[d]["lang_pred"] == model.langs[p.argmax()] and out[d]["score"] == pytest.approx(p.max(), abs=1e-6)
 
 
 def usable(zero):
@@ -173,6 +197,30 @@ def test_op6(spark, edge):
     assert all(math.isfinite(r["score"]) and r["score"] < 0 for r in out)
 
 
+def test_op6_scores(spark):
+    """Scores are a plain scaled forward recursion on the model's own tables, and the model beats the base."""
+    rng = random.Random(2)
+    topics = [[f"{c}{k}" for k in range(40)] for c in "abc"]
+    docs = [(d, " ".join(rng.choice(topics[d % 3]) for _ in range(rng.randint(1, 90)))) for d in range(150)] + [(200, None), (201, "new words only"), (202, "a1 " * 4000)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    held = F.col("doc_id") % 5 == 1
+    model, _ = hmm.fit(frame.where(~held))
+    out = {r["doc_id"]: r for r in hmm.score_documents(frame, held).collect()}
+    count = Counter(w for d, t in docs if d % 5 != 1 for w in [*words(t or ""), None])
+    for d, text in docs:
+        batch = pa.RecordBatch.from_arrays([pa.array([text], pa.string())], ["text"])
+        (_, tokens, tails, _), *_ = hmm.token_rows(batch)
+        alpha, total = model.start, 0.0
+        for k, (token, cls, tail) in enumerate(zip([*words(text or ""), None], model.classes(tokens, tails), tails, strict=True)):
+            inside = 1.0 if cls < hmm.TOP else (count[token] + 0.5) / model.size[tail]
+            alpha = (alpha if k == 0 else alpha @ model.move) * model.emit[:, cls]
+            total += math.log10(alpha.sum() * inside)
+            alpha = alpha / alpha.sum()
+        assert out[d]["score"] == pytest.approx(total, rel=1e-9, abs=1e-9)
+    kept = [out[d] for d in range(150) if d % 5 == 1]
+    assert sum(r["score"] for r in kept) > sum(r["base_score"] for r in kept)
+
+
 def test_op6_rare_end(spark, monkeypatch):
     """Few long texts: the end token is rarer than the TOP most frequent words."""
     monkeypatch.setattr(hmm, "TOP", 4)
@@ -189,7 +237,7 @@ def test_op6_rare_end(spark, monkeypatch):
     assert len(model.counts) == 4 and model.counts[model.hashes == hmm.END].tolist() == [12]
     # Every token is in one class: its own or its tail's.
     assert model.counts.sum() + model.size.sum() == 12 * 401 + 0.5 * (types - 4 + hmm.TAILS)
-    monkeypatch.setattr(hmm, "begin", lambda model, found, rounds=4: sample.extend(found))
+    monkeypatch.setattr(hmm, "begin", lambda model, found: sample.extend(found))
     cloudpickle.register_pickle_by_value(hmm)  # workers get the small TOP too
     try:
         never = F.lit(False)
