@@ -1,14 +1,18 @@
 """Approximate nearest neighbours: a hierarchical k-means tree with best-bin-first traversal.
 
-The tree is fitted on at most about ``SAMPLE`` vectors, drawn by a hash of the id. Every row goes down to its leaf,
-and rows are written by leaf. A query walks the tree through one priority queue of nodes by distance to their
-centres, and visits leaves in that order. How many is calibrated: on the sample, with exact neighbours known, leaf
-visits widen until mean recall reaches ``RECALL``; a fuller table only makes neighbours nearer. Walks go on until
-the leaves hold more than k rows. Distances inside leaves are exact.
+The tree is fitted on a sample drawn by a hash of the id: a sixteenth of the rows, but ``SAMPLE`` at least (or all) and
+``MOST`` at most. Every row goes down to its leaf, and rows are written by leaf. A query walks the tree through one
+priority queue of nodes by distance to their centres, and visits leaves in that order. How many is calibrated: on the
+sample, with exact neighbours known, leaf visits widen until mean recall reaches ``RECALL``; a fuller table only makes
+neighbours nearer. Walks go on until the leaves hold more than k rows. Distances inside leaves are exact.
 
 A leaf with many rows (say, of one very common vector) is salted over several groups, all of which its queries meet.
+Each length of vectors has a tree of its own; one that the sample lacks is a single leaf. Where an id repeats, every row
+is a candidate and, if asked, a query of its own. An empty table gives an empty table; extra columns are ignored.
 """
 
+from __future__ import annotations
+
 from heapq import heappop, heappush
 
 import numpy as np
@@ -17,28 +21,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from avmatch.llm.store import stash
-from avmatch.llm.vectors import matrix, usable
+from avmatch.llm.vectors import by_length, kind, kmeans, matrix, nearest, usable
+from avmatch.llm.worker import bounded, small_batches
 
-SAMPLE, BRANCH, LEAF, RECALL, PROBES = 12_000, 8, 64, 0.97, 200
+SAMPLE, MOST, BRANCH, LEAF, RECALL, PROBES = 12_000, 100_000, 8, 64, 0.97, 200
 #: Rows of a leaf that one group holds.
 GROUP = 4096
 
 
-def kmeans(x: np.ndarray, k: int, rng: np.random.Generator, rounds: int = 10) -> tuple[np.ndarray, np.ndarray]:
-    centres = x[rng.choice(len(x), k, replace=False)]
-    of = np.zeros(len(x), int)
-    for _ in range(rounds):
-        of = nearest(x, centres)
-        for c in range(k):
-            if (of == c).any():
-                centres[c] = x[of == c].mean(0)
-    return centres, of
-
-
-def nearest(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
-    return ((centres**2).sum(1) - 2 * x @ centres.T).argmin(1)
-
-
 class Tree:
     """children[n]: first and one past the last child of node n, or (leaf number, -1)."""
 
@@ -111,64 +101,87 @@ def calibrate(tree: Tree, x: np.ndarray, k: int, recall: float = RECALL) -> int:
     return int(good[0]) + 1 if len(good) else tree.leaves
 
 
+class Forest:
+    """A tree for each length of vectors. Leaves are numbered through; a length without a tree has leaf -length."""
+
+    def __init__(self, sample: dict[int, np.ndarray], k: int):
+        self.trees, self.first, self.visits, self.leaves = {}, {}, {}, 0
+        for d, x in sorted(sample.items()):
+            tree = self.trees[d] = Tree(x)
+            self.first[d], self.visits[d] = self.leaves, calibrate(tree, x, k)
+            self.leaves += tree.leaves
+
+    def descend(self, d: int, x: np.ndarray) -> np.ndarray:
+        return self.first[d] + self.trees[d].descend(x) if d in self.trees else np.full(len(x), -d)
+
+    def walk(self, d: int, q: np.ndarray):
+        return (self.first[d] + leaf for leaf in self.trees[d].walk(q)) if d in self.trees else iter([-d])
+
+
 def search(table: DataFrame, k: int = 10, every: int = 100) -> DataFrame:
     """(query_id, rank, vec_id, score): for rows whose vec_id is divisible by `every`, the k nearest rows found by
-    Euclidean distance, nearest first, ties to the smaller id. Rows of the query's id are its own."""
+    Euclidean distance, nearest first, ties to the smaller id. Only the row itself is its own."""
     spark = table.sparkSession
+    small_batches(spark)
     rows = usable(table, zero=False)
     n = rows.count()
-    share = int((1 << 30) * min(1.0, SAMPLE / max(1, n)))
-    sample = rows.where(F.pmod(F.xxhash64("vec_id", F.lit("tree")), F.lit(1 << 30)) < share).orderBy("vec_id").collect()
-    if not sample:
-        return spark.sql("select * from values (0L, 0, 0L, 0D) as t(query_id, rank, vec_id, score) where false")
-    x = np.array([r["embedding"] for r in sample], np.float64)
-    tree = Tree(x)
-    visits = calibrate(tree, x, k)
+    share = int((1 << 30) * min(1.0, min(max(SAMPLE, n / 16), MOST) / max(1, n)))
+    found: dict[int, list] = {}
+    for r in rows.where(F.pmod(F.xxhash64("vec_id", F.lit("tree")), F.lit(1 << 30)) < share).collect():
+        found.setdefault(len(r["embedding"]), []).append((r["vec_id"], r["embedding"]))
+    forest = Forest({d: np.array([e for _, e in sorted(x)], np.float64) for d, x in found.items()}, k)
 
     def place(batches):
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([pa.array(tree.descend(matrix(batch.column("embedding")))), batch.column("vec_id"), batch.column("embedding")], ["leaf", "vec_id", "embedding"])
+            for d, part in by_length(batch):
+                yield pa.RecordBatch.from_arrays([pa.array(forest.descend(d, matrix(part.column("embedding")))), *part.columns], ["leaf", *part.schema.names])
 
-    index = stash(rows.mapInArrow(place, "leaf long, vec_id long, embedding array<float>"), "leaves")
-    size = np.zeros(tree.leaves, np.int64)
-    for r in index.groupBy("leaf").count().collect():  # a row for each leaf of the fixed-size tree
-        size[r["leaf"]] = r["count"]
-    salts = np.maximum(1, -(-size // GROUP))
+    index = rows.mapInArrow(lambda b: bounded(place(b)), f"leaf long, vec_id long, embedding {kind(table)}")
+    index = stash(index.withColumn("row", F.monotonically_increasing_id()), "leaves")
+    # A row for each leaf, of which the sample's bound sets the number, or each length that it lacks.
+    size = {r["leaf"]: r["count"] for r in index.groupBy("leaf").count().collect()}
+    salts = {leaf: -(-held // GROUP) for leaf, held in size.items()}
 
     def ask(batches):
         for batch in batches:
-            at, leaf, salt = [], [], []
-            for row, q in enumerate(matrix(batch.column("embedding"))):
-                held = 0
-                for seen, where in enumerate(tree.walk(q)):
-                    if seen >= visits and held > k:
-                        break
-                    held += size[where]
-                    at += [row] * int(salts[where])
-                    leaf += [where] * int(salts[where])
-                    salt += range(int(salts[where]))
-            some = batch.take(pa.array(at, pa.int64()))
-            yield pa.RecordBatch.from_arrays([pa.array(leaf, pa.int64()), pa.array(salt, pa.int64()), some.column("vec_id"), some.column("embedding")], ["leaf", "salt", "vec_id", "embedding"])
-
-    asking = rows.where(F.col("vec_id") % every == 0).mapInArrow(ask, "leaf long, salt long, vec_id long, embedding array<float>")
-    many = F.array(*map(F.lit, salts.tolist()))
-    salted = index.withColumn("salt", F.pmod(F.xxhash64("vec_id"), F.get(many, F.col("leaf").cast("int"))))
+            for d, part in by_length(batch):
+                at, leaf, salt = [], [], []
+                for row, q in enumerate(matrix(part.column("embedding"))):
+                    held = 0
+                    for seen, where in enumerate(forest.walk(d, q)):
+                        if seen >= forest.visits.get(d, 1) and held > k:
+                            break
+                        held += size.get(where, 0)
+                        many = salts.get(where, 0)
+                        at += [row] * many
+                        leaf += [where] * many
+                        salt += range(many)
+                some = part.take(pa.array(at, pa.int64()))
+                yield pa.RecordBatch.from_arrays([pa.array(leaf, pa.int64()), pa.array(salt, pa.int64()), *some.columns], ["leaf", "salt", *some.schema.names])
+
+    asking = index.where(F.col("vec_id") % every == 0).select("row", "vec_id", "embedding")
+    asking = asking.mapInArrow(lambda b: bounded(ask(b)), f"leaf long, salt long, row long, vec_id long, embedding {kind(table)}")
+    crowded = {leaf: many for leaf, many in salts.items() if many > 1}
+    many = F.coalesce(F.create_map(*(F.lit(x) for pair in crowded.items() for x in pair))[F.col("leaf")], F.lit(1)) if crowded else F.lit(1)
+    salted = index.withColumn("salt", F.pmod(F.xxhash64("row"), many.cast("long")))
 
     def meet(queries: pa.Table, held: pa.Table) -> pa.Table:
-        empty = pa.table({"query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
+        empty = pa.table({**{x: pa.array([], pa.int64()) for x in ("row", "query_id", "vec_id")}, "score": pa.array([], pa.float64())})
         if not len(queries) or not len(held):
             return empty
         held = held.sort_by("vec_id")
-        q, c, of, ids = matrix(queries.column("embedding")), matrix(held.column("embedding")), queries.column("vec_id").to_numpy(), held.column("vec_id").to_numpy()
+        q, c = matrix(queries.column("embedding")), matrix(held.column("embedding"))
+        mine, of = queries.column("row").to_numpy(), queries.column("vec_id").to_numpy()
+        theirs, ids = held.column("row").to_numpy(), held.column("vec_id").to_numpy()
         out = [empty]
-        for row in range(len(q)):
-            score = np.sqrt(((c - q[row]) ** 2).sum(1))
-            score[ids == of[row]] = np.inf
-            at = np.argsort(score, kind="stable")[:k]
-            at = at[np.isfinite(score[at])]
-            out.append(pa.table({"query_id": np.full(len(at), of[row]), "vec_id": ids[at], "score": score[at]}))
+        for n in range(len(q)):
+            score = np.sqrt(((c - q[n]) ** 2).sum(1))
+            score[theirs == mine[n]] = np.inf
+            at = np.argsort(score, kind="stable")[: k + 1]
+            at = at[theirs[at] != mine[n]][:k]
+            out.append(pa.table({"row": np.full(len(at), mine[n]), "query_id": np.full(len(at), of[n]), "vec_id": ids[at], "score": score[at]}))
         return pa.concat_tables(out)
 
-    met = asking.groupBy("leaf", "salt").cogroup(salted.groupBy("leaf", "salt")).applyInArrow(meet, "query_id long, vec_id long, score double")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
+    met = asking.groupBy("leaf", "salt").cogroup(salted.groupBy("leaf", "salt")).applyInArrow(meet, "row long, query_id long, vec_id long, score double")
+    rank = F.row_number().over(Window.partitionBy("row", "query_id").orderBy("score", "vec_id"))
     return met.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

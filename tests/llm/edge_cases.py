@@ -49,7 +49,8 @@ def embeddings():
     rows = [(k, [rng.gauss(0, 1) for _ in range(8)], 0, 1, 1.0) for k in range(0, 300)]
     rows += [(1000 + k, [0.5] * 8, 0, 1, 1.0) for k in range(120)]  # ties: one common vector
     rows += [(2000, None, 0, 1, 1.0), (2050, [None] * 8, 0, 1, 1.0), (2100, [float("nan")] * 8, 0, 1, 1.0), (2150, [float("inf")] + [0.0] * 7, 0, 1, 1.0), (2200, [0.0] * 8, 0, 1, 1.0)]
-    rows += [(None, [1.0] * 8, 0, 1, 1.0), (2300, [1.0] * 3, 0, 1, 1.0), (50, rows[50][1], 0, 1, 1.0)]
+    rows += [(None, [1.0] * 8, 0, 1, 1.0), (2300, [1.0] * 3, 0, 1, 1.0), (50, rows[50][1], 0, 1, 1.0), (50, rows[51][1], 0, 1, 1.0), (7, rows[8][1], 0, 1, 1.0)]
+    rows += [(2400, [2.0, -1.0, 0.5], 0, 1, 1.0), (2401, [1.0, 1.0, 1.0], 0, 1, 1.0), (2500, [3.0], 0, 1, 1.0)]
     return rows
 
 
