@@ -17,7 +17,10 @@ def fallback_match(rows: DataFrame, stored: DataFrame, order: str) -> DataFrame:
     for k in ("n_number", "serial"):
         filled = stored.where(F.trim(k) != "")
         first = pick_per_key(filled, [k], [order], last=False).select(F.col(k).alias(f"_k_{k}"), F.struct(*stored.columns).alias(f"_{k}"))
-        out = out.join(first, F.col(k) == F.col(f"_k_{k}"), "left").drop(f"_k_{k}")
+        # Rows without the key don't take part, so they don't meet in one task.
+        has = F.coalesce(F.trim(k) != "", F.lit(False))
+        none = out.where(~has).withColumn(f"_{k}", F.lit(None).cast(dict(first.dtypes)[f"_{k}"]))
+        out = out.where(has).join(first, F.col(k) == F.col(f"_k_{k}"), "left").drop(f"_k_{k}").unionByName(none)
     key = F.when(F.col("_n_number").isNotNull(), "n_number").when(F.col("_serial").isNotNull(), "serial")
     return out.withColumn("match_key", key).withColumn("stored", F.coalesce("_n_number", "_serial")).drop("_n_number", "_serial")
 

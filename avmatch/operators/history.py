@@ -28,10 +28,11 @@ def changes(events: DataFrame, key: str, order: Sequence[str], fields: Sequence[
     return out.where("c.changed").select(key, "c.field", "c.old_value", "c.new_value", "change_date")
 
 
-def feed_changes(events: DataFrame, key: str = "url") -> DataFrame:
+def feed_changes(events: DataFrame, key: str = "url", only: str | None = None) -> DataFrame:
     """History of two feeds that describe one listing: index events (feed 0) and detail events (feed 1) by date, feed
     and position. Price is compared over all events, status on index events with the index event before, location on
-    detail events with the event before of either feed, description and time with the detail event before."""
+    detail events with the event before of either feed, description and time with the detail event before. only: a flag
+of the events whose changes are asked for; others are just what came before."""
     line = Window.partitionBy(key).orderBy("date", "feed", "position")
     same_feed = Window.partitionBy(key, "feed").orderBy("date", "position")
     rows = events.withColumn("_n", F.row_number().over(line))
@@ -45,7 +46,8 @@ def feed_changes(events: DataFrame, key: str = "url") -> DataFrame:
     }
     for f, (old, applies) in rules.items():
         rows = rows.withColumn(f"_c_{f}", F.struct(F.lit(f).alias("field"), logged(old).alias("old_value"), logged(F.col(f)).alias("new_value"), (applies & ~F.col(f).eqNullSafe(old)).alias("changed")))
-    out = rows.where("_n > 1").select(key, F.col("date").alias("change_date"), F.explode(F.array(*(f"_c_{f}" for f in rules))).alias("c"))
+    asked = rows.where("_n > 1") if only is None else rows.where(F.col(only) & (F.col("_n") > 1))
+    out = asked.select(key, F.col("date").alias("change_date"), F.explode(F.array(*(f"_c_{f}" for f in rules))).alias("c"))
     return out.where("c.changed").select(key, "c.field", "c.old_value", "c.new_value", "change_date")
 
 

@@ -5,18 +5,29 @@ Two equi-joins instead of one join with OR, which Spark can only plan as a neste
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from avmatch.functions import clean
+from avmatch.operators.merge import pick_per_key
+
+
+def _with_key(rows: DataFrame, key: str, found: DataFrame, found_key: str) -> DataFrame:
+    """Left join of rows to found on a text key; rows without one don't take part, so they don't meet in one task."""
+    filled = F.coalesce(F.col(key) != "", F.lit(False))
+    extra = [F.lit(None).cast(t).alias(c) for c, t in found.dtypes if c != found_key]
+    with_key = rows.where(filled).join(found, F.col(key) == F.col(found_key), "left").drop(found_key)
+    return with_key.unionByName(rows.where(~filled).select("*", *extra))
+
 
 def lookup(records: DataFrame, entities: DataFrame) -> DataFrame:
     """records (serial, registration, ...) with entity_id and matched_by; the lowest id of a key wins."""
-    by = {}
-    for k in ("serial", "registration"):
-        by[k] = entities.where(F.col(k).isNotNull() & (F.col(k) != "")).groupBy(F.col(k).alias(f"_k_{k}")).agg(F.min("entity_id").alias(f"_by_{k}"))
     out = records
     for k in ("serial", "registration"):
-        out = out.join(by[k], F.col(k) == F.col(f"_k_{k}"), "left").drop(f"_k_{k}")
+        by = entities.where(F.col(k).isNotNull() & (F.col(k) != "")).groupBy(F.col(k).alias(f"_k_{k}")).agg(F.min("entity_id").alias(f"_by_{k}"))
+        out = _with_key(out, k, by, f"_k_{k}")
     out = out.withColumn("entity_id", F.coalesce("_by_serial", "_by_registration"))
     matched = F.when(F.col("_by_serial").isNotNull(), "serial").when(F.col("_by_registration").isNotNull(), "registration")
     return out.withColumn("matched_by", matched).drop("_by_serial", "_by_registration")
@@ -32,6 +43,31 @@ def new_keys(records: DataFrame, order: str) -> DataFrame:
     first = rows
     for k in ("serial", "registration"):
         heads = rows.where(F.col(k).isNotNull() & (F.col(k) != "")).groupBy(F.col(k).alias(f"_k_{k}")).agg(F.min(F.struct(order, "_own")).alias(f"_h_{k}"))
-        first = first.join(heads, F.col(k) == F.col(f"_k_{k}"), "left").drop(f"_k_{k}")
+        first = _with_key(first, k, heads, f"_k_{k}")
     head = F.least("_h_serial", "_h_registration")
     return first.withColumn("entity_key", head["_own"]).drop("_own", "_h_serial", "_h_registration")
+
+
+def get_or_create(records: DataFrame, entities: DataFrame, order: str) -> DataFrame:
+    """records with entity_id (text) of the known or else a new entity, whose id follows from its key, and is_new.
+
+    Records without identifiers have none.
+    """
+    known = lookup(records, entities).drop("matched_by")
+    fresh = known.where("entity_id is null").drop("entity_id")
+    named = new_keys(fresh, order)
+    named = named.withColumn("entity_id", clean.stable_id(F.lit("aircraft"), F.col("entity_key"))).drop("entity_key").withColumn("is_new", F.lit(True))
+    none = fresh.where((F.coalesce("serial", F.lit("")) == "") & (F.coalesce("registration", F.lit("")) == "")).withColumn("entity_id", F.lit(None).cast("string")).withColumn("is_new", F.lit(False))
+    return known.where("entity_id is not null").withColumn("is_new", F.lit(False)).unionByName(named).unionByName(none)
+
+
+def entity_rows(records: DataFrame, entities: DataFrame, order: Sequence[str]) -> DataFrame:
+    """The last record of each entity as what is to be filled in: blank text is null, and a registration that another
+    entity has, or a lower id of the batch claims, is left out."""
+    rows = pick_per_key(records.where("entity_id is not null"), ["entity_id"], order)
+    rows = rows.select(*((clean.blank_to_null(F.col(c)) if t == "string" else F.col(c)).alias(c) for c, t in rows.dtypes))
+    owner = entities.where("registration <> ''").groupBy(F.col("registration").alias("_reg")).agg(F.min("entity_id").alias("_owner"))
+    claim = rows.where("registration is not null").groupBy(F.col("registration").alias("_reg")).agg(F.min("entity_id").alias("_claim"))
+    rows = _with_key(_with_key(rows, "registration", owner, "_reg"), "registration", claim, "_reg")
+    mine = F.coalesce("_owner", "_claim") == F.col("entity_id")
+    return rows.withColumn("registration", F.when(mine, F.col("registration"))).drop("_owner", "_claim")

@@ -5,6 +5,8 @@ A merged table has a column action (inserted, updated, skipped, kept), from whic
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,8 +18,8 @@ LISTING = "url string, date date, feed int, position int, title string, make str
 LISTING_FILL = ["title", "make", "model", "year", "price", "status", "location", "description", "airframe_time", "serial", "registration", "features"]
 
 
-def index_events(feed: DataFrame, platform: str) -> DataFrame:
-    """Index records as listing events (feed 0). Records without a URL are dropped."""
+def index_events(feed: DataFrame, platform: str, keep: Sequence[str] = ()) -> DataFrame:
+    """Index records as listing events (feed 0), with the columns of `keep`. Records without a URL are dropped."""
     c = F.col
     return feed.where(clean.not_blank(c("listing_url"))).select(
         F.trim("listing_url").alias("url"), c("ingestion_date").alias("date"), F.lit(0).alias("feed"), c("pos").alias("position"),
@@ -25,12 +27,12 @@ def index_events(feed: DataFrame, platform: str) -> DataFrame:
         F.coalesce(clean.whole(c("year")), clean.year_in(c("aircraft_model"))).alias("year"), clean.price(c("listing_price")).alias("price"),
         F.lit("for_sale").alias("status"), clean.blank_to_null(c("listing_location")).alias("location"), F.lit(None).cast("string").alias("description"),
         clean.number(clean.hours_text(c("total_time_hours")), "decimal(10,1)").alias("airframe_time"), F.lit(None).cast("string").alias("serial"),
-        F.lit(None).cast("string").alias("registration"), F.lit(None).cast("array<string>").alias("features"), F.lit(platform).alias("platform"),
+        F.lit(None).cast("string").alias("registration"), F.lit(None).cast("array<string>").alias("features"), F.lit(platform).alias("platform"), *keep,
     )
 
 
-def detail_events(feed: DataFrame, platform: str) -> DataFrame:
-    """Detail records as listing events (feed 1)."""
+def detail_events(feed: DataFrame, platform: str, keep: Sequence[str] = ()) -> DataFrame:
+    """Detail records as listing events (feed 1), with the columns of `keep`."""
     c = F.col
     return feed.where(clean.not_blank(c("listing_url"))).select(
         F.trim("listing_url").alias("url"), c("ingestion_date").alias("date"), F.lit(1).alias("feed"), c("pos").alias("position"),
@@ -38,7 +40,7 @@ def detail_events(feed: DataFrame, platform: str) -> DataFrame:
         clean.whole(c("year")).alias("year"), clean.price(c("asking_price")).alias("price"), F.lit("for_sale").alias("status"),
         clean.blank_to_null(c("location")).alias("location"), clean.blank_to_null(c("description")).alias("description"),
         clean.number(clean.hours_text(c("total_time")), "decimal(10,1)").alias("airframe_time"), clean.clip(c("serial_number"), 100).alias("serial"),
-        clean.registration(c("registration_number")).alias("registration"), clean.feature_labels(c("avionics"), c("equipment"), c("props")).alias("features"), F.lit(platform).alias("platform"),
+        clean.registration(c("registration_number")).alias("registration"), clean.feature_labels(c("avionics"), c("equipment"), c("props")).alias("features"), F.lit(platform).alias("platform"), *keep,
     )
 
 
@@ -95,35 +97,58 @@ def load_once(rows: DataFrame, stored: DataFrame, key: str, date: str) -> DataFr
     return merge.insert_absent(stored, batch, [key, "ingestion_date"], ["seq"])
 
 
+def sale_rows(rows: DataFrame) -> DataFrame:
+    """Sales with a serial and a sale date, flags and features typed."""
+    valid = rows.where(clean.not_blank(F.col("serial_number")) & F.col("date_sold").isNotNull())
+    out = valid.withColumn("features", clean.comma_list(F.col("features"))).withColumn("has_damage", clean.is_true_text(F.col("has_damage")))
+    return out.withColumn("engine_deferred", clean.deferred(F.col("engine_program_deferment_amount"))).withColumn("apu_deferred", clean.deferred(F.col("apu_program_deferment_amount")))
+
+
 def load_sales(rows: DataFrame, stored: DataFrame, entities: DataFrame) -> DataFrame:
     """Sales to append: a serial and a sale date are needed, once per both; the aircraft is found by serial only."""
-    valid = rows.where(clean.not_blank(F.col("serial_number")) & F.col("date_sold").isNotNull())
-    new = merge.insert_absent(stored, valid, ["serial_number", "date_sold"], ["seq"])
+    new = merge.insert_absent(stored, sale_rows(rows), ["serial_number", "date_sold"], ["seq"])
     ids = entities.where(F.trim("serial") != "").groupBy(F.col("serial").alias("serial_number")).agg(F.min("entity_id").alias("entity_id"))
-    out = new.join(ids, "serial_number", "left").withColumn("features", clean.comma_list(F.col("features"))).withColumn("has_damage", clean.is_true_text(F.col("has_damage")))
-    return out.withColumn("engine_deferred", clean.deferred(F.col("engine_program_deferment_amount"))).withColumn("apu_deferred", clean.deferred(F.col("apu_program_deferment_amount")))
+    return new.join(ids, "serial_number", "left")
 
 
-def load_costs(feed: DataFrame, stored: DataFrame) -> DataFrame:
-    """Cost reference upserted by detail id; nested maker and category become columns."""
+def cost_rows(feed: DataFrame) -> DataFrame:
+    """Cost records with a detail id, typed; nested maker and category become columns, raw is the whole record."""
     c = F.col
-    rows = feed.where("aircraftDetailId is not null").select(
-        c("aircraftDetailId").alias("detail_id"), "name", c("aircraftManufacturer.name").alias("manufacturer"), c("aircraftCategory.category").alias("category"),
-        clean.either_cost(c("totalVariableCostPerHrsValue"), c("calc_TotalVariableCostPerHour")).alias("variable_cost_per_hour"), c("averagePreOwnedPrice").alias("average_price"),
-        c("fuelGallons").alias("fuel_gallons"), c("normalCruiseSpeedKts").alias("cruise_kts"), clean.iso_timestamp(c("lastUpdatedOn")).alias("updated_on"), F.to_json(F.struct(*feed.columns)).alias("raw"), "pos",
+    text = lambda name: clean.blank_to_null(c(name))
+    return feed.where("aircraftDetailId is not null").select(
+        c("aircraftDetailId").alias("detail_id"), text("name").alias("name"), text("description").alias("description"),
+        c("aircraftManufacturer.aircraftManufacturerId").alias("manufacturer_id"), text("aircraftManufacturer.name").alias("manufacturer"),
+        c("aircraftCategory.aircraftCategoryId").alias("category_id"), text("aircraftCategory.category").alias("category"),
+        text("avionics").alias("avionics"), text("yearsInProduction").alias("years_in_production"), c("averagePreOwnedPrice").alias("average_price"),
+        clean.either_cost(c("totalVariableCostPerHrsValue"), c("calc_TotalVariableCostPerHour")).alias("variable_cost_per_hour"),
+        c("fuelGallons").alias("fuel_gallons"), c("normalCruiseSpeedKts").alias("cruise_kts"), c("seatsFullRangeNm").alias("seats_full_range_nm"),
+        c("typicalPassengerCapacityMax").cast("int").alias("passengers_max"), c("maxTakeoffWeight").cast("int").alias("max_takeoff_weight"), text("powerplant").alias("powerplant"),
+        text("model").alias("engine_model"), clean.iso_timestamp(c("lastUpdatedOn")).alias("updated_on"), F.to_json(F.struct(*feed.columns)).alias("raw"), "pos",
     )
-    return merge.merge_latest(stored, rows, ["detail_id"], ["pos"])
 
 
-def load_fleet_pages(records: DataFrame, stored: DataFrame) -> DataFrame:
-    """Fleet page records upserted by (entity, date); named fields become columns, the rest stays a map."""
+def load_costs(feed: DataFrame, stored: DataFrame) -> DataFrame:
+    """Cost reference upserted by detail id."""
+    return merge.merge_latest(stored, cost_rows(feed), ["detail_id"], ["pos"])
+
+
+def fleet_page_rows(records: DataFrame) -> DataFrame:
+    """Fleet page records with an entity id: named fields become typed columns, all fields and sections stay."""
     c = F.col
-    rows = records.where("aircraft_entity_id is not null").select(
+    cell = lambda name: clean.cell_text(c("fields")[name])
+    return records.where("aircraft_entity_id is not null").select(
         c("aircraft_entity_id").alias("entity_id"), c("ingestion_date"), "make_model_id", "make_model_name", clean.clip(c("serial_number"), 100).alias("serial"),
-        clean.whole(c("fields")["MFR Year"]).alias("year"), clean.cell_text(c("fields")["EIS Date"]).alias("eis_date"), clean.cell_text(c("fields")["Registration"]).alias("registration"),
-        clean.for_sale(c("fields")["For Sale"]).alias("for_sale"), "fields", "pos",
+        clean.registration(cell("Registration")).alias("registration"), clean.whole(cell("MFR Year")).alias("year"), clean.clip(cell("EIS Date"), 20).alias("eis_date"),
+        clean.clip(cell("Country"), 10).alias("country_code"), clean.clip(cell("Base"), 20).alias("base_code"), clean.cell_href(c("fields")["Owner"]).alias("owner_url"),
+        *(clean.whole(cell(label)).alias(name) for label, name in (("Airframe Hours", "airframe_hours"), ("Total Landings", "total_landings"), ("Prior Owners", "prior_owners"), ("Passengers", "passengers"))),
+        clean.for_sale(c("fields")["For Sale"]).alias("for_sale"), clean.clip(cell("Engine Program Type"), 100).alias("engine_program_type"), clean.clip(cell("APU Program"), 100).alias("apu_program"),
+        "fields", *(x for x in ("sections", "file_path") if x in records.columns), "pos",
     )
-    return merge.merge_latest(stored, rows, ["entity_id", "ingestion_date"], ["pos"])
+
+
+def load_fleet_pages(records: DataFrame, stored: DataFrame) -> DataFrame:
+    """Fleet page records upserted by (entity, date)."""
+    return merge.merge_latest(stored, fleet_page_rows(records), ["entity_id", "ingestion_date"], ["pos"])
 
 
 def fleet_table(rows: DataFrame, stored: DataFrame | None = None) -> DataFrame:
@@ -146,16 +171,35 @@ def match_report(fleet: DataFrame, registry: DataFrame, require_serial: bool = F
 
 
 def image_index(pages: DataFrame, platform: str) -> DataFrame:
-    """pages (page_id, file_name, html, url, listing, ingestion_date) to one row per <platform>:<listing> with its photo URLs."""
-    found = html.images(pages).join(pages.select("page_id", "listing", F.col("url").alias("page_url"), "ingestion_date"), "page_id")
-    rows = found.select(F.concat_ws(":", F.lit(platform), "listing").alias("key"), F.col("ingestion_date").alias("date"), "page_id", "pos", F.col("url"), F.col("bucket").alias("source"), "page_url")
+    """pages (page_id, file_name, html, url, listing, ingestion_date) to one row per <platform>:<listing> with its photo
+    URLs, by the platform's rule set; the page says its own address, or has `url`."""
+    own = html.own_urls(pages)
+    told = pages.join(own, "page_id", "left").select("page_id", "listing", F.coalesce("own_url", "url").alias("page_url"), "ingestion_date")
+    found = html.images(pages, platform).join(told, "page_id")
+    place = F.struct("rank", "pos").alias("pos")
+    rows = found.select(F.concat_ws(":", F.lit(platform), "listing").alias("key"), F.col("ingestion_date").alias("date"), "page_id", place, F.col("url"), F.col("bucket").alias("source"), "page_url")
     return html.merge_urls(rows)
 
 
+def image_counts(index: DataFrame) -> DataFrame:
+    """(platform, listings, urls) of an image index."""
+    return index.groupBy(F.split("key", ":")[0].alias("platform")).agg(F.count("*").alias("listings"), F.sum(F.size("urls")).alias("urls"))
+
+
+def with_images(listings: DataFrame, index: DataFrame) -> DataFrame:
+    """listings (platform, url, ...) with images: the URLs of their page, null where none was saved."""
+    found = index.select(F.col("key").alias("_key"), F.col("urls").alias("images"))
+    return listings.withColumn("_key", F.concat_ws(":", "platform", clean.listing_id(F.col("url")))).join(found, "_key", "left").drop("_key")
+
+
+#: The flat export's columns and the field each is read from.
+EXPORT = {"registration": "Registration", "mfr_year": "MFR Year", "eis_date": "EIS Date", "country": "Country", "base": "Base", "owner": "Owner", "for_sale": "For Sale", "prior_owners": "Prior Owners", "airframe_hours": "Airframe Hours", "total_landings": "Total Landings", "engine_program_type": "Engine Program Type", "apu_program": "APU Program", "passengers": "Passengers"}
+
+
 def fleet_export(records: DataFrame) -> DataFrame:
-    """Fleet records (fields and links maps) as flat display text."""
-    shown = F.transform_values("fields", lambda k, v: F.coalesce(clean.cell_shown(v), F.lit("")))
-    return records.withColumn("fields", shown).withColumn("fields", F.to_json("fields"))
+    """Fleet records as 19 flat columns: links as text (href), booleans as Yes or No, all fields and sections as JSON."""
+    shown = (F.coalesce(clean.cell_shown(F.col("fields")[label]), F.lit("")).alias(name) for name, label in EXPORT.items())
+    return records.select("make_model_id", "make_model_name", "serial_number", "aircraft_entity_id", *shown, F.to_json("fields").alias("fields_json"), F.to_json("sections").alias("sections_json"))
 
 
 def run_summary(merged: dict[str, DataFrame]) -> DataFrame:

@@ -36,9 +36,23 @@ MASTER = {
 ACFTREF = {"code": ["CODE"], "manufacturer": ["MFR"], "model": ["MODEL"], "aircraft_type": ["TYPE-ACFT"], "engine_type": ["TYPE-ENG"], "category": ["AC-CAT"], "builder": ["BUILD-CERT-IND"], "engines": ["NO-ENG"], "seats": ["NO-SEATS"], "weight": ["AC-WEIGHT"], "speed": ["SPEED"], "tc_data_sheet": ["TC-DATA-SHEET"], "tc_data_holder": ["TC-DATA-HOLDER"]}
 ENGINE = {"code": ["CODE"], "manufacturer": ["MFR"], "model": ["MODEL"], "type": ["TYPE"], "horsepower": ["HORSEPOWER"], "thrust": ["THRUST"]}
 DEALER = {"certificate_number": ["CERTIFICATE-NUMBER"], "ownership": ["OWNERSHIP"], "certificate_date": ["CERTIFICATE-DATE"], "expiration_date": ["EXPIRATION-DATE"], "expiration_flag": ["EXPIRATION-FLAG"], "issue_count": ["CERTIFICATE-ISSUE-COUNT"], "name": ["NAME"], "street": ["STREET"], "street2": ["STREET2"], "city": ["CITY"], "state": ["STATE-ABBREV"], "zip": ["ZIP-CODE"], **{f"other_name_{k}": [f"OTHER-NAMES-{k}"] for k in range(1, 26)}}
-DEREG = {"n_number": ["N-NUMBER"], "serial": ["SERIAL-NUMBER", "SERIAL NUMBER"], "code": ["MFR-MDL-CODE"], "status_code": ["STATUS-CODE"], "name": ["NAME"], "engine_code": ["ENG-MFR-MDL"], "year": ["YEAR-MFR"], "certification": ["CERTIFICATION"], "region": ["REGION"], "air_worth_date": ["AIR-WORTH-DATE"], "cancel_date": ["CANCEL-DATE"], "mode_s_code": ["MODE-S-CODE"], "indicator_group": ["INDICATOR-GROUP"], "export_country": ["EXP-COUNTRY"], "last_action_date": ["LAST-ACT-DATE"], "cert_issue_date": ["CERT-ISSUE-DATE"], **{f"other_name_{k}": [f"OTHER-NAMES({k})"] for k in range(1, 6)}, "kit": ["KIT MFR, KIT MODEL"], "mode_s_code_hex": ["MODE S CODE HEX"]}
-DOCINDEX = {"collateral_type": ["TYPE-COLLATERAL"], "collateral": ["COLLATERAL"], "party": ["PARTY"], "doc_id": ["DOC-ID"], "drdate": ["DRDATE"], "processing_date": ["PROCESSING-DATE"], "corr_date": ["CORR-DATE"], "corr_id": ["CORR-ID"], "serial_id": ["SERIAL-ID"], "doc_type": ["DOC-TYPE"]}
-RESERVED = {"n_number": ["N-NUMBER"], "registrant": ["REGISTRANT"], "street": ["STREET"], "street2": ["STREET2"], "city": ["CITY"], "state": ["STATE"], "zip": ["ZIP CODE"], "rsv_date": ["RSV DATE"], "type_reservation": ["TR"], "exp_date": ["EXP DATE"], "n_number_change": ["N-NUM-CHG"], "purge_date": ["PURGE DATE"]}
+MAILING = {f"{name}_{kind}": [f"{spelling}-{kind.upper()}"] for kind in ("mail", "physical") for name, spelling in (("street", "STREET"), ("street2", "STREET2"), ("city", "CITY"), ("state", "STATE-ABBREV"), ("zip", "ZIP-CODE"), ("county", "COUNTY"), ("country", "COUNTRY"))}
+DEREG = {**MAILING, "n_number": ["N-NUMBER", "N_NUMBER"], "serial": ["SERIAL-NUMBER", "SERIAL NUMBER"], "code": ["MFR-MDL-CODE"], "status_code": ["STATUS-CODE"], "name": ["NAME"], "engine_code": ["ENG-MFR-MDL"], "year": ["YEAR-MFR"], "certification": ["CERTIFICATION"], "region": ["REGION"], "air_worth_date": ["AIR-WORTH-DATE"], "cancel_date": ["CANCEL-DATE"], "mode_s_code": ["MODE-S-CODE"], "indicator_group": ["INDICATOR-GROUP"], "export_country": ["EXP-COUNTRY"], "last_action_date": ["LAST-ACT-DATE"], "cert_issue_date": ["CERT-ISSUE-DATE"], **{f"other_name_{k}": [f"OTHER-NAMES({k})"] for k in range(1, 6)}, "kit": ["KIT MFR, KIT MODEL"], "mode_s_code_hex": ["MODE S CODE HEX"]}
+DOCINDEX = {"collateral_type": ["TYPE-COLLATERAL"], "collateral": ["COLLATERAL"], "party": ["PARTY"], "doc_id": ["DOC-ID", "DOC_ID"], "drdate": ["DRDATE"], "processing_date": ["PROCESSING-DATE"], "corr_date": ["CORR-DATE"], "corr_id": ["CORR-ID"], "serial_id": ["SERIAL-ID"], "doc_type": ["DOC-TYPE"]}
+RESERVED = {"n_number": ["N-NUMBER", "N_NUMBER"], "registrant": ["REGISTRANT"], "street": ["STREET"], "street2": ["STREET2"], "city": ["CITY"], "state": ["STATE"], "zip": ["ZIP CODE"], "rsv_date": ["RSV DATE"], "type_reservation": ["TR"], "exp_date": ["EXP DATE"], "n_number_change": ["N-NUM-CHG"], "purge_date": ["PURGE DATE"]}
+
+#: Registry files beside MASTER: table, file, columns, key, whole numbers, dates, and whether a held key stays as it is.
+REGISTRY_FILES = (
+    ("aircraft_reference", "ACFTREF.txt", ACFTREF, "code", ("engines", "seats"), (), False),
+    ("dealers", "DEALER.txt", DEALER, "certificate_number", ("ownership", "issue_count"), ("certificate_date", "expiration_date"), False),
+    ("deregistered", "DEREG.txt", DEREG, "serial", ("year",), ("air_worth_date", "cancel_date", "last_action_date", "cert_issue_date"), True),
+    ("engine_reference", "ENGINE.txt", ENGINE, "code", ("horsepower", "thrust"), (), False),
+    ("document_index", "DOCINDEX.txt", DOCINDEX, "serial_id", ("collateral_type",), ("drdate", "processing_date", "corr_date"), True),
+    ("reserved", "RESERVED.txt", RESERVED, "n_number", (), ("rsv_date", "exp_date", "purge_date"), True),
+)
+#: Sources in load order, as their folders are named, and the files of the undated one.
+SOURCES = ("controller", "aircraftexchange", "faa", "internaldb", "aviacost")
+FLEET_FILE, SALES_FILE = "aircraft.csv", "recent_sales.csv"
 
 #: Fleet CSV: header -> (column, type).
 FLEET = {

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from functools import reduce
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -14,29 +15,37 @@ from avmatch.functions import clean
 #: Elements without an end tag.
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 #: Attributes that rules read.
-ATTRIBUTES = ("class", "id", "href", "src", "srcset", "name", "value", "content", "property", "rel")
+ATTRIBUTES = ("class", "id", "href", "src", "srcset", "name", "value", "content", "property", "rel", "as", "type", "data-fancybox", "data-listing-id")
+#: Elements whose text is no part of the page's.
+HIDDEN = ("script", "style")
+#: Elements in one output batch.
+ROWS = 4096
 NODES = "page_id {0}, node int, scope int, scope_class string, section string, depth int, tag string, attrs map<string, string>, text string"
 
 
 class _Elements(HTMLParser):
-    """Elements in document order with their subtree's text. scope: the nearest element around it with a scope class;
-    section: the nearest id around it."""
+    """Elements in document order with their subtree's text, scripts and styles aside. scope: the nearest element around it
+    with a scope class; section: the nearest id around it. Only wanted tags and scopes are kept and gather text."""
 
-    def __init__(self, scopes: Sequence[str]):
+    def __init__(self, scopes: Sequence[str], wanted: frozenset[str] | None):
         super().__init__(convert_charrefs=True)
-        self.scopes, self.rows, self.open = scopes, [], []
+        self.scopes, self.wanted, self.rows, self.open, self.count = scopes, wanted, [], [], 0
 
     def handle_starttag(self, tag, attrs):
         kept = {k: v or "" for k, v in attrs if k in ATTRIBUTES}
         scope, scope_class = (self.open[-1][1], self.open[-1][2]) if self.open else (-1, None)
         section = kept.get("id") or (self.open[-1][4] if self.open else None)
         mine = next((s for s in self.scopes if f" {s} " in f" {kept.get('class', '')} "), None)
-        row = {"node": len(self.rows), "scope": scope, "scope_class": scope_class, "section": section, "depth": len(self.open), "tag": tag, "attrs": list(kept.items()), "text": []}
+        node, depth = self.count, len(self.open)
+        self.count += 1
         if mine:
-            row["scope"], row["scope_class"] = row["node"], mine
-        self.rows.append(row)
+            scope, scope_class = node, mine
+        row = None
+        if mine or self.wanted is None or tag in self.wanted:
+            row = {"node": node, "scope": scope, "scope_class": scope_class, "section": section, "depth": depth, "tag": tag, "attrs": list(kept.items()), "text": []}
+            self.rows.append(row)
         if tag not in VOID:
-            self.open.append((tag, row["scope"], row["scope_class"], row, section))
+            self.open.append((tag, scope, scope_class, row, section))
 
     def handle_endtag(self, tag):
         for k in range(len(self.open) - 1, -1, -1):
@@ -45,12 +54,17 @@ class _Elements(HTMLParser):
                 return
 
     def handle_data(self, data):
-        for _, _, _, row, _ in self.open:
-            row["text"].append(data)
+        hidden = self.open and self.open[-1][0] in HIDDEN
+        for _, _, _, row, _ in self.open[-1:] if hidden else self.open:
+            if row is not None:
+                row["text"].append(data)
+
+
+COLUMNS = (("node", pa.int32()), ("scope", pa.int32()), ("scope_class", pa.string()), ("section", pa.string()), ("depth", pa.int32()), ("tag", pa.string()), ("attrs", pa.map_(pa.string(), pa.string())))
 
 
 def nodes(pages: DataFrame, scopes: Sequence[str] = (), tags: Sequence[str] | None = None) -> DataFrame:
-    """pages (page_id, html) to one row per element. tags: only these elements are returned.
+    """pages (page_id, html) to one row per element. tags: only these elements, and scopes, are returned.
 
     Null pages have no elements. Text is the subtree's, runs of white space as one blank.
     """
@@ -58,19 +72,16 @@ def nodes(pages: DataFrame, scopes: Sequence[str] = (), tags: Sequence[str] | No
 
     def run(batches) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at, rows = [], []
-            for k, html in enumerate(batch.column("html").to_pylist()):
-                parser = _Elements(scopes)
-                parser.feed(html or "")
+            for k, html in enumerate(batch.column("html")):
+                parser = _Elements(scopes, wanted)
+                parser.feed(html.as_py() or "")
                 parser.close()
-                some = [r for r in parser.rows if wanted is None or r["tag"] in wanted or r["scope"] == r["node"]]
-                at += [k] * len(some)
-                rows += some
-            cols = [batch.column("page_id").take(pa.array(at, pa.int64()))]
-            for name, kind in (("node", pa.int32()), ("scope", pa.int32()), ("scope_class", pa.string()), ("section", pa.string()), ("depth", pa.int32()), ("tag", pa.string()), ("attrs", pa.map_(pa.string(), pa.string()))):
-                cols.append(pa.array([r[name] for r in rows], kind))
-            cols.append(pa.array([" ".join("".join(r["text"]).split()) for r in rows], pa.string()))
-            yield pa.RecordBatch.from_arrays(cols, ["page_id", "node", "scope", "scope_class", "section", "depth", "tag", "attrs", "text"])
+                for lo in range(0, len(parser.rows), ROWS):
+                    rows = parser.rows[lo : lo + ROWS]
+                    cells = [pa.array([r[name] for r in rows], kind) for name, kind in COLUMNS]
+                    text = pa.array([" ".join("".join(r["text"]).split()) for r in rows], pa.string())
+                    page = batch.column("page_id").take(pa.array([k] * len(rows)))
+                    yield pa.RecordBatch.from_arrays([page, *cells, text], ["page_id", *(name for name, _ in COLUMNS), "text"])
 
     return pages.select("page_id", "html").mapInArrow(run, NODES.format(dict(pages.dtypes)["page_id"]))
 
@@ -144,26 +155,60 @@ def is_photo(url: Column) -> Column:
     return F.coalesce(url.startswith("http") & ~F.coalesce(bad, F.lit(False)), F.lit(False))
 
 
-def images(pages: DataFrame) -> DataFrame:
-    """(page_id, bucket, pos, url): photo URLs from meta tags, preload links, galleries, img and srcset, and embedded
-    JSON, once per page and bucket in first-seen order."""
-    rows = nodes(pages, tags=["meta", "link", "img", "source", "a"])
-    prop = F.coalesce(attr("property"), attr("name"))
-    bucket = (
-        F.when((F.col("tag") == "meta") & prop.isin("og:image", "og:image:secure_url", "twitter:image"), "meta")
-        .when((F.col("tag") == "link") & (attr("rel") == "preload"), "preload")
-        .when((F.col("tag") == "a") & F.lower(attr("href")).rlike(r"\.(jpg|jpeg|png|webp|gif)(\?|$)"), "gallery")
-        .when(F.col("tag").isin("img", "source"), "img")
-    )
-    plain = F.coalesce(attr("content"), attr("href"), attr("src"))
-    sizes = F.transform(F.split(F.coalesce(attr("srcset"), F.lit("")), ","), lambda x: F.split(F.trim(x), " ")[0])
-    each = F.filter(F.concat(F.array(plain), sizes), lambda x: x.isNotNull() & (x != ""))
-    found = rows.withColumn("bucket", bucket).where("bucket is not null").select("page_id", "bucket", F.col("node").alias("pos"), F.explode(each).alias("url"))
-    in_json = F.regexp_extract_all("html", F.lit(r'"(?:MediaUrl|FullScreenUrl)"\s*:\s*"(https?://[^"]*)"'), F.lit(1))
-    embedded = pages.select("page_id", F.lit("json").alias("bucket"), F.posexplode(in_json).alias("pos", "url"))
-    urls = found.unionByName(embedded.withColumn("pos", F.col("pos").cast("int")))
-    urls = urls.withColumn("url", clean.normal_url(F.col("url"))).where(is_photo(F.col("url")))
-    return urls.groupBy("page_id", "bucket", "url").agg(F.min("pos").alias("pos")).select("page_id", "bucket", "pos", "url")
+#: The image host's path, URL keys of the embedded JSON, and the shape of an image URL in any text.
+PRELOADED = "sandhills.com/img.axd"
+EMBEDDED = r'"(?:MediaUrl|FullScreenUrl)"\s*:\s*"(https://media\.sandhills\.com/img\.axd[^"]*)"'
+IMAGE_URL = r"(?i)(https?://[^\s\"'<>]+?\.(?:jpg|jpeg|png|webp|gif)(?:\?[^\s\"'<>]*)?)"
+#: Buckets of each site's rule set, in merge order; other sites have the generic one.
+IMAGE_RULES = {"aircraftexchange": ("og", "twitter", "gallery"), "controller": ("meta", "preload", "embedded_json"), "aircraftpost": ("meta", "img_tags"), "generic": ("all",)}
+
+
+def images(pages: DataFrame, site: str = "generic") -> DataFrame:
+    """(page_id, bucket, rank, pos, url): photo URLs by a site's rule set, once per page and bucket in first-seen order.
+
+    og and twitter: the first such meta tag each; meta: both (of the fleet site only og). gallery: anchors of the gallery.
+    preload: links as=image on the image host. embedded_json: URLs of the embedded JSON. img_tags: img src and srcset,
+    then any image URL in the page's text. all: og, twitter, then img src. rank: the bucket's place.
+    """
+    site = site if site in IMAGE_RULES else "generic"
+    buckets = IMAGE_RULES[site]
+    rows = nodes(pages, tags=["meta", "link", "img", "a"])
+    tag, content, src = F.col("tag"), attr("content"), attr("src")
+    og = (tag == "meta") & (attr("property") == "og:image") & (content != "")
+    twitter = (tag == "meta") & (attr("name") == "twitter:image") & (content != "")
+    first = rows.where(og | twitter).groupBy("page_id", og.alias("is_og")).agg(F.min_by(content, "node").alias("url"))
+    first = first.select("page_id", F.when(F.col("is_og"), 0).otherwise(1).alias("pos"), "url")
+    found = []
+
+    def add(bucket: str, part: DataFrame) -> None:
+        found.append(part.select("page_id", F.lit(bucket).alias("bucket"), F.lit(buckets.index(bucket)).alias("rank"), F.col("pos").cast("long").alias("pos"), clean.normal_url(F.col("url")).alias("url")))
+
+    if site == "aircraftexchange":
+        add("og", first.where("pos = 0"))
+        add("twitter", first.where("pos = 1"))
+        add("gallery", rows.where((tag == "a") & (attr("data-fancybox") == "gallery")).select("page_id", F.col("node").alias("pos"), attr("href").alias("url")))
+    elif site == "controller":
+        add("meta", first)
+        links_in = rows.where((tag == "link") & (attr("rel") == "preload") & (F.lower(attr("as")) == "image") & attr("href").contains(PRELOADED))
+        add("preload", links_in.select("page_id", F.col("node").alias("pos"), attr("href").alias("url")))
+        add("embedded_json", pages.select("page_id", F.posexplode(F.regexp_extract_all("html", F.lit(EMBEDDED), F.lit(1))).alias("pos", "url")))
+    else:
+        add("meta" if site == "aircraftpost" else "all", first.where("pos = 0") if site == "aircraftpost" else first)
+        sizes = F.transform(F.split(F.coalesce(attr("srcset"), F.lit("")), ","), lambda x: F.split(F.trim(x), r"\s+")[0])
+        each = F.concat(F.array(src), sizes) if site == "aircraftpost" else F.array(src)
+        tags = rows.where(tag == "img").select("page_id", "node", F.posexplode(each).alias("n", "url")).where(F.col("url").startswith("http"))
+        add(buckets[-1], tags.select("page_id", (F.col("node").cast("long") * 1000 + F.col("n") + 2).alias("pos"), "url"))
+        if site == "aircraftpost":
+            text = pages.select("page_id", F.posexplode(F.regexp_extract_all("html", F.lit(IMAGE_URL), F.lit(1))).alias("n", "url"))
+            add("img_tags", text.select("page_id", (F.col("n") + F.lit(1 << 50)).alias("pos"), F.regexp_replace("url", r'[",)]+$', "").alias("url")))
+    urls = reduce(DataFrame.unionByName, found).where(is_photo(F.col("url")))
+    return urls.groupBy("page_id", "bucket", "rank", "url").agg(F.min("pos").alias("pos")).select("page_id", "bucket", "rank", "pos", "url")
+
+
+def own_urls(pages: DataFrame) -> DataFrame:
+    """(page_id, own_url): what a page says its address is."""
+    found = nodes(pages, tags=["meta"]).where((attr("property") == "og:url") & (attr("content") != ""))
+    return found.groupBy("page_id").agg(clean.normal_url(F.min_by(attr("content"), "node")).alias("own_url"))
 
 
 def pagination(pages: DataFrame) -> DataFrame:
@@ -173,29 +218,46 @@ def pagination(pages: DataFrame) -> DataFrame:
     return pages.select("page_id", n[0].alias("first"), n[1].alias("last"), n[2].alias("total"), (n[1] >= n[2]).alias("is_last"))
 
 
+#: Aircraft types that an index card may name.
+CARD_TYPES = r"(Jet Aircraft|Piston Single Aircraft|Piston Twin Aircraft|Turboprop Aircraft|Helicopter|Other)"
+
+
 def cards(pages: DataFrame, card_class: str, link_part: str, title_class: str | None = None) -> DataFrame:
-    """Index cards: (page_id, position, url, title, price, location, seller, phone, email, premium, text), once per page
-    and URL. A card is an element with card_class; its link's href contains link_part."""
+    """Index cards: (page_id, position, url, listing_id, title, year, aircraft_type, price, location, hours, seller, phone,
+    email, premium, payment, text), once per page and URL. A card is an element with card_class; its link's href
+    contains link_part."""
     rows = nodes(pages, scopes=[card_class]).where("scope >= 0")
     pick = lambda value, cond: F.min_by(F.when(cond, value), F.when(cond, F.col("node")))
     in_class = lambda part: F.coalesce(F.lower(attr("class")).contains(part), F.lit(False))
     text, href = F.col("text"), attr("href")
     is_link = (F.col("tag") == "a") & F.coalesce(href.contains(link_part), F.lit(False))
     title = (is_link & (text != "")) if title_class is None else has_class(title_class)
+    numbered = (F.col("tag") == "div") & F.coalesce(attr("id").rlike("^[0-9]+$"), F.lit(False))
     found = rows.groupBy("page_id", "scope").agg(
         pick(href, is_link).alias("url"),
+        F.coalesce(pick(attr("data-listing-id"), attr("data-listing-id") != ""), pick(attr("id"), numbered)).alias("given_id"),
         pick(text, title).alias("title"),
+        pick(text, in_class("aircraft-type")).alias("type_text"),
         pick(text, in_class("price")).alias("price"),
         pick(text, in_class("location")).alias("location"),
+        pick(text, in_class("total-time")).alias("time_text"),
         pick(text, in_class("seller") | in_class("dealer")).alias("seller"),
         pick(F.substring(href, 5, 100), F.coalesce(href.startswith("tel:"), F.lit(False))).alias("phone"),
         pick(F.substring(href, 8, 200), F.coalesce(href.startswith("mailto:"), F.lit(False))).alias("email"),
-        F.max(in_class("premium")).alias("premium"),
+        F.max(in_class("premium") | text.contains("Premium Listing")).alias("premium"),
         F.max_by(text, F.length(text)).alias("text"),
     )
     found = found.where("url is not null")
     once = found.groupBy("page_id", "url").agg(F.min_by(F.struct(*(c for c in found.columns if c not in ("page_id", "url"))), "scope").alias("c")).select("page_id", "url", "c.*")
-    return once.withColumn("position", F.row_number().over(Window.partitionBy("page_id").orderBy("scope"))).drop("scope")
+    once = once.withColumn("position", F.row_number().over(Window.partitionBy("page_id").orderBy("scope")))
+    part = lambda x, shape: F.nullif(F.trim(F.regexp_extract(x, shape, 1)), F.lit(""))
+    return once.select(
+        "page_id", "position", "url", F.coalesce("given_id", clean.listing_id(F.col("url"))).alias("listing_id"), "title", clean.year_in(F.col("title")).alias("year"),
+        F.coalesce("type_text", part(F.col("text"), CARD_TYPES)).alias("aircraft_type"), "price", F.trim(F.regexp_replace("location", r"(?i)^Location:\s*", "")).alias("location"),
+        F.regexp_replace(part(F.coalesce("time_text", "text"), r"(?i)Total\s+Time[:\s]+([\d,]+\.?\d*)"), ",", "").alias("hours"),
+        F.coalesce(part(F.col("seller"), r"(?i)Seller[:\s]+(.+)"), F.col("seller")).alias("seller"),
+        F.coalesce("phone", part(F.col("text"), r"(\(?\d{3}\)?[-.\s]?\d{3}[-.\s]?\d{4})")).alias("phone"), "email", "premium", part(F.col("text"), r"(?i)Payments\s+as\s+low\s+as\s+([^\\*]+)").alias("payment"), "text",
+    )
 
 
 #: Phrases of the two not-found pages.
@@ -210,32 +272,86 @@ def page_class(html: Column, table_mark: str = "detail-table") -> Column:
 
 
 def fleet_tables(pages: DataFrame) -> DataFrame:
-    """Wide fleet tables to (page_id, column, section, label, value, href): header cells are aircraft, body rows are
-    fields; rows with a title cell open a section. Pages that are not found or have no table give no rows."""
+    """Wide fleet tables to (page_id, column, serial_number, aircraft_entity_id, section, subsection, label, value, href, tr).
+
+    Header cells but the first are aircraft: a serial and the value of a hidden choice. Body rows are fields, by the cell
+    that heads them; title cells open a section, sub-title cells a part of it. Rows that are short give nulls. A page
+    that is not found, or has no table or aircraft, gives no rows; of several tables the first counts.
+    """
     data = pages.where(page_class(F.col("html")) == "data")
-    rows = nodes(data, scopes=["detail-table"], tags=["tr", "td", "th", "a", "i"]).where("scope >= 0")
+    rows = nodes(data, scopes=["detail-table"], tags=["thead", "tbody", "tr", "td", "th", "a", "i", "input"]).where("scope >= 0")
     line = Window.partitionBy("page_id").orderBy("node").rowsBetween(Window.unboundedPreceding, 0)
-    rows = rows.withColumn("tr", F.max(F.when(F.col("tag") == "tr", F.col("node"))).over(line)).withColumn("cell", F.max(F.when(F.col("tag").isin("td", "th"), F.col("node"))).over(line))
-    cells = rows.where("tr is not null and cell > tr").groupBy("page_id", "tr", "cell").agg(
+    last = lambda *tags: F.max(F.when(F.col("tag").isin(*tags), F.col("node"))).over(line)
+    rows = rows.withColumn("first", F.min("scope").over(Window.partitionBy("page_id"))).where("scope = first")
+    rows = rows.withColumn("head", F.coalesce(last("thead") > F.coalesce(last("tbody"), F.lit(-1)), F.lit(False))).withColumn("tr", last("tr")).withColumn("cell", last("td", "th"))
+    cells = rows.where("tr is not null and cell > tr").groupBy("page_id", "head", "tr", "cell").agg(
         F.max_by("text", F.col("tag").isin("td", "th")).alias("text"),
-        F.max(F.when(F.col("tag") == "a", attr("href"))).alias("href"),
+        F.max(F.col("tag") == "th").alias("is_th"),
+        F.min_by(F.when(F.col("tag") == "a", attr("href")), F.when((F.col("tag") == "a") & (attr("href") != ""), F.col("node"))).alias("href"),
+        F.min_by(F.when(F.col("tag") == "a", F.col("text")), F.when((F.col("tag") == "a") & (attr("href") != ""), F.col("node"))).alias("link_text"),
         F.max((F.col("tag") == "i") & F.coalesce(attr("class").contains("fa"), F.lit(False))).alias("mark"),
+        F.max(F.when((F.col("tag") == "input") & has_class("select_aircraft"), attr("value"))).alias("entity"),
         F.max(has_class("th-title")).alias("is_section"),
+        F.max(has_class("td-sub-title")).alias("is_part"),
     )
-    at = Window.partitionBy("page_id", "tr").orderBy("cell")
-    cells = cells.withColumn("column", F.row_number().over(at) - 1).withColumn("label", F.first("text").over(at))
-    by_row = Window.partitionBy("page_id").orderBy("tr", "cell").rowsBetween(Window.unboundedPreceding, 0)
-    cells = cells.withColumn("section", F.last(F.when(F.col("is_section"), F.col("text")), ignorenulls=True).over(by_row))
-    value = F.when(F.col("mark") & F.col("text").contains("✔"), "true").otherwise(F.nullif("text", F.lit("")))
-    return cells.where("column > 0 and not is_section").select("page_id", "column", "section", "label", value.alias("value"), "href")
+    page = Window.partitionBy("page_id").orderBy("cell")
+    heads = cells.where("head and is_th").withColumn("n", F.row_number().over(page)).withColumn("serial_number", F.split("text", " ")[0]).where("n > 1 and serial_number <> ''")
+    heads = heads.select("page_id", (F.row_number().over(page) - 1).alias("column"), "serial_number", F.col("entity").try_cast("int").alias("aircraft_entity_id"))
+
+    by_row = cells.where("not head").groupBy("page_id", "tr").agg(
+        F.min_by(F.when(F.col("is_th"), F.struct("text", "is_section", "is_part")), F.when(F.col("is_th"), F.col("cell"))).alias("th"),
+        F.array_sort(F.collect_list(F.when(~F.col("is_th"), F.struct("cell", "text", "href", "link_text", "mark")))).alias("tds"),
+    ).where("th.text <> ''")
+    down = Window.partitionBy("page_id").orderBy("tr").rowsBetween(Window.unboundedPreceding, 0)
+    opened = lambda cond, value: F.last(F.when(cond, value), ignorenulls=True).over(down)
+    is_section, is_part = F.col("th.is_section"), F.col("th.is_part") & ~F.col("th.is_section")
+    by_row = by_row.withColumn("section", opened(is_section, F.struct(F.col("th.text").alias("name"), "tr"))).withColumn("part", opened(is_part, F.struct(F.col("th.text").alias("name"), "tr")))
+    by_row = by_row.where(~is_section & ~is_part & (F.size("tds") > 0))
+    part = F.when(F.col("part.tr") > F.coalesce("section.tr", F.lit(-1)), F.col("part.name"))
+    cell = F.get("tds", F.col("column"))
+    value = F.when(cell["mark"] & cell["text"].contains("✔"), "true").when(cell["href"].isNotNull(), F.nullif(cell["link_text"], F.lit(""))).otherwise(F.nullif(cell["text"], F.lit("")))
+    href = F.when(~(cell["mark"] & cell["text"].contains("✔")), cell["href"])
+    out = heads.join(by_row, "page_id")
+    return out.select("page_id", (F.col("column") + 1).alias("column"), "serial_number", "aircraft_entity_id", F.col("section.name").alias("section"), part.alias("subsection"), F.col("th.text").alias("label"), value.alias("value"), href.alias("href"), "tr")
 
 
 def fleet_records(pages: DataFrame) -> DataFrame:
-    """One row per aircraft column of a fleet page: fields (label to value) and links (label to href)."""
-    long = fleet_tables(pages).where("label <> ''").groupBy("page_id", "column", "label").agg(F.first("value").alias("value"), F.first("href").alias("href"))
-    entry = F.collect_list(F.struct("label", "value"))
-    linked = F.collect_list(F.when(F.col("href").isNotNull(), F.struct("label", "href")))
-    return long.groupBy("page_id", "column").agg(F.map_from_entries(entry).alias("fields"), F.map_from_entries(linked).alias("links"))
+    """One row per aircraft column of a fleet page: make_model_id, make_model_name, serial_number, aircraft_entity_id,
+    fields (label to cell) and sections (section, then subsection or blank, to label and cell). A cell with a link is JSON
+    of its text and href. Pages without a model id, in a hidden input or else the file's name, have no records."""
+    long = fleet_tables(pages)
+    cell = F.when(F.col("href").isNotNull(), F.to_json(F.struct(F.col("value").alias("text"), "href"))).otherwise(F.col("value"))
+    key = ["page_id", "column", "serial_number", "aircraft_entity_id"]
+    once = long.groupBy(*key, "section", "subsection", "label").agg(F.max_by(cell, "tr").alias("cell"))
+    inner = once.groupBy(*key, "section", F.coalesce("subsection", F.lit("")).alias("subsection")).agg(F.map_from_entries(F.collect_list(F.struct("label", "cell"))).alias("fields"))
+    outer = inner.groupBy(*key).agg(
+        F.max(F.when(F.col("section").isNull() & (F.col("subsection") == ""), F.struct(F.lit(1).alias("one"), F.map_entries("fields").alias("e")))).alias("plain"),
+        F.collect_list(F.when(F.col("section").isNotNull(), F.struct("section", "subsection", "fields"))).alias("parts"),
+    )
+    names = F.array_distinct(F.transform("parts", lambda p: p["section"]))
+    nested = F.map_from_entries(F.transform(names, lambda n: F.struct(n, F.map_from_entries(F.transform(F.filter("parts", lambda p: p["section"] == n), lambda p: F.struct(p["subsection"], p["fields"]))))))
+    around = nodes(pages, tags=["input", "h3", "span"])
+    text = lambda cond: F.min_by(F.when(cond, F.nullif("text", F.lit(""))), F.when(cond, F.col("node")))
+    model = around.groupBy("page_id").agg(
+        F.max(F.when((F.col("tag") == "input") & (attr("name") == "make_model"), attr("value"))).try_cast("int").alias("_hidden"),
+        F.coalesce(text((F.col("tag") == "h3") & F.coalesce(attr("class").contains("inline"), F.lit(False))), text(attr("id") == "select2-make_model-container")).alias("make_model_name"),
+    )
+    named = F.nullif(F.regexp_extract("file_name", r"make_model_(\d+)\.html$", 1), F.lit("")).try_cast("int") if "file_name" in pages.columns else F.lit(None).cast("int")
+    model = pages.select("page_id", named.alias("_named")).join(model, "page_id", "left").select("page_id", F.coalesce("_hidden", "_named").alias("make_model_id"), "make_model_name").where("make_model_id is not null")
+    fields = F.coalesce(F.map_from_entries("plain.e"), F.create_map().cast("map<string, string>"))
+    return outer.join(model, "page_id").select("page_id", "column", "make_model_id", "make_model_name", "serial_number", "aircraft_entity_id", fields.alias("fields"), nested.alias("sections"))
+
+
+def extraction_summary(pages: DataFrame) -> DataFrame:
+    """(class, pages, records) of fleet pages, from pages (page_id, html, file_name)."""
+    counts = fleet_records(pages).groupBy("page_id").agg(F.count("*").alias("records"))
+    each = pages.select("page_id", page_class(F.col("html")).alias("class")).join(counts, "page_id", "left")
+    return each.groupBy("class").agg(F.count("*").alias("pages"), F.coalesce(F.sum("records"), F.lit(0)).alias("records"))
+
+
+def skipped_pages(pages: DataFrame) -> DataFrame:
+    """(file_name, class) of pages that give no records for what they are."""
+    return pages.select("file_name", page_class(F.col("html")).alias("class")).where("class <> 'data'")
 
 
 def page_classes(pages: DataFrame) -> DataFrame:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from avmatch.functions import clean
@@ -119,6 +121,8 @@ def details_b(pages: DataFrame) -> DataFrame:
         pick(F.regexp_extract(text, r"Price:\s*(.+)$", 1), text.contains("Price:") & (F.col("tag") == "p")).alias("asking_price"),
         pick(F.regexp_extract(text, r"([A-Z][a-z]+(?: [A-Z][a-z]+)*, [A-Z]{2})\b", 1), has_class("broker")).alias("location"),
         pick(text, broker & F.coalesce(attr("href").startswith("tel:"), F.lit(False))).alias("phone"),
+        pick(F.substring(attr("href"), 8, 200), broker & F.coalesce(attr("href").startswith("mailto:"), F.lit(False))).alias("seller_email"),
+        pick(text, F.col("tag") == "title").alias("_title"),
         pick(F.regexp_extract(text, r"(?i)Contact\s+(.+)", 1), broker & (F.col("tag") == "a") & text.rlike(r"(?i)^Contact\s")).alias("seller"),
         F.substring(pick(text, F.coalesce(attr("class").contains("mt-4 leading-normal"), F.lit(False))), 1, 2000).alias("description"),
         F.coalesce(pick(text, has_class("value") & (F.col("section") == "avionics-section")), whole("avionics-section")).alias("avionics"),
@@ -133,9 +137,76 @@ def details_b(pages: DataFrame) -> DataFrame:
     for listed, name in (("_serial", "serial_number"), ("_tail", "registration_number"), ("_hours", "total_time"), ("_cycles", "total_cycles")):
         # The summary list names the aircraft; its hours only fill a gap.
         out = out.withColumn(name, F.coalesce(name, listed) if listed == "_hours" else F.coalesce(listed, name)).drop(listed)
+    shape = r"([0-9]{4})?\s*([A-Z][A-Za-z0-9\s-]+?)\s+for\s+Sale"
+    name = F.split(F.trim(F.regexp_extract("_title", shape, 2)), r"\s+")
+    several = F.size(name) > 1
+    out = out.withColumn("year", F.nullif(F.regexp_extract("_title", shape, 1), F.lit("")))
+    out = out.withColumn("manufacturer", F.when(several, name[0])).withColumn("model", F.nullif(F.when(several, F.array_join(F.slice(name, 2, 100), " ")).otherwise(name[0]), F.lit("")))
+    out = out.withColumn("tail_number", F.col("registration_number")).drop("_title")
     return out.withColumn("total_time", clean.hours_text(F.col("total_time"))).withColumn("total_cycles", clean.hours_text(F.col("total_cycles")))
 
 
+#: Patterns of the older detail page, tried in this order.
+PRICES = (r"(\$[\d,]+(?:\.\d{2})?)", r"(?i)(call\s+for\s+price)", r"(?i)(poa)")
+TOTAL_TIMES = (r"(?i)total\s+time[:\s]+([\d,]+)", r"(?i)tt[:\s]+([\d,]+)")
+ENGINE_TIMES = (r"(?i)engine\s+(?:1\s+)?time[:\s]+([\d,]+)", r"(?i)engine\s+hours?[:\s]+([\d,]+)", r"(?i)eh[:\s]+([\d,]+)")
+SELLER_NAME = r"([A-Z][a-zA-Z\s&,]+(?:LLC|Inc|Corp|Aircraft|Aviation)?)"
+
+
+def details_older(pages: DataFrame) -> DataFrame:
+    """Detail pages of the older kind: (page_id, aircraft_model, year, total_time_hours, engine_hours, avionics_description,
+    asking_price, location, seller_broker_name).
+
+    First the product of the page's linked data, then elements by class, then patterns in the text. Of an element that
+    a text stands in, the innermost counts.
+    """
+    rows = nodes(pages)
+    tag, text, node, low = F.col("tag"), F.col("text"), F.col("node"), F.lower(attr("class"))
+    in_class = lambda *parts: F.coalesce(reduce(lambda a, b: a | b, (low.contains(p) for p in parts)), F.lit(False))
+    first = lambda value, cond: F.min_by(F.when(cond, value), F.when(cond, node))
+    found = lambda x, *shapes: F.coalesce(*(F.nullif(F.trim(F.regexp_extract(x, shape, 1)), F.lit("")) for shape in shapes))
+    product = (tag == "script") & (attr("type") == "application/ld+json") & (F.get_json_object("text", "$['@type']") == "Product")
+    kinds = ("div", "span", "p")
+    section = tag.isin("div", "section")
+    heading = tag.isin("h2", "h3", "h4") & F.lower("text").contains("avionics")
+    told = text.rlike("(?i)Seller Information|Dealer|Broker") & ~tag.isin("script", "style")
+    page = rows.groupBy("page_id").agg(
+        first(F.coalesce(F.get_json_object("text", "$.name"), F.get_json_object("text", "$.model")), product).alias("product"),
+        first(F.get_json_object("text", "$.name"), product).alias("product_name"),
+        first(text, (tag == "h1") & has_class("detail__title")).alias("title"),
+        first(text, section & in_class("spec")).alias("specs"),
+        *(first(text, (tag == k) & in_class("price")).alias(f"price_{k}") for k in kinds),
+        *(first(text, (tag == k) & in_class("location") & (text != "")).alias(f"location_{k}") for k in kinds),
+        first(text, tag == "title").alias("page_title"),
+        first(F.struct("node", "depth"), heading).alias("heading"),
+        first(text, section & in_class("avionics")).alias("avionics_class"),
+        first(text, tag.isin("div", "section", "p", "li") & F.lower("text").contains("avionics") & F.length("text").between(51, 1999)).alias("avionics_text"),
+        F.min_by(F.when(told, text), F.when(told, F.struct(F.length("text"), node))).alias("seller_text"),
+        *(first(text, (tag == k) & in_class("seller", "broker", "dealer")).alias(f"seller_{k}") for k in ("div", "span")),
+        F.max_by(text, F.when(~tag.isin("script", "style"), F.length("text"))).alias("whole"),
+    )
+    after = rows.join(page.where("heading is not null").select("page_id", "heading"), "page_id").where("node > heading.node")
+    beside, above = (F.col("depth") == F.col("heading.depth")) & tag.isin("div", "section", "p"), F.col("depth") < F.col("heading.depth")
+    after = after.groupBy("page_id").agg(F.min(F.when(beside, F.struct("node", "text"))).alias("next"), F.min(F.when(above, node)).alias("end"))
+    page = page.join(after, "page_id", "left")
+    beside_heading = F.when(F.coalesce(F.col("next.node") < F.col("end"), F.lit(True)), F.col("next.text"))
+    prices = [F.when(F.col(f"price_{k}").contains("$") | F.lower(f"price_{k}").contains("price") | F.lower(f"price_{k}").contains("call"), F.col(f"price_{k}")) for k in kinds]
+    sellers = [F.when(F.length(c).between(3, 199), F.col(c)) for c in ("seller_text", "seller_div", "seller_span")]
+    seller = F.coalesce(*sellers)
+    hours = lambda shapes: F.regexp_replace(F.coalesce(found("specs", shapes[0]), found("whole", *shapes)), ",", "")
+    return pages.select("page_id").join(page, "page_id", "left").select(
+        "page_id",
+        F.coalesce("product", "title").alias("aircraft_model"),
+        F.coalesce(clean.year_in(F.col("product_name")), clean.year_in(F.coalesce("title", "product"))).cast("string").alias("year"),
+        hours(TOTAL_TIMES).alias("total_time_hours"),
+        hours(ENGINE_TIMES).alias("engine_hours"),
+        F.coalesce(beside_heading, "avionics_class", "avionics_text").alias("avionics_description"),
+        F.coalesce(*prices, found("whole", *PRICES)).alias("asking_price"),
+        F.coalesce(*(F.col(f"location_{k}") for k in kinds), found("page_title", r"(?i)in\s+([^|]+)")).alias("location"),
+        F.coalesce(found(seller, SELLER_NAME), F.substring(seller, 1, 100)).alias("seller_broker_name"),
+    )
+
+
 def with_index_fields(details: DataFrame, index: DataFrame, columns=("aircraft_model", "year", "dealer_name")) -> DataFrame:
     """Details with what only the index row of their URL says."""
     base = index.groupBy("listing_url").agg(*(F.first(c, ignorenulls=True).alias(f"_{c}") for c in columns))
@@ -160,8 +231,24 @@ def model_links(pages: DataFrame) -> DataFrame:
     return once.select("page_id", "model_name", "url", F.regexp_extract("url", shape, 1).cast("int").alias("model_id"))
 
 
-def model_listings(pages: DataFrame, card_class: str = "w-full sm:w-1/2 lg:w-1/4 mb-4") -> DataFrame:
-    """Dealer cards: (page_id, position, url, title, year, dealer), once per page and URL."""
-    found = html.cards(pages, card_class, "/details/")
-    dealer = F.nullif(F.trim(F.regexp_extract("text", r"Offered by:\s*(.*?)\s*(?:View Details|$)", 1)), F.lit(""))
-    return found.select("page_id", "position", "url", "title", clean.year_in(F.col("title")).alias("year"), dealer.alias("dealer"))
+#: Card classes of the two layouts of a model's page.
+CARD, BOX = "w-full sm:w-1/2 lg:w-1/4 mb-4", "aircraft-box"
+
+
+def model_listings(pages: DataFrame, manufacturer: str | None = None) -> DataFrame:
+    """Dealer cards: (page_id, position, url, title, year, dealer, manufacturer), once per page and URL.
+
+    Cards of the index layout, else boxes; on a page with neither, every link to details, with the heading before it.
+    """
+    offered = lambda x: F.nullif(F.trim(F.regexp_extract(x, r"(?i)Offered by:\s*(.*?)\s*(?:View Details|$)", 1)), F.lit(""))
+    layouts = [html.cards(pages, layout, "/details/").select("page_id", "position", "url", "title", offered(F.col("text")).alias("dealer"), F.lit(k).alias("layout")) for k, layout in enumerate((CARD, BOX))]
+    rows = nodes(pages, tags=["a", "h2", "h5", "p"])
+    down = Window.partitionBy("page_id").orderBy("node").rowsBetween(Window.unboundedPreceding, 0)
+    before = lambda cond: F.last(F.when(cond, F.col("text")), ignorenulls=True).over(down)
+    rows = rows.withColumn("title", before(F.col("tag").isin("h2", "h5"))).withColumn("dealer", before((F.col("tag") == "p") & F.col("text").contains("Offered by:")))
+    plain = rows.where((F.col("tag") == "a") & F.col("text").rlike("(?i)View Details") & attr("href").rlike("(?i)/details/[0-9]+/"))
+    plain = plain.groupBy("page_id", attr("href").alias("url")).agg(F.min_by(F.struct("title", "dealer"), "node").alias("c"), F.min("node").alias("node"))
+    layouts.append(plain.select("page_id", F.row_number().over(Window.partitionBy("page_id").orderBy("node")).alias("position"), "url", "c.title", offered(F.col("c.dealer")).alias("dealer"), F.lit(2).alias("layout")))
+    found = reduce(DataFrame.unionByName, layouts)
+    found = found.withColumn("best", F.min("layout").over(Window.partitionBy("page_id"))).where("layout = best")
+    return found.select("page_id", "position", "url", "title", clean.year_in(F.col("title")).alias("year"), "dealer", F.lit(manufacturer).cast("string").alias("manufacturer"))

@@ -38,6 +38,11 @@ def path_date(column: str = "_metadata.file_path") -> Column:
     return F.try_to_timestamp(F.nullif(F.regexp_extract(column, DATE_IN_PATH, 1), F.lit("")), F.lit("yyyy-MM-dd")).cast("date")
 
 
+def folder_of(parent: str, path: Column) -> Column:
+    """The name of the folder right below `parent` in a path; null where the path has none."""
+    return F.nullif(F.regexp_extract(path, rf"/{re.escape(parent)}/([^/]+)/", 1), F.lit(""))
+
+
 def json_records(spark: SparkSession, paths: str | Sequence[str], schema: str, key: str | None = None) -> DataFrame:
     """Records of files that hold one array of objects, or (with key) an object with such a list or the bare list.
 
@@ -148,6 +153,11 @@ def documents(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     return rows.groupBy("file_hash").agg(F.min_by(F.struct("file_path", "file_name", "file_size"), "file_path").alias("f")).select("f.*", "file_hash")
 
 
+def unknown_documents(found: DataFrame, known: DataFrame) -> DataFrame:
+    """Documents whose content (source_platform, file_hash) is not known yet."""
+    return found.join(known.select("source_platform", "file_hash"), ["source_platform", "file_hash"], "left_anti")
+
+
 def line_counts(spark: SparkSession, path: str) -> DataFrame:
     """(file_name, lines) of each text file, and the total in a row without a name."""
     rows = spark.read.text(path).select(F.col("_metadata.file_name").alias("file_name"))

@@ -6,6 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path, or anything that a glob matches, is there."""
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    return bool(where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(where))
+
+
 class VersionedTable:
     """A table as numbered version folders: a version counts once Spark's _SUCCESS mark is in it, so a write that dies
     leaves the table as it was, and writing again is harmless."""

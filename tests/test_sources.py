@@ -115,32 +115,93 @@ def test_streaming_upserts(spark, tmp_path):
 INDEX = """<html><body>1 - 28 of 5,122 Listings
 <div class="card list-listing-card-wrapper"><a href="/listing/for-sale/11/x">2001 CESSNA X</a><span class="price">USD $5</span><span class="machine-location">Here</span><a href="tel:555">call</a><a href="mailto:a@b.c">m</a><i class="premium-badge"></i></div>
 <div class="list-listing-card-wrapper"><a href="/listing/for-sale/11/x">again</a></div>
-<div class="list-listing-card-wrapper"><a href="/listing/for-sale/12/y">1998 PIPER</a></div></body></html>"""
-FLEET = """<table class="detail-table"><tr><td>Field</td><th>A</th><th>B</th></tr><tr><td class="th-title">General</td></tr>
-<tr><td>MFR Year</td><td>1999</td><td><a href="/b">2001</a></td></tr><tr><td>For Sale</td><td><i class="fa"></i>✔</td></tr></table>"""
+<div class="list-listing-card-wrapper"><div class="listing-card-grid" data-listing-id="900"><a href="/listing/for-sale/12/y">1998 PIPER</a> Jet Aircraft Total Time: 1,234.5 Seller: Ann <b>Payments as low as USD $3,847.10* x</b></div></div></body></html>"""
+FLEET = """<h3 class="inline big">King  Air</h3><input type="hidden" name="make_model" id="make_model" value="42"><table class="x detail-table"><thead><tr><th>Serial Number</th>
+<th>A1 x<input class="select_aircraft" value="7"></th><th>B2<input class="select_aircraft" value="8"></th><th></th></tr></thead><tbody>
+<tr><th>MFR Year</th><td>1999</td><td><a href="/b">2001</a></td></tr><tr><th>For Sale</th><td><i class="fa"></i>✔</td></tr><tr><th class="th-title">Standard</th></tr><tr><th>Seats</th><td>4</td><td>5</td></tr>
+<tr><th class="td-sub-title">Avionics</th></tr><tr><th>Radio</th><td></td><td>R9</td></tr></tbody></table><table class="detail-table"><thead><tr><th>x</th><th>Z</th></tr></thead></table>"""
 
 
 def test_html_jobs(spark):
     pages = spark.createDataFrame([("p1", INDEX), ("p2", FLEET), ("p3", "The page: doesn't exist (404)"), ("p4", None), ("p5", "<p>")], "page_id string, html string")
     cards = html.cards(pages, "list-listing-card-wrapper", "/listing/for-sale/")
-    assert rows(cards, "position", "url", "title", "price", "location", "phone", "email", "premium") == [
-        (1, "/listing/for-sale/11/x", "2001 CESSNA X", "USD $5", "Here", "555", "a@b.c", True),
-        (2, "/listing/for-sale/12/y", "1998 PIPER", None, None, None, None, False),
+    assert rows(cards, "position", "url", "listing_id", "title", "year", "price", "location", "phone", "email", "premium") == [
+        (1, "/listing/for-sale/11/x", "11", "2001 CESSNA X", 2001, "USD $5", "Here", "555", "a@b.c", True),
+        (2, "/listing/for-sale/12/y", "900", "1998 PIPER", 1998, None, None, None, None, False),
     ]
     assert rows(html.pagination(pages).where("total is not null"), "first", "last", "total", "is_last") == [(1, 28, 5122, False)]
-    assert rows(html.fleet_tables(pages), "column", "section", "label", "value", "href") == sorted([(1, None, "Field", "A", None), (2, None, "Field", "B", None), (1, "General", "MFR Year", "1999", None), (2, "General", "MFR Year", "2001", "/b"), (1, "General", "For Sale", "true", None)], key=str)
+    assert rows(html.fleet_tables(pages), "column", "section", "subsection", "label", "value", "href") == sorted(
+        [(1, None, None, "MFR Year", "1999", None), (2, None, None, "MFR Year", "2001", "/b"), (1, None, None, "For Sale", "true", None), (2, None, None, "For Sale", None, None)]
+        + [(1, "Standard", None, "Seats", "4", None), (2, "Standard", None, "Seats", "5", None), (1, "Standard", "Avionics", "Radio", None, None), (2, "Standard", "Avionics", "Radio", "R9", None)],
+        key=str,
+    )
+    records = html.fleet_records(pages)
+    assert [r.asDict(recursive=True) for r in records.orderBy("column").drop("page_id", "column").collect()] == [
+        {"make_model_id": 42, "make_model_name": "King Air", "serial_number": "A1", "aircraft_entity_id": 7, "fields": {"MFR Year": "1999", "For Sale": "true"}, "sections": {"Standard": {"": {"Seats": "4"}, "Avionics": {"Radio": None}}}},
+        {"make_model_id": 42, "make_model_name": "King Air", "serial_number": "B2", "aircraft_entity_id": 8, "fields": {"MFR Year": '{"text":"2001","href":"/b"}', "For Sale": None}, "sections": {"Standard": {"": {"Seats": "5"}, "Avionics": {"Radio": "R9"}}}},
+    ]
+    assert rows(pipelines.fleet_export(records), "serial_number", "mfr_year", "for_sale", "owner") == [("A1", "1999", "Yes", ""), ("B2", "2001 (/b)", "", "")]
+    assert len(pipelines.fleet_export(records).columns) == 19
+    stored = pipelines.fleet_page_rows(records.withColumn("ingestion_date", F.lit("2024-02-01").cast("date")).withColumn("pos", F.lit(0)))
+    assert rows(stored, "entity_id", "year", "for_sale") == [(7, 1999, True), (8, 2001, False)]
+    named = pages.withColumn("file_name", F.concat(F.lit("make_model_3_"), "page_id")).where("html is not null")
+    assert rows(html.extraction_summary(named), "class", "pages", "records") == [("data", 1, 2), ("no_table", 2, 0), ("not_found", 1, 0)]
+    assert html.skipped_pages(named).count() == 3
     assert rows(html.page_classes(pages.where("html is not null")), "class", "pages") == [("data", 1), ("no_table", 2), ("not_found", 1)]
     specs = html.pairs(html.nodes(spark.createDataFrame([(1, '<div class="l">Year:</div><div class="v">1999</div><div class="l">Year</div><div class="v">2000</div><div class="l">None</div>')], "page_id int, html string")), "l", "v")
     assert specs.first()["specs"] == {"Year": "1999"}
 
 
+def test_cards(spark):
+    pages = spark.createDataFrame([("p1", INDEX)], "page_id string, html string")
+    found = html.cards(pages, "list-listing-card-wrapper", "/listing/for-sale/").where("position = 2")
+    assert rows(found, "aircraft_type", "hours", "payment") == [("Jet Aircraft", "1234.5", "USD $3,847.10")]
+
+
 def test_images(spark):
-    page = """<meta property="og:image" content="https://x.example/a.jpg"><link rel="preload" href="https://x.example/b.jpg"><img src="https://www.gstatic.com/i.png" srcset="https://x.example/c.jpg 1x, https://x.example/d.jpg 2x">
-<a href="https://x.example/a.jpg">g</a><script>{"MediaUrl":"https://x.example/e.axd?a=1\\u0026b=2"}</script>"""
+    page = """<meta property="og:url" content="https://own.example/7"><meta property="og:image" content="https://x.example/a.jpg"><meta property="og:image" content="https://x.example/a2.jpg"><meta name="twitter:image" content="https://x.example/t.jpg">
+<link rel="preload" as="Image" href="https://media.sandhills.com/img.axd?id=1"><link rel="preload" as="image" href="https://x.example/b.jpg"><img src="https://www.gstatic.com/i.png" srcset="https://x.example/c.jpg 1x, https://x.example/d.jpg 2x"><img src="https://x.example/e.png">
+<a data-fancybox="gallery" href="https://x.example/g.jpg">g</a><a href="https://x.example/h.jpg">h</a><script>{"MediaUrl":"https://media.sandhills.com/img.axd?a=1\\u0026b=2"}</script>"""
     pages = spark.createDataFrame([("p", "f", page, "http://x", "7", None)], "page_id string, file_name string, html string, url string, listing string, ingestion_date date")
-    assert rows(html.images(pages), "bucket", "url") == sorted([("gallery", "https://x.example/a.jpg"), ("img", "https://x.example/c.jpg"), ("img", "https://x.example/d.jpg"), ("json", "https://x.example/e.axd?a=1&b=2"), ("meta", "https://x.example/a.jpg"), ("preload", "https://x.example/b.jpg")])
-    one = pipelines.image_index(pages, "a").first()
-    assert one["key"] == "a:7" and len(one["urls"]) == 5
+    x = "https://x.example/"
+    found = lambda site: [(r["bucket"], r["url"].removeprefix(x)) for r in html.images(pages, site).orderBy("rank", "pos").collect()]
+    assert found("aircraftexchange") == [("og", "a.jpg"), ("twitter", "t.jpg"), ("gallery", "g.jpg")]
+    host = "https://media.sandhills.com/img.axd?"
+    assert found("controller") == [("meta", "a.jpg"), ("meta", "t.jpg"), ("preload", f"{host}id=1"), ("embedded_json", f"{host}a=1&b=2")]
+    assert found("aircraftpost") == [("meta", "a.jpg"), *(("img_tags", u) for u in ("c.jpg", "d.jpg", "e.png", "a.jpg", "a2.jpg", "t.jpg", "b.jpg", "g.jpg", "h.jpg"))]
+    assert found("other") == [("all", "a.jpg"), ("all", "t.jpg"), ("all", "e.png")]
+    one = pipelines.image_index(pages, "controller").first()
+    assert (one["key"], one["page_url"], len(one["urls"]), one["source"]) == ("controller:7", "https://own.example/7", 4, "meta")
+    listings = spark.createDataFrame([("controller", "https://h.example/listing/for-sale/7/x"), ("controller", "https://h.example/listing/for-sale/8/x")], "platform string, url string")
+    index = pipelines.image_index(pages, "controller")
+    assert rows(pipelines.with_images(listings, index), F.size("images")) == [(-1,), (4,)] or rows(pipelines.with_images(listings, index), F.size("images")) == [(4,), (None,)]
+    assert rows(pipelines.image_counts(index), "platform", "listings", "urls") == [("controller", 1, 4)]
+
+
+OLDER = """<title>2005 CESSNA XLS For Sale in Austin, Texas | Site</title><script type="application/ld+json">{"@type": "Product", "name": "2005 CESSNA XLS"}</script><h1 class="detail__title">2006 OTHER</h1>
+<div class="detail-specs">Total Time: 1,234 Engine 1 Time: 567</div><span class="price-tag">Call us</span><h3>Avionics / Radios</h3><p>Garmin</p><div class="seller-box">Jet Aviation LLC 5</div>"""
+
+
+def test_older_detail_pages(spark):
+    from avmatch.sources import listing_pages
+
+    plain = "<div><p>For sale now, $1,200,000.00 only. TT: 900 hours. Engine hours: 80. A set of avionics with radios and displays of all kinds is there.</p></div>"
+    pages = spark.createDataFrame([(1, OLDER), (2, plain), (3, None)], "page_id int, html string")
+    out = listing_pages.details_older(pages)
+    assert rows(out.where("page_id = 1"), *out.columns[1:]) == [("2005 CESSNA XLS", "2005", "1234", "567", "Garmin", "Call us", "Austin, Texas", "Jet Aviation LLC")]
+    two = out.where("page_id = 2").first()
+    assert (two["total_time_hours"], two["engine_hours"], two["asking_price"], two["aircraft_model"]) == ("900", "80", "$1,200,000.00", None) and two["avionics_description"].startswith("For sale now")
+    assert out.count() == 3
+
+
+def test_model_page_layouts(spark):
+    from avmatch.sources import listing_pages
+
+    box = '<div class="aircraft-box"><h2 class="font-semibold"><a href="/details/3/y">1999 BOX</a></h2><p>Offered by: Box Co</p><a href="/details/3/y">View Details</a></div>'
+    bare = '<div><h2>2010 BARE</h2><p>Offered by: Bare Co</p><a href="/details/4/z">View Details</a></div><div><h5>2011 NEXT</h5><a href="/details/5/z">View details</a></div>'
+    pages = spark.createDataFrame([(1, box), (2, bare), (3, "<p>none</p>")], "page_id int, html string")
+    got = rows(listing_pages.model_listings(pages, "Maker"), "page_id", "position", "url", "title", "year", "dealer", "manufacturer")
+    assert got == [(1, 1, "/details/3/y", "1999 BOX", 1999, "Box Co", "Maker"), (2, 1, "/details/4/z", "2010 BARE", 2010, "Bare Co", "Maker"), (2, 2, "/details/5/z", "2011 NEXT", 2011, "Bare Co", "Maker")]
 
 
 def test_page_files(spark, tmp_path):
