@@ -54,6 +54,11 @@ def insert_absent(target: DataFrame, batch: DataFrame, keys: Sequence[str], orde
     return new.join(held, same, "left_anti")
 
 
+def append_absent(target: DataFrame, batch: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """target with the batch's rows of keys that it lacks, the first of each."""
+    return target.unionByName(insert_absent(target, batch, keys, order).select(*target.columns))
+
+
 def append_raw(target: DataFrame, batch: DataFrame, keys: Sequence[str], order: Sequence[str], payload: Sequence[str]) -> DataFrame:
     """Records to append to a raw log: JSON of the payload columns, once per key and content (null-safe)."""
     rows = batch.withColumn("raw", F.to_json(F.struct(*payload))).withColumn("raw_hash", F.sha2("raw", 256))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -53,13 +55,21 @@ def key_collisions(master: DataFrame, alias: bool = True) -> DataFrame:
     return keys.withColumn("_was", before).groupBy("key").agg(F.count_if(F.col("_was") != F.col("n")).alias("collisions")).where("collisions > 0")
 
 
+def collision_sample(master: DataFrame, alias: bool = True, n: int = 12) -> DataFrame:
+    """(seq, key, was, n_number): the report's first n rows, in row order, where a lookup key changes its N-number."""
+    keys = master.where(clean.not_blank(F.col("n_number"))).select("seq", F.explode(clean.serial_lookup_keys(F.col("serial"), alias)).alias("key"), clean.squeezed_n(F.col("n_number")).alias("n_number"))
+    rows = keys.withColumn("was", F.lag("n_number").over(Window.partitionBy("key").orderBy("seq"))).where("was <> n_number")
+    return rows.select("seq", "key", "was", "n_number").orderBy("seq", "key").limit(n)
+
+
 def backfill(stored: DataFrame, master: DataFrame, entities: DataFrame) -> DataFrame:
-    """Master rows to insert: the first row of each (serial, code, registrant) that is not stored.
+    """Master rows to insert, with all their columns: the first row of each (serial, code, registrant) that is not stored.
 
-    n_number is null where it is stored already or an earlier row of the batch claims it; entity_id is the lowest
+    Rows without a serial or a code go. n_number is null where it is stored already or an earlier row of the batch claims it; entity_id is the lowest
     one of the serial, null for a new aircraft.
     """
-    new = insert_absent(stored, master, ["serial", "code", "registrant"], ["seq"])
+    valid = master.where(clean.not_blank(F.col("serial")) & clean.not_blank(F.col("code")))
+    new = insert_absent(stored, valid, ["serial", "code", "registrant"], ["seq"])
     key = clean.squeezed_n(F.col("n_number"))
     lone = F.when(F.coalesce(key, F.lit("")) == "", F.col("seq"))  # rows without a tail claim nothing
     claim = F.row_number().over(Window.partitionBy(key, lone).orderBy("seq"))
@@ -68,7 +78,24 @@ def backfill(stored: DataFrame, master: DataFrame, entities: DataFrame) -> DataF
     known = entities.where(F.trim("serial") != "").groupBy(F.col("serial").alias("_serial")).agg(F.min("entity_id").alias("entity_id"))
     rows = rows.join(known, F.col("serial") == F.col("_serial"), "left")
     lost = (F.col("_claim") > 1) | F.col("_held").isNotNull()
-    return rows.select("seq", "serial", "code", "registrant", F.when(~lost, F.col("n_number")).alias("n_number"), (lost & (F.col("_key") != "")).alias("n_conflict"), "entity_id")
+    kept = [F.when(~lost, F.col(c)).alias(c) if c == "n_number" else F.col(c) for c in master.columns if c != "entity_id"]
+    return rows.select(*kept, F.coalesce(lost & (F.col("_key") != ""), F.lit(False)).alias("n_conflict"), "entity_id")
+
+
+def backfill_summary(stored: DataFrame, master: DataFrame, inserted: DataFrame) -> DataFrame:
+    """One row: processed master rows, stored signatures, rows inserted, skipped as stored or repeated, without a serial or
+    code, N-numbers left out of inserted rows, and new aircraft (serials without an entity)."""
+    valid = clean.not_blank(F.col("serial")) & clean.not_blank(F.col("code"))
+    counts = [
+        master.agg(F.count("*").alias("processed"), F.count_if(valid).alias("_valid")),
+        stored.select("serial", "code", "registrant").distinct().agg(F.count("*").alias("stored_signatures")),
+        inserted.agg(F.count("*").alias("inserted"), F.count_if("n_conflict").alias("n_conflicts"), F.count_distinct(F.when(F.col("entity_id").isNull(), F.col("serial"))).alias("new_aircraft")),
+    ]
+    # Each is one row, so they are stacked and summed rather than joined.
+    named = [c for df in counts for c in df.columns]
+    rows = reduce(DataFrame.unionByName, (df.select(*(F.col(c) if c in df.columns else F.lit(0).cast("long").alias(c) for c in named)) for df in counts))
+    out = rows.agg(*(F.sum(c).alias(c) for c in named))
+    return out.select("processed", "stored_signatures", "inserted", (F.col("_valid") - F.col("inserted")).alias("skipped_existing"), (F.col("processed") - F.col("_valid")).alias("skipped_blank"), "n_conflicts", "new_aircraft")
 
 
 def outcome_counts(report: DataFrame) -> DataFrame:

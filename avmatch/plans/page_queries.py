@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from avmatch.plans.registry import query
-from avmatch.plans.views import table
-from avmatch.sources import html
+from avmatch.functions import clean
+from avmatch.plans import pipelines
+from avmatch.plans.views import saved_pages, table
+from avmatch.sources import html, listing_pages, readers
 
 #: Links as patterns see them: comments and scripts hold none in these pages.
 LINKS = """l AS (SELECT page_id, url AS page_url, unnest(regexp_extract_all(html, '<a [^>]*href="([^"]*)"', 1)) AS href, generate_subscripts(regexp_extract_all(html, '<a [^>]*href="([^"]*)"', 1), 1) AS n FROM pages)"""
@@ -25,29 +27,104 @@ def page_titles(spark: SparkSession, sf: str) -> DataFrame:
     return html.first_text(table(spark, sf, "pages"), "title").withColumnRenamed("text", "title")
 
 
-@query(f"""WITH {LINKS}, k AS (SELECT regexp_extract(page_url, '^[a-z]+://([^/]*)', 1) AS key, replace(href, '&amp;', '&') AS url, page_id, n FROM l),
-  f AS (SELECT key, url, min(page_id * 100000 + n) AS seen FROM k GROUP BY key, url)
+@query(f"""WITH {LINKS}, k AS (SELECT CAST(page_id AS VARCHAR) AS key, replace(href, '&amp;', '&') AS url, n FROM l), f AS (SELECT key, url, min(n) AS seen FROM k GROUP BY key, url)
 SELECT key, count(*) AS urls, md5(string_agg(url, '|' ORDER BY seen)) AS url_digest FROM f GROUP BY key""")
 def link_merge_per_key(spark: SparkSession, sf: str) -> DataFrame:
     pages = table(spark, sf, "pages")
     found = html.links(pages).join(pages.select("page_id", F.col("url").alias("page_url")), "page_id")
-    host = F.regexp_extract("page_url", "^[a-z]+://([^/]*)", 1)
-    rows = found.select(host.alias("key"), F.lit("").alias("date"), "page_id", "pos", F.col("href").alias("url"), F.lit("pages").alias("source"), "page_url")
+    rows = found.select(F.col("page_id").cast("string").alias("key"), F.lit("").alias("date"), "page_id", "pos", F.col("href").alias("url"), F.lit("pages").alias("source"), "page_url")
     return html.merge_urls(rows).select("key", F.size("urls").cast("long").alias("urls"), F.md5(F.array_join("urls", "|")).alias("url_digest"))
 
 
-@query("SELECT CASE WHEN contains(lower(html), 'doesn''t exist (404)') OR contains(lower(html), 'the page you were looking for doesn''t exist') THEN 'not_found' WHEN NOT contains(lower(html), '<article') THEN 'no_table' ELSE 'data' END AS class, count(*) AS pages FROM pages GROUP BY 1")
+@query("""WITH c AS (SELECT page_id, CASE WHEN contains(lower(html), 'doesn''t exist (404)') OR contains(lower(html), 'the page you were looking for doesn''t exist') THEN 'not_found' WHEN NOT contains(lower(html), 'detail-table') THEN 'no_table' ELSE 'data' END AS class FROM pages)
+SELECT class, count(*) AS pages FROM c GROUP BY class""")
 def page_classes(spark: SparkSession, sf: str) -> DataFrame:
-    kind = html.page_class(F.col("html"), "<article")
-    return table(spark, sf, "pages").groupBy(kind.alias("class")).agg(F.count("*").alias("pages"))
+    return html.page_classes(table(spark, sf, "pages"))
 
 
-@query("SELECT DISTINCT url FROM pages WHERE contains(url, '/fr/') OR contains(url, '/en/')")
+@query("SELECT DISTINCT url AS listing_url FROM pages WHERE contains(lower(url), '/en/') AND NOT contains(lower(url), 'blog.')")
 def url_seeds(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "pages").select("url").where(F.col("url").contains("/fr/") | F.col("url").contains("/en/")).distinct().orderBy("url")
+    return readers.seed_urls(table(spark, sf, "pages").select(F.col("url").alias("listing_url")), part="/en/", block="blog.")
 
 
 @query(f"""WITH {LINKS}, k AS (SELECT DISTINCT replace(href, '&amp;', '&') AS url FROM l) SELECT url, starts_with(url, 'http') AND NOT contains(lower(url), 'facebook.com') AS photo FROM k""")
 def photo_filter(spark: SparkSession, sf: str) -> DataFrame:
     found = html.links(table(spark, sf, "pages")).select(F.col("href").alias("url")).distinct()
     return found.select("url", html.is_photo(F.col("url")).alias("photo"))
+
+
+P = "p AS (SELECT p_partkey AS k, CAST(p_partkey % 30 + 1990 AS INTEGER) AS year, * FROM part)"
+
+
+@query(f"""WITH {P} SELECT k AS page_id, 1 AS position, '/listing/for-sale/' || k || '/x' AS url, 'L' || k AS listing_id, year || ' ' || p_brand AS title, year, 'USD $' || CAST(floor(p_retailprice) AS BIGINT) AS price,
+  p_type AS location, '1' || lpad(CAST(k % 1000 AS VARCHAR), 3, '0') AS hours, '555-' || k AS phone, false AS premium FROM p""")
+def index_cards(spark: SparkSession, sf: str) -> DataFrame:
+    found = html.cards(saved_pages(spark, sf), "list-listing-card-wrapper", "/listing/for-sale/")
+    return found.select("page_id", "position", "url", "listing_id", "title", "year", "price", "location", "hours", "phone", "premium")
+
+
+@query(f"WITH {P} SELECT k AS page_id, 1 AS position, '/details/' || k || '/y' AS url, year || ' ' || p_name AS title, year, p_name AS dealer FROM p")
+def dealer_cards(spark: SparkSession, sf: str) -> DataFrame:
+    return listing_pages.model_listings(saved_pages(spark, sf)).select("page_id", "position", "url", "title", "year", "dealer")
+
+
+@query(f"WITH {P} SELECT k AS page_id, p_name AS name, CAST(k % 100 AS INTEGER) AS manufacturer_id FROM p")
+def manufacturer_list(spark: SparkSession, sf: str) -> DataFrame:
+    return listing_pages.manufacturers(saved_pages(spark, sf)).select("page_id", "name", "manufacturer_id")
+
+
+@query(f"WITH {P} SELECT k AS page_id, p_brand AS model_name, '/aircraft-for-sale/' || k % 100 || '/m/' || k || '/n' AS url, CAST(k AS INTEGER) AS model_id FROM p")
+def model_category_links(spark: SparkSession, sf: str) -> DataFrame:
+    return listing_pages.model_links(saved_pages(spark, sf)).select("page_id", "model_name", "url", "model_id")
+
+
+@query(f"WITH {P} SELECT k AS page_id, 1 AS first, 28 AS last, CAST(k * 14 AS INTEGER) AS total, 28 >= k * 14 AS is_last FROM p")
+def pagination_facts(spark: SparkSession, sf: str) -> DataFrame:
+    return html.pagination(saved_pages(spark, sf))
+
+
+@query(f"WITH {P} SELECT k AS page_id, CAST(year AS VARCHAR) AS year, CAST(k AS VARCHAR) AS total_time, 'P' || k AS serial_number, CAST(floor(p_retailprice) AS BIGINT) AS asked, '555-' || k AS phone FROM p")
+def detail_pages(spark: SparkSession, sf: str) -> DataFrame:
+    found = listing_pages.details_a(saved_pages(spark, sf))
+    return found.select("page_id", "year", "total_time", "serial_number", clean.price(F.col("asking_price"), "bigint").alias("asked"), "phone")
+
+
+@query(f"WITH {P} SELECT k AS page_id, CAST(k AS VARCHAR) AS total_time, 'N' || k AS registration_number, 'Make' AS manufacturer, 'Model' || p_size AS model, CAST(year AS VARCHAR) AS year FROM p")
+def dealer_pages(spark: SparkSession, sf: str) -> DataFrame:
+    return listing_pages.details_b(saved_pages(spark, sf)).select("page_id", "total_time", "registration_number", "manufacturer", "model", "year")
+
+
+@query(f"WITH {P} SELECT k AS page_id, year || ' Make Model' || p_size || ' for Sale | x' AS page_title, CAST(year AS VARCHAR) AS page_year, 'USD $' || CAST(floor(p_retailprice) AS BIGINT) AS asking_price, p_type AS location FROM p")
+def older_detail_pages(spark: SparkSession, sf: str) -> DataFrame:
+    found = listing_pages.details_older(saved_pages(spark, sf))
+    titles = html.first_text(saved_pages(spark, sf), "title").withColumnRenamed("text", "page_title")
+    place = F.regexp_replace("location", "^Location: ", "")
+    return found.join(titles, "page_id").select("page_id", "page_title", clean.year_in(F.col("page_title")).cast("string").alias("page_year"), "asking_price", place.alias("location"))
+
+
+@query(f"""WITH {P} SELECT k AS page_id, 'S' || k AS serial_number, CAST(k AS INTEGER) AS aircraft_entity_id, CAST(k % 50 AS INTEGER) AS make_model_id, CAST(year AS VARCHAR) AS mfr_year, CAST(p_size AS VARCHAR) AS seats FROM p
+UNION ALL SELECT k, 'T' || k, CAST(k + 1000000 AS INTEGER), CAST(k % 50 AS INTEGER), p_size || ' (/b)', NULL FROM p""")
+def fleet_pages(spark: SparkSession, sf: str) -> DataFrame:
+    found = html.fleet_records(saved_pages(spark, sf))
+    shown = pipelines.fleet_export(found.withColumn("make_model_name", F.col("page_id").cast("string")))
+    seats = F.from_json("sections_json", "map<string, map<string, map<string, string>>>")["Extra"][""]["Seats"]
+    return shown.select(F.col("make_model_name").cast("long").alias("page_id"), "serial_number", "aircraft_entity_id", "make_model_id", "mfr_year", seats.alias("seats"))
+
+
+@query(f"WITH {P} SELECT 'controller:' || k AS key, 'https://own.example/' || k AS page_url, 'https://img.example/' || k || '.jpg?a=1&b=2|https://img.example/t' || k || '.jpg' AS urls FROM p")
+def image_urls(spark: SparkSession, sf: str) -> DataFrame:
+    pages = saved_pages(spark, sf).select("page_id", "html", F.lit("").alias("url"), F.col("page_id").cast("string").alias("listing"), F.lit("2024-02-01").cast("date").alias("ingestion_date"))
+    return pipelines.image_index(pages, "controller").select("key", "page_url", F.array_join("urls", "|").alias("urls"))
+
+
+@query("SELECT 'https://h.example/listing/for-sale/' || c_custkey || '/x' AS url, CASE WHEN p_partkey IS NOT NULL THEN 2 END AS images FROM customer LEFT JOIN part ON p_partkey = c_custkey")
+def listing_images(spark: SparkSession, sf: str) -> DataFrame:
+    pages = saved_pages(spark, sf).select("page_id", "html", F.lit("").alias("url"), F.col("page_id").cast("string").alias("listing"), F.lit("2024-02-01").cast("date").alias("ingestion_date"))
+    listings = table(spark, sf, "customer").select(F.lit("controller").alias("platform"), F.concat(F.lit("https://h.example/listing/for-sale/"), "c_custkey", F.lit("/x")).alias("url"))
+    found = pipelines.with_images(listings, pipelines.image_index(pages, "controller"))
+    return found.select("url", F.when(F.col("images").isNotNull(), F.size("images")).alias("images"))
+
+
+@query("SELECT 'data' AS class, count(*) AS pages, 2 * count(*) AS records FROM part")
+def extraction_summary(spark: SparkSession, sf: str) -> DataFrame:
+    return html.extraction_summary(saved_pages(spark, sf))

@@ -64,14 +64,18 @@ def engines(details: DataFrame) -> DataFrame:
     return rows.withColumn("make_model", clean.clip_with_dots(F.col("make_model"))).withColumn("tbo_hours", clean.overhaul_hours(F.col("tbo"))).withColumn("tbo_years", clean.overhaul_years(F.col("tbo"))).drop("tbo")
 
 
+def decoded(rows: DataFrame, reference: DataFrame) -> DataFrame:
+    """rows with their code's maker and model; of a repeated reference code the last row counts."""
+    ref = merge.pick_per_key(reference.where(clean.not_blank(F.col("code"))), ["code"], ["seq"]).select("code", "manufacturer", F.col("model").alias("aircraft_model"))
+    return rows.join(ref, "code", "left")
+
+
 def registry_rows(master: DataFrame, acftref: DataFrame) -> DataFrame:
-    """MASTER text rows, typed and decoded. A blank N-number falls back to the serial; a row with neither goes. Of a
-    repeated reference code the last row counts."""
+    """MASTER text rows, typed and decoded. A blank N-number falls back to the serial; a row with neither goes."""
     c = F.col
-    ref = merge.pick_per_key(acftref.where(clean.not_blank(c("code"))), ["code"], ["seq"]).select("code", "manufacturer", c("model").alias("aircraft_model"))
     names = clean.filled_list(*(c(f"other_name_{k}") for k in range(1, 6)))
     dates = ("last_action_date", "cert_issue_date", "air_worth_date", "expiration_date")
-    rows = master.where(clean.not_blank(c("n_number")) | clean.not_blank(c("serial"))).join(ref, "code", "left")
+    rows = decoded(master.where(clean.not_blank(c("n_number")) | clean.not_blank(c("serial"))), acftref)
     return rows.select(
         "seq", F.coalesce("n_number", "serial").alias("n_number"), "serial", "code", "manufacturer", c("aircraft_model").alias("model"), clean.whole(c("year")).alias("year"),
         clean.strict_whole(c("registrant_type"), "smallint").alias("registrant_type"), "registrant", "street", "street2", "city", "state", "zip", clean.country_or_us(c("country")).alias("country"),

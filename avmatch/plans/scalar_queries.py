@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from avmatch.functions import clean
+from avmatch.plans import pipelines
 from avmatch.plans.registry import query
 from avmatch.plans.views import FLEET, REG, SNAP, fleet, registry, snapshots, table
 
@@ -105,7 +106,7 @@ def text_fields(spark: SparkSession, sf: str) -> DataFrame:
 @query("""WITH p AS (SELECT p_partkey, list_filter([trim(p_name), CASE WHEN p_size % 2 = 0 THEN '' ELSE p_brand END, NULL, p_type], lambda x: x IS NOT NULL AND x <> '') AS names,
   list_filter(list_transform(string_split(p_name || ', ,' || p_type, ','), lambda x: trim(x)), lambda x: x <> '') AS parts, p_size, p_name, p_type FROM part)
 SELECT p_partkey, array_to_string(names, '|') AS names, array_to_string(parts, '|') AS parts, p_size - 25 > 0 AS deferred,
-  CASE WHEN p_size % 3 = 0 THEN false WHEN p_size % 3 = 1 THEN true END AS for_sale, lower(p_type) = 'economy' AS damaged,
+  CASE WHEN p_size % 3 = 0 THEN false WHEN p_size % 3 = 1 THEN true END AS for_sale, p_size % 5 = 0 AS damaged,
   array_to_string(list_filter([CASE WHEN p_size % 2 = 0 THEN 'Avionics: ' || p_name END, 'Equipment: ' || p_type], lambda x: x IS NOT NULL), '|') AS labels FROM p""")
 def list_fields(spark: SparkSession, sf: str) -> DataFrame:
     even, third = F.col("p_size") % 2 == 0, F.col("p_size") % 3
@@ -116,7 +117,7 @@ def list_fields(spark: SparkSession, sf: str) -> DataFrame:
         F.array_join(clean.comma_list(F.concat("p_name", F.lit(", ,"), "p_type")), "|").alias("parts"),
         clean.deferred(F.col("p_size") - 25).alias("deferred"),
         clean.for_sale(F.when(third == 1, "true").when(third == 2, "maybe")).alias("for_sale"),
-        (F.lower("p_type") == "economy").alias("damaged"),
+        clean.is_true_text(F.when(F.col("p_size") % 5 == 0, " TRUE").otherwise(F.col("p_type"))).alias("damaged"),
         F.array_join(clean.feature_labels(F.when(even, F.col("p_name")), F.col("p_type"), none), "|").alias("labels"),
     )
 
@@ -145,13 +146,60 @@ def stable_uuid(spark: SparkSession, sf: str) -> DataFrame:
     return fleet(spark, sf).select("id", clean.stable_id(F.col("serial"), F.col("registration"), F.col("make"), F.col("model"), F.col("size"), none, none).alias("aircraft_id"))
 
 
-@query("""SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, CAST(json_extract_string(props, '$.k') AS INTEGER) = 0 AS zero, coalesce(nullif(CAST(json_extract_string(props, '$.k') AS DOUBLE), 0), value) AS cost FROM events""")
+@query("""SELECT CAST(event_id AS INTEGER) AS detail_id, nullif(trim(CASE WHEN event_id % 5 = 0 THEN ' ' ELSE event_type END), '') AS name, 'M' || user_id AS manufacturer, event_type AS category,
+  coalesce(nullif(CAST(json_extract_string(props, '$.k') AS DOUBLE), 0), value) AS variable_cost_per_hour, CAST(json_extract_string(props, '$.k') AS INTEGER) AS passengers_max, strftime(ts, '%Y-%m-%d %H:%M') AS updated_on FROM events""")
 def json_flatten(spark: SparkSession, sf: str) -> DataFrame:
-    rows = table(spark, sf, "events").withColumn("p", F.from_json("props", "k int"))
-    return rows.select("event_id", F.col("p.k").alias("k"), (F.col("p.k") == 0).alias("zero"), clean.either_cost(F.col("p.k").cast("double"), F.col("value")).alias("cost"))
-
-
-@query("""SELECT event_id, json_extract_string(props, '$.k') AS cell, '{"event_type":"' || event_type || '","k":' || json_extract_string(props, '$.k') || '}' AS raw FROM events""")
+    c, none = F.col, F.lit(None)
+    k = F.get_json_object("props", "$.k")
+    feed = table(spark, sf, "events").select(
+        c("event_id").cast("int").alias("aircraftDetailId"), F.when(c("event_id") % 5 == 0, " ").otherwise(c("event_type")).alias("name"), none.cast("string").alias("description"),
+        F.struct(none.cast("int").alias("aircraftManufacturerId"), F.concat(F.lit("M"), "user_id").alias("name")).alias("aircraftManufacturer"), F.struct(none.cast("int").alias("aircraftCategoryId"), c("event_type").alias("category")).alias("aircraftCategory"),
+        *(none.cast("string").alias(x) for x in ("avionics", "yearsInProduction", "powerplant", "model")), *(none.cast("double").alias(x) for x in ("averagePreOwnedPrice", "fuelGallons", "normalCruiseSpeedKts", "seatsFullRangeNm", "maxTakeoffWeight")),
+        k.cast("double").alias("totalVariableCostPerHrsValue"), c("value").alias("calc_TotalVariableCostPerHour"), k.cast("double").alias("typicalPassengerCapacityMax"),
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("lastUpdatedOn"), F.lit(0).alias("pos"),
+    )
+    out = pipelines.cost_rows(feed)
+    return out.select("detail_id", "name", "manufacturer", "category", "variable_cost_per_hour", "passengers_max", F.date_format("updated_on", "yyyy-MM-dd HH:mm").alias("updated_on"))
+
+
+@query("""SELECT p_partkey AS entity_id, 'S' || p_partkey AS serial, CAST(p_size + 1950 AS INTEGER) AS year, substr(p_type, 1, 20) AS base_code, '/o/' || p_partkey AS owner_url, upper(p_brand) AS owner,
+  CAST(p_partkey AS INTEGER) AS airframe_hours, CASE p_partkey % 3 WHEN 0 THEN true WHEN 1 THEN false END AS for_sale FROM part""")
 def map_projection(spark: SparkSession, sf: str) -> DataFrame:
-    rows = table(spark, sf, "events").withColumn("fields", F.from_json("props", "map<string, string>"))
-    return rows.select("event_id", clean.cell_text(F.col("fields")["k"]).alias("cell"), F.to_json(F.struct("event_type", F.get_json_object("props", "$.k").cast("int").alias("k"))).alias("raw"))
+    k, text = F.col("p_partkey"), lambda x: x.cast("string")
+    owner = F.to_json(F.struct(F.upper("p_brand").alias("text"), F.concat(F.lit("/o/"), k).alias("href")))
+    sale = F.when(k % 3 == 0, "true").when(k % 3 == 2, "maybe")
+    fields = F.create_map(F.lit("MFR Year"), text(F.col("p_size") + 1950), F.lit("Base"), F.col("p_type"), F.lit("Owner"), owner, F.lit("Airframe Hours"), F.concat(F.lit(" "), text(k)), F.lit("For Sale"), sale)
+    records = table(spark, sf, "part").select(k.alias("aircraft_entity_id"), F.lit("2024-02-01").cast("date").alias("ingestion_date"), F.lit(1).alias("make_model_id"), F.lit("m").alias("make_model_name"), F.concat(F.lit("S"), k).alias("serial_number"), fields.alias("fields"), F.lit(0).alias("pos"))
+    out = pipelines.fleet_page_rows(records)
+    return out.select("entity_id", "serial", "year", "base_code", "owner_url", clean.cell_text(F.col("fields")["Owner"]).alias("owner"), "airframe_hours", "for_sale")
+
+
+@query("""WITH e AS (SELECT event_id, CASE event_id % 5 WHEN 0 THEN strftime(ts, '%Y-%m-%dT%H:%M') WHEN 1 THEN strftime(ts, '%m/%d/') || '98' WHEN 2 THEN strftime(ts, '%m/%d/') || '07' WHEN 3 THEN strftime(ts, '%d/%m/%Y') ELSE 'soon' END AS x, ts FROM events),
+  p AS (SELECT event_id, CASE event_id % 5 WHEN 0 THEN try_strptime(substr(x, 1, 10), '%Y-%m-%d') WHEN 1 THEN try_strptime(strftime(ts, '%m/%d/') || '1998', '%m/%d/%Y') WHEN 2 THEN try_strptime(strftime(ts, '%m/%d/') || '2007', '%m/%d/%Y')
+    WHEN 3 THEN coalesce(try_strptime(x, '%m/%d/%Y'), try_strptime(x, '%d/%m/%Y')) END AS d, ts FROM e)
+SELECT event_id, strftime(d, '%Y-%m-%d') AS fleet_date, CASE WHEN event_id % 7 > 0 THEN strftime(ts, '%Y-%m-%d %H:%M') END AS stamp FROM p""")
+def fleet_dates(spark: SparkSession, sf: str) -> DataFrame:
+    k = F.col("event_id") % 5
+    text = F.when(k == 0, F.date_format("ts", "yyyy-MM-dd'T'HH:mm")).when(k == 1, F.concat(F.date_format("ts", "MM/dd/"), F.lit("98"))).when(k == 2, F.concat(F.date_format("ts", "MM/dd/"), F.lit("07"))).when(k == 3, F.date_format("ts", "dd/MM/yyyy")).otherwise("soon")
+    stamp = F.when(F.col("event_id") % 7 > 0, F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'")).otherwise("not a time")
+    return table(spark, sf, "events").select("event_id", clean.fleet_date(text).cast("string").alias("fleet_date"), F.date_format(clean.iso_timestamp(stamp), "yyyy-MM-dd HH:mm").alias("stamp"))
+
+
+@query("""SELECT p_partkey, nullif(trim(p_brand), '') AS stripped, CASE WHEN p_size % 2 = 0 THEN p_brand || '|' || p_type ELSE p_type END AS listed, CASE WHEN p_size % 3 = 0 THEN p_type ELSE p_brand END AS first_filled,
+  'https://x.example/' || p_partkey || '/a?b=1&c=' || p_size AS url, CAST(p_partkey AS VARCHAR) || '000' AS hours, p_name || ' ' || p_brand AS collapsed,
+  CASE p_size % 3 WHEN 0 THEN p_brand || ', ' || p_type WHEN 1 THEN p_type END AS place FROM part""")
+def text_cleanup(spark: SparkSession, sf: str) -> DataFrame:
+    k, size = F.col("p_partkey"), F.col("p_size")
+    brand, kind = F.col("p_brand"), F.col("p_type")
+    as_list = F.when(size % 2 == 0, F.to_json(F.array(F.concat(F.lit(" "), brand), kind, F.lit(" ")))).otherwise(F.concat(F.lit(" "), kind))
+    url = F.concat(F.lit("https:\\u002f\\u002fx.example/"), k, F.lit("/a?b=1&amp;c="), size)
+    return table(spark, sf, "part").select(
+        "p_partkey",
+        clean.strip_nulls(F.concat(F.lit(" \u0000"), brand, F.lit("\u0000 "))).alias("stripped"),
+        F.array_join(clean.list_from_json(as_list), "|").alias("listed"),
+        clean.first_filled(F.when(size % 3 == 0, " ").otherwise(brand), kind).alias("first_filled"),
+        clean.normal_url(url).alias("url"),
+        clean.hours_text(F.concat(k, F.lit(",000 SNEW"))).alias("hours"),
+        clean.collapse(F.concat(F.lit("  "), F.col("p_name"), F.lit(" \n\t"), brand)).alias("collapsed"),
+        clean.place(F.when(size % 3 == 0, brand).otherwise(" "), F.when(size % 3 < 2, kind)).alias("place"),
+    )

@@ -6,10 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from avmatch.functions import clean
-from avmatch.operators import audit, history, match, merge, repair, resolve
+from avmatch.operators import audit, history, lookup, match, merge, repair, resolve
+from avmatch.plans import pipelines
 from avmatch.plans.registry import query
 from avmatch.plans.scalar_queries import CANON, SKEY, TAIL
-from avmatch.plans.views import FLEET, REF, REG, SNAP, fleet, reference, registry, snapshots, table
+from avmatch.plans.views import CODES, FLEET, REF, REG, SNAP, fleet, reference, registry, snapshots, table, types
+from avmatch.sources import readers
 
 #: Snapshots up to this date are the stored table, later ones the batch.
 CUT = "1998-06-30"
@@ -17,8 +19,7 @@ CUT = "1998-06-30"
 
 @query(f"WITH {SNAP} SELECT * FROM snap WHERE date = (SELECT max(date) FROM snap)")
 def latest_snapshot(spark: SparkSession, sf: str) -> DataFrame:
-    rows = snapshots(spark, sf)
-    return rows.join(F.broadcast(rows.agg(F.max("date").alias("date"))), "date").select(*rows.columns)  # one row
+    return lookup.newest_snapshot(snapshots(spark, sf), "date")
 
 
 def _per_key(order: str) -> str:
@@ -42,7 +43,7 @@ def last_per_key(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("SELECT o_orderkey, o_custkey FROM orders ORDER BY o_orderkey LIMIT 500 OFFSET 100")
 def row_window(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "orders").select("o_orderkey", "o_custkey").orderBy("o_orderkey").offset(100).limit(500)
+    return readers.row_range(table(spark, sf, "orders").select("o_orderkey", "o_custkey"), "o_orderkey", 100, 500)
 
 
 LAST = "SELECT * FROM snap WHERE {0} QUALIFY row_number() OVER (PARTITION BY url ORDER BY {1}) = 1"
@@ -142,10 +143,10 @@ def apu_rows(spark: SparkSession, sf: str) -> DataFrame:
     return history.apu_rows(rows, ["l_orderkey", "l_linenumber"])
 
 
-@query(f"WITH {REG}, {REF}, one AS (SELECT code, max(model) AS model FROM ref GROUP BY code) SELECT seq, n_number, reg.code, model FROM reg LEFT JOIN one ON reg.code = one.code")
+@query(f"""WITH {REG}, t AS (SELECT (['{"', '".join(CODES)}'])[p_partkey % 5 + 1] AS code, p_brand, p_type, p_partkey FROM part), one AS (SELECT code, arg_max(p_brand, p_partkey) AS manufacturer, arg_max(p_type, p_partkey) AS aircraft_model FROM t GROUP BY code)
+SELECT seq, n_number, reg.code, manufacturer, aircraft_model FROM reg LEFT JOIN one ON reg.code = one.code""")
 def code_decode(spark: SparkSession, sf: str) -> DataFrame:
-    one = reference(spark, sf).groupBy("code").agg(F.max("model").alias("model"))
-    return registry(spark, sf).join(one, "code", "left").select("seq", "n_number", "code", "model")
+    return pipelines.decoded(registry(spark, sf), types(spark, sf)).select("seq", "n_number", "code", "manufacturer", "aircraft_model")
 
 
 ENTITIES = "ent AS (SELECT id AS entity_id, serial, regexp_replace(upper(trim(registration)), '[ -]', '', 'g') AS registration FROM fleet)"
@@ -167,11 +168,12 @@ def entity_new_keys(spark: SparkSession, sf: str) -> DataFrame:
     return resolve.new_keys(records, "seq").select("seq", "entity_key")
 
 
-@query("""WITH s AS (SELECT CAST(l_partkey AS VARCHAR) AS serial, l_orderkey, l_linenumber, l_shipdate FROM lineitem), e AS (SELECT CAST(p_partkey AS VARCHAR) AS serial, p_partkey AS id FROM part WHERE p_partkey % 2 = 0)
+@query("""WITH s AS (SELECT CAST(l_partkey AS VARCHAR) AS serial FROM lineitem), e AS (SELECT CASE WHEN p_size % 4 = 0 THEN 'X' ELSE '' END || p_partkey AS serial, p_partkey AS id FROM part)
 SELECT s.serial, count(*) AS sales, count(e.id) AS linked, min(e.id) AS entity_id FROM s LEFT JOIN e ON s.serial = e.serial GROUP BY s.serial""")
 def sale_lookup(spark: SparkSession, sf: str) -> DataFrame:
     sales = table(spark, sf, "lineitem").select(F.col("l_partkey").cast("string").alias("serial"), F.lit(None).cast("string").alias("registration"))
-    entities = table(spark, sf, "part").where("p_partkey % 2 = 0").select(F.col("p_partkey").alias("entity_id"), F.col("p_partkey").cast("string").alias("serial"), F.lit("").alias("registration"))
+    serial = F.concat(F.when(F.col("p_size") % 4 == 0, "X").otherwise(""), "p_partkey")
+    entities = table(spark, sf, "part").select(F.col("p_partkey").alias("entity_id"), serial.alias("serial"), F.lit("").alias("registration"))
     out = resolve.lookup(sales, entities)
     return out.groupBy("serial").agg(F.count("*").alias("sales"), F.count("entity_id").alias("linked"), F.min("entity_id").alias("entity_id"))
 
@@ -273,16 +275,16 @@ def audit_summary(spark: SparkSession, sf: str) -> DataFrame:
     return audit.audit_summary(_matched(spark, sf), ["registrant", "code", "date"])
 
 
-RECON = f"""{REG}, mm AS (SELECT trim(serial) AS serial, array_to_string(list_sort(list_distinct(list(trim(registrant)))), '; ') AS names, list(trim(registrant)) AS l FROM reg WHERE seq % 10 <> 3 AND trim(serial) <> '' GROUP BY 1),
-  ss AS (SELECT trim(serial) AS serial, max(CASE WHEN seq % 7 = 0 THEN registrant || ' X' ELSE registrant END) AS stored_name FROM reg WHERE seq % 9 <> 4 AND seq % 5 = 0 GROUP BY 1),
+RECON = f"""{REG}, mm AS (SELECT trim(serial) AS serial, array_to_string(list_sort(list_distinct(list(trim(registrant)))), '; ') AS names, list(trim(registrant)) AS l FROM reg WHERE date > '{CUT}' AND trim(serial) <> '' GROUP BY 1),
+  ss AS (SELECT trim(serial) AS serial, max(CASE WHEN seq % 7 = 0 THEN registrant || ' X' ELSE registrant END) AS stored_name FROM reg WHERE date <= '{CUT}' GROUP BY 1),
   rc AS (SELECT coalesce(mm.serial, ss.serial) AS serial, CASE WHEN ss.serial IS NULL THEN 'missing' WHEN mm.serial IS NULL THEN 'extra' ELSE 'common' END AS side, substr(names, 1, 4000) AS names, stored_name,
     CASE WHEN ss.serial IS NOT NULL AND mm.serial IS NOT NULL THEN list_contains(l, stored_name) END AS name_ok FROM mm FULL JOIN ss ON mm.serial = ss.serial)"""
 
 
 def _reconciled(spark: SparkSession, sf: str) -> DataFrame:
     rows = registry(spark, sf)
-    stored = rows.where("seq % 9 <> 4 and seq % 5 = 0").withColumn("registrant", F.when(F.col("seq") % 7 == 0, F.concat("registrant", F.lit(" X"))).otherwise(F.col("registrant")))
-    return audit.reconcile(rows.where("seq % 10 <> 3"), stored)
+    stored = rows.where(F.col("date") <= CUT).withColumn("registrant", F.when(F.col("seq") % 7 == 0, F.concat("registrant", F.lit(" X"))).otherwise(F.col("registrant")))
+    return audit.reconcile(rows.where(F.col("date") > CUT), stored)
 
 
 @query(f"WITH {RECON} SELECT serial, side FROM rc")
@@ -355,17 +357,20 @@ def backfill_missing(spark: SparkSession, sf: str) -> DataFrame:
     return repair.backfill(rows.where("seq % 40 = 0"), master, entities).select("seq", "serial", "n_number", "n_conflict", "entity_id")
 
 
-@query(f"""WITH {SPLIT}, m AS (SELECT coalesce(n.status, o.status) AS source, CASE WHEN n.url IS NULL THEN 'kept' WHEN o.url IS NULL THEN 'inserted' ELSE 'updated' END AS action FROM old o FULL JOIN new n ON o.url = n.url)
-SELECT source, action, count(*) AS n FROM m GROUP BY GROUPING SETS ((source, action), (action), ())""")
+@query(f"""WITH {SPLIT}, {REG}, ol AS (SELECT DISTINCT n_number FROM reg WHERE date <= {CUT!r}), nl AS (SELECT DISTINCT n_number FROM reg WHERE date > {CUT!r}),
+  m AS (SELECT 'snapshots' AS source, CASE WHEN n.url IS NULL THEN 'kept' WHEN o.url IS NULL THEN 'inserted' ELSE 'updated' END AS action FROM old o FULL JOIN new n ON o.url = n.url
+    UNION ALL SELECT 'registry', CASE WHEN nl.n_number IS NULL THEN 'kept' WHEN ol.n_number IS NULL THEN 'inserted' ELSE 'updated' END FROM ol FULL JOIN nl ON ol.n_number = nl.n_number)
+SELECT source, action, count(*) AS n FROM m GROUP BY GROUPING SETS ((source, action), (action))""")
 def run_summary(spark: SparkSession, sf: str) -> DataFrame:
-    rows = snapshots(spark, sf)
-    merged = merge.merge_latest(_stored(rows), rows.where(F.col("date") > CUT), ["url"], ["seq"])
-    return merged.rollup("action", F.col("status").alias("source")).agg(F.count("*").alias("n")).select("source", "action", "n")
+    rows, reg = snapshots(spark, sf), registry(spark, sf)
+    stored = merge.pick_per_key(reg.where(F.col("date") <= CUT), ["n_number"], ["date", "seq"])
+    merged = {"snapshots": merge.merge_latest(_stored(rows), rows.where(F.col("date") > CUT), ["url"], ["seq"]), "registry": merge.merge_latest(stored, reg.where(F.col("date") > CUT), ["n_number"], ["seq"])}
+    return pipelines.run_summary(merged)
 
 
-@query(f"WITH {SNAP} SELECT status, location, count(*) AS n, max(date) AS last_date FROM snap GROUP BY status, location")
+@query(f"WITH {SNAP} SELECT status, location, count(*) AS n, max(date) AS last_date, sum(seq) AS sum_seq FROM snap GROUP BY status, location")
 def group_counts(spark: SparkSession, sf: str) -> DataFrame:
-    return snapshots(spark, sf).groupBy("status", "location").agg(F.count("*").alias("n"), F.max("date").alias("last_date"))
+    return lookup.group_counts(snapshots(spark, sf), ["status", "location"], last="date", total="seq").withColumn("sum_seq", F.col("sum_seq").cast("decimal(38,0)"))
 
 
 @query(f"""WITH {FLEET} SELECT unnest([{{'field': 'registration', 'filled': count(*) FILTER (trim(registration) <> '')}}, {{'field': 'serial', 'filled': count(*) FILTER (trim(serial) <> '')}},
@@ -376,32 +381,45 @@ def field_coverage(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"WITH {SNAP} SELECT url, date, seq FROM snap ORDER BY date DESC, seq LIMIT 25")
 def topk_latest(spark: SparkSession, sf: str) -> DataFrame:
-    return snapshots(spark, sf).select("url", "date", "seq").orderBy(F.desc("date"), "seq").limit(25)
+    return lookup.newest(snapshots(spark, sf).select("url", "date", "seq"), "date", 25, "seq")
 
 
-@query("SELECT sha256(text) AS hash, min(doc_id) AS doc_id, CAST(min(length(text)) AS BIGINT) AS chars, count(*) AS copies FROM documents GROUP BY 1")
+@query("""SELECT min(lpad(CAST(doc_id AS VARCHAR), 12, '0')) AS file_path, min(lpad(CAST(doc_id AS VARCHAR), 12, '0')) || '.txt' AS file_name, CAST(min(length(text)) AS BIGINT) AS file_size, sha256(text) AS file_hash, count(*) AS copies FROM documents GROUP BY sha256(text)""")
 def document_hash_dedupe(spark: SparkSession, sf: str) -> DataFrame:
-    docs = table(spark, sf, "documents").select("doc_id", F.sha2("text", 256).alias("hash"), F.length("text").cast("long").alias("chars"))
-    return docs.groupBy("hash").agg(F.min("doc_id").alias("doc_id"), F.min("chars").alias("chars"), F.count("*").alias("copies"))
+    path = F.lpad(F.col("doc_id").cast("string"), 12, "0")
+    files = table(spark, sf, "documents").select(path.alias("file_path"), F.concat(path, F.lit(".txt")).alias("file_name"), F.length("text").cast("long").alias("file_size"), F.col("text").alias("content"))
+    return lookup.contents(files)
+
+
+@query("""WITH d AS (SELECT sha256(text) AS file_hash, source FROM documents), k AS (SELECT DISTINCT b.file_hash FROM (SELECT sha256(text) AS file_hash FROM benchmark) b)
+SELECT 'documents' AS source_platform, file_hash, count(*) AS n FROM d WHERE file_hash NOT IN (SELECT file_hash FROM k) GROUP BY file_hash""")
+def unknown_documents(spark: SparkSession, sf: str) -> DataFrame:
+    hashed = lambda name: table(spark, sf, name).select(F.lit("documents").alias("source_platform"), F.sha2("text", 256).alias("file_hash"))
+    return readers.unknown_documents(hashed("documents"), hashed("benchmark")).groupBy("source_platform", "file_hash").agg(F.count("*").alias("n"))
 
 
 @query(f"WITH {REG} SELECT seq, serial, n_number, date FROM reg WHERE serial IN ('FL 1', 'N2', '3', '4') AND date >= '1996-01-01'")
 def membership_lookup(spark: SparkSession, sf: str) -> DataFrame:
-    rows = registry(spark, sf).where(F.col("serial").isin("FL 1", "N2", "3", "4") & (F.col("date") >= "1996-01-01"))
-    return rows.select("seq", "serial", "n_number", "date").orderBy(F.desc("date"), "seq")
+    return lookup.by_values(registry(spark, sf), "serial", ["FL 1", "N2", "3", "4"], "date", "1996-01-01").select("seq", "serial", "n_number", "date")
 
 
-@query("SELECT event_id, event_type FROM events WHERE json_extract_string(props, '$.source') IS NULL AND CAST(json_extract_string(props, '$.k') AS INTEGER) >= 90 ORDER BY ts DESC, event_id LIMIT 10")
+@query(f"WITH {REG} SELECT seq, n_number, serial FROM reg WHERE date = '1996-01-02' AND trim(serial) <> ''")
+def snapshot_rows(spark: SparkSession, sf: str) -> DataFrame:
+    return lookup.snapshot(registry(spark, sf), "date", "1996-01-02", ["serial"]).select("seq", "n_number", "serial")
+
+
+@query("SELECT event_id, event_type FROM events WHERE json_extract_string(props, '$.source') IS NULL AND coalesce(json_extract_string(props, '$.k'), '90') = '90' ORDER BY ts DESC, event_id LIMIT 10")
 def json_predicate(spark: SparkSession, sf: str) -> DataFrame:
-    found = F.get_json_object("props", "$.source").isNull() & (F.get_json_object("props", "$.k").cast("int") >= 90)
-    return table(spark, sf, "events").where(found).orderBy(F.desc("ts"), "event_id").limit(10).select("event_id", "event_type")
+    props = F.col("props")
+    return lookup.newest(table(spark, sf, "events").where(lookup.json_is(props, "$.source") & lookup.json_is(props, "$.k", "90")), "ts", 10, "event_id").select("event_id", "event_type")
 
 
-@query(f"WITH {REG}, {FLEET}, e AS (SELECT serial, min(id) AS id FROM fleet WHERE serial <> '' GROUP BY serial), l AS (SELECT * FROM reg QUALIFY row_number() OVER (PARTITION BY n_number ORDER BY date DESC, seq DESC) = 1) SELECT l.n_number, l.registrant, l.date, e.id AS entity_id, f.model FROM l LEFT JOIN e ON l.serial = e.serial LEFT JOIN fleet f ON f.id = e.id")
+@query(f"WITH {REG}, {FLEET}, e AS (SELECT serial, min(id) AS id FROM fleet WHERE serial <> '' GROUP BY serial), l AS (SELECT * FROM reg QUALIFY row_number() OVER (PARTITION BY n_number ORDER BY date DESC, seq DESC) = 1) SELECT l.n_number, l.registrant, l.date, e.id AS entity_id, f.model AS aircraft_model FROM l LEFT JOIN e ON l.serial = e.serial LEFT JOIN fleet f ON f.id = e.id")
 def registration_report(spark: SparkSession, sf: str) -> DataFrame:
-    latest = merge.pick_per_key(registry(spark, sf), ["n_number"], ["date", "seq"])
-    first = merge.pick_per_key(fleet(spark, sf).where("serial <> ''"), ["serial"], ["id"], last=False)
-    return latest.join(first.select("serial", F.col("id").alias("entity_id"), "model"), "serial", "left").select("n_number", "registrant", "date", "entity_id", "model")
+    latest = merge.pick_per_key(registry(spark, sf), ["n_number"], ["date", "seq"]).withColumn("registration", F.lit(""))
+    aircraft = fleet(spark, sf).select(F.col("id").alias("entity_id"), "serial", F.lit("").alias("registration"), "model")
+    known = resolve.lookup(latest, aircraft)
+    return audit.with_entities(known, aircraft, "aircraft_").select("n_number", "registrant", "date", "entity_id", "aircraft_model")
 
 
 @query(f"WITH {CHANGES} SELECT change_date, field, old_value, new_value FROM ch WHERE url = 'https://m.example/listing/for-sale/42/x'")
@@ -410,13 +428,71 @@ def one_listing_history(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("change_date", "field", "old_value", "new_value").orderBy(F.desc("change_date"), "field")
 
 
-@query(f"""WITH {REG}, a AS (SELECT DISTINCT serial FROM reg WHERE seq % 3 = 0), b AS (SELECT DISTINCT serial FROM reg WHERE seq % 3 = 1)
+@query(f"""WITH {REG}, a AS (SELECT DISTINCT serial FROM reg WHERE date <= '1995-12-31'), b AS (SELECT DISTINCT serial FROM reg WHERE date > '1995-12-31')
 SELECT 'missing' AS kind, serial FROM (SELECT * FROM a EXCEPT SELECT * FROM b) UNION ALL SELECT 'extra', serial FROM (SELECT * FROM b EXCEPT SELECT * FROM a) UNION ALL SELECT 'common', serial FROM (SELECT * FROM a INTERSECT SELECT * FROM b)""")
 def serial_sets(spark: SparkSession, sf: str) -> DataFrame:
     rows = registry(spark, sf)
-    a, b = rows.where("seq % 3 = 0").select("serial").distinct(), rows.where("seq % 3 = 1").select("serial").distinct()
-    named = lambda df, kind: df.select(F.lit(kind).alias("kind"), "serial")
-    return named(a.join(b, "serial", "left_anti"), "missing").unionByName(named(b.join(a, "serial", "left_anti"), "extra")).unionByName(named(a.join(b, "serial", "left_semi"), "common"))
+    return lookup.set_sides(rows.where("date <= '1995-12-31'"), rows.where("date > '1995-12-31'"), "serial").select(F.col("side").alias("kind"), "serial")
+
+
+@query(f"WITH {RECON}, k AS (SELECT CASE WHEN side <> 'common' THEN side WHEN NOT name_ok THEN 'name_mismatch' END AS kind, serial, names, stored_name FROM rc) SELECT * FROM k WHERE kind IS NOT NULL QUALIFY row_number() OVER (PARTITION BY kind ORDER BY serial) <= 50")
+def stacked_report(spark: SparkSession, sf: str) -> DataFrame:
+    return audit.stacked(_reconciled(spark, sf), 50)
+
+
+OWNER = f"""{REG}, m AS (SELECT *, CASE seq % 4 WHEN 0 THEN [registrant, code] WHEN 1 THEN [' ' || code || ' '] END AS other_names FROM reg WHERE date > {CUT!r}), s AS (SELECT *, CASE seq % 3 WHEN 0 THEN [registrant, code] WHEN 1 THEN [code] END AS other_names FROM reg WHERE date <= {CUT!r}),
+  bn AS (SELECT * FROM s WHERE trim(n_number) <> '' QUALIFY row_number() OVER (PARTITION BY n_number ORDER BY seq) = 1), bs AS (SELECT * FROM s WHERE trim(serial) <> '' QUALIFY row_number() OVER (PARTITION BY serial ORDER BY seq) = 1),
+  j AS (SELECT m.seq, CASE WHEN bn.seq IS NOT NULL THEN 'n_number' ELSE 'serial' END AS match_key, m.code AS c1, coalesce(bn.code, bs.code) AS c0, m.registrant AS r1, coalesce(bn.registrant, bs.registrant) AS r0, m.date AS d1, coalesce(bn.date, bs.date) AS d0,
+    list_transform(m.other_names, lambda x: trim(x)) AS o1, CASE WHEN bn.seq IS NOT NULL THEN bn.other_names ELSE bs.other_names END AS o0 FROM m LEFT JOIN bn ON bn.n_number = m.n_number LEFT JOIN bs ON bs.serial = m.serial WHERE coalesce(bn.seq, bs.seq) IS NOT NULL)"""
+
+
+@query(f"""WITH {OWNER} SELECT seq, match_key, array_to_string(list_filter([CASE WHEN c1 IS DISTINCT FROM c0 THEN 'code' END, CASE WHEN r1 IS DISTINCT FROM r0 THEN 'registrant' END, CASE WHEN d1 IS DISTINCT FROM d0 THEN 'last_action_date' END,
+  CASE WHEN o1 IS DISTINCT FROM o0 THEN 'other_names' END], lambda x: x IS NOT NULL), ';') AS mismatched FROM j""")
+def registry_audit(spark: SparkSession, sf: str) -> DataFrame:
+    """All 28 fields; those that the tables lack are null on both sides."""
+    blank = [f for f in audit.FULL_FIELDS if f not in ("code", "registrant", "last_action_date", "other_names")]
+    rows = registry(spark, sf).select("*", F.to_date("date").alias("last_action_date"), *(F.lit(None).cast("string").alias(f) for f in blank))
+    k = F.col("seq")
+    new = rows.where(F.col("date") > CUT).withColumn("other_names", F.when(k % 4 == 0, F.array("registrant", "code")).when(k % 4 == 1, F.array(F.concat(F.lit(" "), "code", F.lit(" ")))))
+    old = rows.where(F.col("date") <= CUT).withColumn("other_names", F.to_json(F.when(k % 3 == 0, F.array("registrant", "code")).when(k % 3 == 1, F.array("code"))))
+    return audit.registry_audit(new, old).select("seq", "match_key", F.array_join("mismatched", ";").alias("mismatched"))
+
+
+BACKFILL = f"""{REG}, st AS (SELECT * FROM reg WHERE date <= {CUT!r}), ms AS (SELECT * FROM reg WHERE date > {CUT!r}), nw AS (SELECT * FROM ms r WHERE NOT EXISTS (SELECT 1 FROM st WHERE st.serial = r.serial AND st.code = r.code AND st.registrant = r.registrant)
+    QUALIFY row_number() OVER (PARTITION BY serial, code, registrant ORDER BY seq) = 1), c AS (SELECT *, 'N' || (seq % 5000) AS n, row_number() OVER (PARTITION BY seq % 5000 ORDER BY seq) AS claim FROM nw), lost AS (SELECT *, claim > 1 OR n IN (SELECT n_number FROM st) AS l FROM c)"""
+
+
+@query(f"""WITH {BACKFILL} SELECT (SELECT count(*) FROM ms) AS processed, (SELECT count(*) FROM (SELECT DISTINCT serial, code, registrant FROM st)) AS stored_signatures, count(*) AS inserted, (SELECT count(*) FROM ms) - count(*) AS skipped_existing, 0 AS skipped_blank,
+  count(*) FILTER (l) AS n_conflicts, count(DISTINCT serial) FILTER (p_partkey IS NULL) AS new_aircraft FROM lost LEFT JOIN part ON CAST(p_partkey AS VARCHAR) = serial""")
+def backfill_summary(spark: SparkSession, sf: str) -> DataFrame:
+    rows = registry(spark, sf)
+    stored, master = rows.where(F.col("date") <= CUT), rows.where(F.col("date") > CUT).withColumn("n_number", F.concat(F.lit("N"), F.col("seq") % 5000))
+    entities = table(spark, sf, "part").select(F.col("p_partkey").alias("entity_id"), F.col("p_partkey").cast("string").alias("serial"))
+    return repair.backfill_summary(stored, master, repair.backfill(stored, master, entities))
+
+
+@query(f"""WITH {REG}, k AS (SELECT upper(serial) AS key, 'N' || (seq % 900) AS n_number, seq FROM reg), l AS (SELECT *, lag(n_number) OVER (PARTITION BY key ORDER BY seq) AS was FROM k)
+SELECT seq, key, was, n_number FROM l WHERE was <> n_number ORDER BY seq, key LIMIT 12""")
+def collision_sample(spark: SparkSession, sf: str) -> DataFrame:
+    return repair.collision_sample(registry(spark, sf).withColumn("n_number", F.concat(F.lit("N"), F.col("seq") % 900)))
+
+
+@query(f"WITH {SNAP} SELECT url, seq, price_text, CAST(NULL AS VARCHAR) AS kind FROM snap UNION ALL SELECT NULL, event_id, NULL, event_type FROM events")
+def widened(spark: SparkSession, sf: str) -> DataFrame:
+    more = table(spark, sf, "events").select(F.col("event_id").alias("seq"), F.col("event_type").alias("kind"))
+    return merge.widen(snapshots(spark, sf).select("url", "seq", "price_text"), more)
+
+
+@query(f"WITH {SPLIT} SELECT url, seq, date, price_text FROM old UNION ALL SELECT url, seq, date, price_text FROM new WHERE url NOT IN (SELECT url FROM old)")
+def merge_append(spark: SparkSession, sf: str) -> DataFrame:
+    rows = snapshots(spark, sf)
+    new = merge.pick_per_key(rows.where(F.col("date") > CUT), ["url"], ["seq"])
+    return merge.append_absent(_stored(rows), new, ["url"], ["seq"]).select("url", "seq", "date", "price_text")
+
+
+@query(f"WITH {SNAP}, r AS (SELECT status, seq, row_number() OVER (PARTITION BY status ORDER BY seq) AS n FROM snap) SELECT status, seq FROM r WHERE n <= 40")
+def per_source_limit(spark: SparkSession, sf: str) -> DataFrame:
+    return audit.capped(snapshots(spark, sf).select("status", "seq"), "status", ["seq"], 40)
 
 
 @query("""WITH c AS (SELECT event_id, CASE event_id % 4 WHEN 0 THEN '{"text":"' || event_type || '","href":"/e/' || event_id || '"}' WHEN 1 THEN 'true' WHEN 2 THEN 'false' ELSE ' ' || event_type END AS cell FROM events)

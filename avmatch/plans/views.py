@@ -66,5 +66,32 @@ def reference(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts.select(F.element_at(F.array(*map(F.lit, CODES)), (F.col("p_partkey") % 5 + 1).cast("int")).alias("code"), F.col("p_type").alias("model")).distinct()
 
 
+def types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A type reference file: a code repeats, in the order of seq."""
+    parts = table(spark, sf_dir, "part")
+    code = F.element_at(F.array(*map(F.lit, CODES)), (F.col("p_partkey") % 5 + 1).cast("int"))
+    return parts.select(code.alias("code"), F.col("p_brand").alias("manufacturer"), F.col("p_type").alias("model"), F.col("p_partkey").alias("seq"))
+
+
+def saved_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listing pages: each part is an aircraft with a page of its own, which has a bit of every layout."""
+    c = F.col
+    k, year = c("p_partkey"), c("p_partkey") % 30 + 1990
+    parts = [
+        "<title>", year, " ", "Make Model", c("p_size"), ' for Sale | x</title><meta property="og:url" content="https://own.example/', k, '"><meta property="og:image" content="https://img.example/', k, '.jpg?a=1&amp;b=2">',
+        '<meta name="twitter:image" content="https://img.example/t', k, '.jpg">1 - 28 of ', k * 14, " Listings",
+        '<div class="card list-listing-card-wrapper"><div data-listing-id="L', k, '"><a href="/listing/for-sale/', k, '/x">', year, " ", c("p_brand"), '</a><span class="price">USD $', F.floor("p_retailprice"), '</span><div class="machine-location">Location: ',
+        c("p_type"), '</div><a href="tel:555-', k, '">call</a> Total Time: 1,', F.lpad((k % 1000).cast("string"), 3, "0"), "</div></div>",
+        '<div class="w-full sm:w-1/2 lg:w-1/4 mb-4"><a href="/details/', k, '/y">', year, " ", c("p_name"), "</a><p>Offered by: ", c("p_name"), "</p></div>",
+        '<div class="w-full my-4"><a href="https://x.example/aircraft-by-manufacturer/', k % 100, '/m">', c("p_name"), '</a></div><a href="/aircraft-for-sale/', k % 100, "/m/", k, '/n">', c("p_brand"), "</a>",
+        '<div class="detail__specs-wrapper"><div class="detail__specs-label">Year</div><div class="detail__specs-value">', year, '</div><div class="detail__specs-label">Total Time</div><div class="detail__specs-value">', k, " SNEW</div></div>",
+        '<script>{"DetailViewComponent":{"Props":{"serialNumber":"P', k, '"}}}</script>',
+        '<div class="datum"><span class="label">Total Hours</span><div class="value">', k, '</div></div><div class="datum"><span class="label">Tail Number</span><div class="value">N', k, "</div></div>",
+        '<table class="detail-table"><thead><tr><th>Serial Number</th><th>S', k, ' x<input class="select_aircraft" value="', k, '"></th><th>T', k, '<input class="select_aircraft" value="', k + 1000000, '"></th></tr></thead><tbody><tr><th>MFR Year</th><td>', year,
+        '</td><td><a href="/b">', c("p_size"), '</a></td></tr><tr><th class="th-title">Extra</th></tr><tr><th>Seats</th><td>', c("p_size"), '</td></tr></tbody></table><input name="make_model" value="', k % 50, '">',
+    ]
+    return table(spark, sf_dir, "part").select(k.alias("page_id"), F.concat(*(F.lit(x) if isinstance(x, str) else x.cast("string") for x in parts)).alias("html"))
+
+
 CODES = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
 REF = f"""ref AS (SELECT DISTINCT (['{"', '".join(CODES)}'])[p_partkey % 5 + 1] AS code, p_type AS model FROM part)"""

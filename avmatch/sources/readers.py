@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from avmatch.functions import clean
+from avmatch.operators import lookup
 
 DATE_IN_PATH = r"/([0-9]{4}-[0-9]{2}-[0-9]{2})(?:/|$)"
 
@@ -149,8 +150,8 @@ def done_pages(spark: SparkSession, path: str) -> DataFrame:
 def documents(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     """(file_path, file_name, file_size, file_hash) of files, one row per content."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True).load(path)
-    rows = files.select(F.col("path").alias("file_path"), F.regexp_extract("path", r"([^/]+)$", 1).alias("file_name"), F.col("length").alias("file_size"), F.sha2("content", 256).alias("file_hash"))
-    return rows.groupBy("file_hash").agg(F.min_by(F.struct("file_path", "file_name", "file_size"), "file_path").alias("f")).select("f.*", "file_hash")
+    rows = files.select(F.col("path").alias("file_path"), F.regexp_extract("path", r"([^/]+)$", 1).alias("file_name"), F.col("length").alias("file_size"), "content")
+    return lookup.contents(rows).drop("copies")
 
 
 def unknown_documents(found: DataFrame, known: DataFrame) -> DataFrame:

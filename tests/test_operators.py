@@ -106,8 +106,11 @@ def test_repairs(spark):
     assert rows(repair.serial_repairs(stored, master), "seq", "outcome") == [(1, "no_match"), (2, "already_right"), (3, "no_serial"), (4, "no_match")]
     assert rows(repair.tail_repairs(stored, master), "seq", "new_n", "outcome") == [(1, None, "no_match"), (3, "42", "fixed"), (4, "42", "conflict")]
     entities = spark.createDataFrame([(7, "S1")], "entity_id int, serial string")
-    filled = repair.backfill(stored, master, entities)
-    assert rows(filled, "seq", "n_number", "n_conflict", "entity_id") == sorted([(1, "N123", False, 7), (3, None, True, None), (5, "42", False, None)], key=str)
+    more = master.union(spark.createDataFrame([(6, "9", "S6", "c", "r3", "d"), (7, "8", "S7", " ", "r3", "d")], schema))
+    filled = repair.backfill(stored, more, entities)
+    assert rows(filled, "seq", "n_number", "n_conflict", "entity_id", "date") == sorted([(1, "N123", False, 7, "d"), (5, "42", False, None, "d"), (6, None, True, None, "d")], key=str)
+    assert repair.backfill_summary(stored, more, filled).first().asDict() == {"processed": 7, "stored_signatures": 4, "inserted": 3, "skipped_existing": 2, "skipped_blank": 2, "n_conflicts": 1, "new_aircraft": 2}
+    assert rows(repair.collision_sample(master), "seq", "key", "was", "n_number") == []
 
 
 def test_fleet_table_is_idempotent(spark):
