@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from avmatch.llm import bitmaps
 from avmatch.llm import words as W
 from avmatch.llm.components import components
 from avmatch.llm.store import shuffle_partitions, stash
@@ -269,8 +270,8 @@ def join_classes(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     alive = stash(alive.select(F.monotonically_increasing_id().alias("id"), *KEY, "rep", "copies"), "alive")
 
     # One text of each class that is left: those of its smallest doc_id, of which its key tells the right one.
-    reps = alive.select(F.col("rep").alias("_rep")).distinct()
-    sets = docs.join(reps, F.col("doc_id").eqNullSafe(F.col("_rep")), "left_semi").select("text")
+    reps = alive.select(F.col("rep").alias("_rep"))
+    sets = bitmaps.split(docs, "doc_id", reps)[0].join(reps.distinct(), F.col("doc_id").eqNullSafe(F.col("_rep")), "left_semi").select("text")
     sets = sets.mapInArrow(run(sets_of, n), "n_shingles long, d1 long, d2 long, hs array<long>").groupBy(*KEY).agg(F.first("hs").alias("hs"))
     sets = stash(sets.join(alive, KEY).select("id", F.col("n_shingles").alias("n"), "hs"), "sets")
     postings = sets.select("id", "n", F.explode("hs").alias("h"))
@@ -302,6 +303,7 @@ def join_classes(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     named = found.join(least, "component").select("id", "component_id").join(degree, "id", "full")
     named = alive.join(named, "id").select(*KEY, F.coalesce("component_id", "rep").alias("component_id"), F.coalesce("degree", F.lit(0)).alias("degree"))
     named = classes.join(named, KEY, "left").select(*KEY, "copies", F.coalesce("component_id", "rep").alias("component_id"), F.coalesce("degree", F.lit(0)).alias("degree"))
+    named = stash(named, "named")  # so that Spark can split a class with very many copies
     return table.join(named, KEY, "left").select(
         "doc_id",
         "n_shingles",

@@ -5,6 +5,7 @@ literals, cut into trigrams of lower-cased text. The index holds, for the trigra
 documents with them; postings are intersected within each alternative. A rule with an alternative that has no
 mandatory trigram scans every document.
 
+A text of any length is scanned whole; rows that repeat are scanned one by one; an empty table gives an empty table.
 Offsets are code points, end exclusive; matches of a kind are leftmost and don't overlap, and those under the
 rule's least length are dropped after matching. Null texts are empty and have no span. Documents are matched to
 postings by doc_id; where it repeats, candidates of one row count for its namesakes too, and verification is exact.
@@ -16,6 +17,9 @@ from re import _parser
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from avmatch.llm import bitmaps
+from avmatch.llm.store import stash
+
 #: (kind, pattern, group whose length counts, least length). The first three are the base kinds.
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 RULES = [
@@ -86,7 +90,8 @@ def candidates(docs: DataFrame, rules) -> DataFrame:
     table = docs.sparkSession.sql("select * from values " + ", ".join(f"({k}, {n}, {quote(t)}, {need})" for k, n, t, need in clauses) + " as q(clause, rule, gram, need)")
     low = docs.select("key", F.lower("text").alias("low"))
     held = low.select("key", F.array_compact(F.array(*(F.when(F.col("low").contains(t), t) for t in grams))).alias("grams"))
-    postings = held.select("key", F.explode("grams").alias("gram"))
+    # An outer explode: a plain one infers a filter on its array, which would find every trigram once more.
+    postings = held.select("key", F.explode_outer("grams").alias("gram"))
     met = postings.join(F.broadcast(table), "gram").groupBy("key", "rule", "clause", "need").agg(F.count_distinct("gram").alias("n"))
     return met.where("n = need").groupBy("key").agg(F.collect_set("rule").alias("rules"))
 
@@ -113,14 +118,23 @@ def spans(text: Column, rule) -> Column:
 
 
 def scan(docs: DataFrame, rules=RULES) -> DataFrame:
-    """docs (doc_id, text, ...) and spans: array<struct<start, rank, stop, kind>> of all rules, by start, then rule."""
+    """docs (doc_id, text, ...) and spans: array<struct<start, rank, stop, kind>> of all rules, by start, then rule.
+
+    Only documents that may be candidates meet the postings; other texts stay where they are.
+    """
     key = F.coalesce("doc_id", F.lit(-(2**63)))
-    found = candidates(docs.select(key.alias("key"), F.coalesce("text", F.lit("")).alias("text")), rules)
-    rows = docs.withColumn("_key", key).join(found.select(F.col("key").alias("_key"), F.col("rules").alias("_rules")), "_key", "left")
+    found = stash(candidates(docs.select(key.alias("key"), F.coalesce("text", F.lit("")).alias("text")), rules), "candidates")
+    some, rest = bitmaps.split(docs.withColumn("_key", key), "_key", found.select("key"))
+    some = some.join(found.select(F.col("key").alias("_key"), F.col("rules").alias("_rules")), "_key", "left")
     text = F.coalesce("text", F.lit(""))
     none = F.array().cast("array<struct<start: int, rank: int, stop: int, kind: string>>")
-    each = [spans(text, r) if trigram_query(r[1]) is None else F.when(F.array_contains("_rules", n), spans(text, r)).otherwise(none) for n, r in enumerate(rules)]
-    return rows.withColumn("spans", F.sort_array(F.concat(*each))).drop("_key", "_rules")
+    full = [trigram_query(r[1]) is None for r in rules]
+
+    def verified(rows: DataFrame, hits: bool) -> DataFrame:
+        each = [spans(text, r) if every else F.when(F.array_contains("_rules", n), spans(text, r)).otherwise(none) for n, (r, every) in enumerate(zip(rules, full, strict=True)) if every or hits]
+        return rows.select(*docs.columns, F.sort_array(F.concat(none, *each)).alias("spans"))
+
+    return verified(some, True).unionByName(verified(rest, False))
 
 
 def listed(found: Column) -> Column:
