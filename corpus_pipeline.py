@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from avmatch.llm import bpe, langid, mixing, ngram_jaccard, secret_scan
+from avmatch.llm import bitmaps, bpe, langid, mixing, ngram_jaccard, secret_scan
 from avmatch.llm.store import stash
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -33,10 +33,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     count once; rows of one id with other texts are taken for parts of one document and stay.
     """
     found = ngram_jaccard.join_classes(docs, n=5, percent=80)
-    keep = stash(found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id", (F.col("n_shingles") > 0).alias("words")), "keep")
-    ids = keep.select(F.col("doc_id").alias("_keep"))
-    rows = docs.select(*COLUMNS).join(ids, F.col("doc_id").eqNullSafe(F.col("_keep")), "left_semi")
-    again = keep.where("words").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("_again"))
+    kept = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    ids = stash(found.groupBy("doc_id").agg(F.max(kept).alias("kept"), F.count_if(kept & (F.col("n_shingles") > 0)).alias("times")), "ids")
+    # The ids that go are few: texts that are certainly not theirs stay where they are.
+    gone = ids.where("not kept").select(F.col("doc_id").alias("_gone"))
+    some, rows = bitmaps.split(docs.select(*COLUMNS), "doc_id", gone)
+    rows = rows.unionByName(some.join(gone, F.col("doc_id").eqNullSafe(F.col("_gone")), "left_anti"))
+    again = ids.where("times > 1").select(F.col("doc_id").alias("_again"))
     if again.isEmpty():
         return rows
     same = F.col("doc_id").eqNullSafe(F.col("_again"))
