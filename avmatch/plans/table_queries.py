@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from avmatch import schemas
 from avmatch.functions import clean
 from avmatch.operators import audit, history, lookup, match, merge, repair, resolve
 from avmatch.plans import pipelines
@@ -507,3 +508,51 @@ def cell_display(spark: SparkSession, sf: str) -> DataFrame:
 @query(f"""WITH {SNAP} SELECT url, string_agg(DISTINCT status, '; ' ORDER BY status) AS statuses, count(*) AS n FROM snap GROUP BY url""")
 def collected_set(spark: SparkSession, sf: str) -> DataFrame:
     return snapshots(spark, sf).groupBy("url").agg(F.array_join(F.array_sort(F.collect_set("status")), "; ").alias("statuses"), F.count("*").alias("n"))
+
+
+@query("""WITH s AS (SELECT CAST(l_orderkey AS VARCHAR) || '-' || l_linenumber AS serial_number, CASE WHEN l_linenumber % 4 > 0 THEN l_shipdate END AS sold, CASE WHEN l_linenumber % 5 = 0 THEN ' ' END AS blank, l_quantity, l_returnflag, l_linestatus FROM lineitem)
+SELECT serial_number, l_returnflag || '|' || l_linestatus AS features, l_returnflag = 'R' AS has_damage, l_quantity > 25 AS engine_deferred FROM s WHERE sold IS NOT NULL AND blank IS NULL""")
+def valid_sales(spark: SparkSession, sf: str) -> DataFrame:
+    n = F.col("l_linenumber")
+    serial = F.when(n % 5 == 0, " ").otherwise(F.concat("l_orderkey", F.lit("-"), n))
+    rows = table(spark, sf, "lineitem").select(
+        serial.alias("serial_number"), F.when(n % 4 > 0, F.to_date("l_shipdate")).alias("date_sold"), F.concat("l_returnflag", F.lit(", ,"), "l_linestatus").alias("features"),
+        F.when(F.col("l_returnflag") == "R", "True ").otherwise("no").alias("has_damage"), (F.col("l_quantity") - 25).alias("engine_program_deferment_amount"), F.lit(None).cast("double").alias("apu_program_deferment_amount"),
+    )
+    return pipelines.sale_rows(rows).select("serial_number", F.array_join("features", "|").alias("features"), "has_damage", "engine_deferred")
+
+
+@query(f"""WITH {REG}, t AS (SELECT (['{"', '".join(CODES)}'])[p_partkey % 5 + 1] AS code, p_type, p_partkey FROM part), one AS (SELECT code, arg_max(p_type, p_partkey) AS model FROM t GROUP BY code),
+  m AS (SELECT *, CASE WHEN seq % 4 = 0 THEN '' ELSE n_number END AS n, CASE WHEN seq % 3 = 0 THEN '' ELSE serial END AS s FROM reg)
+SELECT seq, coalesce(nullif(n, ''), s) AS n_number, one.model, CAST(substr(date, 1, 4) AS INTEGER) AS year, registrant || ', ' || m.code AS based_at, strftime(CAST(date AS DATE), '%Y-%m-%d') AS last_action_date, CASE WHEN seq % 2 = 0 THEN 'Active' ELSE 'Inactive' END AS status,
+  registrant AS kit_mfr, CASE WHEN seq % 5 = 0 THEN registrant || '|' || m.code ELSE m.code END AS other_names FROM m LEFT JOIN one ON one.code = m.code WHERE n <> '' OR s <> ''""")
+def registry_typed(spark: SparkSession, sf: str) -> DataFrame:
+    """Registry text rows, typed, decoded and filtered."""
+    k, none = F.col("seq"), F.lit(None).cast("string")
+    rows = registry(spark, sf)
+    filled = {"n_number": F.when(k % 4 != 0, F.col("n_number")), "serial": F.when(k % 3 != 0, F.col("serial")), "code": F.col("code"), "year": F.substring("date", 1, 4), "registrant": F.col("registrant"), "city": F.col("registrant"), "state": F.col("code")}
+    filled |= {"last_action_date": F.replace(F.col("date"), F.lit("-"), F.lit("")), "status_code": F.when(k % 2 == 0, "V").otherwise("R"), "other_name_1": F.when(k % 5 == 0, F.col("registrant")), "other_name_2": F.col("code"), "kit": F.concat("registrant", F.lit(", x"))}
+    text = rows.select("seq", *(filled.get(c, none).alias(c) for c in schemas.MASTER))
+    out = pipelines.registry_rows(text, types(spark, sf))
+    return out.select("seq", "n_number", "model", "year", "based_at", F.col("last_action_date").cast("string").alias("last_action_date"), "status", "kit_mfr", F.array_join("other_names", "|").alias("other_names"))
+
+
+@query(f"""WITH {FLEET} SELECT serial, registration, model, count(*) AS rows, max(id) AS last_seq FROM fleet WHERE trim(serial) <> '' OR trim(registration) <> '' GROUP BY serial, registration, make, model, size""")
+def fleet_table(spark: SparkSession, sf: str) -> DataFrame:
+    """Fleet rows twice over: each id once, its last row; rows without identifiers go."""
+    rows = fleet(spark, sf).select(F.col("id").alias("seq"), F.col("serial").alias("serial_number"), F.col("registration").alias("registration_number"), F.col("make").alias("manufacturer"), "model", F.col("size").alias("manufacturer_year"), F.lit(None).cast("int").alias("delivery_year"), F.lit(None).cast("string").alias("category"))
+    named = pipelines.fleet_table(rows.withColumn("last_seq", F.col("seq")))
+    size = rows.groupBy("serial_number", "registration_number", "manufacturer", "model", "manufacturer_year").agg(F.count("*").alias("rows"))
+    return named.join(size, ["serial_number", "registration_number", "manufacturer", "model", "manufacturer_year"]).select(F.col("serial_number").alias("serial"), F.col("registration_number").alias("registration"), "model", "rows", "last_seq")
+
+
+@query(f"""WITH {SNAP} SELECT url, seq AS position, CAST(regexp_replace(price_text, '[^0-9.]', '', 'g') AS BIGINT) AS price, 'Make' || (seq % 7) AS make, 'M ' || status AS model, CAST(substr(date, 1, 4) AS INTEGER) AS year, nullif(trim(CASE WHEN seq % 3 = 0 THEN ' ' ELSE location END), '') AS location
+FROM snap WHERE seq % 11 <> 0""")
+def index_events(spark: SparkSession, sf: str) -> DataFrame:
+    """Index records as events; every eleventh lacks its URL."""
+    k, none = F.col("seq"), F.lit(None).cast("string")
+    feed = snapshots(spark, sf).select(
+        F.when(k % 11 == 0, " ").otherwise(F.concat(F.lit(" "), "url")).alias("listing_url"), F.to_date("date").alias("ingestion_date"), k.alias("pos"), F.concat(F.substring("date", 1, 4), F.lit(" Make"), k % 7, F.lit("  M "), "status").alias("aircraft_model"),
+        none.alias("year"), F.col("price_text").alias("listing_price"), F.when(k % 3 == 0, " ").otherwise(F.col("location")).alias("listing_location"), none.alias("total_time_hours"),
+    )
+    return pipelines.index_events(feed, "a").select("url", "position", F.col("price").cast("bigint").alias("price"), "make", "model", "year", "location")
