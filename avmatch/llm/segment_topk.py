@@ -39,7 +39,7 @@ WIDTHS = (16, 4, 2)
 CELLS, CLUSTERS = 1 << 18, 64
 SCALE = 256
 #: Share of a block's pairs up to which survivors are multiplied one by one.
-SPARSE = 0.2
+SPARSE = 0.5
 
 
 def integers(x: np.ndarray, scale: int = SCALE) -> np.ndarray:
