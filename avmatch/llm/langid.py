@@ -20,6 +20,7 @@ An empty table gives an empty table.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -29,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from avmatch.llm import words as W
-from avmatch.llm.worker import bounded, small_batches
+from avmatch.llm.worker import bounded, release, small_batches
 
 BITS, DIM = 16, 16
 PER_LANG, LANGS = 400, 1024
@@ -113,7 +114,7 @@ class Grams(NamedTuple):
         """Distinct buckets of the embedding table and their shares of the text."""
         at, inverse = np.unique(np.maximum(self.code >> np.uint32(FINE - BITS), 1), return_inverse=True)
         n = np.bincount(inverse, self.count, len(at))
-        return at, (n / max(1, n.sum())).astype(np.float32)
+        return at.astype(np.uint32), (n / max(1, n.sum())).astype(np.float32)
 
 
 class Model:
@@ -266,8 +267,12 @@ def fit(docs: DataFrame) -> Model:
     few = docs.where(F.pmod(F.xxhash64("doc_id", F.lit("language")), F.lit(1 << 30)) < share[F.col("lang")])
     names = ", ".join(f"{x} array<binary>" for x in Grams._fields)
     rows = few.mapInArrow(lambda b: bounded(histograms(b)), f"doc_id long, lang string, {names}").collect()
-    read = lambda r: [Grams(*(np.frombuffer(bytes(x), np.uint32) for x in cells)) for cells in zip(*(r[name] for name in Grams._fields), strict=True)]
-    return train([(r["doc_id"], r["lang"], read(r)) for r in sorted(rows, key=lambda r: (r["doc_id"], r["lang"], [bytes(x) for x in r["code"]]))])
+    read = lambda r: [Grams(*(np.frombuffer(x, np.uint32) for x in cells)) for cells in zip(*(r[name] for name in Grams._fields), strict=True)]
+    rows.sort(key=lambda r: (r["doc_id"], r["lang"], *map(zlib.crc32, r["code"])))
+    model = train([(r["doc_id"], r["lang"], read(r)) for r in rows])
+    del rows
+    release()
+    return model
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:

@@ -35,6 +35,8 @@ from avmatch.llm.worker import bounded, small_batches
 RUN = 1_000_000
 #: Cells of a tile's row block: a block of the sparse product holds at most about this many postings.
 TILE = 1_000_000
+#: Index pairs of a product that are added up at once.
+PAIRS = 1_000_000
 #: What tells shingle sets apart: their size and two digests of 64 bits.
 KEY = ["n_shingles", "d1", "d2"]
 
@@ -197,7 +199,7 @@ def overlaps(rows: np.ndarray, cols: np.ndarray, ok: np.ndarray, n_cols: int, he
     start = np.concatenate([[0], np.cumsum(np.where(light, right, 0))])
     flat = out.reshape(-1)
     reach = right[ca]
-    for part in np.array_split(np.arange(len(ra)), max(1, int(reach.sum()) // 4_000_000)):
+    for part in np.array_split(np.arange(len(ra)), max(1, int(reach.sum()) // PAIRS)):
         times = reach[part]
         first = np.repeat(start[ca[part]] - np.concatenate([[0], np.cumsum(times)[:-1]]) if len(part) else part, times)
         partner = rb[first + np.arange(int(times.sum()))]
@@ -293,6 +295,8 @@ def join_classes(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     rows = rows.join(weight, "component").withColumn("block", F.pmod(F.xxhash64("id"), "m").cast("int"))
     tiles = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("m") - 1)))
     tiles = tiles.select("component", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "id", "n", "copies", "block", "hs")
+    # Dealt by tile: left to Spark, a component's tiles would stay in the one task that its rows were joined in.
+    tiles = tiles.repartition("component", "lo", "hi")
     out = tiles.groupBy("component", "lo", "hi").applyInArrow(lambda t: multiply(t, percent), "id long, root long, degree long")
     out = stash(out, "tiles")
     found = components(out.where("id <> root").select(F.col("id").alias("u"), F.col("root").alias("v")))
