@@ -33,8 +33,9 @@ def feed_changes(events: DataFrame, key: str = "url", only: str | None = None) -
     and position. Price is compared over all events, status on index events with the index event before, location on
     detail events with the event before of either feed, description and time with the detail event before. only: a flag
 of the events whose changes are asked for; others are just what came before."""
-    line = Window.partitionBy(key).orderBy("date", "feed", "position")
-    same_feed = Window.partitionBy(key, "feed").orderBy("date", "position")
+    ties = [only] if only else []  # what was known stands before what is new
+    line = Window.partitionBy(key).orderBy("date", "feed", "position", *ties)
+    same_feed = Window.partitionBy(key, "feed").orderBy("date", "position", *ties)
     rows = events.withColumn("_n", F.row_number().over(line))
     detail = F.col("feed") == 1
     rules = {

@@ -11,23 +11,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def pick_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str], last: bool = True) -> DataFrame:
-    """The last (or first) row of each key by the order columns; null keys form a key of their own."""
+def pick_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str], last: bool = True, fill: Sequence[str] = ()) -> DataFrame:
+    """The last (or first) row of each key by the order columns; null keys form a key of their own. Columns in `fill` have
+    the key's last (or first) value that is not null."""
     whole, by = F.struct(*(F.col(c) for c in df.columns)), F.struct(*order)
     # An order of nulls only would make max_by drop the row, so rows are compared with a filled marker in front.
     by = F.struct(F.lit(1).alias("_"), by.alias("by"))
-    picked = (F.max_by if last else F.min_by)(whole, by)
-    return df.groupBy(*keys).agg(picked.alias("_row")).select("_row.*")
+    pick = F.max_by if last else F.min_by
+    more = [pick(c, F.when(F.col(c).isNotNull(), by)).alias(f"_fill_{c}") for c in fill]
+    out = df.groupBy(*keys).agg(pick(whole, by).alias("_row"), *more)
+    return out.select(*(F.col(f"_fill_{c}" if c in fill else f"_row.{c}").alias(c) for c in df.columns))
 
 
 def merge_latest(target: DataFrame, batch: DataFrame, keys: Sequence[str], order: Sequence[str], fill: Sequence[str] = (), newer: str | None = None) -> DataFrame:
     """Upsert of batch into target; both have the target's columns, batch the order columns too.
 
-    The last row per key of the batch wins. Columns in `fill` keep the old value where the new one is null, all
-    others are replaced. newer: a column of which the target's value must not be greater, else the row is skipped.
+    The last row per key of the batch wins, as if its rows came one by one: columns in `fill` have the last value that is
+    not null, the batch's or else the old one, all others are replaced. newer: a column of which the target's value must not be greater, else the row is skipped.
     The result has a column action: inserted, updated, skipped or kept.
     """
-    new = pick_per_key(batch, keys, order).select(*(F.col(c).alias(f"_new_{c}") for c in target.columns), F.lit(True).alias("_new"))
+    new = pick_per_key(batch, keys, order, fill=fill).select(*(F.col(c).alias(f"_new_{c}") for c in target.columns), F.lit(True).alias("_new"))
     old = target.withColumn("_old", F.lit(True))
     same = F.lit(True)
     for k in keys:

@@ -8,6 +8,7 @@ they are. A table, or each date of a dated one, is a folder of versions, so a lo
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -118,7 +119,7 @@ def load_marketplace(tables: Tables, source: str, folder: str, date: str, limit:
     feeds = [("index", f"{folder}/index/listings_metadata.json", False), ("details", f"{folder}/details/details_metadata.json", True)]
     if manufacturers:
         feeds += [("manufacturer_index", f"{folder}/manufacturers/*/{{manufacturer_listings_metadata,listings_metadata}}.json", False), ("manufacturer_details", f"{folder}/manufacturers/*/details/details_metadata.json", True)]
-    events, details = None, None
+    events, details, skipped = None, None, []
     for rank, (kind, path, is_detail) in enumerate(feeds):
         feed = None if skip_index and not is_detail else _feed(tables, path, schemas.DETAIL_FEED if is_detail else schemas.INDEX_FEED, limit)
         if feed is None:
@@ -126,7 +127,7 @@ def load_marketplace(tables: Tables, source: str, folder: str, date: str, limit:
         feed = feed.withColumn("ingestion_date", F.coalesce("ingestion_date", F.lit(date).cast("date")))
         payload = [c for c in feed.columns if c not in ("pos", "file_path", "ingestion_date")]
         tables.log_raw(source, kind, date, feed, payload, "pos")
-        tables.count(source, kind, "skipped", feed.where(~clean.not_blank(F.col("listing_url"))).count())
+        skipped.append(feed.where(~clean.not_blank(F.col("listing_url"))).select(F.lit(kind).alias("kind")))
         placed = feed.withColumn("rank", F.lit(rank)).withColumn("manufacturer_folder", F.coalesce(readers.folder_of("manufacturers", F.col("file_path")), F.lit("")))
         part = (pipelines.detail_events if is_detail else pipelines.index_events)(placed, source, ["rank", "manufacturer_folder"])
         events = part if events is None else events.unionByName(part)
@@ -134,6 +135,8 @@ def load_marketplace(tables: Tables, source: str, folder: str, date: str, limit:
             details = feed if details is None else details.unionByName(feed)
     if events is None:
         return
+    for row in reduce(DataFrame.unionByName, skipped).groupBy("kind").count().collect():
+        tables.count(source, row["kind"], "skipped", row["count"])
     order = ["date", "rank", "manufacturer_folder", "position"]
     entities = tables.held("aircraft", AIRCRAFT)
     known = resolve.get_or_create(events.withColumn("_order", F.concat_ws("|", "date", "rank", "manufacturer_folder", F.lpad(F.col("position").cast("string"), 10, "0"))), entities, "_order").drop("_order")

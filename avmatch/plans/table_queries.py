@@ -63,8 +63,8 @@ def merge_upsert(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("url", "price_text", "date", "seq", "action")
 
 
-@query(f"""WITH {SPLIT} SELECT coalesce(n.url, o.url) AS url, CASE WHEN n.url IS NULL THEN o.location WHEN n.location LIKE '1%' THEN o.location ELSE n.location END AS location,
-  CASE WHEN n.url IS NULL THEN o.status ELSE n.status END AS status FROM old o FULL JOIN new n ON o.url = n.url""")
+@query(f"""WITH {SPLIT}, told AS (SELECT url, arg_max(location, seq) AS location FROM snap WHERE date > {CUT!r} AND location NOT LIKE '1%' GROUP BY url)
+SELECT coalesce(n.url, o.url) AS url, coalesce(t.location, o.location) AS location, CASE WHEN n.url IS NULL THEN o.status ELSE n.status END AS status FROM old o FULL JOIN new n ON o.url = n.url LEFT JOIN told t ON t.url = n.url""")
 def merge_fill(spark: SparkSession, sf: str) -> DataFrame:
     rows = snapshots(spark, sf)
     batch = rows.where(F.col("date") > CUT).withColumn("location", F.when(~F.col("location").like("1%"), F.col("location")))
