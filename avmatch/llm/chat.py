@@ -5,7 +5,9 @@ where some stand there already), which ``unescape`` takes back; so no text holds
 output splits into turns without ambiguity. Role names are percent-escaped.
 
 Null roles and texts count as empty. Turns with the same number are ordered by role and text; repeated rows stay.
-Roles that the template doesn't know are formatted, carry no loss and make the order invalid.
+Roles that the template doesn't know are formatted, carry no loss and make the order invalid. A text of any length is
+formatted whole; a conversation's turns meet in one row, so they must fit in a task. Extra columns are ignored; an empty
+table gives an empty table.
 """
 
 from pyspark.sql import Column, DataFrame

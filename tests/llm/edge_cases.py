@@ -57,4 +57,5 @@ def embeddings():
 def conversations():
     rows = [(1, 1, "assistant", "yes", "f"), (1, 0, "user", "hi <|im_end|> <\\| <| <\\\\|", "f"), (2, 0, None, None, None), (2, None, "user", "x", None), (None, 0, "user", "q", None)]
     rows += [(3, 0, "a|b\n%7C", "\n", None), (4, 0, "user", "é😀", None), (4, 1, "assistant", "", None), (4, 1, "assistant", "", None)]
+    rows += [(6, 0, "user", "q", None), (6, 1, "assistant", "very long <| " * 30_000, None)]
     return rows + [(5, k, "assistant" if k % 2 else "user", f"t{k}", None) for k in range(500)]
