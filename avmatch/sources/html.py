@@ -142,16 +142,16 @@ BLOCKED = (
 )
 
 
+#: What a host's name ends or starts with, and the path parts that are its previews, banners and logos.
+DEFAULTS = ((r"aircraftexchange\.com$", ("open_graph_default",)), (r"^aircraft-exchange\.s3\.", ("/banners/", "iada_banners")), (r"^(.*\.)?iada\.aero$", ("/logos/", "/storage/logos/")))
+
+
 def is_photo(url: Column) -> Column:
     """An http URL that is neither blocked nor a default preview, banner or logo of a known host."""
     low = F.lower(url)
     host, path = F.lower(F.try_parse_url(url, F.lit("HOST"))), F.lower(F.try_parse_url(url, F.lit("PATH")))
-    bad = F.lit(False)
-    for part in BLOCKED:
-        bad = bad | low.contains(part)
-    bad = bad | (host.endswith("aircraftexchange.com") & path.contains("open_graph_default"))
-    bad = bad | (host.startswith("aircraft-exchange.s3.") & (path.contains("/banners/") | path.contains("iada_banners")))
-    bad = bad | (((host == "iada.aero") | host.endswith(".iada.aero")) & (path.contains("/logos/") | path.contains("/storage/logos/")))
+    either = lambda conditions: reduce(lambda a, b: a | b, conditions)
+    bad = either([*(low.contains(part) for part in BLOCKED), *(host.rlike(at) & either([path.contains(p) for p in parts]) for at, parts in DEFAULTS)])
     return F.coalesce(url.startswith("http") & ~F.coalesce(bad, F.lit(False)), F.lit(False))
 
 
@@ -211,10 +211,13 @@ def own_urls(pages: DataFrame) -> DataFrame:
     return found.groupBy("page_id").agg(clean.normal_url(F.min_by(attr("content"), "node")).alias("own_url"))
 
 
+#: Fixed value: how an index page counts its listings.
+COUNTED = r"([0-9,]+)\s*-\s*([0-9,]+)\s+of\s+([0-9,]+)\s+(?:Listings|Results)"
+
+
 def pagination(pages: DataFrame) -> DataFrame:
     """(page_id, first, last, total, is_last) from texts such as "1 - 28 of 5,122 Listings"."""
-    shape = r"([0-9,]+)\s*-\s*([0-9,]+)\s+of\s+([0-9,]+)\s+(?:Listings|Results)"
-    n = [F.regexp_replace(F.regexp_extract("html", shape, k), ",", "").try_cast("int") for k in (1, 2, 3)]
+    n = [F.regexp_replace(F.regexp_extract("html", COUNTED, k), ",", "").try_cast("int") for k in (1, 2, 3)]
     return pages.select("page_id", n[0].alias("first"), n[1].alias("last"), n[2].alias("total"), (n[1] >= n[2]).alias("is_last"))
 
 
