@@ -27,6 +27,8 @@ from avmatch.llm.worker import bounded, small_batches
 SAMPLE, MOST, BRANCH, LEAF, RECALL, PROBES = 12_000, 100_000, 8, 64, 0.97, 200
 #: Rows of a leaf that one group holds.
 GROUP = 4096
+#: Differences of components that are held at once.
+CELLS = 1 << 20
 
 
 class Tree:
@@ -173,13 +175,17 @@ def search(table: DataFrame, k: int = 10, every: int = 100) -> DataFrame:
         q, c = matrix(queries.column("embedding")), matrix(held.column("embedding"))
         mine, of = queries.column("row").to_numpy(), queries.column("vec_id").to_numpy()
         theirs, ids = held.column("row").to_numpy(), held.column("vec_id").to_numpy()
-        out = [empty]
-        for n in range(len(q)):
-            score = np.sqrt(((c - q[n]) ** 2).sum(1))
-            score[theirs == mine[n]] = np.inf
-            at = np.argsort(score, kind="stable")[: k + 1]
-            at = at[theirs[at] != mine[n]][:k]
-            out.append(pa.table({"row": np.full(len(at), mine[n]), "query_id": np.full(len(at), of[n]), "vec_id": ids[at], "score": score[at]}))
+        step, out = max(1, CELLS // max(1, c.size)), [empty]
+        for lo in range(0, len(q), step):
+            own = theirs[None] == mine[lo : lo + step, None]
+            far = np.sqrt(((c[None] - q[lo : lo + step, None]) ** 2).sum(2))
+            far[own] = np.inf
+            at = np.argsort(far, axis=1, kind="stable")[:, : k + 1]
+            ok = ~np.take_along_axis(own, at, 1)
+            ok &= np.cumsum(ok, axis=1) <= k
+            n, j = np.nonzero(ok)
+            found = at[n, j]
+            out.append(pa.table({"row": mine[lo + n], "query_id": of[lo + n], "vec_id": ids[found], "score": far[n, found]}))
         return pa.concat_tables(out)
 
     met = asking.groupBy("leaf", "salt").cogroup(salted.groupBy("leaf", "salt")).applyInArrow(meet, "row long, query_id long, vec_id long, score double")
