@@ -85,7 +85,7 @@ def test_load_all(spark, tmp_path):
 
 
 def test_fleet_page_load(spark, tmp_path):
-    put(tmp_path / "raw/2024-02-01/fleet_extracted.json", {"aircraft": [{"aircraft_entity_id": 5, "make_model_id": 3, "serial_number": "S", "fields": {"MFR Year": "1999", "Owner": {"text": "Ann", "href": "/o"}, "Registration": "n5", "Airframe Hours": "1,200"}}, {"serial_number": "no id"}]})
+    put(tmp_path / "raw/2024-02-01/fleet_extracted.json", {"aircraft": [{"aircraft_entity_id": 5, "make_model_id": 3, "serial_number": "S", "fields": {"MFR Year": "1999", "Owner": {"text": "Ann", "href": "/o"}, "Registration": "N5 (x)", "Airframe Hours": "1,200"}}, {"serial_number": "no id"}]})
     tables = loads.Tables(spark, str(tmp_path / "t"))
     loads.load_fleet_pages(tables, str(tmp_path / "raw/2024-02-01"), "2024-02-01")
     got = table(spark, tmp_path / "t", "fleet_pages", "2024-02-01")
