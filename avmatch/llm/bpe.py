@@ -28,7 +28,7 @@ from avmatch.llm.spans import NEWER, ending_after, gather, hash_spans, kinds
 from avmatch.llm.worker import bounded, kept, small_batches
 
 #: Merged words that a worker keeps; a full table starts afresh.
-WORDS = 400_000
+WORDS = 700_000
 #: Text bytes handled at once.
 RUN = 1 << 20
 
