@@ -24,9 +24,7 @@ BLOCK = 512
 SHARD = 2_000_000
 MAGIC = b"WVM1"
 #: Distinct words a worker keeps the ids of.
-WORDS = 1_000_000
-#: Text bytes handled at once.
-RUN = 1 << 21
+WORDS = 500_000
 
 
 def build(ids: np.ndarray, bits: int) -> bytes:
@@ -256,7 +254,7 @@ def encode_shards(batches, path: str, bits: int, end: int) -> Iterator[pa.Record
 
     for batch in batches:
         data, offsets = W.column_bytes(batch.column("text"))
-        for lo, hi in W.row_chunks(offsets, RUN):
+        for lo, hi in W.row_chunks(offsets, W.CHUNK):
             flat, n = code.encode(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
             if size and size + len(flat) + len(n) > SHARD:
                 yield flush()
