@@ -10,6 +10,8 @@ from avmatch.llm import words as W
 SPACES = [*range(9, 14), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 
 
+#: Masks of the first 0 to 3 code points of a piece.
+LOW_POINTS = np.array([(1 << 21 * k) - 1 for k in range(4)], np.uint64)
 NEWER = 4
 
 
@@ -47,8 +49,9 @@ def gather(flat: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
 
 
 def hash_spans(cp: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each span of code points."""
-    up, down = W.powers(W.BASE, len(cp)), W.powers(W.INVERSE, len(cp))
-    sums = np.zeros(len(cp) + 1, np.uint64)
-    np.cumsum((cp.astype(np.uint64) + np.uint64(1)) * up, out=sums[1:])
-    return W.mix((sums[ends] - sums[starts]) * down[starts]) if len(starts) else np.zeros(0, np.uint64)
+    """A 64-bit hash of each span of code points; three, of 21 bits each, are a piece."""
+    three = np.zeros(len(cp) + 1, np.uint64)
+    three[:-1] = cp
+    three[:-2] |= three[1:-1] << np.uint64(21)
+    three[:-3] |= three[2:-1] << np.uint64(42)  # what is above 21 bits there falls out
+    return W.hash_runs(starts, ends, 3, lambda at, left: three[at] & LOW_POINTS[left])

@@ -13,6 +13,11 @@ def sentence(rng, n, words):
     return " ".join(rng.choice(words) for _ in range(n))
 
 
+def thue_morse(letters, size):
+    """The first letters of the Thue-Morse word: it and its complement defeat polynomial hashes mod 2**64."""
+    return "".join(letters[k.bit_count() % 2] for k in range(size))
+
+
 def documents():
     rng = random.Random(5)
     en, fr = [f"{a}{b}" for a in "the of and er ing".split() for b in "th sh ou wh ed".split()], [f"{a}{b}" for a in "le la é eau que".split() for b in "ment ré oi ç ai".split()]
@@ -37,6 +42,9 @@ def documents():
     add("the secret: abcdef123 and password = 'hunter22' " + "0123456789abcdef" * 2 + " token=abc secret=token:abcdef AKIA" + "Z" * 20)
     add("ghp_" + "a1" * 20 + " 😀 api_key=😀 apikey:\"Zz09+/_.=-\" secret=short AKIAAKIA" + "0" * 12)
     add(sentence(rng, 20_000, en), "en", "hot")
+    for size in (1024, 4096):
+        add(thue_morse("yz", size) + " same end", "fr", "b")
+        add(thue_morse("zy", size) + " same end", "fr", "b")
     add("null id", "en", "a", None)
     add("null id", "en", "a", None)
     add("twice the same row", "en", "a", 7)
