@@ -50,4 +50,17 @@ e AS (SELECT x, y FROM o JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE
 r AS (SELECT doc_id AS x, doc_id AS c FROM n UNION SELECT e.y, r.c FROM r JOIN e ON r.x = e.x)
 SELECT n.doc_id, n.n_shingles, c.component_id, coalesce(l.n_links, 0) AS n_links FROM n JOIN (SELECT x, min(c) AS component_id FROM r GROUP BY x) c ON c.x = n.doc_id LEFT JOIN (SELECT x, count(*) AS n_links FROM e GROUP BY x) l ON l.x = n.doc_id"""
 
-ORACLE_SQL = {"op1_chat_format": CHAT, "op3_segment_topk": TOPK, "op8_secret_scan": SECRETS, "op10_ngram_jaccard": JACCARD}
+NEGATIVES = """WITH v AS (SELECT row_number() OVER () AS n, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+    FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+s AS (SELECT a.n AS anchor, a.vec_id AS anchor_id, a.label = b.label AS same, b.n, b.vec_id, CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score FROM v a JOIN v b ON a.n <> b.n AND len(a.q) = len(b.q) WHERE a.vec_id % 100 = 0),
+p AS (SELECT *, row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id) AS place FROM s WHERE same),
+r AS (SELECT p.anchor_id, p.vec_id AS positive_id, CAST(row_number() OVER (PARTITION BY p.anchor, p.n ORDER BY s.score DESC, s.vec_id) AS INTEGER) AS rank, s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score
+  FROM p JOIN s ON s.anchor = p.anchor AND NOT s.same AND 80 * p.score <= 100 * s.score AND s.score <= p.score WHERE p.place <= 5)
+SELECT * FROM r WHERE rank <= 5"""
+
+DEDUP = r"""WITH d AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256 FROM documents)
+SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, row_number() OVER (PARTITION BY text_sha256 ORDER BY doc_id NULLS LAST) = 1 AS kept, text_sha256 FROM d WINDOW w AS (PARTITION BY text_sha256)"""
+
+ORACLE_SQL = {
+    "op1_chat_format": CHAT, "op3_segment_topk": TOPK, "op8_secret_scan": SECRETS, "op10_ngram_jaccard": JACCARD, "op11_rns_negatives": NEGATIVES, "op12_exact_dedup": DEDUP,
+}

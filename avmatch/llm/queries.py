@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from avmatch.llm import bpe, chat, hmm, kmeans_tree, langid, mixing, ngram_jaccard, secret_scan, segment_topk, token_files
+from avmatch.llm import bpe, chat, exact_dedup, hmm, kmeans_tree, langid, mixing, ngram_jaccard, periodic_runs, rns_negatives, secret_scan, segment_topk, token_files
 from avmatch.llm.oracles import ORACLE_SQL
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
@@ -75,4 +75,32 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard.join_classes(table(spark, sf_dir, "documents"), n=4, percent=85)
 
 
-QUERIES = {f.__name__: f for f in (op1_chat_format, op2_language_id, op3_segment_topk, op4_wavelet_files, op5_kmeans_tree, op6_hmm_score, op7_mix_sources, op8_secret_scan, op9_bpe, op10_ngram_jaccard)}
+def op11_rns_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return rns_negatives.mine(table(spark, sf_dir, "embeddings").withColumn("label", label), k=5, every=100, low=80)
+
+
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = exact_dedup.groups(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = periodic_runs.find_runs(docs.withColumn("text", periodic_runs.planted(F.col("doc_id"), F.col("text"))))
+    docs = docs.withColumn("best", periodic_runs.longest(F.col("runs")))
+    return docs.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        *(F.col(f"best.{name}") for name in ("start", "length", "period")),
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(periodic_runs.listed(F.col("runs")), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+OPERATORS = (
+    op1_chat_format, op2_language_id, op3_segment_topk, op4_wavelet_files, op5_kmeans_tree, op6_hmm_score, op7_mix_sources, op8_secret_scan, op9_bpe, op10_ngram_jaccard,
+    op11_rns_negatives, op12_exact_dedup, op13_periodic_runs,
+)
+QUERIES = {f.__name__: f for f in OPERATORS}

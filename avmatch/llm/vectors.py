@@ -3,7 +3,7 @@ search space of its own."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -12,12 +12,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def usable(table: DataFrame, zero: bool = True) -> DataFrame:
+def usable(table: DataFrame, zero: bool = True, extra: Sequence[str] = ()) -> DataFrame:
     """(vec_id, embedding) without null ids and vectors, null or non-finite components and, unless zero, zero vectors.
 
-    Rows that repeat an id all stay. embedding keeps its type, an array of floats or doubles.
+    Rows that repeat an id all stay. embedding keeps its type, an array of floats or doubles; extra: columns that stay too.
     """
-    rows = table.select("vec_id", "embedding").where("vec_id is not null and size(embedding) > 0")
+    rows = table.select("vec_id", "embedding", *extra).where("vec_id is not null and size(embedding) > 0")
     rows = rows.where(F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf"))))
     return rows if zero else rows.where(F.exists("embedding", lambda x: x != 0))
 
