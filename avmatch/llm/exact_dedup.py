@@ -40,7 +40,8 @@ def frequent(rows: DataFrame, column: str, counters: int) -> DataFrame:
     At most 2 * counters of them. rows: a written table.
     """
     part = rows.groupBy(F.pmod(F.spark_partition_id(), F.lit(FAN)).alias("part")).agg(F.expr(f"approx_top_k_accumulate(xxhash64({column}), {ROOM * counters})").alias("sketch"))
-    whole = part.agg(F.expr(f"approx_top_k_combine(sketch, {ROOM * counters})").alias("sketch"))
+    # Grouped, since the sketch of a task without rows has no item type and can't be merged.
+    whole = part.groupBy(F.lit(0).alias("all")).agg(F.expr(f"approx_top_k_combine(sketch, {ROOM * counters})").alias("sketch"))
     return whole.select(F.explode(F.expr(f"approx_top_k_estimate(sketch, {2 * counters})")).alias("found")).select(F.col("found.item").alias("hash"))
 
 

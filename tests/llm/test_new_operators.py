@@ -131,6 +131,18 @@ def test_winners_are_the_frequent_digests(spark, counters):
     assert {tuple(r) for r in got} == want and len(got) == len(want) < counters
 
 
+def test_groups_over_many_empty_partitions(spark):
+    rows = hot_rows()[:40]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "97")
+    try:
+        got = exact_dedup.groups(spark.createDataFrame(rows, "doc_id long, text string").repartition(60), 8)
+        assert tuples(got.withColumn("text_sha256", F.lower(F.hex("digest"))), *DEDUP) == plain_groups(rows)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 def test_deduplicate(spark):
     rows = [(d, t, k) for k, (d, t) in enumerate(hot_rows())]
     kept = exact_dedup.deduplicate(spark.createDataFrame(rows, "doc_id long, text string, size int").repartition(5), 64)
