@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from avmatch.functions import clean
+from avmatch.operators import ordered
 from avmatch.operators.merge import insert_absent, pick_per_key
 
 
@@ -27,9 +28,9 @@ def serial_repairs(stored: DataFrame, master: DataFrame, any_difference: bool =
     return rows.select("seq", "n_number", "serial", "new_serial", outcome.alias("outcome"))
 
 
-def tail_repairs(stored: DataFrame, master: DataFrame, alias: bool = True, same_code: bool = False) -> DataFrame:
-    """(seq, n_number, serial, new_n, outcome) for stored rows whose serial is their tail; the master's last N-number of
-    the serial (exact key first, then without leading zeros) is right, unless another row of that date has it."""
+def _tail_wants(stored: DataFrame, master: DataFrame, alias: bool, same_code: bool) -> DataFrame:
+    """Stored rows whose serial is their tail, with new_n, the master's last N-number of the serial (exact key first, then
+    without leading zeros), and its squeezed form _want."""
     keys = master.where(clean.not_blank(F.col("n_number"))).select(F.posexplode(clean.serial_lookup_keys(F.col("serial"), alias)).alias("_p", "_key"), F.col("n_number").alias("new_n"), F.col("code").alias("_code"), "seq")
     keys = pick_per_key(keys, ["_key"], ["seq"]).select("_key", "new_n", "_code")
     bad = stored.where(clean.serial_is_tail(F.col("serial"), F.col("n_number")))
@@ -37,15 +38,62 @@ def tail_repairs(stored: DataFrame, master: DataFrame, alias: bool = True, same_
     if same_code:
         tried = tried.withColumn("new_n", F.when(F.col("code").eqNullSafe(F.col("_code")), F.col("new_n")))
     best = tried.groupBy("seq").agg(F.min_by("new_n", F.when(F.col("new_n").isNotNull(), F.col("_p"))).alias("new_n"))
+    return bad.join(best, "seq").withColumn("_want", clean.squeezed_n(F.col("new_n")))
+
+
+def _outcome(taken: Column) -> Column:
+    right = clean.squeezed_n(F.col("n_number")) == F.col("_want")
+    return F.when(F.col("new_n").isNull(), "no_match").when(right, "already_right").when(taken, "conflict").otherwise("fixed").alias("outcome")
+
+
+def tail_repairs(stored: DataFrame, master: DataFrame, alias: bool = True, same_code: bool = False, dry_run: bool = False) -> DataFrame:
+    """(seq, n_number, serial, new_n, outcome) for stored rows whose serial is their tail; the master's last N-number of
+    the serial is right, unless another row of that date has it in the stored table or, but for a dry run, an earlier
+    row claims it. A dry run changes nothing, so its rows don't see each other's claims. All at once: see
+    applied_tail_repairs for row by row."""
+    rows = _tail_wants(stored, master, alias, same_code)
     taken = stored.select(F.col("date").alias("_date"), clean.squeezed_n(F.col("n_number")).alias("_n")).where("_n <> ''").distinct().withColumn("_taken", F.lit(True))
-    rows = bad.join(best, "seq").withColumn("_want", clean.squeezed_n(F.col("new_n")))
     rows = rows.join(taken, (F.col("_want") == F.col("_n")) & (F.col("date") == F.col("_date")), "left")
     # Rows that want no tail claim nothing: each is a group of its own, so they don't meet in one task.
     lone = F.when(F.col("_want").isNull(), F.col("seq"))
-    claim = F.row_number().over(Window.partitionBy("date", "_want", lone).orderBy("seq"))
-    right = clean.squeezed_n(F.col("n_number")) == F.col("_want")
-    outcome = F.when(F.col("new_n").isNull(), "no_match").when(right, "already_right").when(F.col("_taken").isNotNull() | (claim > 1), "conflict").otherwise("fixed")
-    return rows.select("seq", "n_number", "serial", "new_n", outcome.alias("outcome"))
+    late = F.lit(False) if dry_run else F.row_number().over(Window.partitionBy("date", "_want", lone).orderBy("seq")) > 1
+    return rows.select("seq", "n_number", "serial", "new_n", _outcome(F.col("_taken").isNotNull() | late))
+
+
+def applied_tail_repairs(stored: DataFrame, master: DataFrame, alias: bool = True, same_code: bool = False) -> DataFrame:
+    """As tail_repairs, but as if rows were repaired one by one in the order of seq, each change in force for the next:
+    a tail that an earlier repair leaves is free for later rows.
+
+    A row gets its tail if every row that had it has left before, and no other row has claimed it since. So its answer is
+    known at once, or it is that of the rows that have its tail now: pointers, which are doubled until all are known. A
+    chain of n rows takes log2(n) rounds. Where several rows have one tail (it is spelt in two ways), a round also
+    asks whether all of them have left.
+    """
+    wants = ordered.cut(_tail_wants(stored, master, alias, same_code).select("date", "seq", "n_number", "serial", "new_n", "_want"))
+    moves = wants.where(clean.squeezed_n(F.col("n_number")) != F.col("_want"))
+    key = F.concat_ws("|", "date", "_want")
+    claims = ordered.numbered(moves.select("seq", key.alias("_key")), ["seq"])
+    claims = ordered.cut(ordered.running(claims, "_key", {"_before": F.col("seq")}))
+    # Rows that have a tail somebody wants: those that don't want another one never leave it.
+    holders = stored.select("seq", F.concat_ws("|", "date", clean.squeezed_n(F.col("n_number"))).alias("_key"), clean.squeezed_n(F.col("n_number")).alias("_n")).where("_n <> ''")
+    holders = holders.join(claims.select("_key").distinct(), "_key", "left_semi").join(claims.select("seq", F.lit(True).alias("_moves")), "seq", "left")
+    held = holders.groupBy(F.col("_key").alias("_held")).agg(F.count("*").alias("n"), F.count_if(F.col("_moves").isNull()).alias("stay"), F.max("seq").alias("last"))
+    rows = claims.join(held, F.col("_key") == F.col("_held"), "left")
+    first, last = F.col("_before").isNull(), F.col("last")
+    possible = (F.col("stay") == 0) & (last < F.col("seq")) & (first | (last > F.col("_before")))
+    known = F.when(F.col("n").isNull(), first).when(~possible, F.lit(False))
+    rows = ordered.cut(rows.select("seq", "_key", known.alias("ok"), F.when(known.isNull() & (F.col("n") == 1), last).alias("at")))
+    several = rows.where("ok is null and at is null").select(F.col("seq").alias("_claim"), "_key")
+    several = ordered.cut(several.join(holders.select("_key", F.col("seq").alias("_holder")), "_key").select("_claim", "_holder"))
+    while not rows.where("ok is null").isEmpty():
+        there = rows.select(F.col("seq").alias("_at"), F.col("ok").alias("_ok"), F.col("at").alias("_next"))
+        left = several.join(rows.where("ok is not null").select(F.col("seq").alias("_holder"), "ok"), "_holder", "left")
+        left = left.groupBy("_claim").agg(F.min(F.coalesce("ok", F.lit(True))).alias("_all"), F.count_if(F.col("ok").isNull()).alias("_open"))
+        next_ = rows.join(there, F.col("at") == F.col("_at"), "left").join(left, F.col("seq") == F.col("_claim"), "left")
+        from_all = F.when(~F.col("_all"), F.lit(False)).when(F.col("_open") == 0, F.lit(True))
+        rows = ordered.cut(next_.select("seq", "_key", F.coalesce("ok", "_ok", from_all).alias("ok"), F.coalesce("_next", "at").alias("at")))
+    told = wants.join(rows.select("seq", "ok"), "seq", "left")
+    return told.select("seq", "n_number", "serial", "new_n", _outcome(~F.col("ok")))
 
 
 def key_collisions(master: DataFrame, alias: bool = True) -> DataFrame:

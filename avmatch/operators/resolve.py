@@ -7,19 +7,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from avmatch.functions import clean
+from avmatch.operators import ordered
 from avmatch.operators.merge import pick_per_key
-
-
-def _with_key(rows: DataFrame, key: str, found: DataFrame, found_key: str) -> DataFrame:
-    """Left join of rows to found on a text key; rows without one don't take part, so they don't meet in one task."""
-    filled = F.coalesce(F.col(key) != "", F.lit(False))
-    extra = [F.lit(None).cast(t).alias(c) for c, t in found.dtypes if c != found_key]
-    with_key = rows.where(filled).join(found, F.col(key) == F.col(found_key), "left").drop(found_key)
-    return with_key.unionByName(rows.where(~filled).select("*", *extra))
+from avmatch.operators.ordered import with_key
 
 
 def lookup(records: DataFrame, entities: DataFrame) -> DataFrame:
@@ -27,7 +21,7 @@ def lookup(records: DataFrame, entities: DataFrame) -> DataFrame:
     out = records
     for k in ("serial", "registration"):
         by = entities.where(F.col(k).isNotNull() & (F.col(k) != "")).groupBy(F.col(k).alias(f"_k_{k}")).agg(F.min("entity_id").alias(f"_by_{k}"))
-        out = _with_key(out, k, by, f"_k_{k}")
+        out = with_key(out, k, by, f"_k_{k}")
     out = out.withColumn("entity_id", F.coalesce("_by_serial", "_by_registration"))
     matched = F.when(F.col("_by_serial").isNotNull(), "serial").when(F.col("_by_registration").isNotNull(), "registration")
     return out.withColumn("matched_by", matched).drop("_by_serial", "_by_registration")
@@ -43,31 +37,98 @@ def new_keys(records: DataFrame, order: str) -> DataFrame:
     first = rows
     for k in ("serial", "registration"):
         heads = rows.where(F.col(k).isNotNull() & (F.col(k) != "")).groupBy(F.col(k).alias(f"_k_{k}")).agg(F.min(F.struct(order, "_own")).alias(f"_h_{k}"))
-        first = _with_key(first, k, heads, f"_k_{k}")
+        first = with_key(first, k, heads, f"_k_{k}")
     head = F.least("_h_serial", "_h_registration")
     return first.withColumn("entity_key", head["_own"]).drop("_own", "_h_serial", "_h_registration")
 
 
-def get_or_create(records: DataFrame, entities: DataFrame, order: str) -> DataFrame:
-    """records with entity_id (text) of the known or else a new entity, whose id follows from its key, and is_new.
+def _owners(entities: DataFrame, key: str) -> DataFrame:
+    """(key, entity_id): the lowest id that has a key."""
+    return entities.where(F.col(key) != "").groupBy(F.col(key).alias(f"_own_{key}")).agg(F.min("entity_id").alias(f"_has_{key}"))
+
+
+def _named(serial: Column, registration: Column) -> Column:
+    """The id of a new entity, from its serial or else its registration."""
+    by_registration = clean.stable_id(F.lit("aircraft"), F.lit("registration"), registration)
+    return F.when(serial != "", clean.stable_id(F.lit("aircraft"), serial)).otherwise(by_registration)
+
+
+def resolve_in_order(records: DataFrame, entities: DataFrame, order: Sequence[str], fill: bool = False) -> DataFrame:
+    """Which entity each record is, as if records (serial, registration, ...) came one by one in the given order.
+
+    A record is the entity that has its serial, or else the one that has its registration just then, or else a new
+    entity with both. An entity keeps its serial. fill: a record found by its serial also gives the entity its
+    registration, unless another entity has it at that moment; the entity's former registration is free from then on.
+    Without fill identifiers stay as they were first stored. Of several entities with a key the lowest id has it.
+
+    Records get entity_id (text; null without any identifier), is_new (this record made it) and took (the entity has the
+    record's registration by this record). Ties in the order are told by serial, then registration.
 
-    Records without identifiers have none.
+    The rule is sequential, but a record only waits for earlier ones that could change its answer. A round answers every
+    record whose serial is known, and every first record of an unknown serial, if what its registration's last taker
+    did until then is settled; so there are as many rounds as the longest chain of such dependences, and a serial or
+    registration that very many records share costs two, not one for each.
     """
-    known = lookup(records, entities).drop("matched_by")
-    fresh = known.where("entity_id is null").drop("entity_id")
-    named = new_keys(fresh, order)
-    named = named.withColumn("entity_id", clean.stable_id(F.lit("aircraft"), F.col("entity_key"))).drop("entity_key").withColumn("is_new", F.lit(True))
-    none = fresh.where((F.coalesce("serial", F.lit("")) == "") & (F.coalesce("registration", F.lit("")) == "")).withColumn("entity_id", F.lit(None).cast("string")).withColumn("is_new", F.lit(False))
-    return known.where("entity_id is not null").withColumn("is_new", F.lit(False)).unionByName(named).unionByName(none)
-
-
-def entity_rows(records: DataFrame, entities: DataFrame, order: Sequence[str]) -> DataFrame:
-    """The last record of each entity as what is to be filled in: blank text is null, and a registration that another
-    entity has, or a lower id of the batch claims, is left out."""
-    rows = pick_per_key(records.where("entity_id is not null"), ["entity_id"], order)
-    rows = rows.select(*((clean.blank_to_null(F.col(c)) if t == "string" else F.col(c)).alias(c) for c, t in rows.dtypes))
-    owner = entities.where("registration <> ''").groupBy(F.col("registration").alias("_reg")).agg(F.min("entity_id").alias("_owner"))
-    claim = rows.where("registration is not null").groupBy(F.col("registration").alias("_reg")).agg(F.min("entity_id").alias("_claim"))
-    rows = _with_key(_with_key(rows, "registration", owner, "_reg"), "registration", claim, "_reg")
-    mine = F.coalesce("_owner", "_claim") == F.col("entity_id")
-    return rows.withColumn("registration", F.when(mine, F.col("registration"))).drop("_owner", "_claim")
+    shown = records.columns
+    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    rows = ordered.numbered(records.withColumn("_s", text("serial")).withColumn("_r", text("registration")), [*order, "_s", "_r"])
+    held = entities.select("entity_id", text("serial").alias("serial"), text("registration").alias("registration"))
+    by_serial, by_registration = _owners(held, "serial"), _owners(held, "registration")
+    events = with_key(rows.select("_k", "_s", "_r"), "_s", by_serial, "_own_serial").withColumnRenamed("_has_serial", "aid")
+    # What is stored comes first: owners of a registration that the batch names.
+    named = rows.where("_r <> ''").select(F.col("_r").alias("_own_registration")).distinct()
+    first = by_registration.join(named, "_own_registration", "left_semi").select(F.lit(-1).cast("long").alias("_k"), F.lit("").alias("_s"), F.col("_own_registration").alias("_r"), F.col("_has_registration").alias("aid"))
+    state = events.withColumn("done", (F.col("_s") == "") & (F.col("_r") == "")).unionByName(first.withColumn("done", F.lit(True)))
+    state = state.select("_k", "_s", "_r", F.col("aid").cast("string").alias("aid"), "done", (F.col("_k") < 0).alias("took"), F.lit(False).alias("is_new"))
+    if not fill:  # a record of a known serial changes nothing
+        state = state.withColumn("done", F.col("done") | F.col("aid").isNotNull())
+    state = ordered.cut(state)
+    while not state.where("not done").isEmpty():
+        state = ordered.cut(_round(state, fill))
+    answers = state.where("_k >= 0").select("_k", F.col("aid").alias("entity_id"), "is_new", "took")
+    return rows.join(answers, "_k").select(*(c for c in shown if c not in ("entity_id", "is_new", "took")), "entity_id", "is_new", "took")
+
+
+def _round(state: DataFrame, fill: bool) -> DataFrame:
+    columns = state.columns
+    # Serials of entities that earlier rounds made.
+    made = state.where("is_new and _s <> ''").select(F.col("_s").alias("_own"), F.col("aid").alias("_made"))
+    rows = with_key(state, "_s", made, "_own").withColumn("aid", F.coalesce("aid", "_made")).drop("_made")
+    if not fill:
+        rows = rows.withColumn("done", F.col("done") | F.col("aid").isNotNull())
+    base = rows = ordered.cut(rows)
+    unknown = rows.where(F.col("aid").isNull() & ~F.col("done") & (F.col("_s") != "")).groupBy(F.col("_s").alias("_own")).agg(F.min("_k").alias("_head_s"))
+    open_r = rows.where(~F.col("done") & (F.col("_r") != "")).groupBy(F.col("_r").alias("_own")).agg(F.min("_k").alias("_head_r"))
+    rows = with_key(with_key(rows, "_s", unknown, "_own"), "_r", open_r, "_own")
+    # When a taker of a registration took another one, or may have.
+    filled = F.col("_r") != ""
+    rows = ordered.running(rows, "aid", {"_moved": F.when(F.col("took"), F.col("_k")), "_may_move": F.when(filled & ~F.col("done"), F.col("_k"))}, later=True, base=base)
+    rows = ordered.running(rows, "_r", {"_last": F.when(F.col("took"), F.struct("_k", "aid", "_moved", "_may_move"))})
+    last, k = F.col("_last"), F.col("_k")
+    after = lambda c: F.coalesce(last[c] >= k, F.lit(True))
+    holds = last.isNotNull() & after("_moved") & after("_may_move")
+    free = (last.isNull() | F.coalesce(last["_moved"] < k, F.lit(False))) & (k == F.col("_head_r")) | ~filled
+    finder = F.col("aid").isNull() & ((F.col("_s") == "") | (k == F.col("_head_s")))
+    mover = F.col("aid").isNotNull()
+    now = ~F.col("done") & (mover | finder) & (free | holds)
+    new = now & finder & free
+    taken = now & filled & (free | (holds & mover & (last["aid"] == F.col("aid"))))
+    aid = F.when(new, _named(F.col("_s"), F.col("_r"))).when(now & finder, last["aid"]).otherwise(F.col("aid"))
+    out = {"aid": aid, "done": F.col("done") | now, "took": F.col("took") | F.coalesce(taken, F.lit(False)), "is_new": F.col("is_new") | new}
+    return rows.select(*(out.get(c, F.col(c)).alias(c) for c in columns))
+
+
+def get_or_create(records: DataFrame, entities: DataFrame, order: str, fill: bool = False) -> DataFrame:
+    """resolve_in_order by one column."""
+    return resolve_in_order(records, entities, [order], fill)
+
+
+def entity_rows(records: DataFrame, order: Sequence[str]) -> DataFrame:
+    """What records of resolve_in_order fill in, a row for each entity: of every column the last value that is not null
+    (blank text is null), but serials only from the record that made the entity, and registrations only from records
+    by which it has them."""
+    rows = records.where("entity_id is not null")
+    rows = rows.select(*((clean.blank_to_null(F.col(c)) if t == "string" and c != "entity_id" else F.col(c)).alias(c) for c, t in rows.dtypes))
+    rows = rows.withColumn("serial", F.when(F.col("is_new"), F.col("serial"))).withColumn("registration", F.when(F.col("took"), F.col("registration")))
+    facts = [c for c in rows.columns if c not in ("entity_id", "is_new", "took", *order)]
+    return pick_per_key(rows, ["entity_id"], order, fill=facts).drop("is_new", "took")

@@ -90,9 +90,9 @@ class Tables:
         self.append("raw_data", new.select(*(f.split()[0] for f in RAW.split(", "))), ["source_platform", "ingestion_date"])
 
     def aircraft(self, rows: DataFrame, order: Sequence[str]) -> None:
-        """Fill the aircraft that rows (entity_id, serial, registration, ...) name; new ones are inserted."""
+        """Fill the aircraft that rows of resolve_in_order name; new ones are inserted."""
         stored = self.held("aircraft", AIRCRAFT)
-        batch = resolve.entity_rows(rows, stored, order)
+        batch = resolve.entity_rows(rows, order)
         facts = [c for c in stored.columns if c != "entity_id"]
         wide = merge.widen(batch, stored.limit(0)).withColumn("_one", F.lit(1))
         self.write("aircraft", "aircraft", "aircraft", merge.merge_latest(stored, wide, ["entity_id"], ["_one"], fill=facts))
@@ -139,8 +139,8 @@ def load_marketplace(tables: Tables, source: str, folder: str, date: str, limit:
         tables.count(source, row["kind"], "skipped", row["count"])
     order = ["date", "rank", "manufacturer_folder", "position"]
     entities = tables.held("aircraft", AIRCRAFT)
-    known = resolve.get_or_create(events.withColumn("_order", F.concat_ws("|", "date", "rank", "manufacturer_folder", F.lpad(F.col("position").cast("string"), 10, "0"))), entities, "_order").drop("_order")
-    stored = tables.held("listings", known.drop("is_new", *(c for c in order if c != "date")).limit(0))
+    known = resolve.resolve_in_order(events, entities, order)
+    stored = tables.held("listings", known.drop("is_new", "took", *(c for c in order if c != "date")).limit(0))
     mine = [c for c in stored.columns if c in known.columns]
     batch = merge.widen(known.select(*mine, *(c for c in order if c not in mine)), stored.limit(0))
     merged = merge.merge_latest(stored, batch, ["url"], order, fill=[*pipelines.LISTING_FILL, "entity_id"], newer="date")
@@ -153,7 +153,9 @@ def load_marketplace(tables: Tables, source: str, folder: str, date: str, limit:
         state = merge.pick_per_key(past.unionByName(now.drop("fresh")), ["url", "feed"], ["date", "position"]).withColumn("action", F.lit("kept"))
         tables.add_once(source, "history", "listing_history", told.withColumn("_one", F.lit(1)), HISTORY, ["_one"], date)
         tables.write(source, "state", "listing_state", state)
-    tables.aircraft(known.where("is_new").select("entity_id", "serial", "registration", "make", "model", "year", *(c for c in order if c != "date"), "date"), order)
+    new = known.where("is_new").select(F.col("entity_id").alias("_new"))
+    facts = known.join(new, F.col("entity_id") == F.col("_new"), "left_semi").select("entity_id", "is_new", "took", "serial", "registration", "make", "model", "year", *order)
+    tables.aircraft(facts, order)
     tables.write(source, "listings", "listings", merged)
     if details is not None:
         where = ["listing_url", "ingestion_date"]
@@ -222,12 +224,12 @@ def _load_master(tables: Tables, path: str, date: str, reference: DataFrame | No
     tables.count(source, "master", "skipped", text.where(~clean.not_blank(F.col("n_number")) & ~clean.not_blank(F.col("serial"))).count())
     tail = text.select("seq", F.col("n_number").alias("_tail"))
     rows = rows.join(tail, "seq").withColumn("registration", F.coalesce(clean.registration(F.col("_tail")), F.lit(""))).drop("_tail")
-    found = resolve.get_or_create(rows.withColumn("serial", F.coalesce("serial", F.lit(""))), tables.held("aircraft", AIRCRAFT), "seq")
+    found = resolve.get_or_create(rows.withColumn("serial", F.coalesce("serial", F.lit(""))), tables.held("aircraft", AIRCRAFT), "seq", fill=True)
     facts = found.select(
-        "entity_id", "serial", "registration", F.col("manufacturer").alias("make"), "model", "year", "status", F.col("country").alias("registration_country"),
+        "entity_id", "is_new", "took", "serial", "registration", F.col("manufacturer").alias("make"), "model", "year", "status", F.col("country").alias("registration_country"),
         F.col("country").alias("based_country"), "air_worth_date", "certification", "aircraft_type", "engine_type", "mode_s_code", "mode_s_code_hex", "seq",
     )
-    batch = found.drop("registration", "is_new").withColumn("ingestion_date", F.lit(date).cast("date"))
+    batch = found.drop("registration", "is_new", "took").withColumn("ingestion_date", F.lit(date).cast("date"))
     tables.upsert(source, "master", "registrations", batch, ["n_number"], ["seq"], date)
     tables.aircraft(facts, ["seq"])
 
@@ -244,10 +246,10 @@ def load_internal(tables: Tables, folder: str, limit: int | None = None, aircraf
             F.coalesce("serial_number", F.lit("")).alias("serial"), F.coalesce("registration_number", F.lit("")).alias("registration"), c("manufacturer").alias("make"), "model",
             c("manufacturer_year").alias("year"), "delivery_year", "category", c("aircraft_status").alias("status"), c("number_of_passengers").alias("passengers"), "registration_country", "based_country", "seq",
         )
-        found = resolve.get_or_create(found, tables.held("aircraft", AIRCRAFT), "seq")
+        found = resolve.get_or_create(found, tables.held("aircraft", AIRCRAFT), "seq", fill=True)
         tables.count(source, "aircraft", "inserted", n := found.where("is_new").select("entity_id").distinct().count())
         tables.count(source, "aircraft", "updated", found.select("entity_id").distinct().count() - n)
-        tables.aircraft(found.drop("is_new"), ["seq"])
+        tables.aircraft(found, ["seq"])
     if sales and path_exists(spark, f"{folder}/{schemas.SALES_FILE}"):
         rows = _limited(readers.dynamic_csv(spark, f"{folder}/{schemas.SALES_FILE}", schemas.SALES), 0, limit)
         ids = tables.held("aircraft", AIRCRAFT).where("serial <> ''").groupBy(F.col("serial").alias("serial_number")).agg(F.min("entity_id").alias("entity_id"))

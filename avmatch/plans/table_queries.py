@@ -169,6 +169,54 @@ def entity_new_keys(spark: SparkSession, sf: str) -> DataFrame:
     return resolve.new_keys(records, "seq").select("seq", "entity_key")
 
 
+#: Records whose serials and registrations chain: a registration may be the next customer's. Chains end between customers
+#: of which neither an order nor a stored aircraft names the next one.
+CHAIN_ROWS = """src AS (SELECT o_orderkey AS seq, o_custkey AS c, CASE WHEN o_orderkey % 11 = 0 THEN '' ELSE 'S' || o_custkey END AS s,
+    CASE WHEN o_orderkey % 13 = 0 THEN '' ELSE 'N' || (o_custkey + CASE WHEN o_orderkey % 40 = 7 THEN 1 ELSE 0 END) END AS r FROM orders),
+  ent AS (SELECT 'e' || c_custkey AS id, 'S' || c_custkey AS s, 'N' || (c_custkey + 1) AS r, c_custkey AS c FROM customer WHERE c_custkey % 9 = 0),
+  linked AS (SELECT c FROM src WHERE seq % 40 = 7 UNION SELECT c FROM ent), every AS (SELECT c FROM src UNION SELECT c + 1 FROM src UNION SELECT c FROM ent UNION SELECT c + 1 FROM ent),
+  part_of AS (SELECT c, sum(CASE WHEN before THEN 0 ELSE 1 END) OVER (ORDER BY c) AS comp FROM (SELECT e.c, l.c IS NOT NULL AS before FROM every e LEFT JOIN linked l ON l.c = e.c - 1)),
+  num AS (SELECT seq, s, r, comp, row_number() OVER (PARTITION BY comp ORDER BY seq) AS n FROM src JOIN part_of USING (c)),
+  begin AS (SELECT comp, coalesce(list({'id': id, 's': s, 'r': r} ORDER BY id) FILTER (id IS NOT NULL), []) AS ents FROM part_of LEFT JOIN ent USING (c) GROUP BY comp)"""
+
+
+def _chain_sql(fill: bool) -> str:
+    """One row of each chain at a time, with the aircraft that it has so far."""
+    took = "x.r <> '' AND (by_s IS NULL AND by_r IS NULL" + (" OR by_s IS NOT NULL AND (by_r IS NULL OR by_r = by_s))" if fill else ")")
+    moved = "WHEN by_s IS NOT NULL AND took THEN list_transform(ents, lambda e: {'id': e.id, 's': e.s, 'r': CASE WHEN e.id = by_s THEN r ELSE e.r END})" if fill else ""
+    return f"""WITH RECURSIVE {CHAIN_ROWS}, step AS (SELECT comp, CAST(0 AS BIGINT) AS n, ents, CAST(NULL AS BIGINT) AS seq, CAST(NULL AS VARCHAR) AS id, false AS is_new, false AS took FROM begin
+  UNION ALL SELECT comp, n, CASE WHEN is_new THEN list_append(ents, {{'id': id, 's': s, 'r': r}}) {moved} ELSE ents END, seq, id, is_new, took FROM
+  (SELECT *, CASE WHEN by_s IS NULL AND by_r IS NULL AND (s <> '' OR r <> '') THEN 'n' || seq ELSE coalesce(by_s, by_r) END AS id, by_s IS NULL AND by_r IS NULL AND (s <> '' OR r <> '') AS is_new FROM
+  (SELECT x.comp, x.n, x.seq, x.s, x.r, ents, by_s, by_r, {took} AS took FROM
+  (SELECT num.*, t.ents, CASE WHEN num.s <> '' THEN list_filter(t.ents, lambda e: e.s = num.s)[1].id END AS by_s, CASE WHEN num.r <> '' THEN list_filter(t.ents, lambda e: e.r = num.r)[1].id END AS by_r
+   FROM step t JOIN num ON num.comp = t.comp AND num.n = t.n + 1) x)))
+SELECT seq, CASE WHEN id LIKE 'e%' THEN id END AS known_id, CASE WHEN id LIKE 'n%' THEN CAST(substr(id, 2) AS BIGINT) END AS made_by, is_new, took FROM step WHERE n > 0"""
+
+
+def _entity_chain(spark: SparkSession, sf: str, fill: bool) -> DataFrame:
+    """For each record the stored aircraft that it is, or the record that made its aircraft."""
+    c, k = F.col("o_custkey"), F.col("o_orderkey")
+    serial = F.when(k % 11 == 0, "").otherwise(F.concat(F.lit("S"), c))
+    registration = F.when(k % 13 == 0, "").otherwise(F.concat(F.lit("N"), c + F.when(k % 40 == 7, 1).otherwise(0)))
+    records = table(spark, sf, "orders").select(k.alias("seq"), serial.alias("serial"), registration.alias("registration"))
+    p = F.col("c_custkey")
+    entities = table(spark, sf, "customer").where("c_custkey % 9 = 0").select(F.concat(F.lit("e"), p).alias("entity_id"), F.concat(F.lit("S"), p).alias("serial"), F.concat(F.lit("N"), p + 1).alias("registration"))
+    found = resolve.resolve_in_order(records, entities, ["seq"], fill)
+    made = found.where("is_new").select(F.col("entity_id").alias("_id"), F.col("seq").alias("made_by"))
+    out = found.join(made, F.col("entity_id") == F.col("_id"), "left")
+    return out.select("seq", F.when(F.col("made_by").isNull(), F.col("entity_id")).alias("known_id"), "made_by", "is_new", "took")
+
+
+@query(_chain_sql(False))
+def entity_chain(spark: SparkSession, sf: str) -> DataFrame:
+    return _entity_chain(spark, sf, False)
+
+
+@query(_chain_sql(True))
+def entity_chain_filled(spark: SparkSession, sf: str) -> DataFrame:
+    return _entity_chain(spark, sf, True)
+
+
 @query("""WITH s AS (SELECT CAST(l_partkey AS VARCHAR) AS serial FROM lineitem), e AS (SELECT CASE WHEN p_size % 4 = 0 THEN 'X' ELSE '' END || p_partkey AS serial, p_partkey AS id FROM part)
 SELECT s.serial, count(*) AS sales, count(e.id) AS linked, min(e.id) AS entity_id FROM s LEFT JOIN e ON s.serial = e.serial GROUP BY s.serial""")
 def sale_lookup(spark: SparkSession, sf: str) -> DataFrame:
@@ -335,6 +383,36 @@ def repair_n(spark: SparkSession, sf: str) -> DataFrame:
     return _tail_report(spark, sf).select("seq", "new_n", "outcome")
 
 
+#: Stored tails of which most should be a neighbour's, in blocks of 25 customers, and in an order that is not theirs.
+WANTS = """st AS (SELECT c_custkey AS c, (c_custkey * 7919) % 1000003 AS seq, 'N' || c_custkey AS tail, c_custkey + CASE WHEN c_custkey % 11 = 4 THEN -1 WHEN c_custkey % 7 = 3 THEN 2 ELSE 1 END AS w FROM customer WHERE c_custkey % 6 <> 1),
+  bad AS (SELECT *, c // 25 AS block, CASE WHEN w // 25 = c // 25 THEN 'N' || w END AS new_n FROM st WHERE c % 10 <> 9)"""
+
+
+def _wants(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    c = F.col("c_custkey")
+    customers = table(spark, sf, "customer").where(c % 6 != 1)
+    serial = F.when(c % 10 == 9, F.concat(F.lit("X"), c)).otherwise(c.cast("string"))
+    stored = customers.select((c * 7919 % 1000003).alias("seq"), F.concat(F.lit("N"), c).alias("n_number"), serial.alias("serial"), F.lit("c").alias("code"), F.lit("2024-01-01").alias("date"))
+    want = c + F.when(c % 11 == 4, -1).when(c % 7 == 3, 2).otherwise(1)
+    master = customers.where(F.floor(want / 25) == F.floor(c / 25)).select(c.alias("seq"), F.concat(F.lit("N"), want).alias("n_number"), c.cast("string").alias("serial"), F.lit("c").alias("code"))
+    return stored, master
+
+
+@query(f"""WITH {WANTS} SELECT seq, new_n, CASE WHEN new_n IS NULL THEN 'no_match' WHEN EXISTS (SELECT 1 FROM st WHERE st.tail = bad.new_n) THEN 'conflict' ELSE 'fixed' END AS outcome FROM bad""")
+def repair_n_dry(spark: SparkSession, sf: str) -> DataFrame:
+    return repair.tail_repairs(*_wants(spark, sf), dry_run=True).select("seq", "new_n", "outcome")
+
+
+@query(f"""WITH RECURSIVE {WANTS}, num AS (SELECT *, row_number() OVER (PARTITION BY block ORDER BY seq) AS n FROM bad), begin AS (SELECT c // 25 AS block, list({{'seq': seq, 'tail': tail}} ORDER BY seq) AS held FROM st GROUP BY 1),
+  step AS (SELECT block, CAST(0 AS BIGINT) AS n, held, CAST(NULL AS BIGINT) AS seq, CAST(NULL AS VARCHAR) AS new_n, CAST(NULL AS VARCHAR) AS outcome FROM begin
+  UNION ALL SELECT block, n, CASE WHEN outcome = 'fixed' THEN list_transform(held, lambda e: {{'seq': e.seq, 'tail': CASE WHEN e.seq = seq THEN new_n ELSE e.tail END}}) ELSE held END, seq, new_n, outcome FROM
+  (SELECT num.block, num.n, t.held, num.seq, num.new_n, CASE WHEN num.new_n IS NULL THEN 'no_match' WHEN len(list_filter(t.held, lambda e: e.tail = num.new_n AND e.seq <> num.seq)) > 0 THEN 'conflict' ELSE 'fixed' END AS outcome
+   FROM step t JOIN num ON num.block = t.block AND num.n = t.n + 1))
+SELECT seq, new_n, outcome FROM step WHERE n > 0""")
+def repair_n_applied(spark: SparkSession, sf: str) -> DataFrame:
+    return repair.applied_tail_repairs(*_wants(spark, sf)).select("seq", "new_n", "outcome")
+
+
 @query(f"WITH {TAILS} SELECT outcome, count(*) AS n FROM o GROUP BY outcome")
 def repair_conflicts(spark: SparkSession, sf: str) -> DataFrame:
     return repair.outcome_counts(_tail_report(spark, sf))
