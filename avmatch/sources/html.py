@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import re
+from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator, Sequence
 from functools import reduce
 from html.parser import HTMLParser
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -20,16 +24,20 @@ ATTRIBUTES = ("class", "id", "href", "src", "srcset", "name", "value", "content"
 HIDDEN = ("script", "style")
 #: Elements in one output batch.
 ROWS = 4096
-NODES = "page_id {0}, node int, scope int, scope_class string, section string, depth int, tag string, attrs map<string, string>, text string"
+NODES = "page_id {0}, node int, scope int, scope_class string, section string, depth int, tag string, attrs map<string, string>, chars int, lead string, text string"
+#: Characters of every element's text that stand in lead.
+LEAD = 64
 
 
 class _Elements(HTMLParser):
-    """Elements in document order with their subtree's text, scripts and styles aside. scope: the nearest element around it
-    with a scope class; section: the nearest id around it. Only wanted tags and scopes are kept and gather text."""
+    """Elements in document order, each with the interval of the page's text that is its subtree's; the text itself is held
+    once. Scripts and styles have a text of their own, which is no part of the page's. scope: the nearest element around
+    it with a scope class; section: the nearest id around it. Only wanted tags and scopes are kept."""
 
     def __init__(self, scopes: Sequence[str], wanted: frozenset[str] | None):
         super().__init__(convert_charrefs=True)
         self.scopes, self.wanted, self.rows, self.open, self.count = scopes, wanted, [], [], 0
+        self.parts, self.size, self.named = [], 0, Counter()
 
     def handle_starttag(self, tag, attrs):
         kept = {k: v or "" for k, v in attrs if k in ATTRIBUTES}
@@ -42,50 +50,166 @@ class _Elements(HTMLParser):
             scope, scope_class = node, mine
         row = None
         if mine or self.wanted is None or tag in self.wanted:
-            row = {"node": node, "scope": scope, "scope_class": scope_class, "section": section, "depth": depth, "tag": tag, "attrs": list(kept.items()), "text": []}
+            row = {"node": node, "scope": scope, "scope_class": scope_class, "section": section, "depth": depth, "tag": tag, "attrs": list(kept.items()), "start": self.size, "end": self.size if tag in VOID else None, "own": []}
             self.rows.append(row)
         if tag not in VOID:
             self.open.append((tag, scope, scope_class, row, section))
+            self.named[tag] += 1
 
     def handle_endtag(self, tag):
-        for k in range(len(self.open) - 1, -1, -1):
-            if self.open[k][0] == tag:
-                del self.open[k:]
+        if not self.named[tag]:
+            return  # nothing to close: no look through all that is open
+        while True:
+            top, _, _, row, _ = self.open.pop()
+            self.named[top] -= 1
+            if row is not None:
+                row["end"] = self.size
+            if top == tag:
                 return
 
     def handle_data(self, data):
-        hidden = self.open and self.open[-1][0] in HIDDEN
-        for _, _, _, row, _ in self.open[-1:] if hidden else self.open:
-            if row is not None:
-                row["text"].append(data)
-
-
-COLUMNS = (("node", pa.int32()), ("scope", pa.int32()), ("scope_class", pa.string()), ("section", pa.string()), ("depth", pa.int32()), ("tag", pa.string()), ("attrs", pa.map_(pa.string(), pa.string())))
-
-
-def nodes(pages: DataFrame, scopes: Sequence[str] = (), tags: Sequence[str] | None = None) -> DataFrame:
+        if self.open and self.open[-1][0] in HIDDEN:
+            if self.open[-1][3] is not None:
+                self.open[-1][3]["own"].append(data)
+            return
+        self.parts.append(data)
+        self.size += len(data)
+
+
+class _Text:
+    """A page's text, and what rules ask of intervals of it without copying them."""
+
+    def __init__(self, parser: _Elements):
+        self.raw = "".join(parser.parts)
+        code = np.frombuffer(self.raw.encode("utf-32-le", "surrogatepass"), np.uint32)
+        distinct, at = np.unique(code, return_inverse=True)
+        solid = ~np.array([chr(c).isspace() for c in distinct.tolist()], bool)[at] if len(code) else np.zeros(0, bool)
+        self.solid = solid
+        self.letters = np.concatenate([[0], np.cumsum(solid)])
+        begins = solid.copy()
+        begins[1:] &= ~solid[:-1]
+        self.words = np.concatenate([[0], np.cumsum(begins)])
+        self.found: dict[str, list[int]] = {}
+
+    def chars(self, a: int, b: int) -> int:
+        """Length of the interval with runs of white space as one blank, and none at its ends."""
+        if a >= b:
+            return 0
+        inside = 0 < a < len(self.solid) and self.solid[a] and self.solid[a - 1]
+        letters, words = int(self.letters[b] - self.letters[a]), int(self.words[b] - self.words[a]) + int(inside)
+        return letters + max(0, words - 1)
+
+    def text(self, a: int, b: int) -> str:
+        return " ".join(self.raw[a:b].split())
+
+    def lead(self, a: int, b: int) -> str:
+        """The interval's first LEAD characters, read in steps past any white space."""
+        if a < b and not self.solid[a]:
+            a = int(np.searchsorted(self.letters, self.letters[a], "right")) - 1  # the first that is no white space
+        step = 4 * LEAD
+        while True:
+            out = self.text(a, min(b, a + step))
+            if len(out) > LEAD or a + step >= b:
+                return out[:LEAD].rstrip()
+            step *= 4
+
+    def has(self, a: int, b: int, phrase: str) -> bool:
+        """Whether a phrase without white space stands in the interval."""
+        if phrase not in self.found:
+            at = [m.start() for m in re.finditer(re.escape(phrase), self.raw)]
+            self.found[phrase] = at
+        k = bisect_left(self.found[phrase], a)
+        return k < len(self.found[phrase]) and self.found[phrase][k] + len(phrase) <= b
+
+
+class Asked:
+    """Whose text a rule reads: elements of a tag (`p`), of a class with a part (`.price`), of an id (`#other`) or scopes
+    (`*`); of all others only texts of up to `short` characters. first: (tag, phrase) pairs: of the elements of that tag
+    whose text has the phrase (or, after `^`, begins with it), the first. longest: also the page's longest text."""
+
+    def __init__(self, *what: str, short: int = 0, first: Sequence[tuple[str, str]] = (), longest: bool = False):
+        self.tags, self.ids, self.scopes = {x for x in what if x[0] not in ".#*"}, {x[1:] for x in what if x[0] == "#"}, "*" in what
+        self.classes, self.short, self.first, self.longest = [x[1:].lower() for x in what if x[0] == "."], short, tuple(first), longest
+
+    def reads(self, row: dict) -> bool:
+        held = dict(row["attrs"])
+        low = held.get("class", "").lower()
+        return row["tag"] in self.tags or row["tag"] in HIDDEN or (self.scopes and row["scope"] == row["node"]) or held.get("id") in self.ids or any(c in low for c in self.classes)
+
+    def filled(self, rows: list[dict], page: _Text) -> None:
+        """Give each row its chars and lead, and its text if the rule reads it."""
+        wanted, most = dict.fromkeys(self.first), None
+        for row in rows:
+            a, b = row["start"], row["end"]
+            if row["own"]:
+                row["text"] = " ".join("".join(row["own"]).split())
+                row["chars"], row["lead"] = len(row["text"]), row["text"][:LEAD].rstrip()
+                continue
+            row["chars"], row["lead"] = page.chars(a, b), page.lead(a, b)
+            row["text"] = page.text(a, b) if row["chars"] <= self.short or self.reads(row) else None
+            if row["tag"] not in HIDDEN and (most is None or row["chars"] > most["chars"]):
+                most = row
+            for ask in self.first:
+                tag, phrase = ask
+                if row["tag"] == tag and wanted[ask] is None and (row["lead"].startswith(phrase[1:]) if phrase[0] == "^" else page.has(a, b, phrase)):
+                    wanted[ask] = row
+        for row in [*wanted.values(), most if self.longest else None]:
+            if row is not None and row["text"] is None:
+                row["text"] = page.text(row["start"], row["end"])
+
+
+COLUMNS = (("node", pa.int32()), ("scope", pa.int32()), ("scope_class", pa.string()), ("section", pa.string()), ("depth", pa.int32()), ("tag", pa.string()), ("attrs", pa.map_(pa.string(), pa.string())), ("chars", pa.int32()), ("lead", pa.string()), ("text", pa.string()))
+
+
+def parsed(html: str, scopes: Sequence[str], wanted: frozenset[str] | None) -> tuple[list[dict], _Text]:
+    parser = _Elements(scopes, wanted)
+    parser.feed(html)
+    parser.close()
+    for row in parser.rows:
+        row["end"] = parser.size if row["end"] is None else row["end"]
+    return parser.rows, _Text(parser)
+
+
+def nodes(pages: DataFrame, scopes: Sequence[str] = (), tags: Sequence[str] | None = None, asked: Asked | None = None) -> DataFrame:
     """pages (page_id, html) to one row per element. tags: only these elements, and scopes, are returned.
 
-    Null pages have no elements. Text is the subtree's, runs of white space as one blank.
+    Null pages have no elements. Text is the subtree's, runs of white space as one blank: of the elements that are asked
+    for (else of all that are returned), null elsewhere; chars (its length) and lead (its first 64 characters) are always
+    there. So what comes out of a page of open elements grows with the page, not with its square.
     """
     scopes, wanted = tuple(scopes), frozenset(tags) if tags else None
+    asked = asked or Asked(short=1 << 31)
 
     def run(batches) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k, html in enumerate(batch.column("html")):
-                parser = _Elements(scopes, wanted)
-                parser.feed(html.as_py() or "")
-                parser.close()
-                for lo in range(0, len(parser.rows), ROWS):
-                    rows = parser.rows[lo : lo + ROWS]
-                    cells = [pa.array([r[name] for r in rows], kind) for name, kind in COLUMNS]
-                    text = pa.array([" ".join("".join(r["text"]).split()) for r in rows], pa.string())
-                    page = batch.column("page_id").take(pa.array([k] * len(rows)))
-                    yield pa.RecordBatch.from_arrays([page, *cells, text], ["page_id", *(name for name, _ in COLUMNS), "text"])
+                rows, page = parsed(html.as_py() or "", scopes, wanted)
+                asked.filled(rows, page)
+                for lo in range(0, len(rows), ROWS):
+                    part = rows[lo : lo + ROWS]
+                    cells = [pa.array([r[name] for r in part], kind) for name, kind in COLUMNS]
+                    yield pa.RecordBatch.from_arrays([batch.column("page_id").take(pa.array([k] * len(part))), *cells], ["page_id", *(name for name, _ in COLUMNS)])
 
     return pages.select("page_id", "html").mapInArrow(run, NODES.format(dict(pages.dtypes)["page_id"]))
 
 
+def texts_of(pages: DataFrame, picked: DataFrame) -> DataFrame:
+    """(page_id, node, text): whole texts of picked (page_id, node), the node numbers being those of `nodes`."""
+    each = picked.groupBy(F.col("page_id").alias("_page")).agg(F.collect_set("node").alias("_nodes"))
+
+    def run(batches) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k, (html, some) in enumerate(zip(batch.column("html"), batch.column("_nodes"), strict=True)):
+                want = set(some.as_py())
+                rows, page = parsed(html.as_py() or "", (), None)
+                found = [(r["node"], " ".join("".join(r["own"]).split()) if r["own"] else page.text(r["start"], r["end"])) for r in rows if r["node"] in want]
+                cells = [pa.array([n for n, _ in found], pa.int32()), pa.array([t for _, t in found], pa.string())]
+                yield pa.RecordBatch.from_arrays([batch.column("page_id").take(pa.array([k] * len(found), pa.int64())), *cells], ["page_id", "node", "text"])
+
+    rows = pages.select("page_id", "html").join(each, F.col("page_id") == F.col("_page")).select("page_id", "html", "_nodes")
+    return rows.mapInArrow(run, f"page_id {dict(pages.dtypes)['page_id']}, node int, text string")
+
+
 def attr(name: str) -> Column:
     return F.col("attrs")[name]
 
@@ -172,7 +296,7 @@ def images(pages: DataFrame, site: str = "generic") -> DataFrame:
     """
     site = site if site in IMAGE_RULES else "generic"
     buckets = IMAGE_RULES[site]
-    rows = nodes(pages, tags=["meta", "link", "img", "a"])
+    rows = nodes(pages, tags=["meta", "link", "img", "a"], asked=Asked())
     tag, content, src = F.col("tag"), attr("content"), attr("src")
     og = (tag == "meta") & (attr("property") == "og:image") & (content != "")
     twitter = (tag == "meta") & (attr("name") == "twitter:image") & (content != "")
@@ -207,7 +331,7 @@ def images(pages: DataFrame, site: str = "generic") -> DataFrame:
 
 def own_urls(pages: DataFrame) -> DataFrame:
     """(page_id, own_url): what a page says its address is."""
-    found = nodes(pages, tags=["meta"]).where((attr("property") == "og:url") & (attr("content") != ""))
+    found = nodes(pages, tags=["meta"], asked=Asked()).where((attr("property") == "og:url") & (attr("content") != ""))
     return found.groupBy("page_id").agg(clean.normal_url(F.min_by(attr("content"), "node")).alias("own_url"))
 
 
@@ -229,7 +353,8 @@ def cards(pages: DataFrame, card_class: str, link_part: str, title_class: str |
     """Index cards: (page_id, position, url, listing_id, title, year, aircraft_type, price, location, hours, seller, phone,
     email, premium, payment, text), once per page and URL. A card is an element with card_class; its link's href
     contains link_part."""
-    rows = nodes(pages, scopes=[card_class]).where("scope >= 0")
+    asked = Asked("a", "*", ".aircraft-type", ".price", ".location", ".total-time", ".seller", ".dealer", *([f".{title_class}"] if title_class else []))
+    rows = nodes(pages, scopes=[card_class], asked=asked).where("scope >= 0")
     pick = lambda value, cond: F.min_by(F.when(cond, value), F.when(cond, F.col("node")))
     in_class = lambda part: F.coalesce(F.lower(attr("class")).contains(part), F.lit(False))
     text, href = F.col("text"), attr("href")
@@ -282,7 +407,7 @@ def fleet_tables(pages: DataFrame) -> DataFrame:
     that is not found, or has no table or aircraft, gives no rows; of several tables the first counts.
     """
     data = pages.where(page_class(F.col("html")) == "data")
-    rows = nodes(data, scopes=["detail-table"], tags=["thead", "tbody", "tr", "td", "th", "a", "i", "input"]).where("scope >= 0")
+    rows = nodes(data, scopes=["detail-table"], tags=["thead", "tbody", "tr", "td", "th", "a", "i", "input"], asked=Asked("td", "th", "a")).where("scope >= 0")
     line = Window.partitionBy("page_id").orderBy("node").rowsBetween(Window.unboundedPreceding, 0)
     last = lambda *tags: F.max(F.when(F.col("tag").isin(*tags), F.col("node"))).over(line)
     rows = rows.withColumn("first", F.min("scope").over(Window.partitionBy("page_id"))).where("scope = first")

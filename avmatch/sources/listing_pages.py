@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from avmatch.functions import clean
 from avmatch.sources import html
-from avmatch.sources.html import attr, has_class, nodes
+from avmatch.sources.html import Asked, attr, has_class, nodes
 
 #: Spec label -> column, as marketplace A prints them. Columns in TIMES lose commas and time marks.
 SPECS = {
@@ -59,7 +59,7 @@ def details_a(pages: DataFrame) -> DataFrame:
     Of a repeated label the first value wins. A spec that the page doesn't print is taken from the embedded
     component's JSON, under the column's own name in camel case.
     """
-    rows = nodes(pages, scopes=["detail__specs-wrapper"])
+    rows = nodes(pages, scopes=["detail__specs-wrapper"], asked=Asked("h1", ".detail__specs-", ".price", ".location", ".dealer-contact__name"))
     specs = html.pairs(rows.where("scope >= 0"), "detail__specs-label", "detail__specs-value")
     first = lambda cond: F.min_by(F.when(cond, F.col("text")), F.when(cond, F.col("node")))
     like = lambda part: F.coalesce(attr("class").contains(part), F.lit(False))
@@ -86,7 +86,8 @@ def details_a(pages: DataFrame) -> DataFrame:
 
 def details_b(pages: DataFrame) -> DataFrame:
     """Dealer pages: label and value of each datum, list items with a label, price, broker and section texts."""
-    rows = nodes(pages, scopes=["datum", "broker"])
+    first = [("p", "Price:"), *(("li", f"^{label}") for label in ("Serial Number", "Tail Number", "Hours", "Cycles"))]
+    rows = nodes(pages, scopes=["datum", "broker"], asked=Asked("a", "title", ".label", ".value", ".broker", ".mt-4 leading-normal", "#avionics-section", "#other", "#inspections-section", first=first))
     text, node = F.col("text"), F.col("node")
     pick = lambda value, cond: F.min_by(F.when(cond, value), F.when(cond, node))
     datum = rows.where("scope_class = 'datum'").groupBy("page_id", "scope").agg(pick(text, has_class("label")).alias("label"), pick(text, has_class("value")).alias("value"), F.min_by("section", "node").alias("section"), F.min_by("depth", "node").alias("depth"))
@@ -129,7 +130,7 @@ def details_b(pages: DataFrame) -> DataFrame:
         section("other", 1000).alias("equipment"),
         section("inspections-section", 500).alias("inspection_status"),
         *(
-            pick(F.trim(F.regexp_replace(text, f"^{label}:?", "")), (F.col("tag") == "li") & text.startswith(label)).alias(name)
+            pick(F.trim(F.regexp_replace(text, f"^{label}:?", "")), (F.col("tag") == "li") & F.col("lead").startswith(label)).alias(name)
             for label, name in (("Serial Number", "_serial"), ("Tail Number", "_tail"), ("Hours", "_hours"), ("Cycles", "_cycles"))
         ),
     )
@@ -160,7 +161,8 @@ def details_older(pages: DataFrame) -> DataFrame:
     First the product of the page's linked data, then elements by class, then patterns in the text. Of an element that
     a text stands in, the innermost counts.
     """
-    rows = nodes(pages)
+    classes = (".spec", ".price", ".location", ".avionics", ".seller", ".broker", ".dealer", ".detail__title")
+    rows = nodes(pages, asked=Asked("h1", "h2", "h3", "h4", "title", "script", *classes, short=1999, longest=True))
     tag, text, node, low = F.col("tag"), F.col("text"), F.col("node"), F.lower(attr("class"))
     in_class = lambda *parts: F.coalesce(reduce(lambda a, b: a | b, (low.contains(p) for p in parts)), F.lit(False))
     first = lambda value, cond: F.min_by(F.when(cond, value), F.when(cond, node))
@@ -188,8 +190,9 @@ def details_older(pages: DataFrame) -> DataFrame:
     after = rows.join(page.where("heading is not null").select("page_id", "heading"), "page_id").where("node > heading.node")
     beside, above = (F.col("depth") == F.col("heading.depth")) & tag.isin("div", "section", "p"), F.col("depth") < F.col("heading.depth")
     after = after.groupBy("page_id").agg(F.min(F.when(beside, F.struct("node", "text"))).alias("next"), F.min(F.when(above, node)).alias("end"))
-    page = page.join(after, "page_id", "left")
-    beside_heading = F.when(F.coalesce(F.col("next.node") < F.col("end"), F.lit(True)), F.col("next.text"))
+    long = html.texts_of(pages, after.where("next.node is not null and next.text is null").select("page_id", "next.node")).select("page_id", F.col("text").alias("long_text"))
+    page = page.join(after, "page_id", "left").join(long, "page_id", "left")
+    beside_heading = F.when(F.coalesce(F.col("next.node") < F.col("end"), F.lit(True)), F.coalesce("next.text", "long_text"))
     prices = [F.when(F.col(f"price_{k}").contains("$") | F.lower(f"price_{k}").contains("price") | F.lower(f"price_{k}").contains("call"), F.col(f"price_{k}")) for k in kinds]
     sellers = [F.when(F.length(c).between(3, 199), F.col(c)) for c in ("seller_text", "seller_div", "seller_span")]
     seller = F.coalesce(*sellers)
