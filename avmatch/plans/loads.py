@@ -18,6 +18,7 @@ from avmatch.functions import clean
 from avmatch.operators import history, merge, resolve
 from avmatch.plans import pipelines
 from avmatch.sources import readers
+from avmatch.sources.keyed import KeyedTable
 from avmatch.sources.tables import VersionedTable, path_exists
 
 ACTIONS = ("inserted", "updated", "skipped")
@@ -37,8 +38,11 @@ class Tables:
         #: (source, file, action, n) of all that was done.
         self.done: list[tuple[str, str, str, int]] = []
 
-    def _table(self, name: str, date: str | None) -> VersionedTable:
-        return VersionedTable(self.spark, f"{self.root}/{name}" + (f"/ingestion_date={date}" if date else ""))
+    def _table(self, name: str, date: str | None, keys: Sequence[str] = ()) -> VersionedTable | KeyedTable:
+        """A table of versions, or (given keys, or where it is one) of parts by key."""
+        path = f"{self.root}/{name}" + (f"/ingestion_date={date}" if date else "")
+        keyed = KeyedTable(self.spark, path, keys)
+        return keyed if keys or keyed.versions() else VersionedTable(self.spark, path)
 
     def held(self, name: str, like: DataFrame | str, date: str | None = None) -> DataFrame:
         """A table, or one date of it, with the columns of `like` and any others it has."""
@@ -61,8 +65,13 @@ class Tables:
             rows.write.mode("append").partitionBy(*by).parquet(f"{self.root}/{name}")
 
     def upsert(self, source: str, file: str, name: str, batch: DataFrame, keys: Sequence[str], order: Sequence[str], date: str | None = None, fill: Sequence[str] = ()) -> None:
-        stored = self.held(name, batch.drop(*order), date)
-        self.write(source, file, name, merge.merge_latest(stored, merge.widen(batch, stored.limit(0)), keys, order, fill), date)
+        """Only the parts that the batch's keys fall into are written."""
+        if self.dry_run:
+            stored = self.held(name, batch.drop(*order), date)
+            self.write(source, file, name, merge.merge_latest(stored, merge.widen(batch, stored.limit(0)), keys, order, fill), date)
+            return
+        counts = self._table(name, date, keys).upsert(batch, order, fill)
+        self.done += [(source, file, a, n) for a, n in counts.items() if n]
 
     def add_once(self, source: str, file: str, name: str, batch: DataFrame, keys: Sequence[str], order: Sequence[str], date: str | None = None) -> None:
         """Rows of keys that the table lacks; others count as skipped."""
