@@ -124,11 +124,12 @@ def _feed(tables: Tables, path: str, schema: str, limit: int | None) -> DataFram
 
 def load_marketplace(tables: Tables, source: str, folder: str, date: str, limit: int | None = None, skip_index: bool = False, manufacturers: bool = False) -> None:
     """A marketplace's index and detail feeds (and those in its manufacturers' folders) into listings, engines and, without
-    manufacturers' folders, also history and APUs. Details come after the index, so they win."""
+    manufacturers' folders, also history and APUs. Details come after the index, so they win; those of a marketplace with
+    manufacturers' folders have what only the index says of their URL."""
     feeds = [("index", f"{folder}/index/listings_metadata.json", False), ("details", f"{folder}/details/details_metadata.json", True)]
     if manufacturers:
         feeds += [("manufacturer_index", f"{folder}/manufacturers/*/{{manufacturer_listings_metadata,listings_metadata}}.json", False), ("manufacturer_details", f"{folder}/manufacturers/*/details/details_metadata.json", True)]
-    events, details, skipped = None, None, []
+    events, details, base, skipped = None, None, None, []
     for rank, (kind, path, is_detail) in enumerate(feeds):
         feed = None if skip_index and not is_detail else _feed(tables, path, schemas.DETAIL_FEED if is_detail else schemas.INDEX_FEED, limit)
         if feed is None:
@@ -137,6 +138,10 @@ def load_marketplace(tables: Tables, source: str, folder: str, date: str, limit:
         payload = [c for c in feed.columns if c not in ("pos", "file_path", "ingestion_date")]
         tables.log_raw(source, kind, date, feed, payload, "pos")
         skipped.append(feed.where(~clean.not_blank(F.col("listing_url"))).select(F.lit(kind).alias("kind")))
+        if not is_detail:
+            base = feed if base is None else base.unionByName(feed)
+        elif manufacturers and base is not None:
+            feed = pipelines.carried_over(feed, base)
         placed = feed.withColumn("rank", F.lit(rank)).withColumn("manufacturer_folder", F.coalesce(readers.folder_of("manufacturers", F.col("file_path")), F.lit("")))
         part = (pipelines.detail_events if is_detail else pipelines.index_events)(placed, source, ["rank", "manufacturer_folder"])
         events = part if events is None else events.unionByName(part)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from avmatch.functions import clean
 from avmatch.operators import history, match, merge, resolve
-from avmatch.sources import html
+from avmatch.sources import html, listing_pages
 
 LISTING = "url string, date date, feed int, position int, title string, make string, model string, year int, price decimal(15,2), status string, location string, description string, airframe_time decimal(10,1), serial string, registration string, features array<string>, platform string"
 LISTING_FILL = ["title", "make", "model", "year", "price", "status", "location", "description", "airframe_time", "serial", "registration", "features"]
@@ -44,6 +44,14 @@ def detail_events(feed: DataFrame, platform: str, keep: Sequence[str] = ()) -> D
     )
 
 
+def carried_over(details: DataFrame, index: DataFrame) -> DataFrame:
+    """Detail records with the make, model and year that the index gives for their URL, where they have none."""
+    wide = listing_pages.with_index_fields(details.withColumn("year", clean.blank_to_null(F.col("year"))), index, ("aircraft_model", "year"))
+    for name, part in (("manufacturer", clean.make_of), ("model", clean.model_of)):
+        wide = wide.withColumn(name, F.coalesce(clean.blank_to_null(F.col(name)), part(F.col("aircraft_model"))))
+    return wide.withColumn("year", F.coalesce("year", clean.year_in(F.col("aircraft_model")).cast("string"))).select(*details.columns)
+
+
 def load_listings(events: DataFrame, listings: DataFrame, entities: DataFrame, past_events: DataFrame | None = None) -> dict[str, DataFrame]:
     """Listings upsert with history and entities. listings: LISTING columns and entity_id.
 

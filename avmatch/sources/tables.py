@@ -60,6 +60,15 @@ def write_json_by(rows: DataFrame, path: str, key: str) -> None:
     rows.write.mode("overwrite").partitionBy(key).json(path)
 
 
+def write_counted_json(rows: DataFrame, path: str, key: str) -> DataFrame:
+    """One JSON folder per key value below records, and beside it counts: a line {key, records} for each. Returns the
+    counts, which are taken of what was written."""
+    write_json_by(rows, f"{path}/records", key)
+    counts = rows.sparkSession.read.schema(rows.schema).json(f"{path}/records").groupBy(key).agg(F.count("*").alias("records"))
+    counts.write.mode("overwrite").json(f"{path}/counts")
+    return counts
+
+
 def flat(rows: DataFrame) -> DataFrame:
     """Maps and arrays as JSON text, for CSV sinks."""
     return rows.select(*(F.to_json(c).alias(c) if t.startswith(("map", "array", "struct")) else F.col(c) for c, t in rows.dtypes))

@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from avmatch import schemas
-from avmatch.plans import loads
+from avmatch.plans import loads, pipelines
+from avmatch.sources import tables
 
 
 def rows(df, *columns):
@@ -84,6 +85,21 @@ def test_load_all(spark, tmp_path):
     assert spark.read.parquet(f"{root}/ingestion_runs").select("loaded_at").distinct().count() == 4
 
 
+def test_details_carry_over_the_index(spark):
+    index = spark.createDataFrame([("u1", "2001 BEECH KING AIR", None), ("u2", "1999 PIPER CUB", "1998"), ("u1", None, None)], "listing_url string, aircraft_model string, year string")
+    details = spark.createDataFrame([("u1", " ", None, None, "S1"), ("u2", "1997", "CESSNA", "", "S2"), ("u3", None, None, "X", "S3")], "listing_url string, year string, manufacturer string, model string, serial_number string")
+    got = pipelines.carried_over(details, index)
+    assert got.columns == details.columns
+    assert rows(got, *got.columns) == [("u1", "2001", "BEECH", "KING AIR", "S1"), ("u2", "1997", "CESSNA", "CUB", "S2"), ("u3", None, None, "X", "S3")]
+
+
+def test_json_with_counts(spark, tmp_path):
+    found = spark.createDataFrame([("a", 1), ("b", 2), ("a", 3)], "site string, n int")
+    counts = tables.write_counted_json(found, str(tmp_path / "out"), "site")
+    assert rows(counts, "site", "records") == [("a", 2), ("b", 1)] and rows(spark.read.json(str(tmp_path / "out/counts")), "site", "records") == [("a", 2), ("b", 1)]
+    assert rows(spark.read.json(str(tmp_path / "out/records")), "site", "n") == [("a", 1), ("a", 3), ("b", 2)]
+
+
 def test_fleet_page_load(spark, tmp_path):
     put(tmp_path / "raw/2024-02-01/fleet_extracted.json", {"aircraft": [{"aircraft_entity_id": 5, "make_model_id": 3, "serial_number": "S", "fields": {"MFR Year": "1999", "Owner": {"text": "Ann", "href": "/o"}, "Registration": "N5 (x)", "Airframe Hours": "1,200"}}, {"serial_number": "no id"}]})
     tables = loads.Tables(spark, str(tmp_path / "t"))

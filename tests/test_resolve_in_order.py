@@ -59,22 +59,20 @@ def check(spark, records, entities, fill):
     assert all((filled.get(names[i]) or stored.get(i)) == has.get(i) for i in names if i and has.get(i))
 
 
-@pytest.mark.parametrize("fill", [False, True])
-@pytest.mark.parametrize("seed", range(2))
-def test_random_chains(spark, fill, seed):
-    rng = random.Random(seed)
-    pick = lambda kind, n: rng.choice([None, "", *(f"{kind}{rng.randrange(n)}" for _ in range(6))])
-    size, n = (60, 12) if seed % 2 else (90, 60)
-    records = [(k, pick("S", n), pick("N", n)) for k in range(size)]
-    regs = rng.sample(range(n), 5)
-    entities = [(f"e{k}", f"S{rng.randrange(n)}" if k % 3 else None, f"N{regs[k]}" if k % 2 else "") for k in range(5)]
-    check(spark, records, entities, fill)
+KNOWN = [(500, "", "KN1"), (501, "KS1", "KN1"), (502, "KS1", ""), (503, "LS1", "LN1"), (504, "LS1", "LN2"), (505, "LS2", "LN1"), (506, "", "LN2"), (507, "LS3", "LN2")]
 
 
 @pytest.mark.parametrize("fill", [False, True])
-def test_known_chains(spark, fill):
-    check(spark, [(1, "", "N1"), (2, "S1", "N1"), (3, "S1", "")], [], fill)
-    check(spark, [(1, "S1", "N1"), (2, "S1", "N2"), (3, "S2", "N1"), (4, "", "N2"), (5, "S3", "N2")], [("a", "S1", "N0")], fill)
+def test_random_chains(spark, fill):
+    """Dense and sparse chains side by side, and some known ones."""
+    rng = random.Random(3)
+    records, entities = list(KNOWN), [("a", "LS1", "LN0")]
+    for size, n, to in ((60, 12, "D"), (90, 60, "W")):
+        pick = lambda kind, n=n, to=to: rng.choice([None, "", *(f"{to}{kind}{rng.randrange(n)}" for _ in range(6))])
+        records += [(k * 2 + (to == "W"), pick("S"), pick("N")) for k in range(size)]
+        regs = rng.sample(range(n), 5)
+        entities += [(f"e{to}{k}", f"{to}S{rng.randrange(n)}" if k % 3 else None, f"{to}N{regs[k]}" if k % 2 else "") for k in range(5)]
+    check(spark, records, entities, fill)
 
 
 @pytest.mark.parametrize("fill", [False, True])
@@ -128,9 +126,8 @@ def repaired(spark, stored, wants):
     return repair.applied_tail_repairs(df, spark.createDataFrame(master, "seq long, n_number string, serial string, code string"))
 
 
-@pytest.mark.parametrize("seed", range(2))
-def test_applied_repairs(spark, seed):
-    rng = random.Random(seed)
+def test_applied_repairs(spark):
+    rng = random.Random(1)
     tails = [f"N{k}" for k in rng.sample(range(100, 160), 50)]
     stored = [(k, t, rng.random() < 0.85) for k, t in enumerate(tails)]
     wants = {k: f"N{rng.randrange(100, 164)}" for k in range(50) if rng.random() < 0.95}
