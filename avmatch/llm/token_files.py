@@ -23,8 +23,8 @@ BLOCK = 512
 #: Ids in a shard, but for longer single runs of text.
 SHARD = 2_000_000
 MAGIC = b"WVM1"
-#: Distinct words a worker keeps the ids of.
-WORDS = 500_000
+#: Distinct words a worker keeps the ids of, and new ones that go to the library together.
+WORDS, TOGETHER = 1_000_000, 2048
 
 
 def build(ids: np.ndarray, bits: int) -> bytes:
@@ -153,6 +153,13 @@ def word_starts(cp: np.ndarray, kind: np.ndarray, edges: np.ndarray) -> np.ndarr
     return np.flatnonzero(start)
 
 
+def sorted_together(*tables: tuple[np.ndarray, ...]) -> tuple[np.ndarray, ...]:
+    """Rows of tables in the order of their first column."""
+    columns = [np.concatenate(x) for x in zip(*tables, strict=True)]
+    order = np.argsort(columns[0])
+    return tuple(x[order] for x in columns)
+
+
 class Words:
     """Ids of texts by the tokenizers library, each distinct word encoded once.
 
@@ -173,35 +180,63 @@ class Words:
         self.clear()
 
     def clear(self) -> None:
-        self.hashes, self.first, self.ids = np.zeros(0, np.uint64), np.zeros(1, np.int64), np.zeros(0, np.uint32)
+        #: Ids of all words in the order they were met; and, sorted by hash, where each word's are and how many: in a
+        #: large table, and in a small one of newer words, so that a run's words don't cost a sort of all.
+        self.ids, self.used = np.zeros(1 << 16, np.uint32), 0
+        self.table = self.recent = (np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64))
+
+    def __len__(self) -> int:
+        return len(self.table[0]) + len(self.recent[0])
+
+    def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(whether it is there, where its ids begin, how many) for each hash."""
+        hit, first, size = np.zeros(len(hashes), bool), np.zeros(len(hashes), np.int64), np.zeros(len(hashes), np.int64)
+        for known, at, n in (self.table, self.recent):
+            if len(known):
+                place = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
+                same = known[place] == hashes
+                hit |= same
+                first[same], size[same] = at[place[same]], n[place[same]]
+        return hit, first, size
 
     def whole(self, text: str) -> np.ndarray:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, np.uint32)
 
-    def learn(self, hashes: np.ndarray, words: list[str]) -> None:
+    def learn(self, hashes: np.ndarray, cp: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
         """Words side by side in one text stay words of their own behind their blank, or else behind a line end."""
-        found: list[np.ndarray | None] = [None] * len(words)
-        plain = [k for k, w in enumerate(words) if not w.isspace()]
-        spaced = [k for k in plain if words[k][0] == " "]
-        tight = [k for k in plain if words[k][0] != " "]
-        for group, glue in ((spaced, ""), (tight, "\n")):
-            for lo in range(0, len(group), 2048):
-                part = group[lo : lo + 2048]
-                code = self.library.encode(glue + glue.join(words[k] for k in part), add_special_tokens=False)
+        blank = self.kinds[cp[ends - 1]] == 3  # of white space only
+        spaced = ~blank & (cp[starts] == 32)
+        order, sizes, flat = [], [], []
+        for group, glue in ((np.flatnonzero(spaced), 0), (np.flatnonzero(~spaced & ~blank), 1)):
+            for lo in range(0, len(group), TOGETHER):
+                part = group[lo : lo + TOGETHER]
+                letters = gather(cp, starts[part], ends[part] - starts[part])
+                if glue:
+                    letters = np.insert(letters, np.concatenate([[0], np.cumsum(ends[part] - starts[part])[:-1]]), 10)
+                code = self.library.encode(letters.tobytes().decode("utf-32-le"), add_special_tokens=False)
                 ids, of = np.array(code.ids, np.uint32), np.array(code.word_ids)
-                if of[-1] + 1 == len(part) * (2 if glue else 1):
-                    at = np.arange(len(part)) * (2 if glue else 1) + (1 if glue else 0)
-                    for k, a, b in zip(part, np.searchsorted(of, at).tolist(), np.searchsorted(of, at, "right").tolist(), strict=True):
-                        found[k] = ids[a:b]
-        found = [self.whole(w) if f is None else f for w, f in zip(words, found, strict=True)]
-        if len(self.hashes) + len(words) > WORDS:
+                if of[-1] + 1 == len(part) * (1 + glue):
+                    at = np.arange(len(part)) * (1 + glue) + glue
+                    first = np.searchsorted(of, at)
+                    sizes.append(np.searchsorted(of, at, "right") - first)
+                    flat.append(gather(ids, first, sizes[-1]))
+                    order.append(part)
+                else:
+                    blank[part] = True  # the library cuts them otherwise: one by one
+        alone = np.flatnonzero(blank)
+        each = [self.whole(cp[a:b].tobytes().decode("utf-32-le")) for a, b in zip(starts[alone].tolist(), ends[alone].tolist(), strict=True)]
+        order, sizes = np.concatenate([*order, alone]).astype(np.int64), np.concatenate([*sizes, [len(x) for x in each]]).astype(np.int64)
+        flat = np.concatenate([*flat, *each])
+        if len(self) + len(hashes) > WORDS:
             self.clear()
-        size = np.concatenate([np.diff(self.first), [len(f) for f in found]])
-        hashes, ids = np.concatenate([self.hashes, hashes]), np.concatenate([self.ids, *found])
-        order = np.argsort(hashes)
-        first = np.concatenate([[0], np.cumsum(size)])
-        self.ids = gather(ids, first[order], size[order])
-        self.hashes, self.first = hashes[order], np.concatenate([[0], np.cumsum(size[order])])
+        while self.used + len(flat) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        self.ids[self.used : self.used + len(flat)] = flat
+        new = (hashes[order], self.used + np.cumsum(sizes) - sizes, sizes)
+        self.used += len(flat)
+        self.recent = sorted_together(self.recent, new)
+        if len(self.recent[0]) > WORDS // 8:
+            self.table, self.recent = sorted_together(self.table, self.recent), tuple(x[:0] for x in self.recent)
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts end to end, number of ids of each). data: the texts' UTF-8 bytes, text k at offsets[k]."""
@@ -216,19 +251,13 @@ class Words:
         ends = np.append(starts[1:], len(cp)) if len(starts) else starts
         h = hash_spans(cp, starts, ends)
         distinct, where, inverse = np.unique(h, return_index=True, return_inverse=True)
-        if len(self.hashes):
-            place = np.minimum(np.searchsorted(self.hashes, distinct), len(self.hashes) - 1)
-            new = self.hashes[place] != distinct
-        else:
-            new = np.ones(len(distinct), bool)
-        if new.any():
-            if len(self.hashes) + int(new.sum()) > WORDS:
-                new[:] = True
-            some = np.flatnonzero(new)
-            self.learn(distinct[some], [cp[a:b].tobytes().decode("utf-32-le") for a, b in zip(starts[where[some]].tolist(), ends[where[some]].tolist(), strict=True)])
-        place = np.searchsorted(self.hashes, distinct)[inverse] if len(distinct) else np.zeros(0, np.int64)
-        size = self.first[place + 1] - self.first[place] if len(place) else np.zeros(0, np.int64)
-        ids = gather(self.ids, self.first[place], size) if len(place) else np.zeros(0, np.uint32)
+        hit, first, size = self.find(distinct)
+        if not hit.all():
+            some = np.flatnonzero(~hit) if len(self) + int((~hit).sum()) <= WORDS else np.arange(len(distinct))
+            self.learn(distinct[some], cp, starts[where[some]], ends[where[some]])
+            _, first, size = self.find(distinct)
+        size = size[inverse]
+        ids = gather(self.ids, first[inverse], size)
         cuts = np.concatenate([[0], np.cumsum(size)])[np.searchsorted(starts, at)]
         if odd:
             parts = [self.whole(text[offsets[k] : offsets[k + 1]].decode()) if k in odd else ids[cuts[k] : cuts[k + 1]] for k in range(n)]
