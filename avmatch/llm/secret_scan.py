@@ -32,6 +32,8 @@ RULES = [
     ("chat", "xox[abprs]-[A-Za-z0-9-]{10,}", 0, 1),
 ]
 BASE = 3
+#: Matches that are placed together; what is done for them grows with their number times this.
+CHUNK = 256
 #: Strings that a run of small classes may stand for, before it counts as unknown.
 SPELT = 16
 
@@ -96,6 +98,18 @@ def candidates(docs: DataFrame, rules) -> DataFrame:
     return met.where("n = need").groupBy("key").agg(F.collect_set("rule").alias("rules"))
 
 
+def let(value: Column, use) -> Column:
+    """use(value), with the value worked out once however often it is used."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def in_chunks(rows: Column, use) -> Column:
+    """[use(chunk)] of an array in chunks of CHUNK: arrays that grow row by row are copied with each row, so they are
+    built by chunk and joined once."""
+    last = F.floor((F.greatest(F.size(rows), F.lit(1)) - 1) / CHUNK).cast("int")
+    return F.transform(F.sequence(F.lit(0), last), lambda i: use(F.slice(rows, i * CHUNK + 1, F.lit(CHUNK))))
+
+
 def spans(text: Column, rule) -> Column:
     """array<struct<start, kind order, stop, kind>> of one rule's matches."""
     kind, pattern, group, least = rule
@@ -113,8 +127,34 @@ def spans(text: Column, rule) -> Column:
         span = F.struct(start.alias("start"), F.lit(order).alias("rank"), stop.alias("stop"), F.lit(kind).alias("kind"))
         return F.struct(stop.alias("at"), F.when(row["part"] >= least, F.concat(at["out"], F.array(span))).otherwise(at["out"]).alias("out"))
 
-    found = F.aggregate(rows, F.struct(F.lit(0).alias("at"), empty.alias("out")), step)["out"]
-    return F.when(text.rlike(pattern), found).otherwise(empty)
+    def placed(at: Column, chunk: Column) -> Column:
+        moved = F.transform(chunk["out"], lambda s: F.struct((s["start"] + at["at"]).alias("start"), s["rank"].alias("rank"), (s["stop"] + at["at"]).alias("stop"), s["kind"].alias("kind")))
+        return F.struct((at["at"] + chunk["at"]).alias("at"), F.concat(at["out"], F.array(moved)).alias("out"))
+
+    begin = F.struct(F.lit(0).alias("at"), empty.alias("out"))
+    chunks = let(rows, lambda r: in_chunks(r, lambda c: F.aggregate(c, begin, step)))
+    found = F.aggregate(chunks, F.struct(F.lit(0).alias("at"), F.array().cast("array<array<struct<start: int, rank: int, stop: int, kind: string>>>").alias("out")), placed)
+    return F.when(text.rlike(pattern), F.flatten(found["out"])).otherwise(empty)
+
+
+def masked(text: Column, found: Column, mark: str) -> Column:
+    """text with each of the spans, in order, replaced by a mark; one that begins within those before it is covered."""
+
+    def step(at: Column, span: Column) -> Column:
+        before = at["part"].substr(at["at"] - at["base"] + 1, F.greatest(span["start"] - at["at"], F.lit(0)))
+        more = F.concat(at["out"], F.array(before, F.lit(mark)))
+        now = [F.greatest(span["stop"], at["at"]).alias("at"), F.when(span["start"] >= at["at"], more).otherwise(at["out"]).alias("out")]
+        return F.struct(*now, at["base"].alias("base"), at["part"].alias("part"))
+
+    def piece(state: Column, chunk: Column) -> Column:
+        """The chunk's stretch of the text is cut out once; its spans are found within it."""
+        stop = F.greatest(F.array_max(F.transform(chunk, lambda s: s["stop"])), state["at"])
+        begin = F.struct(state["at"].alias("at"), F.array().cast("array<string>").alias("out"), state["at"].alias("base"), text.substr(state["at"] + 1, stop - state["at"]).alias("part"))
+        return let(F.aggregate(chunk, begin, step), lambda done: F.struct(done["at"].alias("at"), F.concat(state["out"], F.array(F.array_join(done["out"], ""))).alias("out")))
+
+    begin = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
+    whole = let(F.aggregate(in_chunks(found, lambda c: c), begin, piece), lambda done: F.concat(F.array_join(done["out"], ""), text.substr(done["at"] + 1, F.length(text))))
+    return F.when(F.size(found) > 0, whole).otherwise(text)
 
 
 def scan(docs: DataFrame, rules=RULES) -> DataFrame:
