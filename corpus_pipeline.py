@@ -52,16 +52,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every secret in a text is replaced by a mark; documents stay."""
     rows = secret_scan.scan(docs.select(*COLUMNS))
-
-    def step(at, span):
-        before = F.col("text").substr(at["at"] + 1, F.greatest(span["start"] - at["at"], F.lit(0)))
-        more = F.concat(at["out"], F.array(before, F.lit(MASK)))
-        return F.struct(F.greatest(span["stop"], at["at"]).alias("at"), F.when(span["start"] >= at["at"], more).otherwise(at["out"]).alias("out"))
-
-    begin = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
-    done = F.aggregate("spans", begin, step)
-    masked = F.concat(F.array_join(done["out"], ""), F.col("text").substr(done["at"] + 1, F.length("text")))
-    rows = rows.withColumn("text", F.when(F.size("spans") > 0, masked).otherwise(F.col("text")))
+    rows = rows.withColumn("text", secret_scan.masked(F.col("text"), F.col("spans"), MASK))
     return rows.withColumn("n_chars", F.when(F.size("spans") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*COLUMNS)
 
 
