@@ -89,17 +89,26 @@ def with_entities(facts: DataFrame, entities: DataFrame, prefix: str = "", key:
     return some.unionByName(none)
 
 
+#: Characters that a serial's names take in a report. More names than characters can't show.
+SHOWN = 4000
+
+
 def reconcile(master: DataFrame, stored: DataFrame) -> DataFrame:
     """By serial: (serial, side, names, stored_name, name_ok). side: missing (not stored), extra (not in master) or
     common. names: the master's names of that serial, sorted, joined by "; ", 4000 characters. Where a stored serial
-    repeats, its greatest name counts."""
-    m = master.where(F.trim("serial") != "").groupBy(F.trim("serial").alias("serial")).agg(F.collect_set(F.trim("registrant")).alias("_names"))
+    repeats, its greatest name counts.
+
+    However many names a serial has, no task holds more than can show; whether the stored name is one of them is asked by
+    serial and name together.
+    """
+    pairs = master.where(F.trim("serial") != "").groupBy(F.trim("serial").alias("serial"), F.trim("registrant").alias("name")).agg(F.lit(1).alias("_one")).drop("_one")
+    first = capped(pairs, "serial", ["name"], SHOWN + 1).groupBy("serial").agg(F.array_sort(F.collect_list("name")).alias("_names"))
     s = stored.where(F.trim("serial") != "").groupBy(F.trim("serial").alias("serial")).agg(F.max(F.trim("registrant")).alias("stored_name"), F.lit(True).alias("_stored"))
-    both = m.join(s, "serial", "full_outer")
+    hit = pairs.join(s.select(F.col("serial").alias("_s"), F.col("stored_name").alias("_n")), (F.col("serial") == F.col("_s")) & (F.col("name") == F.col("_n")), "left_semi")
+    both = first.join(s, "serial", "full_outer").join(hit.select("serial", F.lit(True).alias("_hit")), "serial", "left")
     side = F.when(F.col("_stored").isNull(), "missing").when(F.col("_names").isNull(), "extra").otherwise("common")
-    names = F.substring(F.array_join(F.array_sort("_names"), "; "), 1, 4000)
-    ok = F.when(side == "common", F.coalesce(F.array_contains("_names", F.col("stored_name")), F.lit(False)))
-    return both.select("serial", side.alias("side"), names.alias("names"), "stored_name", ok.alias("name_ok"))
+    names = F.substring(F.array_join("_names", "; "), 1, SHOWN)
+    return both.select("serial", side.alias("side"), names.alias("names"), "stored_name", F.when(side == "common", F.col("_hit").isNotNull()).alias("name_ok"))
 
 
 def reconcile_summary(found: DataFrame) -> DataFrame:

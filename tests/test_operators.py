@@ -99,6 +99,14 @@ def test_reconcile(spark):
     assert rows(audit.capped(found, "side", ["serial"], 1), "serial") == [("A",), ("C",)]
 
 
+def test_reconcile_a_serial_of_many_names(spark, monkeypatch):
+    """Names beyond those that show aren't held, but the stored name is looked for among all."""
+    monkeypatch.setattr(audit, "SHOWN", 20)
+    master = spark.range(3000).selectExpr("'S' as serial", "concat('name', lpad(id, 5, '0')) as registrant").union(spark.createDataFrame([("T", None), ("T", " a ")], "serial string, registrant string"))
+    stored = spark.createDataFrame([("S", "name02999"), ("T", "b"), ("U", "c")], "serial string, registrant string")
+    assert rows(audit.reconcile(master, stored), "serial", "side", "names", "name_ok") == [("S", "common", "name00000; name00001", True), ("T", "common", "a", False), ("U", "extra", None, None)]
+
+
 def test_repairs(spark):
     schema = "seq int, n_number string, serial string, code string, registrant string, date string"
     stored = spark.createDataFrame([(1, "123", "N123", "c", "r", "d"), (2, "5", "ok", "c", "r", "d"), (3, "9", "9", "c", "r", "d"), (4, "77", "77", "c", "r", "d")], schema)
