@@ -74,7 +74,11 @@ def types(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def saved_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Listing pages: each part is an aircraft with a page of its own, which has a bit of every layout."""
+    """Listing pages: each part is an aircraft with a page of its own, which has a bit of every layout.
+
+    A page is a hundred times as large as its part, so parts are dealt to all cores before their pages are made: the
+    table's files are too few for that.
+    """
     c = F.col
     k, year = c("p_partkey"), c("p_partkey") % 30 + 1990
     parts = [
@@ -90,7 +94,8 @@ def saved_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         '<table class="detail-table"><thead><tr><th>Serial Number</th><th>S', k, ' x<input class="select_aircraft" value="', k, '"></th><th>T', k, '<input class="select_aircraft" value="', k + 1000000, '"></th></tr></thead><tbody><tr><th>MFR Year</th><td>', year,
         '</td><td><a href="/b">', c("p_size"), '</a></td></tr><tr><th class="th-title">Extra</th></tr><tr><th>Seats</th><td>', c("p_size"), '</td></tr></tbody></table><input name="make_model" value="', k % 50, '">',
     ]
-    return table(spark, sf_dir, "part").select(k.alias("page_id"), F.concat(*(F.lit(x) if isinstance(x, str) else x.cast("string") for x in parts)).alias("html"))
+    dealt = table(spark, sf_dir, "part").select("p_partkey", "p_size", "p_brand", "p_retailprice", "p_type", "p_name").repartition(4 * spark.sparkContext.defaultParallelism)
+    return dealt.select(k.alias("page_id"), F.concat(*(F.lit(x) if isinstance(x, str) else x.cast("string") for x in parts)).alias("html"))
 
 
 CODES = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
