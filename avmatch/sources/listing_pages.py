@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from avmatch.functions import clean
+from avmatch.operators import ordered
 from avmatch.sources import html
 from avmatch.sources.html import Asked, attr, has_class, nodes
 
@@ -59,7 +60,7 @@ def details_a(pages: DataFrame) -> DataFrame:
     Of a repeated label the first value wins. A spec that the page doesn't print is taken from the embedded
     component's JSON, under the column's own name in camel case.
     """
-    rows = nodes(pages, scopes=["detail__specs-wrapper"], asked=Asked("h1", ".detail__specs-", ".price", ".location", ".dealer-contact__name"))
+    rows = ordered.cut(nodes(pages, scopes=["detail__specs-wrapper"], asked=Asked("h1", ".detail__specs-", ".price", ".location", ".dealer-contact__name")))
     specs = html.pairs(rows.where("scope >= 0"), "detail__specs-label", "detail__specs-value")
     first = lambda cond: F.min_by(F.when(cond, F.col("text")), F.when(cond, F.col("node")))
     like = lambda part: F.coalesce(attr("class").contains(part), F.lit(False))
@@ -87,7 +88,7 @@ def details_a(pages: DataFrame) -> DataFrame:
 def details_b(pages: DataFrame) -> DataFrame:
     """Dealer pages: label and value of each datum, list items with a label, price, broker and section texts."""
     first = [("p", "Price:"), *(("li", f"^{label}") for label in ("Serial Number", "Tail Number", "Hours", "Cycles"))]
-    rows = nodes(pages, scopes=["datum", "broker"], asked=Asked("a", "title", ".label", ".value", ".broker", ".mt-4 leading-normal", "#avionics-section", "#other", "#inspections-section", first=first))
+    rows = ordered.cut(nodes(pages, scopes=["datum", "broker"], asked=Asked("a", "title", ".label", ".value", ".broker", ".mt-4 leading-normal", "#avionics-section", "#other", "#inspections-section", first=first)))
     text, node = F.col("text"), F.col("node")
     pick = lambda value, cond: F.min_by(F.when(cond, value), F.when(cond, node))
     datum = rows.where("scope_class = 'datum'").groupBy("page_id", "scope").agg(pick(text, has_class("label")).alias("label"), pick(text, has_class("value")).alias("value"), F.min_by("section", "node").alias("section"), F.min_by("depth", "node").alias("depth"))
@@ -162,7 +163,7 @@ def details_older(pages: DataFrame) -> DataFrame:
     a text stands in, the innermost counts.
     """
     classes = (".spec", ".price", ".location", ".avionics", ".seller", ".broker", ".dealer", ".detail__title")
-    rows = nodes(pages, asked=Asked("h1", "h2", "h3", "h4", "title", "script", *classes, short=1999, longest=True))
+    rows = ordered.cut(nodes(pages, asked=Asked("h1", "h2", "h3", "h4", "title", "script", *classes, short=1999, longest=True)))
     tag, text, node, low = F.col("tag"), F.col("text"), F.col("node"), F.lower(attr("class"))
     in_class = lambda *parts: F.coalesce(reduce(lambda a, b: a | b, (low.contains(p) for p in parts)), F.lit(False))
     first = lambda value, cond: F.min_by(F.when(cond, value), F.when(cond, node))
@@ -244,8 +245,9 @@ def model_listings(pages: DataFrame, manufacturer: str | None = None) -> DataFra
     Cards of the index layout, else boxes; on a page with neither, every link to details, with the heading before it.
     """
     offered = lambda x: F.nullif(F.trim(F.regexp_extract(x, r"(?i)Offered by:\s*(.*?)\s*(?:View Details|$)", 1)), F.lit(""))
-    layouts = [html.cards(pages, layout, "/details/").select("page_id", "position", "url", "title", offered(F.col("text")).alias("dealer"), F.lit(k).alias("layout")) for k, layout in enumerate((CARD, BOX))]
-    rows = nodes(pages, tags=["a", "h2", "h5", "p"])
+    every = ordered.cut(html.card_nodes(pages, (CARD, BOX), "h2", "h5", "p"))
+    layouts = [html.cards_of(every, "/details/", place=k).select("page_id", "position", "url", "title", offered(F.col("text")).alias("dealer"), F.lit(k).alias("layout")) for k in range(2)]
+    rows = every.where(F.col("tag").isin("a", "h2", "h5", "p"))
     down = Window.partitionBy("page_id").orderBy("node").rowsBetween(Window.unboundedPreceding, 0)
     before = lambda cond: F.last(F.when(cond, F.col("text")), ignorenulls=True).over(down)
     rows = rows.withColumn("title", before(F.col("tag").isin("h2", "h5"))).withColumn("dealer", before((F.col("tag") == "p") & F.col("text").contains("Offered by:")))
