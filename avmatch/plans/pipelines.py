@@ -1,4 +1,5 @@
-"""User-level pipelines: each takes DataFrames, returns DataFrames by table name and writes nothing.
+"""User-level pipelines: each takes DataFrames, returns DataFrames by table name and writes nothing but
+scratch rows.
 
 A merged table has a column action (inserted, updated, skipped, kept), from which ``run_summary`` counts.
 """
@@ -11,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from avmatch.functions import clean
-from avmatch.operators import history, match, merge, resolve
+from avmatch.operators import history, match, merge, ordered, resolve
 from avmatch.sources import html, listing_pages
 
 LISTING = "url string, date date, feed int, position int, title string, make string, model string, year int, price decimal(15,2), status string, location string, description string, airframe_time decimal(10,1), serial string, registration string, features array<string>, platform string"
@@ -185,9 +186,10 @@ def match_report(fleet: DataFrame, registry: DataFrame, require_serial: bool = F
 def image_index(pages: DataFrame, platform: str) -> DataFrame:
     """pages (page_id, file_name, html, url, listing, ingestion_date) to one row per <platform>:<listing> with its photo
     URLs, by the platform's rule set; the page says its own address, or has `url`."""
-    own = html.own_urls(pages)
+    rows = ordered.cut(html.nodes(pages, tags=html.IMAGE_TAGS, asked=html.Asked()))
+    own = html.own_urls(pages, rows)
     told = pages.join(own, "page_id", "left").select("page_id", "listing", F.coalesce("own_url", "url").alias("page_url"), "ingestion_date")
-    found = html.images(pages, platform).join(told, "page_id")
+    found = html.images(pages, platform, rows).join(told, "page_id")
     place = F.struct("rank", "pos").alias("pos")
     rows = found.select(F.concat_ws(":", F.lit(platform), "listing").alias("key"), F.col("ingestion_date").alias("date"), "page_id", place, F.col("url"), F.col("bucket").alias("source"), "page_url")
     return html.merge_urls(rows)
