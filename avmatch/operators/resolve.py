@@ -64,58 +64,100 @@ def resolve_in_order(records: DataFrame, entities: DataFrame, order: Sequence[st
     Records get entity_id (text; null without any identifier), is_new (this record made it) and took (the entity has the
     record's registration by this record). Ties in the order are told by serial, then registration.
 
-    The rule is sequential, but a record only waits for earlier ones that could change its answer. A round answers every
-    record whose serial is known, and every first record of an unknown serial, if what its registration's last taker
-    did until then is settled; so there are as many rounds as the longest chain of such dependences, and a serial or
-    registration that very many records share costs two, not one for each.
+    The rule is sequential, but a record only waits for earlier ones that could change its answer. Rounds answer all
+    records that no open earlier one could change, and hold open records only, with what these still have to know. So there
+    are as many rounds as the longest chain of dependences, and what is written shrinks with the open records; a serial, a
+    registration or a pair that very many records share costs two rounds, not one for each.
     """
     shown = records.columns
     text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
     rows = ordered.numbered(records.withColumn("_s", text("serial")).withColumn("_r", text("registration")), [*order, "_s", "_r"])
     held = entities.select("entity_id", text("serial").alias("serial"), text("registration").alias("registration"))
-    by_serial, by_registration = _owners(held, "serial"), _owners(held, "registration")
-    events = with_key(rows.select("_k", "_s", "_r"), "_s", by_serial, "_own_serial").withColumnRenamed("_has_serial", "aid")
+    answered = (_filled if fill else _first_come)(rows, _owners(held, "serial"), _owners(held, "registration"))
+    return answered.select(*(c for c in shown if c not in ("entity_id", "is_new", "took")), "entity_id", "is_new", "took")
+
+
+def _first_come(rows: DataFrame, by_serial: DataFrame, by_registration: DataFrame) -> DataFrame:
+    """Answers without fill. Only the first row of a serial and a registration can make an entity, and it does if no earlier
+    maker has either: the greedy matching of serials and registrations. Each round takes all rows that are the first
+    open one of both, and drops those that share a key with them."""
+    open_rows = rows.where("_s <> '' or _r <> ''").groupBy("_s", "_r").agg(F.min("_k").alias("_k"))
+    for key, owners, name in (("_s", by_serial, "serial"), ("_r", by_registration, "registration")):
+        open_rows = with_key(open_rows, key, owners, f"_own_{name}").where(F.col(f"_has_{name}").isNull()).drop(f"_has_{name}")
+    open_rows, made = ordered.cut(open_rows), None
+    while made is None or not open_rows.isEmpty():
+        marked = open_rows
+        for key in ("_s", "_r"):
+            heads = open_rows.where(F.col(key) != "").groupBy(F.col(key).alias("_own")).agg(F.min("_k").alias(f"_head{key}"))
+            marked = with_key(marked, key, heads, "_own")
+        is_head = F.coalesce(F.col("_head_s") == F.col("_k"), F.lit(True)) & F.coalesce(F.col("_head_r") == F.col("_k"), F.lit(True))
+        marked = ordered.cut(marked.select("_s", "_r", "_k", is_head.alias("makes")))
+        now, open_rows = marked.where("makes").drop("makes"), marked.where("not makes").drop("makes")
+        for key in ("_s", "_r"):
+            taken = now.where(F.col(key) != "").select(F.col(key).alias("_own"), F.lit(True).alias("_taken"))
+            open_rows = with_key(open_rows, key, taken, "_own").where("_taken is null").drop("_taken")
+        open_rows = ordered.cut(open_rows)
+        made = now if made is None else made.unionByName(now)
+    made = made.withColumn("_id", _named(F.col("_s"), F.col("_r")))
+    out = rows
+    for key, owners, name in (("_s", by_serial, "serial"), ("_r", by_registration, "registration")):
+        stored = owners.select(F.col(f"_own_{name}").alias("_own"), F.lit(-1).cast("long").alias(f"_at{key}"), F.col(f"_has_{name}").cast("string").alias(f"_id{key}"))
+        new = made.where(F.col(key) != "").select(F.col(key).alias("_own"), F.col("_k").alias(f"_at{key}"), F.col("_id").alias(f"_id{key}"))
+        out = with_key(out, key, stored.unionByName(new), "_own")
+    k = F.col("_k")
+    is_new = F.coalesce(F.col("_at_s") == k, F.lit(False)) | F.coalesce(F.col("_at_r") == k, F.lit(False))
+    out = out.drop("entity_id", "is_new", "took").withColumn("entity_id", F.when(F.col("_at_s") <= k, F.col("_id_s")).when(F.col("_at_r") <= k, F.col("_id_r")))
+    return out.withColumn("is_new", is_new).withColumn("took", is_new & (F.col("_r") != ""))
+
+
+def _filled(rows: DataFrame, by_serial: DataFrame, by_registration: DataFrame) -> DataFrame:
+    """Answers with fill: rounds over open rows and the takers of registrations that those still have to know."""
+    events = with_key(rows.select("_k", "_s", "_r"), "_s", by_serial, "_own_serial").select("_k", "_s", "_r", F.col("_has_serial").cast("string").alias("aid"), F.lit(False).alias("done"))
     # What is stored comes first: owners of a registration that the batch names.
     named = rows.where("_r <> ''").select(F.col("_r").alias("_own_registration")).distinct()
-    first = by_registration.join(named, "_own_registration", "left_semi").select(F.lit(-1).cast("long").alias("_k"), F.lit("").alias("_s"), F.col("_own_registration").alias("_r"), F.col("_has_registration").alias("aid"))
-    state = events.withColumn("done", (F.col("_s") == "") & (F.col("_r") == "")).unionByName(first.withColumn("done", F.lit(True)))
-    state = state.select("_k", "_s", "_r", F.col("aid").cast("string").alias("aid"), "done", (F.col("_k") < 0).alias("took"), F.lit(False).alias("is_new"))
-    if not fill:  # a record of a known serial changes nothing
-        state = state.withColumn("done", F.col("done") | F.col("aid").isNotNull())
-    state = ordered.cut(state)
-    while not state.where("not done").isEmpty():
-        state = ordered.cut(_round(state, fill))
-    answers = state.where("_k >= 0").select("_k", F.col("aid").alias("entity_id"), "is_new", "took")
-    return rows.join(answers, "_k").select(*(c for c in shown if c not in ("entity_id", "is_new", "took")), "entity_id", "is_new", "took")
-
-
-def _round(state: DataFrame, fill: bool) -> DataFrame:
-    columns = state.columns
-    # Serials of entities that earlier rounds made.
-    made = state.where("is_new and _s <> ''").select(F.col("_s").alias("_own"), F.col("aid").alias("_made"))
-    rows = with_key(state, "_s", made, "_own").withColumn("aid", F.coalesce("aid", "_made")).drop("_made")
-    if not fill:
-        rows = rows.withColumn("done", F.col("done") | F.col("aid").isNotNull())
-    base = rows = ordered.cut(rows)
-    unknown = rows.where(F.col("aid").isNull() & ~F.col("done") & (F.col("_s") != "")).groupBy(F.col("_s").alias("_own")).agg(F.min("_k").alias("_head_s"))
-    open_r = rows.where(~F.col("done") & (F.col("_r") != "")).groupBy(F.col("_r").alias("_own")).agg(F.min("_k").alias("_head_r"))
+    first = by_registration.join(named, "_own_registration", "left_semi").select(F.lit(-1).cast("long").alias("_k"), F.lit("").alias("_s"), F.col("_own_registration").alias("_r"), F.col("_has_registration").cast("string").alias("aid"), F.lit(True).alias("done"))
+    state = ordered.cut(events.where("_s <> '' or _r <> ''").unionByName(first))
+    no, yes = F.lit(False), F.lit(True)
+    answers = rows.where("_s = '' and _r = ''").select("_k", F.lit(None).cast("string").alias("entity_id"), no.alias("is_new"), no.alias("took"))
+    open_rows = state.where("not done")
+    while not open_rows.isEmpty():
+        after = ordered.cut(_round(state))
+        open_rows = after.where("not done and not now")
+        answers = answers.unionByName(after.where("now").select("_k", F.col("aid").alias("entity_id"), "is_new", "took"))
+        made = after.where("is_new and _s <> ''").select(F.col("_s").alias("_own"), F.col("aid").alias("_made"))
+        left = with_key(open_rows, "_s", made, "_own").select("_k", "_s", "_r", F.coalesce("aid", "_made").alias("aid"), no.alias("done"))
+        # Of takers those that have, or had, a registration of an open row, with all that these did.
+        takers = after.where("done or moves").select("_k", "_s", "_r", "aid", yes.alias("done"))
+        asked = open_rows.where("_r <> ''").select("_r").distinct()
+        state = left.unionByName(takers.join(takers.join(asked, "_r", "left_semi").select("aid").distinct(), "aid", "left_semi"))
+    return rows.drop("entity_id", "is_new", "took").join(answers, "_k")
+
+
+def _round(state: DataFrame) -> DataFrame:
+    """state: open rows, and done ones, each of which took its registration. now: rows that this round answers; moves: of
+    those, the ones by which a registration changed hands."""
+    k, aid, filled = F.col("_k"), F.col("aid"), F.col("_r") != ""
+    # When a taker took another registration (_moved), or may have (_turn): rows by which the one that its entity named changes.
+    acts = filled & aid.isNotNull()
+    here = F.struct("_k", "_r")
+    rows = ordered.cut(ordered.running(state, "aid", {"_acted": F.when(acts, here), "_took": F.when(acts & F.col("done"), here)}))
+    unknown = rows.where(aid.isNull() & ~F.col("done") & (F.col("_s") != "")).groupBy(F.col("_s").alias("_own")).agg(F.min("_k").alias("_head_s"))
+    open_r = rows.where(~F.col("done") & filled).groupBy(F.col("_r").alias("_own")).agg(F.min("_k").alias("_head_r"))
+    changed = lambda c: F.coalesce(F.col(c)["_r"] != F.col("_r"), F.lit(True))
+    turns = {"_turn": F.when(acts & changed("_acted"), k), "_moved": F.when(acts & F.col("done") & changed("_took"), k)}
+    rows = ordered.running(rows, "aid", turns, later=True, base=rows).drop("_acted", "_took")
+    rows = ordered.running(rows, "_r", {"_last": F.when(F.col("done"), F.struct("_k", "aid", "_moved", "_turn"))})
     rows = with_key(with_key(rows, "_s", unknown, "_own"), "_r", open_r, "_own")
-    # When a taker of a registration took another one, or may have.
-    filled = F.col("_r") != ""
-    rows = ordered.running(rows, "aid", {"_moved": F.when(F.col("took"), F.col("_k")), "_may_move": F.when(filled & ~F.col("done"), F.col("_k"))}, later=True, base=base)
-    rows = ordered.running(rows, "_r", {"_last": F.when(F.col("took"), F.struct("_k", "aid", "_moved", "_may_move"))})
-    last, k = F.col("_last"), F.col("_k")
-    after = lambda c: F.coalesce(last[c] >= k, F.lit(True))
-    holds = last.isNotNull() & after("_moved") & after("_may_move")
+    last = F.col("_last")
+    holds = last.isNotNull() & F.coalesce(last["_turn"] >= k, F.lit(True))
     free = (last.isNull() | F.coalesce(last["_moved"] < k, F.lit(False))) & (k == F.col("_head_r")) | ~filled
-    finder = F.col("aid").isNull() & ((F.col("_s") == "") | (k == F.col("_head_s")))
-    mover = F.col("aid").isNotNull()
-    now = ~F.col("done") & (mover | finder) & (free | holds)
-    new = now & finder & free
-    taken = now & filled & (free | (holds & mover & (last["aid"] == F.col("aid"))))
-    aid = F.when(new, _named(F.col("_s"), F.col("_r"))).when(now & finder, last["aid"]).otherwise(F.col("aid"))
-    out = {"aid": aid, "done": F.col("done") | now, "took": F.col("took") | F.coalesce(taken, F.lit(False)), "is_new": F.col("is_new") | new}
-    return rows.select(*(out.get(c, F.col(c)).alias(c) for c in columns))
+    mover, finder = aid.isNotNull(), aid.isNull() & ((F.col("_s") == "") | (k == F.col("_head_s")))
+    now = F.coalesce(~F.col("done") & (mover | finder) & (free | holds), F.lit(False))
+    is_new, moves = now & finder & free, now & filled & free
+    took = moves | now & filled & F.coalesce(holds & mover & (last["aid"] == aid), F.lit(False))
+    found = F.when(now & finder, F.when(free, _named(F.col("_s"), F.col("_r"))).otherwise(last["aid"])).otherwise(aid)
+    no = lambda c: F.coalesce(c, F.lit(False))
+    return rows.select("_k", "_s", "_r", found.alias("aid"), "done", now.alias("now"), no(is_new).alias("is_new"), no(moves).alias("moves"), no(took).alias("took"))
 
 
 def get_or_create(records: DataFrame, entities: DataFrame, order: str, fill: bool = False) -> DataFrame:

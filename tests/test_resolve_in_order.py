@@ -151,3 +151,23 @@ def test_repairs_of_a_long_chain(spark, monkeypatch):
         rows = [(k, t, {0: "1", 1: "N1", 2: "3", 3: "4"}[k], "c", "d") for k, t, _ in twice]
         got = repair.applied_tail_repairs(spark.createDataFrame(rows, "seq long, n_number string, serial string, code string, date string"), spark.createDataFrame(master, "seq long, n_number string, serial string, code string"))
         assert sorted((r["seq"], r["outcome"]) for r in got.collect()) == repair_loop(twice, wants)
+
+
+@pytest.mark.parametrize("fill", [False, True])
+def test_repeated_pairs_need_few_rounds(spark, fill, monkeypatch):
+    """Records that repeat an aircraft's serial and registration don't wait for each other, and what is written shrinks
+    with the records that are open."""
+    sizes, cut = [], ordered.cut
+    monkeypatch.setattr(resolve.ordered, "cut", lambda df: [out := cut(df), sizes.append(out.count())][0])
+    records = [(k, f"S{k % 10}", f"N{k % 10}") for k in range(600)] + [(600 + k, f"S{k % 10}", f"N{k % 10 + 20}") for k in range(300)]
+    check(spark, records, [], fill)
+    assert len(sizes) <= 14 and sum(sizes) <= 8 * 900
+
+
+@pytest.mark.parametrize("fill", [False, True])
+@pytest.mark.parametrize("seed", range(2))
+def test_small_worlds(spark, fill, seed):
+    """Few serials and registrations, so that those change hands again and again."""
+    rng = random.Random(seed)
+    pick = lambda kind, n: rng.choice(["", *(f"{kind}{rng.randrange(n)}" for _ in range(9))])
+    check(spark, [(k, pick("S", 4), pick("N", 6)) for k in range(40)], [("a", "S0", "N1"), ("b", "S1", "N1"), ("c", "", "N2")], fill)
