@@ -163,7 +163,8 @@ def details_older(pages: DataFrame) -> DataFrame:
     a text stands in, the innermost counts.
     """
     classes = (".spec", ".price", ".location", ".avionics", ".seller", ".broker", ".dealer", ".detail__title")
-    rows = ordered.cut(nodes(pages, asked=Asked("h1", "h2", "h3", "h4", "title", "script", *classes, short=1999, longest=True)))
+    beside = (("h2", "h3", "h4"), "avionics", ("div", "section", "p"))
+    rows = ordered.cut(nodes(pages, asked=Asked("h1", "h2", "h3", "h4", "title", "script", *classes, short=1999, longest=True, beside=beside)))
     tag, text, node, low = F.col("tag"), F.col("text"), F.col("node"), F.lower(attr("class"))
     in_class = lambda *parts: F.coalesce(reduce(lambda a, b: a | b, (low.contains(p) for p in parts)), F.lit(False))
     first = lambda value, cond: F.min_by(F.when(cond, value), F.when(cond, node))
@@ -171,7 +172,6 @@ def details_older(pages: DataFrame) -> DataFrame:
     product = (tag == "script") & (attr("type") == "application/ld+json") & (F.get_json_object("text", "$['@type']") == "Product")
     kinds = ("div", "span", "p")
     section = tag.isin("div", "section")
-    heading = tag.isin("h2", "h3", "h4") & F.lower("text").contains("avionics")
     told = text.rlike("(?i)Seller Information|Dealer|Broker") & ~tag.isin("script", "style")
     page = rows.groupBy("page_id").agg(
         first(F.coalesce(F.get_json_object("text", "$.name"), F.get_json_object("text", "$.model")), product).alias("product"),
@@ -181,19 +181,13 @@ def details_older(pages: DataFrame) -> DataFrame:
         *(first(text, (tag == k) & in_class("price")).alias(f"price_{k}") for k in kinds),
         *(first(text, (tag == k) & in_class("location") & (text != "")).alias(f"location_{k}") for k in kinds),
         first(text, tag == "title").alias("page_title"),
-        first(F.struct("node", "depth"), heading).alias("heading"),
+        first(text, F.col("beside")).alias("beside_heading"),
         first(text, section & in_class("avionics")).alias("avionics_class"),
         first(text, tag.isin("div", "section", "p", "li") & F.lower("text").contains("avionics") & F.length("text").between(51, 1999)).alias("avionics_text"),
         F.min_by(F.when(told, text), F.when(told, F.struct(F.length("text"), node))).alias("seller_text"),
         *(first(text, (tag == k) & in_class("seller", "broker", "dealer")).alias(f"seller_{k}") for k in ("div", "span")),
-        F.max_by(text, F.when(~tag.isin("script", "style"), F.length("text"))).alias("whole"),
+        F.max_by(text, F.when(~tag.isin("script", "style") & text.isNotNull(), F.struct(F.length("text"), -node))).alias("whole"),
     )
-    after = rows.join(page.where("heading is not null").select("page_id", "heading"), "page_id").where("node > heading.node")
-    beside, above = (F.col("depth") == F.col("heading.depth")) & tag.isin("div", "section", "p"), F.col("depth") < F.col("heading.depth")
-    after = after.groupBy("page_id").agg(F.min(F.when(beside, F.struct("node", "text"))).alias("next"), F.min(F.when(above, node)).alias("end"))
-    long = html.texts_of(pages, after.where("next.node is not null and next.text is null").select("page_id", "next.node")).select("page_id", F.col("text").alias("long_text"))
-    page = page.join(after, "page_id", "left").join(long, "page_id", "left")
-    beside_heading = F.when(F.coalesce(F.col("next.node") < F.col("end"), F.lit(True)), F.coalesce("next.text", "long_text"))
     prices = [F.when(F.col(f"price_{k}").contains("$") | F.lower(f"price_{k}").contains("price") | F.lower(f"price_{k}").contains("call"), F.col(f"price_{k}")) for k in kinds]
     sellers = [F.when(F.length(c).between(3, 199), F.col(c)) for c in ("seller_text", "seller_div", "seller_span")]
     seller = F.coalesce(*sellers)
@@ -204,7 +198,7 @@ def details_older(pages: DataFrame) -> DataFrame:
         F.coalesce(clean.year_in(F.col("product_name")), clean.year_in(F.coalesce("title", "product"))).cast("string").alias("year"),
         hours(TOTAL_TIMES).alias("total_time_hours"),
         hours(ENGINE_TIMES).alias("engine_hours"),
-        F.coalesce(beside_heading, "avionics_class", "avionics_text").alias("avionics_description"),
+        F.coalesce("beside_heading", "avionics_class", "avionics_text").alias("avionics_description"),
         F.coalesce(*prices, found("whole", *PRICES)).alias("asking_price"),
         F.coalesce(*(F.col(f"location_{k}") for k in kinds), found("page_title", r"(?i)in\s+([^|]+)")).alias("location"),
         F.coalesce(found(seller, SELLER_NAME), F.substring(seller, 1, 100)).alias("seller_broker_name"),
